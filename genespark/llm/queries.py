@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import decontam, linededup, mixing
+from genespark.llm import decontam, langid, linededup, mixing, topk, toxicity
 from genespark.llm.util import crc_mod
 
 
@@ -33,10 +33,32 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha(F.array_join("items", ",")).alias("items_sha256"), decontam.contaminated().alias("contaminated"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod("doc_id", 3) == 1
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs.where(~held), labels.where(~held))
+    return toxicity.score(docs.select("doc_id", "text"), model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = crc_mod("doc_id", 4) == 2
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held))
+    return langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op5_line_dedup": op5_line_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
+    "op8_language": op8_language,
+    "op10_top_k": op10_top_k,
 }
 
 ORACLES = {
@@ -76,5 +98,16 @@ items AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op10_top_k": r"""
+WITH e AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
+  FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """,
 }

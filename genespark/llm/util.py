@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,7 +112,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: int, most_bytes: int) -> Ite
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.nan_to_num(pa.compute.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float))
+        sizes = np.nan_to_num(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False).astype(float))
         at, total = 0, 0.0
         for i, size in enumerate(sizes):
             if i > at and total + size > most_bytes:
