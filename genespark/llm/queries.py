@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import decontam, langid, linededup, mixing, topk, toxicity
+from genespark.llm import decontam, langid, linededup, mixing, pii, secrets, topk, toxicity
 from genespark.llm.util import crc_mod
 
 
@@ -22,6 +22,16 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, F.array("source"), mixing.word_count("text"), weights=(3, 1, 2), share=1.5, repeats=2).drop("sources")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", *(f"n_{k}" for k in pii.KINDS), sha(F.col("base")).alias("base_sha256"), "spans")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in secrets.KINDS), sha(secrets.listed(*secrets.KINDS)).alias("base_sha256"), secrets.listed(*secrets.KINDS, "random").alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = linededup.dedup_lines(docs, linededup.build(docs), keep=["doc_id"], out_text="kept")
@@ -54,6 +64,8 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_pii": op2_pii,
+    "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
