@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import decontam, langid, linededup, mixing, pii, secrets, topk, toxicity
+from genespark.llm import decontam, jaccard, langid, linededup, mixing, pii, secrets, topk, toxicity
 from genespark.llm.util import crc_mod
 
 
@@ -57,6 +57,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"]).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_similar(table(spark, sf_dir, "documents"))
+
+
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return topk.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
@@ -70,6 +74,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_decontaminate": op7_decontaminate,
     "op8_language": op8_language,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
 }
 
@@ -110,6 +115,25 @@ items AS (
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(items.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op9_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k : k + 3], ' ') AS g
+  FROM w, LATERAL (SELECT unnest(range(1, greatest(2, len(w) - 2))) AS k) r WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+often AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM s x JOIN often USING (g) JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+links AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM reach r WHERE r.a = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 """,
     "op10_top_k": r"""
 WITH e AS (
