@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import decontam, jaccard, langid, linededup, mixing, pii, secrets, topk, toxicity
+from genespark.llm import decontam, jaccard, langid, linededup, mixing, pii, secrets, suffix, topk, toxicity
 from genespark.llm.util import crc_mod
 
 
@@ -27,6 +27,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *(f"n_{k}" for k in pii.KINDS), sha(F.col("base")).alias("base_sha256"), "spans")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.dedup_substrings(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("run_from").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return out.select("doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in secrets.KINDS), sha(secrets.listed(*secrets.KINDS)).alias("base_sha256"), secrets.listed(*secrets.KINDS, "random").alias("spans"))
@@ -69,6 +74,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_pii": op2_pii,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_secrets": op4_secrets,
     "op5_line_dedup": op5_line_dedup,
     "op6_toxicity": op6_toxicity,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -158,3 +159,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(32)
     return x
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
