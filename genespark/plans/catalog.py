@@ -1,4 +1,487 @@
-"""Named queries over the driver's tables, with equivalent SQL."""
+"""Named queries over the driver's tables, each with equivalent SQL."""
 
-QUERIES = {}
-ORACLES = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from genespark.functions.columns import clean_product, ec_numbers, without_ec
+from genespark.operators import compare, concordance, functional, hierarchy, intervals, orf, splice, submission
+from genespark.plans import bridge
+from genespark.plans.bridge import CONTIGS_SQL, GENES_SQL, MRNAS_SQL, cds_sql, predicted_sql, second_sql
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+BASE = f"WITH {cds_sql()}, {GENES_SQL}"
+OVER = "a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e"
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def _genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge.genes(bridge.cds(spark, sf_dir))
+
+
+def _pred(spark: SparkSession, sf_dir: str, label: str = "p1", drop: int = 11) -> DataFrame:
+    return bridge.predicted_genes(_genes(spark, sf_dir), label, drop)
+
+
+@query("interval_overlap_join", f"{BASE}, {predicted_sql('pred')} SELECT a.id AS ref_id, b.id AS pred_id, least(a.e, b.e) - greatest(a.s, b.s) + 1 AS bp FROM genes a JOIN pred b ON {OVER}")
+def interval_overlap_join(spark, sf_dir):
+    out = intervals.interval_join(_genes(spark, sf_dir), _pred(spark, sf_dir))
+    return out.select(F.col("l_id").alias("ref_id"), F.col("r_id").alias("pred_id"), "bp")
+
+
+@query("interval_semi", f"{BASE}, {predicted_sql('pred')} SELECT id, s AS start FROM genes a WHERE EXISTS (SELECT 1 FROM pred b WHERE {OVER})")
+def interval_semi(spark, sf_dir):
+    return intervals.interval_semi(_genes(spark, sf_dir), _pred(spark, sf_dir)).select("id", "start")
+
+
+@query("interval_anti", f"{BASE}, {predicted_sql('pred')} SELECT id, s AS start FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER})")
+def interval_anti(spark, sf_dir):
+    return intervals.interval_anti(_genes(spark, sf_dir), _pred(spark, sf_dir)).select("id", "start")
+
+
+DENSE = f"WITH {cds_sql(150)}, {GENES_SQL}"
+CLUSTERED = """,
+far AS (SELECT *, max(e) OVER (PARTITION BY chrom, strand ORDER BY s, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM genes),
+flag AS (SELECT *, CASE WHEN far IS NULL OR s > far THEN 1 ELSE 0 END AS new FROM far),
+numbered_clusters AS (SELECT *, sum(new) OVER (PARTITION BY chrom, strand ORDER BY s, id ROWS UNBOUNDED PRECEDING) AS k FROM flag),
+clusters AS (SELECT *, min(s) OVER c AS cluster_start, max(e) OVER c AS cluster_end, count(*) OVER c AS size, first_value(id) OVER (PARTITION BY chrom, strand, k ORDER BY s, id) AS first_id FROM numbered_clusters WINDOW c AS (PARTITION BY chrom, strand, k))"""
+
+
+@query("overlap_clusters", f"{DENSE}{CLUSTERED} SELECT id, cluster_start, cluster_end, size FROM clusters WHERE size > 1")
+def overlap_clusters(spark, sf_dir):
+    out = intervals.clusters(bridge.genes(bridge.cds(spark, sf_dir, 150)), chunk=10_000)
+    return out.where("size > 1").select("id", "cluster_start", "cluster_end", "size")
+
+
+@query("merge_clusters_reparent", f"{DENSE}, {MRNAS_SQL}{CLUSTERED} SELECT m.id, c.first_id AS parent_id FROM mrnas m JOIN clusters c ON m.parent_id = c.id")
+def merge_clusters_reparent(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir, 150)
+    return intervals.merge_overlapping_genes(bridge.genes(parts), bridge.mrnas(parts))[1].select("id", "parent_id")
+
+
+@query("running_max_end", f"{DENSE} SELECT id, max(e) OVER (PARTITION BY chrom, strand ORDER BY s, id ROWS UNBOUNDED PRECEDING) AS max_end FROM genes")
+def running_max_end(spark, sf_dir):
+    return intervals.running_max_end(bridge.genes(bridge.cds(spark, sf_dir, 150))).select("id", "max_end")
+
+
+INTRONS = """,
+gaps AS (SELECT chrom, strand, parent_id, e + 1 AS s, lead(s) OVER w - 1 AS e, row_number() OVER w AS n FROM cds WINDOW w AS (PARTITION BY parent_id ORDER BY s, id)),
+introns AS (SELECT chrom, strand, parent_id, s, e, parent_id || ':intron:' || n AS id FROM gaps WHERE e IS NOT NULL)"""
+
+
+@query("derive_introns", f"{BASE}{INTRONS} SELECT id, parent_id, s AS start, e AS stop FROM introns")
+def derive_introns(spark, sf_dir):
+    return hierarchy.introns(bridge.cds(spark, sf_dir)).select("id", "parent_id", "start", F.col("end").alias("stop"))
+
+
+@query("cds_phase", f"""{BASE} SELECT id, CAST((3 - coalesce(sum(e - s + 1) OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 3) % 3 AS BIGINT) AS phase FROM cds""")
+def cds_phase(spark, sf_dir):
+    return hierarchy.fix_phases(bridge.cds(spark, sf_dir)).select("id", "phase")
+
+
+@query("locus_tags", f"{BASE} SELECT id, 'TEST_' || lpad(CAST(row_number() OVER (ORDER BY chrom, s, id) AS VARCHAR), CAST(greatest(5, length(CAST(row_number() OVER (ORDER BY chrom, s, id) AS VARCHAR))) AS INTEGER), '0') AS tag FROM genes")
+def locus_tags(spark, sf_dir):
+    return hierarchy.locus_tags(_genes(spark, sf_dir), "TEST", chunk=100_000).select("id", "tag")
+
+
+@query("feature_counts", f"{BASE}, {MRNAS_SQL} SELECT 'gene' AS type, count(*) AS n FROM genes UNION ALL SELECT 'mRNA', count(*) FROM mrnas UNION ALL SELECT 'CDS', count(*) FROM cds")
+def feature_counts(spark, sf_dir):
+    return _features(spark, sf_dir).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = bridge.cds(spark, sf_dir)
+    cols = ["chrom", F.lit("bridge").alias("source"), "type", "start", "end", "strand", F.lit(".").alias("frame"), "id", "parent_id"]
+    gene = bridge.genes(parts).withColumn("type", F.lit("gene")).withColumn("parent_id", F.lit(None).cast("string")).select(*cols)
+    mrna = bridge.mrnas(parts).withColumn("type", F.lit("mRNA")).select(*cols)
+    return gene.unionByName(mrna).unionByName(parts.withColumn("type", F.lit("CDS")).select(*cols))
+
+
+@query("feature_count_diff", f"""{BASE}, {second_sql('other', 11, 9)}, a AS (SELECT 'CDS' AS type, count(*) AS n FROM cds UNION ALL SELECT 'gene', count(*) FROM genes), b AS (SELECT 'CDS' AS type, count(*) AS n FROM other)
+SELECT coalesce(a.type, b.type) AS type, coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b, coalesce(b.n, 0) - coalesce(a.n, 0) AS diff FROM a FULL JOIN b ON a.type = b.type""")
+def feature_count_diff(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir)
+    count = lambda df: df.groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    a = count(_features(spark, sf_dir).where("type <> 'mRNA'"))
+    b = count(bridge.second_source(parts, 11, 9).withColumn("type", F.lit("CDS")))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    out = a.withColumnRenamed("n", "x").join(b.withColumnRenamed("n", "y"), "type", "full")
+    return out.select("type", zero(F.col("x")).alias("n_a"), zero(F.col("y")).alias("n_b"), (zero(F.col("y")) - zero(F.col("x"))).alias("diff"))
+
+
+@query("gene_bounds_from_cds", f"{BASE} SELECT gene_id, min(s) AS start, max(e) AS stop, count(*) AS n_cds FROM cds GROUP BY chrom, strand, gene_id")
+def gene_bounds_from_cds(spark, sf_dir):
+    return hierarchy.gene_bounds(bridge.cds(spark, sf_dir)).select("gene_id", "start", F.col("end").alias("stop"), "n_cds")
+
+
+@query("complete_hierarchy", f"""{BASE} SELECT 'gene' AS type, id, NULL AS parent_id FROM genes UNION ALL SELECT 'CDS', id, gene_id FROM cds
+UNION ALL SELECT 'mRNA', id || '_mRNA', id FROM genes UNION ALL SELECT 'exon', id || ':exon', gene_id FROM cds""")
+def complete_hierarchy(spark, sf_dir):
+    rows = _features(spark, sf_dir).where("type <> 'mRNA'").withColumn("parent_id", F.regexp_replace("parent_id", r"\.m\d$", ""))
+    return hierarchy.complete(rows).select("type", "id", "parent_id")
+
+
+@query("exon_roles", f"""{BASE}, k AS (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END, id) AS k, count(*) OVER (PARTITION BY parent_id) AS n FROM cds)
+SELECT id, CASE WHEN n = 1 THEN 'Esngl' WHEN k = 1 THEN 'Einit' WHEN k = n THEN 'Eterm' ELSE 'Exon' END AS role, CASE WHEN strand = '-' THEN e ELSE s END AS from_pos, CASE WHEN strand = '-' THEN s ELSE e END AS to_pos FROM k""")
+def exon_roles(spark, sf_dir):
+    return hierarchy.exon_roles(bridge.cds(spark, sf_dir)).select("id", "role", F.col("from").alias("from_pos"), F.col("to").alias("to_pos"))
+
+
+def _source(spark: SparkSession, sf_dir: str, drop: int | None = None, nudge: int = 9) -> tuple[DataFrame, DataFrame, DataFrame]:
+    parts = bridge.cds(spark, sf_dir)
+    if drop:
+        parts = bridge.second_source(parts, drop, nudge)
+    return bridge.genes(parts), bridge.mrnas(parts), parts.select("chrom", "strand", "start", "end", "id", "parent_id")
+
+
+def _listed(name: str, source: str) -> str:
+    return f"{name} AS (SELECT chrom, strand, gene_id, parent_id AS id, min(s) AS s, max(e) AS e, list(s ORDER BY s, e) AS ss, list(e ORDER BY s, e) AS es FROM {source} GROUP BY ALL)"
+
+
+SAME = """a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.e AND len(a.ss) = len(b.ss)
+ AND abs(a.s - b.s) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1) AND abs(a.e - b.e) <= 0.05 * greatest(a.e - a.s, b.e - b.s, 1)
+ AND len(list_filter(range(1, len(a.ss) + 1), lambda i: (i > 1 AND abs(a.ss[i] - b.ss[i]) > 3) OR (i < len(a.ss) AND abs(a.es[i] - b.es[i]) > 3))) = 0"""
+
+
+@query("concordant_models", f"{BASE}, {second_sql('other', 11, 9)}, {_listed('x', 'cds')}, {_listed('y', 'other')} SELECT DISTINCT a.gene_id FROM x a JOIN y b ON {SAME}")
+def concordant_models(spark, sf_dir):
+    return concordance.concordant_genes(_source(spark, sf_dir)[1:], _source(spark, sf_dir, 11)[1:])
+
+
+THREE = f"{BASE}, {second_sql('o1', 11, 9)}, {second_sql('o2', 7, 8)}, {_listed('x', 'cds')}, {_listed('y', 'o1')}, {_listed('z', 'o2')}"
+
+
+@query("supported_models", f"""{THREE}, found AS (SELECT a.gene_id, 0 AS prio FROM x a JOIN y b ON {SAME} UNION SELECT a.gene_id, 1 FROM x a JOIN z b ON {SAME} UNION SELECT a.gene_id, 2 FROM z a JOIN y b ON {SAME})
+SELECT gene_id AS id, CAST(min(prio) AS INTEGER) AS prio FROM found GROUP BY gene_id""")
+def supported_models(spark, sf_dir):
+    return concordance.supported([_source(spark, sf_dir), _source(spark, sf_dir, 11), _source(spark, sf_dir, 7, 8)]).select("id", "prio")
+
+
+@query("nonredundant_union", f"""{BASE}, {second_sql('o1', 11, 9)}, {second_sql('o2', 7, 8)}, rows_ AS (
+  SELECT gene_id, min(s) AS start, 0 AS prio FROM o1 GROUP BY gene_id UNION ALL SELECT gene_id, min(s), 1 FROM o2 GROUP BY gene_id UNION ALL SELECT gene_id, min(s), 2 FROM cds GROUP BY gene_id)
+SELECT gene_id AS id, arg_min(start, prio) AS start, CAST(min(prio) AS INTEGER) AS prio FROM rows_ GROUP BY gene_id""")
+def nonredundant_union(spark, sf_dir):
+    sources = (_source(spark, sf_dir, 11)[0], _source(spark, sf_dir, 7, 8)[0], _source(spark, sf_dir)[0])
+    return concordance.nonredundant(*sources).select("id", "start", "prio")
+
+
+@query("training_set_stats", f"{BASE} SELECT count(*) AS n, greatest(1, count(*) // 4) AS size, CAST(trunc(avg(e - s) / 2) AS INTEGER) AS flank FROM genes")
+def training_set_stats(spark, sf_dir):
+    return concordance.training_set(_genes(spark, sf_dir))
+
+
+def classes_sql(pred: str, name: str = "classes") -> str:
+    return f""",
+ov AS (SELECT b.prediction, a.id AS rid, a.s AS rs, a.e AS re, a.strand, b.id AS pid, b.s AS ps, b.e AS pe, least(a.e, b.e) - greatest(a.s, b.s) + 1 AS bp FROM genes a JOIN {pred} b ON {OVER}),
+c1 AS (SELECT *, bp / (re - rs + 1) AS cr, bp / (pe - ps + 1) AS cp FROM ov),
+c2 AS (SELECT *, count(*) FILTER (WHERE cr > 0.5) OVER (PARTITION BY prediction, pid) >= 2 AS merging FROM c1),
+c3 AS (SELECT *, max(CASE WHEN merging AND cr > 0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY prediction, rid) = 1 AS merged FROM c2),
+c4 AS (SELECT *, NOT merged AND count(*) FILTER (WHERE cp >= 0.5) OVER (PARTITION BY prediction, rid) >= 2 AS frag FROM c3),
+c5 AS (SELECT *, merging OR max(CASE WHEN frag AND cp >= 0.5 THEN 1 ELSE 0 END) OVER (PARTITION BY prediction, pid) = 1 AS excluded FROM c4),
+c6 AS (SELECT *, row_number() OVER (PARTITION BY prediction, rid ORDER BY excluded, bp DESC, ps, pid) AS k FROM c5),
+labels AS (SELECT DISTINCT prediction FROM {pred}),
+{name} AS (
+  SELECT l.prediction, g.id AS ref_id, CASE WHEN c.rid IS NULL THEN 'missing' WHEN c.merged THEN 'merged' WHEN c.frag THEN 'fragmented' WHEN c.excluded THEN 'missing' WHEN g.s = c.ps AND g.e = c.pe THEN 'exact' ELSE 'inexact' END AS classification,
+         g.strand, g.s AS rs, g.e AS re, c.pid, c.ps, c.pe, c.bp, c.cr AS sn, c.cp AS sp
+  FROM genes g CROSS JOIN labels l LEFT JOIN c6 c ON c.rid = g.id AND c.prediction = l.prediction AND c.k = 1),
+novel AS (SELECT prediction, id AS pred_id FROM {pred} b WHERE NOT EXISTS (SELECT 1 FROM ov WHERE ov.pid = b.id AND ov.prediction = b.prediction))"""
+
+
+ONE = f"{BASE}, {predicted_sql('pred')}{classes_sql('pred')}"
+MANY_PRED = f"{predicted_sql('q1')}, {predicted_sql('q2', 'p2', 5)}, {predicted_sql('q3', 'p3', 23)}, pred AS (SELECT * FROM q1 UNION ALL SELECT * FROM q2 UNION ALL SELECT * FROM q3)"
+MANY = f"{BASE}, {MANY_PRED}{classes_sql('pred')}"
+
+
+def _many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pred(spark, sf_dir).unionByName(_pred(spark, sf_dir, "p2", 5)).unionByName(_pred(spark, sf_dir, "p3", 23))
+
+
+@query("gene_classification", f"{ONE} SELECT classification, count(*) AS n FROM (SELECT classification FROM classes UNION ALL SELECT 'novel' FROM novel) GROUP BY classification")
+def gene_classification(spark, sf_dir):
+    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("gene_records", f"""{ONE} SELECT ref_id, classification, CASE WHEN hit THEN pid END AS pred_id, CASE WHEN hit THEN bp END AS overlap_bp, CASE WHEN hit THEN round(sn, 6) END AS sn, CASE WHEN hit THEN round(sp, 6) END AS sp
+FROM (SELECT *, classification IN ('exact', 'inexact') AS hit FROM classes)""")
+def gene_records(spark, sf_dir):
+    out = compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification <> 'novel'")
+    return out.select("ref_id", "classification", "pred_id", "overlap_bp", F.round("sn", 6).alias("sn"), F.round("sp", 6).alias("sp"))
+
+
+@query("gene_stats", f"""{MANY}, n AS (SELECT prediction, count(*) AS novel FROM novel GROUP BY 1), c AS (
+  SELECT prediction, count(*) FILTER (WHERE classification = 'exact') AS exact, count(*) FILTER (WHERE classification = 'inexact') AS inexact, count(*) FILTER (WHERE classification = 'missing') AS missing, count(*) FILTER (WHERE classification = 'merged') AS merged, count(*) FILTER (WHERE classification = 'fragmented') AS fragmented
+  FROM classes GROUP BY 1), r AS (SELECT *, (exact + inexact) / (exact + inexact + missing + merged + fragmented) AS sens, (exact + inexact) / (exact + inexact + coalesce(novel, 0)) AS prec FROM c LEFT JOIN n USING (prediction))
+SELECT prediction, exact, inexact, missing, merged, fragmented, coalesce(novel, 0) AS novel, round(sens, 6) AS sensitivity, round(prec, 6) AS precision, round(2 * sens * prec / (sens + prec), 6) AS f1 FROM r""")
+def gene_stats(spark, sf_dir):
+    out = compare.gene_stats(compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir)))
+    return out.select("prediction", "exact", "inexact", "missing", "merged", "fragmented", "novel", *(F.round(c, 6).alias(c) for c in ("sensitivity", "precision", "f1")))
+
+
+@query("boundary_diffs", f"""{ONE} SELECT ref_id, CASE WHEN strand = '+' THEN ps - rs ELSE re - pe END AS boundary_5p, CASE WHEN strand = '+' THEN pe - re ELSE rs - ps END AS boundary_3p FROM classes WHERE classification = 'inexact'""")
+def boundary_diffs(spark, sf_dir):
+    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification = 'inexact'").select("ref_id", "boundary_5p", "boundary_3p")
+
+
+@query("novel_predictions", f"{ONE} SELECT pred_id FROM novel")
+def novel_predictions(spark, sf_dir):
+    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification = 'novel'").select("pred_id")
+
+
+POWERSET = f"""{MANY}, kinds AS (SELECT ref_id, prediction, CASE WHEN classification IN ('exact', 'inexact') THEN 'match' ELSE classification END AS kind FROM classes),
+grid AS (SELECT r.id AS ref_id, k.class FROM genes r CROSS JOIN (VALUES ('match'), ('missing'), ('merged'), ('fragmented')) k(class)),
+sets AS (SELECT g.ref_id, g.class, coalesce(string_agg(x.prediction, ',' ORDER BY x.prediction), '') AS labels FROM grid g LEFT JOIN kinds x ON x.ref_id = g.ref_id AND x.kind = g.class GROUP BY 1, 2)
+SELECT class, labels, count(*) AS n FROM sets GROUP BY 1, 2"""
+
+
+@query("powerset_agreement", POWERSET)
+def powerset_agreement(spark, sf_dir):
+    records = compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir))
+    return compare.agreement(records, ["p1", "p2", "p3"]).select("class", F.array_join("labels", ",").alias("labels"), "n")
+
+
+@query("powerset_buckets", f"SELECT class, CASE len(string_split(labels, ',')) WHEN 3 THEN 'all' WHEN 2 THEN 'other' ELSE CASE WHEN labels = '' THEN 'none' ELSE 'unique' END END AS bucket, CAST(sum(n) AS BIGINT) AS n FROM ({POWERSET}) GROUP BY ALL")
+def powerset_buckets(spark, sf_dir):
+    records = compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir))
+    return compare.agreement_buckets(compare.agreement(records, ["p1", "p2", "p3"]), 3)
+
+
+def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # read by every level: computed once, and the levels' plans stay small
+    genes, mrnas, cds = (x.persist() for x in _source(spark, sf_dir))
+    pg, pm, pc = (x.withColumn("prediction", F.lit("p1")).persist() for x in _source(spark, sf_dir, 11))
+    return compare.compare({"genes": genes, "mrnas": mrnas, "cds": cds}, {"genes": pg, "mrnas": pm, "cds": pc})
+
+
+@query("subfeature_match")
+def subfeature_match(spark, sf_dir):
+    return _cascade(spark, sf_dir).groupBy("level", "classification").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("f1_by_level")
+def f1_by_level(spark, sf_dir):
+    out = compare.f1_by_level(_cascade(spark, sf_dir), ["p1"])
+    return out.select("level", F.round("p1", 6).alias("p1"))
+
+
+HITS_SQL = """, code AS (SELECT upper(seq) AS seq, chrom, length(seq) AS n FROM contigs)"""
+TABLE_11 = {"start": "('TTG','CTG','ATT','ATC','ATA','ATG','GTG')", "stop": "('TAA','TAG','TGA')"}
+TABLE_1 = {"start": "('TTG','CTG','ATG')", "stop": "('TAA','TAG','TGA')"}
+
+
+def _scan_sql(codons: dict[str, str]) -> str:
+    # code 1 has no starts or stops that overlap each other in one scan of a kind except as the walk decides
+    return f"""WITH RECURSIVE {CONTIGS_SQL},
+places AS (SELECT chrom AS id, length(seq) AS seqlen, p, substr(seq, p, 3) AS c FROM contigs, LATERAL (SELECT unnest(range(1, length(seq) - 1)) AS p) r),
+marked AS (SELECT id, seqlen, p, 'start' AS codon FROM places WHERE c IN {codons['start']} UNION ALL SELECT id, seqlen, p, 'stop' FROM places WHERE c IN {codons['stop']}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY id, codon ORDER BY p) AS k FROM marked),
+nexts AS (SELECT a.id, a.codon, a.p, a.seqlen, (SELECT min(b.p) FROM ranked b WHERE b.id = a.id AND b.codon = a.codon AND b.p >= a.p + 3) AS q FROM ranked a),
+walk AS (SELECT id, codon, p, seqlen, q FROM nexts WHERE (id, codon, p) IN (SELECT id, codon, min(p) FROM ranked GROUP BY 1, 2)
+         UNION ALL SELECT n.id, n.codon, n.p, n.seqlen, n.q FROM walk w JOIN nexts n ON n.id = w.id AND n.codon = w.codon AND n.p = w.q)"""
+
+
+def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge.contigs(spark, sf_dir).select(F.col("chrom").alias("id"), "seq", F.lit("+").alias("strand"))
+
+
+@query("codon_scan", f"{_scan_sql(TABLE_11)} SELECT id, CAST(p AS INTEGER) AS pos, codon, CAST((p - 1) % 3 AS INTEGER) AS frame FROM walk")
+def codon_scan(spark, sf_dir):
+    return orf.codon_hits(_transcripts(spark, sf_dir), 11).select("id", "pos", "codon", "frame")
+
+
+@query("longest_orf", f"""{_scan_sql(TABLE_1)},
+h AS (SELECT id, seqlen, p, codon, (p - 1) % 3 AS frame, min(CASE WHEN codon = 'stop' THEN p END) OVER (PARTITION BY id, (p - 1) % 3 ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop, min(p) OVER (PARTITION BY id, (p - 1) % 3) AS first FROM walk),
+b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY stop - p DESC, first, p) AS k FROM h WHERE codon = 'start' AND stop - p > 60 AND (stop - p) / seqlen > 0.1)
+SELECT id, CAST(p AS INTEGER) AS start, CAST(stop + 2 AS INTEGER) AS stop, CAST(frame AS INTEGER) AS frame, CAST(stop - p AS INTEGER) AS orflen FROM b WHERE k = 1""")
+def longest_orf(spark, sf_dir):
+    hits = orf.codon_hits(_transcripts(spark, sf_dir), 1)
+    return orf.longest_orfs(hits, 60, 0.1).select("id", "start", "stop", "frame", "orflen")
+
+
+def _exons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exons on each document's contig, on the minus strand for odd ids."""
+    docs = bridge.contigs(spark, sf_dir).where(F.length("seq") >= 200)
+    strand = F.when(F.substring("chrom", -1, 1).cast("int") % 2 == 1, "-").otherwise("+")
+    spans = F.array(*(F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end"), F.lit(k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
+    return docs.select("chrom", strand.alias("strand"), F.explode(spans).alias("x")).select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
+
+
+EXONS_SQL = f"""WITH {CONTIGS_SQL},
+exons AS (SELECT chrom, seq, CASE WHEN CAST(right(chrom, 1) AS INTEGER) % 2 = 1 THEN '-' ELSE '+' END AS strand, x.k, x.s, x.e FROM contigs CROSS JOIN (VALUES (0, 4, 60), (1, 71, 130), (2, 141, 197)) x(k, s, e) WHERE length(seq) >= 200),
+whole AS (SELECT 't' || chrom AS id, strand, string_agg(substr(seq, s, e - s + 1), '' ORDER BY s) AS w FROM exons GROUP BY ALL),
+spliced AS (SELECT id, strand, CASE WHEN strand = '-' THEN translate(reverse(w), 'ACGT', 'TGCA') ELSE w END AS seq FROM whole)"""
+
+
+@query("spliced_sequence", f"{EXONS_SQL} SELECT id, strand, seq FROM spliced")
+def spliced_sequence(spark, sf_dir):
+    return orf.spliced(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir)).select("id", "strand", "seq")
+
+
+@query("translate_cds", f"""{EXONS_SQL}, bases AS (SELECT unnest(['T', 'C', 'A', 'G']) AS b, generate_subscripts(['T', 'C', 'A', 'G'], 1) - 1 AS k),
+code AS (SELECT x.b || y.b || z.b AS codon, substr('FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', CAST(16 * x.k + 4 * y.k + z.k + 1 AS BIGINT), 1) AS aa FROM bases x, bases y, bases z),
+steps AS (SELECT id, p, substr(seq, 3 * p + 1, 3) AS codon FROM spliced, LATERAL (SELECT unnest(range(0, length(seq) // 3)) AS p) r)
+SELECT id, string_agg(aa, '' ORDER BY p) AS protein FROM steps JOIN code USING (codon) GROUP BY id""")
+def translate_cds(spark, sf_dir):
+    return orf.translated(orf.spliced(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir)), 1).select("id", "protein")
+
+
+@query("orf_to_genome", f"""{EXONS_SQL},
+orfs AS (SELECT id, strand, 10 AS f, 120 AS t FROM spliced),
+placed AS (SELECT 't' || chrom AS id, 't' || chrom || ':CDS:' || k AS cid, strand, s, e, coalesce(sum(e - s + 1) OVER (PARTITION BY chrom ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM exons),
+cut AS (SELECT p.*, greatest(f - 1 - before, 0) AS low, least(t - CASE WHEN p.strand = '-' THEN 1 ELSE 0 END - before, e - s + 1) AS high FROM placed p JOIN orfs o ON p.id = o.id),
+mapped AS (SELECT id AS parent_id, cid, strand, CASE WHEN strand = '-' THEN e - high + 1 ELSE s + low END AS s, CASE WHEN strand = '-' THEN e - low ELSE s + high - 1 END AS e FROM cut WHERE low < high)
+SELECT cid AS id, parent_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS stop, CAST((3 - coalesce(sum(e - s + 1) OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 3) % 3 AS BIGINT) AS phase FROM mapped""")
+def orf_to_genome(spark, sf_dir):
+    exons = _exons(spark, sf_dir)
+    orfs = exons.select(F.col("parent_id").alias("id")).distinct().select("id", F.lit(10).cast("long").alias("start"), F.lit(120).cast("long").alias("stop"))
+    return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
+
+
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("value"), "event_id"))
+    return bridge.table(spark, sf_dir, "events").where("user_id is not null and value is not null").select(F.col("user_id").alias("query_id"), F.col("event_type").alias("hit_id"), rank.alias("hit_rank"), F.col("value").alias("score"), "event_id")
+
+
+HITS = """WITH hits AS (SELECT user_id AS query_id, event_type AS hit_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS hit_rank, value AS score, event_id FROM events WHERE user_id IS NOT NULL AND value IS NOT NULL)"""
+
+
+@query("best_hit_per_query", f"{HITS} SELECT query_id, hit_id, score FROM hits WHERE hit_rank = 1")
+def best_hit_per_query(spark, sf_dir):
+    return functional.best_hits(_hits(spark, sf_dir)).select("query_id", "hit_id", "score")
+
+
+@query("domain_hits_greedy", HITS.replace("WITH", "WITH RECURSIVE", 1) + """, dom AS (SELECT query_id, hit_rank, event_id * 37 % 5000 AS a, event_id * 37 % 5000 + event_id % 40 AS b FROM hits),
+walk AS (SELECT query_id, hit_rank, a, b, b AS at, TRUE AS kept FROM dom WHERE hit_rank = 1
+  UNION ALL SELECT d.query_id, d.hit_rank, d.a, d.b, CASE WHEN d.a > w.at THEN d.b ELSE w.at END, d.a > w.at FROM walk w JOIN dom d ON d.query_id = w.query_id AND d.hit_rank = w.hit_rank + 1)
+SELECT query_id, CAST(hit_rank AS INTEGER) AS hit_rank, a AS dom_start, b AS dom_end FROM walk WHERE kept""")
+def domain_hits_greedy(spark, sf_dir):
+    start = F.col("event_id") * 37 % 5000
+    return functional.domain_hits(_hits(spark, sf_dir).withColumn("dom_start", start).withColumn("dom_end", start + F.col("event_id") % 40)).select("query_id", "hit_rank", "dom_start", "dom_end")
+
+
+def _ko(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = bridge.table(spark, sf_dir, "events").where("event_type is not null and event_type <> 'refund'").select(F.col("event_type").alias("k_number")).distinct()
+    return kinds.select("k_number", F.when(F.length("k_number") % 3 > 0, F.length("k_number") * 10.0).alias("threshold"), F.when(F.length("k_number") % 2 == 0, "full").otherwise("domain").alias("score_type"), F.concat("k_number", F.lit(" enzyme [EC:1.1.1."), F.length("k_number").cast("string"), F.lit(" n.n.n.n]")).alias("definition"))
+
+
+@query("ko_threshold", HITS + """, ko AS (SELECT DISTINCT event_type AS k, CASE WHEN length(event_type) % 3 > 0 THEN length(event_type) * 10.0 END AS threshold, CASE WHEN length(event_type) % 2 = 0 THEN 'full' ELSE 'domain' END AS score_type FROM events WHERE event_type IS NOT NULL AND event_type <> 'refund'),
+s AS (SELECT query_id, hit_id, hit_rank, threshold, CASE WHEN score_type = 'full' THEN score ELSE score / 2 END AS score FROM hits JOIN ko ON hit_id = k),
+b AS (SELECT *, row_number() OVER (PARTITION BY query_id, hit_id ORDER BY score DESC, hit_rank) AS n FROM s)
+SELECT query_id, hit_id, round(score, 6) AS score, coalesce(threshold IS NOT NULL AND score >= threshold, FALSE) AS above_threshold, 'EC' || length(hit_id) AS ec FROM b WHERE n = 1""")
+def ko_threshold(spark, sf_dir):
+    hits = _hits(spark, sf_dir).select("query_id", "hit_id", "hit_rank", F.col("score").alias("full_score"), F.lit(0.0).alias("full_evalue"), (F.col("score") / 2).alias("dom_score"), F.lit(0.0).alias("dom_evalue"))
+    out = functional.ko_hits(hits, _ko(spark, sf_dir))
+    return out.select("query_id", "hit_id", F.round("score", 6).alias("score"), "above_threshold", F.concat(F.lit("EC"), F.substring_index(F.array_join("ec_numbers", "|"), ".", -1)).alias("ec"))
+
+
+@query("ec_extract", """SELECT p_partkey, trim(p_name || ' kinase') AS text, CASE WHEN p_partkey % 3 = 0 THEN '1.1.1.' || p_size || '|2.7.1.-' WHEN p_partkey % 3 = 1 THEN '' ELSE '3.4.21.n' || p_size END AS ecs FROM part""")
+def ec_extract(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    tag = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" [EC:1.1.1."), size, F.lit(" 2.7.1.-,1.1.1."), size, F.lit("]"))).when(F.col("p_partkey") % 3 == 1, F.lit(" [EC:n.n.n.n]")).otherwise(F.concat(F.lit(" [EC:3.4.21.n"), size, F.lit("]")))
+    text = F.concat("p_name", F.lit(" kinase"), tag)
+    return bridge.table(spark, sf_dir, "part").select("p_partkey", without_ec(text).alias("text"), F.array_join(ec_numbers(text), "|").alias("ecs"))
+
+
+@query("product_cleanup", """SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'hypothetical protein' ELSE trim(p_name) END AS product, p_partkey % 2 = 0 OR p_partkey % 5 = 0 AS organism, p_partkey % 3 = 0 AND p_partkey % 5 <> 0 AS fragment FROM part""")
+def product_cleanup(spark, sf_dir):
+    k = F.col("p_partkey")
+    text = F.when(k % 5 == 0, " OS=org OX=1").otherwise(F.concat("p_name", F.when(k % 3 == 0, " (Fragment)").otherwise(""), F.when(k % 2 == 0, " OS=Homo sapiens OX=9606").otherwise("")))
+    return bridge.table(spark, sf_dir, "part").withColumn("c", clean_product(text)).select("p_partkey", F.col("c.text").alias("product"), F.col("c.organism").alias("organism"), F.col("c.fragment").alias("fragment"))
+
+
+@query("inference_cap", """SELECT p_partkey, CAST(least(3, p_size) AS INTEGER) AS n_inference, CAST(CASE WHEN p_size > 3 THEN 1 ELSE 0 END AS INTEGER) AS n_capped, CAST(p_size AS INTEGER) AS n_kegg FROM part WHERE p_size > 0""")
+def inference_cap(spark, sf_dir):
+    many = F.transform(F.sequence(F.lit(1), F.col("p_size")), lambda i: F.concat(F.lit("KEGG:"), i.cast("string")))
+    rows = bridge.table(spark, sf_dir, "part").where("p_size > 0").select("p_partkey", F.array("p_name").alias("product"), many.alias("inference"), F.array_append(many, F.lit("InterPro:1")).alias("dbxref"), F.lit(None).cast("array<string>").alias("note"))
+    return submission.clean(rows).select("p_partkey", F.size("inference").alias("n_inference"), "n_capped", "n_kegg")
+
+
+@query("drop_cdsless", f"""{BASE}, {MRNAS_SQL}, left_ AS (SELECT * FROM cds WHERE g % 4 <> 0 OR l_odd = 1), bare AS (SELECT id FROM mrnas WHERE id NOT IN (SELECT parent_id FROM left_))
+SELECT id, 'mRNA' AS kind FROM bare UNION ALL SELECT id, 'gene' FROM genes WHERE id NOT IN (SELECT parent_id FROM mrnas WHERE id IN (SELECT parent_id FROM left_))""".replace("l_odd = 1", "right(parent_id, 1) = '1'"))
+def drop_cdsless(spark, sf_dir):
+    genes, mrnas, cds = _source(spark, sf_dir)
+    g = F.regexp_extract("id", r"^c(\d+)_", 1).cast("long")
+    return submission.drop_set(genes, mrnas, cds.where((g % 4 != 0) | F.col("parent_id").endswith("1")))
+
+
+@query("cleanup_report", """SELECT CAST(count(*) FILTER (WHERE p_partkey % 2 = 0) AS BIGINT) AS products, CAST(count(*) FILTER (WHERE p_partkey % 3 = 0) AS BIGINT) AS fragments, CAST(count(*) FILTER (WHERE p_size > 3) AS BIGINT) AS inferences, CAST(count(*) AS BIGINT) AS kegg FROM part WHERE p_size > 0""")
+def cleanup_report(spark, sf_dir):
+    k = F.col("p_partkey")
+    text = F.concat("p_name", F.when(k % 3 == 0, " (Fragment)").otherwise(""), F.when(k % 2 == 0, " OS=org").otherwise(""))
+    rows = bridge.table(spark, sf_dir, "part").where("p_size > 0").select(F.array(text).alias("product"), F.transform(F.sequence(F.lit(1), F.col("p_size")), lambda i: i.cast("string")).alias("inference"), F.array(F.lit("KEGG:x")).alias("dbxref"), F.array(F.lit("n")).alias("note"))
+    none = spark.range(0).select(F.lit("").alias("id"), F.lit("").alias("kind"))
+    return submission.report(submission.clean(rows), none).select("products", "fragments", "inferences", "kegg")
+
+
+def _junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    return bridge.table(spark, sf_dir, "orders").select(F.concat(F.lit("d"), (k % 250).cast("string")).alias("chrom"), (1 + k % 90).cast("long").alias("intron_start"), (100 + c % 300).cast("long").alias("intron_end"), (c % 3).alias("strand"), (k % 7).alias("motif"), (1 + k % 50).alias("unique"), (c % 5).alias("multi"))
+
+
+JUNCTIONS = """junctions AS (SELECT 'd' || (o_orderkey % 250) AS chrom, 1 + o_orderkey % 90 AS a, 100 + o_custkey % 300 AS b, o_custkey % 3 AS strand, o_orderkey % 7 AS motif, 1 + o_orderkey % 50 AS uniq, o_custkey % 5 AS multi FROM orders)"""
+TALLY = f"""WITH {CONTIGS_SQL}, {JUNCTIONS},
+kinds AS (SELECT CASE motif WHEN 1 THEN 'GT-AG' WHEN 2 THEN 'CT-AC' WHEN 3 THEN 'GC-AG' WHEN 4 THEN 'CT-GC' WHEN 5 THEN 'AT-AC' WHEN 6 THEN 'GT-AT' ELSE CASE WHEN seq IS NOT NULL AND b <= length(seq) THEN upper(substr(seq, a, 2) || '-' || substr(seq, b - 1, 2)) ELSE 'unknown' END END AS type, uniq FROM junctions LEFT JOIN contigs USING (chrom)),
+tally AS (SELECT type, count(*) AS count, CAST(sum(uniq) AS BIGINT) AS unique_reads FROM kinds GROUP BY type)"""
+
+
+@query("splice_tally", f"{TALLY} SELECT type, count, unique_reads FROM tally")
+def splice_tally(spark, sf_dir):
+    return splice.tally(_junctions(spark, sf_dir), bridge.contigs(spark, sf_dir))
+
+
+@query("splice_filter", f"{TALLY} SELECT DISTINCT lower(replace(type, '-', '')) AS code FROM tally, (SELECT sum(count) AS total FROM tally) WHERE count >= 10 AND unique_reads >= 50 AND count / total >= 0.01 AND regexp_full_match(type, '..-..') AND lower(replace(type, '-', '')) NOT IN ('gtag', 'gcag')")
+def splice_filter(spark, sf_dir):
+    return splice.extra_types(splice.tally(_junctions(spark, sf_dir), bridge.contigs(spark, sf_dir)))
+
+
+@query("intron_hints", f"WITH {JUNCTIONS} SELECT chrom, a AS start, b AS stop, CASE strand WHEN 1 THEN '+' WHEN 2 THEN '-' ELSE '.' END AS strand, 'mult=' || (uniq + multi) || ';pri=4;src=E' AS attributes FROM junctions")
+def intron_hints(spark, sf_dir):
+    return splice.intron_hints(_junctions(spark, sf_dir)).select("chrom", "start", F.col("end").alias("stop"), "strand", "attributes")
+
+
+@query("intron_length_hist", f"{BASE}{INTRONS} SELECT e - s AS length, count(*) AS n FROM introns GROUP BY 1")
+def intron_length_hist(spark, sf_dir):
+    return splice.intron_lengths(hierarchy.introns(bridge.cds(spark, sf_dir)))
+
+
+@query("introns_per_gene", f"{BASE}, n AS (SELECT gene_id, count(*) AS n FROM cds GROUP BY 1) SELECT CAST(sum(n - 1) AS BIGINT) AS introns, count(*) AS genes, round(sum(n - 1) / count(*), 6) AS per_gene, sum(n - 1) / count(*) > 0.25 AS many FROM n")
+def introns_per_gene(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir)
+    return splice.introns_per_gene(bridge.genes(parts), parts).withColumn("per_gene", F.round("per_gene", 6))
+
+
+@query("gene_length_limit", f"{BASE} SELECT CAST(trunc(avg(e - s)) AS BIGINT) + 2 * CAST(trunc(stddev_samp(e - s)) AS BIGINT) AS \"limit\" FROM genes")
+def gene_length_limit(spark, sf_dir):
+    return splice.gene_length_limit(_genes(spark, sf_dir))
+
+
+@query("dedupe_by_header", "SELECT url AS header, min(page_id) AS line_no FROM pages GROUP BY url")
+def dedupe_by_header(spark, sf_dir):
+    rows = bridge.table(spark, sf_dir, "pages").select(F.col("url").alias("header"), F.col("html").alias("seq"), F.col("page_id").alias("line_no"))
+    return submission.header_duplicates(rows).select("header", "line_no")
+
+
+@query("contig_sort", f"WITH {CONTIGS_SQL} SELECT chrom, upper(seq) AS seq, length(seq) AS length FROM contigs ORDER BY length(seq) DESC, chrom")
+def contig_sort(spark, sf_dir):
+    return bridge.contigs(spark, sf_dir).select("chrom", F.upper("seq").alias("seq"), F.length("seq").cast("long").alias("length")).orderBy(F.desc("length"), "chrom")
+
+
+@query("nonoverlapping_genes", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE a.g % 2 = 0 AND NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds WHERE rn = 2)")
+def nonoverlapping_genes(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir)
+    return intervals.nonoverlapping_genes(bridge.genes(parts).where("g % 2 = 0"), _pred(spark, sf_dir), parts.where("rn = 2").select("gene_id")).select("id")
