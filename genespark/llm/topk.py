@@ -66,6 +66,8 @@ class Queries:
             for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
                 rows, values = postings[t]
                 score[rows] += (w if kind is np.float64 else int(w)) * values
+            if kind is object:
+                score = np.array([min(max(s, -(2**63)), 2**63 - 1) for s in score], np.int64)
             free = np.flatnonzero(ids != q)
             own = score[free]
             if len(own) > k:
@@ -73,7 +75,7 @@ class Queries:
                 pick = np.flatnonzero(own >= floor)
             else:
                 pick = np.arange(len(own))
-            pick = pick[np.argsort(-own[pick], kind="stable")][:k]
+            pick = pick[::-1][np.argsort(own[pick][::-1], kind="stable")][::-1][:k]  # best first; of equals the smaller id
             yield q, ids[free[pick]], own[pick]
 
 
@@ -111,7 +113,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, *, id_col: str = "vec
                     if not found:
                         continue
                     q = np.repeat([x for x, *_ in found], [len(i) for _, i, _ in found])
-                    values = [min(max(int(s), -(2**63)), 2**63 - 1) for *_, own in found for s in own]
+                    values = [int(s) for *_, own in found for s in own]
                     yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(np.concatenate([i for _, i, _ in found]), pa.int64()), pa.array(values, pa.int64())], ["query_id", "vec_id", "score"])
 
         part = base.mapInArrow(score, "query_id long, vec_id long, score long")
