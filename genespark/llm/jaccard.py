@@ -5,9 +5,9 @@ each. Two sets of sufficient overlap share a token among the first few of each (
 one is rare, a single-token index finds the pair. Otherwise all shared tokens are frequent, and prefixes that
 are longer by c share at least c + 1 of them; frequent tokens are dealt into c cells, so two of those fall into one
 cell, and an index of two-token combinations within cells finds the pair. So nothing is indexed under a frequent
-token alone. In each index list, parity bitmaps of 512 bits bound the difference of two sets from below; pairs
-that this leaves are verified on the texts, along a spanning forest of each list. Where a forest pair fails, all
-pairs of the lists concerned that are still in different components are verified too, so no link is lost.
+token alone. Within each index list, parity bitmaps bound the difference of two sets from below; a spanning forest
+of the pairs that this leaves is verified on the texts. Where a pair of a forest fails, all pairs of the
+component concerned that are not yet known to be connected are looked at too, so no link is lost.
 """
 
 from __future__ import annotations
@@ -130,8 +130,18 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray, t: int) -> tuple[np.nda
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """512 parity bits: bit j is the parity of the number of tokens that hash to j."""
-    return np.packbits((np.bincount((mix64(tokens ^ _U(0xABCDEF)) >> _U(55)).astype(np.int64), minlength=512) & 1).astype(bool)).tobytes()
+    """2 to 4 parity bits a token (512 at least): bit j is the parity of the number of tokens that hash to j."""
+    size = max(512, 1 << (2 * len(tokens)).bit_length())
+    at = (mix64(tokens ^ _U(0xABCDEF)) & _U(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=size) & 1).astype(bool)).tobytes()
+
+
+def fold(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmaps (rows of 64-bit words) that fewer bits would have given: parities of both halves, again and again."""
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
 
 
 def profiles(docs: DataFrame, frequent: np.ndarray, *, id_col: str, text: str, n: int, t: int) -> DataFrame:
@@ -172,8 +182,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(got) if got else None
 
 
-def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows (key, node) of keys with more than one node; a partition holds all rows of its keys."""
+def _node_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct sets of two or more nodes under the keys of a partition, which holds all rows (key, node) of its keys."""
     table = _gather(batches)
     if table is None:
         return
@@ -183,88 +193,112 @@ def _several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
     key, node = key[fresh], node[fresh]
-    some = np.zeros(len(key), bool)
-    same = key[1:] == key[:-1]
-    some[1:] |= same
-    some[:-1] |= same
-    key, node = key[some], node[some]
-    zero = np.zeros(len(key), np.int32)
-    for at in range(0, len(key), 50_000):
-        cut = slice(at, at + 50_000)
-        yield pa.RecordBatch.from_arrays([pa.array(key[cut]), pa.array(zero[cut]), pa.array(zero[cut]), pa.array(zero[cut]), pa.array(node[cut])], ["key", "bi", "bj", "own", "node"])
+    start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    size = np.diff(np.append(start, len(key)))
+    seen = {node[a : a + n].tobytes() for a, n in zip(start[size > 1].tolist(), size[size > 1].tolist(), strict=True)}
+    sets = [np.frombuffer(x, np.int64) for x in sorted(seen)]
+    for at in range(0, len(sets), 5000):
+        part = sets[at : at + 5000]
+        yield pa.RecordBatch.from_arrays([lists(np.concatenate(part), [len(x) for x in part])], ["nodes"])
+
+
+def blocks_of(rows: DataFrame, group: str, block: int) -> DataFrame:
+    """(gid, across, own, node) from (group, node, n), n rows a group: groups as pairs of blocks of about `block` nodes."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select(F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")).alias("gid"), (F.col("blocks") > 1).alias("several"), F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "node").select("gid", (F.col("several") & (F.col("bi") != F.col("bj"))).alias("across"), "own", "node")
 
 
 def index_lists(rows: DataFrame, block: int = 2000) -> DataFrame:
-    """(key, bi, bj, own, node): index lists of two or more sets; long lists as pairs of blocks (bi, bj) of about `block`."""
-    rare = rows.select(F.explode("rare").alias("key"), "node").repartition("key").mapInArrow(_several, "key long, bi int, bj int, own int, node long")
+    """(gid, across, own, node): the nodes that share an index key. Keys with the same nodes count once.
+
+    Lists of frequent combinations that are longer than `block` are split into pairs of blocks; with across,
+    only pairs of nodes from different blocks (own) count.
+    """
+    rare = rows.select(F.explode("rare").alias("key"), "node")
     combined = rows.select(F.explode("combined").alias("key"), "node")
     many = combined.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    combined = combined.join(many, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    combined = combined.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    combined = combined.select("key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "node")
-    return rare.unionByName(combined)
-
-
-def _close(n1: np.ndarray, n2: np.ndarray, b1: np.ndarray, b2: np.ndarray, t: int) -> np.ndarray:
-    """Pairs that sizes and bitmaps don't exclude."""
-    overlap = (t * (n1 + n2) + 99 + t) // (100 + t)
-    ok = (100 * np.minimum(n1, n2) >= t * np.maximum(n1, n2)) & (overlap <= np.minimum(n1, n2))
-    out = np.zeros(len(ok), bool)
-    at = np.flatnonzero(ok)
-    if len(at):
-        pick = lambda x: x[at] if len(x) == len(ok) else x
-        apart = np.bitwise_count(pick(b1) ^ pick(b2)).sum(1).astype(np.int64)
-        limit = n1 + n2 - 2 * overlap
-        out[at] = apart <= limit[at]
-    return out
+    combined = combined.join(many, "key")
+    short = rare.unionByName(combined.where(F.col("n") <= block).select("key", "node"))
+    sets = short.repartition("key").mapInArrow(_node_sets, "nodes array<long>").distinct()
+    sets = sets.select(F.xxhash64("nodes").alias("gid"), F.lit(False).alias("across"), F.lit(0).alias("own"), F.explode("nodes").alias("node"))
+    return sets.unionByName(blocks_of(combined.where(F.col("n") > block), "key", block))
+
+
+class _Bitmaps:
+    """Bitmaps of a group's nodes, of different sizes; compared at the smaller size of a pair, or below."""
+
+    def __init__(self, bits: list[bytes], fine: bool):
+        self.words = np.array([len(x) // 8 for x in bits])
+        # for lists a quarter of the bits tells unrelated sets apart
+        self.used = self.words if fine else np.maximum(8, self.words // 4)
+        self.bits, self.made = bits, {}
+
+    def at(self, words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of all nodes that have `words` or more, folded; and each node's row."""
+        if words not in self.made:
+            some = np.flatnonzero(self.used >= words)
+            row = np.full(len(self.bits), -1)
+            row[some] = np.arange(len(some))
+            out = np.zeros((len(some), words), _U)
+            for w in np.unique(self.words[some]):
+                own = some[self.words[some] == w]
+                out[row[own]] = fold(np.frombuffer(b"".join(self.bits[i] for i in own), _U).reshape(len(own), w), words)
+            self.made[words] = out, row
+        return self.made[words]
+
+    def apart(self, i: int, j: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(j), np.int64)
+        common = np.minimum(self.used[i], self.used[j])
+        for w in np.unique(common):
+            table, row = self.at(int(w))
+            own = common == w
+            out[own] = np.bitwise_count(table[row[i]] ^ table[row[j[own]]]).sum(1)
+        return out
 
 
 def candidate_pairs(t: int, forest: bool):
-    """For partitions of lists with sizes, bits and known roots: pairs to verify.
+    """For partitions of groups with sizes, bitmaps and known roots: pairs to verify.
 
-    forest: pairs that join the list's sets as far as they may be similar. Otherwise all pairs that may be similar
-    and have different roots.
+    forest: pairs that join the group's nodes as far as they may be similar. Otherwise all pairs that may be similar
+    and have different roots, by the full bitmaps.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _gather(batches)
         if table is None:
             return
-        key, bi, bj, own, node, size, root = (table.column(c).to_numpy() for c in ("key", "bi", "bj", "own", "node", "size", "root"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), _U).reshape(-1, 8)
-        order = np.lexsort((node, bj, bi, key))
-        key, bi, bj, own, node, size, root, bits = (x[order] for x in (key, bi, bj, own, node, size, root, bits))
-        first = np.ones(len(key), bool)
-        first[1:] = (key[1:] != key[:-1]) | (bi[1:] != bi[:-1]) | (bj[1:] != bj[:-1])
-        fresh = first.copy()
-        fresh[1:] |= node[1:] != node[:-1]
-        key, bi, bj, own, node, size, root, bits, first = (x[fresh] for x in (key, bi, bj, own, node, size, root, bits, first))
-        start = np.flatnonzero(first)
-        length = np.diff(np.append(start, len(key)))
-        two = start[length == 2]
-        pairs = []
-        if len(two):
-            go = (root[two] != root[two + 1]) & ((bi[two] == bj[two]) | (own[two] != own[two + 1]))
-            two = two[go]
-            two = two[_close(size[two], size[two + 1], bits[two], bits[two + 1], t)]
-            pairs.append((node[two], node[two + 1]))
-        for a, c in zip(start[length > 2].tolist(), length[length > 2].tolist(), strict=True):
-            n, b, group, r, side = size[a : a + c], bits[a : a + c], node[a : a + c], root[a : a + c].copy(), own[a : a + c]
-            across = bi[a] != bj[a]
-            for i in range(c - 1):
-                j = i + 1 + np.flatnonzero((r[i + 1 :] != r[i]) & ((side[i + 1 :] != side[i]) if across else True))
+        gid, node, size, root, own = (table.column(c).to_numpy() for c in ("gid", "node", "size", "root", "own"))
+        across, bits = table.column("across").to_numpy(zero_copy_only=False), table.column("bits")
+        order = np.lexsort((size, gid))
+        start = np.flatnonzero(np.append(True, gid[order][1:] != gid[order][:-1]))
+        x, y = [], []
+        for a, z in zip(start.tolist(), np.append(start[1:], len(order)).tolist(), strict=True):
+            at = order[a:z]
+            at = at[np.unique(node[at], return_index=True)[1]]
+            at = at[np.argsort(size[at], kind="stable")]
+            n, group, r, side, apart = size[at], node[at], root[at].copy(), own[at], across[at[0]]
+            maps = _Bitmaps([bits[int(i)].as_py() for i in at], not forest)
+            # sizes ascend: partners of i end where sizes pass n / t
+            stop = np.searchsorted(n, n * 100 // t, "right")
+            for i in range(len(at) - 1):
+                j = np.arange(i + 1, stop[i])
+                j = j[(r[j] != r[i]) & ((side[j] != side[i]) if apart else True)]
                 if not len(j):
                     continue
-                j = j[_close(np.full(len(j), n[i]), n[j], b[i : i + 1], b[j], t)]
+                total = n[i] + n[j]
+                overlap = (t * total + 99 + t) // (100 + t)
+                j = j[(overlap <= n[i]) & (maps.apart(i, j) <= total - 2 * overlap)]
                 if not len(j):
                     continue
                 if forest:
                     joined, one = np.unique(r[j], return_index=True)
                     j = j[one]
                     r[np.isin(r, joined)] = r[i]
-                pairs.append((np.full(len(j), group[i]), group[j]))
-        if pairs:
-            x, y = (np.concatenate(p) for p in zip(*pairs, strict=True))
+                x.append(np.full(len(j), group[i]))
+                y.append(group[j])
+        if x:
+            x, y = np.concatenate(x), np.concatenate(y)
             ab = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
             for at in range(0, len(ab), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(ab[at : at + 50_000, 0]), pa.array(ab[at : at + 50_000, 1])], ["a", "b"])
@@ -311,7 +345,7 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, *, id_col: str, t
     return texts.repartition(groups, "a", "salt").mapInArrow(compare, "a long, b long, linked boolean").distinct()
 
 
-def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", n: int = 4, t: int = 85) -> DataFrame:
+def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", n: int = 4, t: int = 85, block: int = 2000) -> DataFrame:
     """n_shingles and component_id of each document: its group under links of Jaccard similarity of t per cent or more.
 
     Tokens are word n-grams (words are runs of non-blanks, A-Z lower-cased); fewer words than n are one token.
@@ -324,19 +358,21 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     found = materialize(profiles(docs, frequent, id_col=id_col, text=text, n=n, t=t).withColumnRenamed(id_col, "id_"), "jaccard-profiles")
     nodes = materialize(found.where("node is not null").groupBy("node").agg(F.min("id_").alias("rep"), F.max("size").alias("size"), F.max("bits").alias("bits")), "jaccard-nodes")
     reps = nodes.select("node", "rep")
-    listed = materialize(index_lists(found.where("bits is not null").select("node", "rare", "combined")), "jaccard-lists")
+    listed = index_lists(found.where("bits is not null").select("node", "rare", "combined"), block)
     facts = nodes.where("bits is not null").select("node", "size", "bits")
-    groups = ["key", "bi", "bj"]
     shape = "a long, b long"
     options = {"id_col": id_col, "text": text, "n": n, "t": t}
-    first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition(*groups).mapInArrow(candidate_pairs(t, True), shape).distinct()
-    done = materialize(verify(materialize(first, "jaccard-pairs"), docs, reps, **options), "jaccard-verified")
+    first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition("gid").mapInArrow(candidate_pairs(t, True), shape).distinct()
+    first = materialize(first, "jaccard-pairs")
+    done = materialize(verify(first, docs, reps, **options), "jaccard-verified")
     roots = components(done.where("linked"))
-    # lists that hold a set of a failed pair: what was joined there by that pair alone may be linked otherwise
-    failed = done.where("not linked").select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    again = materialize(listed.join(failed, "node", "left_semi").select(*groups).distinct(), "jaccard-again")
-    second = listed.join(again, groups, "left_semi").join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = second.repartition(*groups).mapInArrow(candidate_pairs(t, False), shape).distinct().join(done, ["a", "b"], "left_anti")
+    # similar sets of a list are in one component of its pairs; where a pair failed, all in that component are looked at
+    around = components(first).withColumnRenamed("root", "cluster")
+    failed = done.where("not linked").join(around, F.col("a") == F.col("node")).select("cluster").distinct()
+    around = around.join(failed, "cluster", "left_semi")
+    around = materialize(around.join(around.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster"), "jaccard-clusters")
+    second = blocks_of(around, "cluster", block).join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    second = second.repartition("gid").mapInArrow(candidate_pairs(t, False), shape).distinct().join(done, ["a", "b"], "left_anti")
     more = materialize(second, "jaccard-pairs")
     if more.limit(1).count():
         late = materialize(verify(more, docs, reps, **options).where("linked"), "jaccard-verified")
