@@ -317,7 +317,8 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, *, id_col: str, t
     parents = fans.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("node"))
     wanted = materialize(children.unionByName(parents).join(reps, "node").select("a", "salt", "node", "rep"), "verify")
     groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted.count() // 2000)
-    texts = docs.select(F.col(f"`{id_col}`").alias("rep_"), F.col(f"`{text}`").cast("string").alias("t")).join(wanted, F.col("rep_").eqNullSafe(F.col("rep"))).select("t", "a", "salt", "node")
+    # always dealt by id, at every size: the texts are many times the list of those wanted, which is hashed
+    texts = docs.select(F.col(f"`{id_col}`").alias("rep_"), F.col(f"`{text}`").cast("string").alias("t")).join(wanted.hint("shuffle_hash"), F.col("rep_").eqNullSafe(F.col("rep"))).select("t", "a", "salt", "node")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
