@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genespark.operators.hierarchy import introns
 from genespark.operators.intervals import interval_join
+from genespark.operators.lineage import cut
 
 MERGED, FRAGMENT, EXHAUSTIVE = 0.5, 0.5, 8
 RECORD = ("level", "classification", "ref_id", "pred_id", "chrom", "strand", "ref_start", "ref_end", "pred_start", "pred_end", "overlap_bp", "sn", "sp", "f1", "boundary_5p", "boundary_3p")
@@ -103,7 +104,7 @@ def match_parts(level: str, parents: DataFrame, ref: DataFrame, pred: DataFrame)
     both = both.withColumn("bp", F.greatest(F.least("end", "p_end") - F.greatest("start", "p_start") + 1, F.lit(0).cast("long"))).where("bp > 0")
     line_r, line_p = ["id", "start", "end"], ["p_id", "p_start", "p_end"]
     both = both.withColumn("n_r", F.count(F.lit(1)).over(Window.partitionBy(*pair, *line_r))).withColumn("n_p", F.count(F.lit(1)).over(Window.partitionBy(*pair, *line_p)))
-    both = both.withColumn("plain", F.max(F.greatest("n_r", "n_p")).over(Window.partitionBy(*pair)) == 1)
+    both = cut(both.withColumn("plain", F.max(F.greatest("n_r", "n_p")).over(Window.partitionBy(*pair)) == 1))
     cols = ["prediction", "ref_parent", "pred_parent", "chrom", "strand", *line_r, *line_p, "bp"]
     direct = both.where("plain").select(*cols)
     hard = both.where("not plain").select(*cols)
@@ -158,10 +159,10 @@ def compare(ref: dict[str, DataFrame], pred: dict[str, DataFrame], width: int =
 
     ref: genes (chrom, strand, start, end, id), mrnas and cds (also parent_id). pred: the same, each with `prediction`.
     """
-    # each level is read by the next and by the union: computed once
-    genes = classify_genes(ref["genes"], pred["genes"], width).persist()
+    # each level is read by the next and by the union: computed once, and plans don't grow with the levels
+    genes = cut(classify_genes(ref["genes"], pred["genes"], width))
     hits = genes.where(F.col("classification").isin("exact", "inexact")).select("prediction", F.col("ref_id").alias("ref_parent"), F.col("pred_id").alias("pred_parent"))
-    mrnas = match_parts("mrna", hits, ref["mrnas"], pred["mrnas"]).persist()
+    mrnas = cut(match_parts("mrna", hits, ref["mrnas"], pred["mrnas"]))
     inner = mrnas.where("classification = 'match'").select("prediction", F.col("ref_id").alias("ref_parent"), F.col("pred_id").alias("pred_parent")).distinct()
     cds = match_parts("cds", inner, ref["cds"], pred["cds"])
     labelled = pred["cds"].withColumn("_p", F.concat_ws("\x01", "prediction", "parent_id"))
