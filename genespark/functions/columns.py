@@ -77,7 +77,7 @@ def bar(value: Column, width: int = 20) -> Column:
 def attribute_map(text: Column) -> Column:
     """map<string, array<string>> from 'k=v1,v2;k2=v' (GFF3). Later keys win; values are URL-decoded after splitting."""
     decode = lambda v: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B")))
-    parts = F.filter(F.transform(F.split(text, ";"), F.trim), lambda p: (p != "") & F.contains(p, F.lit("=")))
+    parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: (p != "") & F.contains(p, F.lit("=")))
     pairs = F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.transform(F.split(F.substring(p, F.locate("=", p) + 1, F.length(p)), ","), decode).alias("v")))
     last = F.reduce(pairs, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>")), lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.map_from_arrays(F.array(p["k"]), F.array(p["v"]))))
     return last
