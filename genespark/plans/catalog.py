@@ -215,11 +215,11 @@ def gene_classification(spark, sf_dir):
     return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("gene_records", f"""{ONE} SELECT ref_id, classification, CASE WHEN hit THEN pid END AS pred_id, CASE WHEN hit THEN bp END AS overlap_bp, CASE WHEN hit THEN round(sn, 6) END AS sn, CASE WHEN hit THEN round(sp, 6) END AS sp
+@query("gene_records", f"""{ONE} SELECT ref_id, classification, CASE WHEN hit THEN pid END AS pred_id, coalesce(CASE WHEN hit THEN bp END, 0) AS overlap_bp, CASE WHEN hit THEN round(sn, 6) END AS sn, CASE WHEN hit THEN round(sp, 6) END AS sp
 FROM (SELECT *, classification IN ('exact', 'inexact') AS hit FROM classes)""")
 def gene_records(spark, sf_dir):
     out = compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification <> 'novel'")
-    return out.select("ref_id", "classification", "pred_id", "overlap_bp", F.round("sn", 6).alias("sn"), F.round("sp", 6).alias("sp"))
+    return out.select("ref_id", "classification", "pred_id", F.coalesce("overlap_bp", F.lit(0).cast("long")).alias("overlap_bp"), F.round("sn", 6).alias("sn"), F.round("sp", 6).alias("sp"))
 
 
 @query("gene_stats", f"""{MANY}, n AS (SELECT prediction, count(*) AS novel FROM novel GROUP BY 1), c AS (
