@@ -35,7 +35,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = jaccard.join_similar(docs)
     chosen = materialize(groups.where((F.col("n_shingles") == 0) | F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id_"), (F.col("n_shingles") == 0).alias("bare")), "chosen")
     ids = chosen.groupBy("id_").agg(F.count(F.lit(1)).alias("n"), F.max("bare").alias("bare"))
-    out = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")), "inner")
+    # dealt by id at every size: the ids grow with the documents
+    out = docs.join(ids.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("id_")), "inner")
     if ids.where("n > 1").limit(1).count():
         # rows that share an id: of those with the same text one stays
         same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("source", "lang", "n_chars")
