@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import clean_product, ec_numbers, without_ec
-from genespark.operators import compare, concordance, functional, hierarchy, intervals, orf, splice, submission
+from genespark.operators import compare, concordance, evidence, functional, hierarchy, intervals, orf, splice, status, submission
 from genespark.plans import bridge
 from genespark.plans.bridge import CONTIGS_SQL, GENES_SQL, MRNAS_SQL, cds_sql, predicted_sql, second_sql
 
@@ -485,3 +485,76 @@ def contig_sort(spark, sf_dir):
 def nonoverlapping_genes(spark, sf_dir):
     parts = bridge.cds(spark, sf_dir)
     return intervals.nonoverlapping_genes(bridge.genes(parts).where("g % 2 = 0"), _pred(spark, sf_dir), parts.where("rn = 2").select("gene_id")).select("id")
+
+
+@query("transcript_models", f"{BASE} SELECT 'gene' AS type, id, NULL AS parent_id FROM genes UNION ALL SELECT 'mRNA', id || '_mRNA', id FROM genes UNION ALL SELECT 'CDS', id, gene_id || '_mRNA' FROM cds")
+def transcript_models(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir)
+    gene = bridge.genes(parts).select(F.lit("gene").alias("type"), F.concat(F.lit("x"), "id").alias("id"), F.col("id").alias("parent_id"))
+    transcript = bridge.genes(parts).select(F.lit("transcript").alias("type"), F.lit("").alias("id"), F.col("id").alias("parent_id"))
+    cds = parts.select(F.lit("CDS").alias("type"), "id", F.col("gene_id").alias("parent_id"))
+    return evidence.transcript_models(gene.unionByName(transcript).unionByName(cds))
+
+
+@query("running_exon_ids", "SELECT 'd' || (doc_id % 97) || ':exon:' || row_number() OVER (ORDER BY doc_id) AS id, 'd' || (doc_id % 97) AS parent_id FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)")
+def running_exon_ids(spark, sf_dir):
+    rows = bridge.table(spark, sf_dir, "documents").where("doc_id is not null").select(F.col("doc_id").alias("line_no")).distinct()
+    return evidence.assembled_exons(rows.withColumn("id", F.concat(F.lit("d"), (F.col("line_no") % 97).cast("string")))).select("id", "parent_id")
+
+
+@query("evidence_weights", """WITH files AS (SELECT DISTINCT CASE p_partkey % 9 WHEN 0 THEN 'prot.gff3' WHEN 1 THEN 'augustus.gff3' WHEN 2 THEN 'snap.gff3' WHEN 3 THEN 'nr_transcripts.gff3' ELSE 'other' || (p_partkey % 9) || '.gff3' END AS name FROM part)
+SELECT name, CASE WHEN name = 'prot.gff3' THEN 'PROTEIN' WHEN name IN ('augustus.gff3', 'snap.gff3') THEN 'ABINITIO_PREDICTION' WHEN name = 'nr_transcripts.gff3' THEN 'TRANSCRIPT' END AS kind,
+ CASE name WHEN 'prot.gff3' THEN 2 WHEN 'augustus.gff3' THEN 1 WHEN 'snap.gff3' THEN 1 WHEN 'nr_transcripts.gff3' THEN 3 END AS weight, name NOT IN ('prot.gff3', 'nr_transcripts.gff3') AS prediction FROM files""")
+def evidence_weights(spark, sf_dir):
+    k = F.col("p_partkey") % 9
+    name = F.when(k == 0, "prot.gff3").when(k == 1, "augustus.gff3").when(k == 2, "snap.gff3").when(k == 3, "nr_transcripts.gff3").otherwise(F.concat(F.lit("other"), k.cast("string"), F.lit(".gff3")))
+    return evidence.evidence_weights(bridge.table(spark, sf_dir, "part").select(name.alias("name")).distinct()).select("name", "kind", "weight", "prediction")
+
+
+@query("patched_consensus", f"""{BASE}, {predicted_sql('pred')}, fresh AS (SELECT a.id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}))
+SELECT 'gene' AS type, id FROM pred UNION ALL SELECT 'gene', id FROM fresh UNION ALL SELECT 'CDS', id FROM cds WHERE gene_id IN (SELECT id FROM fresh)""")
+def patched_consensus(spark, sf_dir):
+    parts = bridge.cds(spark, sf_dir)
+    cols = ["chrom", "strand", "start", "end", "type", "id", "gene_id"]
+    gene = lambda df: df.withColumn("type", F.lit("gene")).withColumn("gene_id", F.col("id")).select(*cols)
+    orfs = gene(bridge.genes(parts)).unionByName(parts.withColumn("type", F.lit("CDS")).select(*cols))
+    return evidence.patch_consensus(gene(_pred(spark, sf_dir)), orfs).select("type", "id")
+
+
+@query("zff_listing", f"""{BASE}, contigs AS (SELECT 'chr' || k AS chrom, k AS position FROM range(0, 27) t(k)),
+k AS (SELECT *, row_number() OVER (PARTITION BY parent_id ORDER BY s, id) AS k, row_number() OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END, id) AS r, count(*) OVER (PARTITION BY parent_id) AS n FROM cds)
+SELECT chrom, position, '' AS mrna, 0 AS k, '>' || chrom AS value FROM contigs
+UNION ALL SELECT chrom, position, parent_id, CAST(k AS INTEGER), CASE WHEN n = 1 THEN 'Esngl' WHEN r = 1 THEN 'Einit' WHEN r = n THEN 'Eterm' ELSE 'Exon' END || '  ' || CASE WHEN strand = '-' THEN e || ' ' || s ELSE s || ' ' || e END || ' ' || parent_id FROM k JOIN contigs USING (chrom)""")
+def zff_listing(spark, sf_dir):
+    contigs = spark.range(27).select(F.concat(F.lit("chr"), F.col("id").cast("string")).alias("chrom"), F.col("id").alias("position"))
+    return evidence.zff_lines(bridge.cds(spark, sf_dir), contigs)
+
+
+@query("genome_split_size", f"WITH {CONTIGS_SQL} SELECT CAST(sum(length(seq)) AS BIGINT) AS total, CAST(greatest(1, sum(length(seq)) // 16) AS BIGINT) AS size FROM contigs")
+def genome_split_size(spark, sf_dir):
+    return evidence.split_size(bridge.contigs(spark, sf_dir), 8)
+
+
+@query("step_status", """WITH steps AS (SELECT 's' || o_custkey AS prefix, CASE WHEN o_orderkey % 29 = 0 THEN 'failed' WHEN o_orderkey % 31 = 0 THEN 'running' WHEN o_custkey % 3 = 0 THEN 'pending' ELSE 'completed' END AS status FROM orders)
+SELECT prefix, CASE WHEN bool_or(status = 'failed') THEN 'failed' WHEN bool_or(status = 'running') THEN 'running' WHEN bool_and(status = 'completed') THEN 'completed' ELSE 'running' END AS status FROM steps GROUP BY prefix""")
+def step_status(spark, sf_dir):
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    state = F.when(k % 29 == 0, "failed").when(k % 31 == 0, "running").when(c % 3 == 0, "pending").otherwise("completed")
+    return status.step_status(bridge.table(spark, sf_dir, "orders").select(F.concat(F.lit("s"), c.cast("string")).alias("prefix"), state.alias("status")))
+
+
+@query("database_status", """SELECT 'p' || p_partkey AS name, CASE WHEN p_partkey % 7 = 0 THEN 'missing' WHEN p_partkey % 5 = 0 THEN 'unlisted' WHEN p_size % 2 = 0 THEN 'ok' ELSE 'corrupted' END AS state, p_partkey % 7 <> 0 AND p_partkey % 5 <> 0 AND p_size % 2 = 0 AS ok FROM part""")
+def database_status(spark, sf_dir):
+    k = F.col("p_partkey")
+    rows = bridge.table(spark, sf_dir, "part").select("p_partkey", "p_size", F.concat(F.lit("p"), k.cast("string")).alias("name"), F.concat(F.lit("f"), k.cast("string")).alias("file"))
+    manifest = rows.where(k % 5 != 0).select("name", F.lit("0").alias("md5"))
+    files = rows.where(k % 7 != 0).select("file", (F.col("p_size") % 2).cast("string").alias("md5"))
+    return status.database_status(rows.select("name", "file"), manifest, files)
+
+
+@query("comparison_labels", r"""WITH n AS (SELECT page_id AS position, 'run' || (page_id % 40) || CASE WHEN page_id % 2 = 0 THEN '.gff3' ELSE '.v1.gff' END AS file FROM pages), s AS (SELECT position, regexp_replace(file, '\.[^.]+$', '') AS stem FROM n)
+SELECT position, CASE WHEN count(*) OVER (PARTITION BY stem) > 1 THEN stem || '_' || row_number() OVER (PARTITION BY stem ORDER BY position) ELSE stem END AS label FROM s""")
+def comparison_labels(spark, sf_dir):
+    k = F.col("page_id")
+    path = F.concat(F.lit("/out/run"), (k % 40).cast("string"), F.when(k % 2 == 0, ".gff3").otherwise(".v1.gff"))
+    return status.labels(bridge.table(spark, sf_dir, "pages").select(k.alias("position"), path.alias("path")))
