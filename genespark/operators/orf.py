@@ -29,12 +29,12 @@ def codon_hits(sequences: DataFrame, code: int = 1) -> DataFrame:
 
     sequences: id, seq, strand. pos is 1-based, frame (pos - 1) mod 3.
     """
-    seq = F.upper("seq")
+    seq = F.translate(F.upper("seq"), "#", "N")
 
     def scan(kind: str, wanted: list[str]):
-        places = F.filter(F.sequence(F.lit(1), F.greatest(F.length(seq) - 2, F.lit(1))), lambda p: F.substring(seq, p, F.lit(3)).isin(*wanted))
-        # places come in order: one is taken if it lies three or more after the last taken
-        taken = F.reduce(places, F.struct(F.lit(-2).alias("last"), F.array().cast("array<int>").alias("out")), lambda acc, p: F.when(p >= acc["last"] + 3, F.struct(p.alias("last"), F.array_append(acc["out"], p).alias("out"))).otherwise(acc), lambda acc: acc["out"])
+        # a regular expression's matches are leftmost and do not overlap; one pass marks them, one more lists the marks
+        marked = F.split(F.regexp_replace(seq, "|".join(wanted), "#.."), "")
+        taken = F.filter(F.transform(marked, lambda c, i: F.when(c == "#", i + 1)), lambda p: p.isNotNull())
         return F.transform(taken, lambda p: F.struct(p.alias("pos"), F.lit(kind).alias("codon")))
 
     hits = F.concat(scan("start", codons.starts(code)), scan("stop", codons.stops(code)))
@@ -47,7 +47,8 @@ def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5) ->
     A start reaches to the next stop downstream in its frame; orflen is stop - start and must exceed min_len and
     min_share of the sequence. Ties: the first start in a frame; of frames, the one whose first codon comes first.
     """
-    ahead = Window.partitionBy("id", "strand", "frame").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    # backwards: a frame that grows is kept up row by row, one that shrinks is read anew for each row
+    ahead = Window.partitionBy("id", "strand", "frame").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("id", "strand", "frame")
     rows = hits.withColumn("_stop", F.min(F.when(F.col("codon") == "stop", F.col("pos"))).over(ahead)).withColumn("_first", F.min("pos").over(whole))
     rows = rows.where("codon = 'start' and _stop is not null").withColumn("orflen", F.col("_stop") - F.col("pos")).where((F.col("orflen") > min_len) & (F.col("orflen") / F.col("seqlen") > min_share))

@@ -103,9 +103,9 @@ def second_sql(name: str, drop: int, nudge: int) -> str:
     return f"{name} AS (SELECT chrom, strand, s + {move} AS s, e + {move} AS e, id, parent_id, gene_id, g, rn FROM cds WHERE g % {drop} <> 0)"
 
 
-def contigs(spark: SparkSession, sf_dir: str, size: int = 600) -> DataFrame:
-    """DNA from documents: chrom (the id), seq."""
-    letters = F.regexp_replace(F.lower(F.substring("text", 1, size)), "[^a-z]", "")
+def contigs(spark: SparkSession, sf_dir: str, size: int | None = 600) -> DataFrame:
+    """DNA from documents: chrom (the id), seq; of the first `size` characters, or of whole texts."""
+    letters = F.regexp_replace(F.lower(F.substring("text", 1, size) if size else F.col("text")), "[^a-z]", "")
     return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chrom"), F.upper(F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "acgtacgtacgtacgtacgtacgtac")).alias("seq"))
 
 

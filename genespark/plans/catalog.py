@@ -558,3 +558,77 @@ def comparison_labels(spark, sf_dir):
     k = F.col("page_id")
     path = F.concat(F.lit("/out/run"), (k % 40).cast("string"), F.when(k % 2 == 0, ".gff3").otherwise(".v1.gff"))
     return status.labels(bridge.table(spark, sf_dir, "pages").select(k.alias("position"), path.alias("path")))
+
+
+def _contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge.contigs(spark, sf_dir, None)
+
+
+@query("codon_scan_whole")
+def codon_scan_whole(spark, sf_dir):
+    """codon_scan over whole texts. Like all *_whole queries it has no SQL: that of its namesake reads 600 characters."""
+    return orf.codon_hits(_contigs(spark, sf_dir).select(F.col("chrom").alias("id"), "seq", F.lit("+").alias("strand")), 11).select("id", "pos", "codon", "frame")
+
+
+@query("longest_orf_whole")
+def longest_orf_whole(spark, sf_dir):
+    hits = orf.codon_hits(_contigs(spark, sf_dir).select(F.col("chrom").alias("id"), "seq", F.lit("+").alias("strand")), 1)
+    return orf.longest_orfs(hits, 60, 0.1).select("id", "start", "stop", "frame", "orflen")
+
+
+def _exons_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three exons in each 200 bases of every contig, to its last base; on the minus strand for odd ids."""
+    n = F.length("seq").cast("long")
+    strand = F.when(F.substring("chrom", -1, 1).cast("int") % 2 == 1, "-").otherwise("+")
+    tiles = _contigs(spark, sf_dir).where(n >= 4).select("chrom", strand.alias("strand"), n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(length(seq) - 1) div 200"))).alias("tile"))
+    spans = F.array(*(F.struct((200 * F.col("tile") + a).alias("start"), F.least(200 * F.col("tile") + b, F.col("n")).alias("end"), (3 * F.col("tile") + k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
+    rows = tiles.select("chrom", "strand", "n", F.explode(spans).alias("x")).where("x.start <= n")
+    return rows.select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
+
+
+@query("spliced_sequence_whole")
+def spliced_sequence_whole(spark, sf_dir):
+    return orf.spliced(_exons_whole(spark, sf_dir), _contigs(spark, sf_dir)).select("id", "strand", "seq")
+
+
+@query("translate_cds_whole")
+def translate_cds_whole(spark, sf_dir):
+    return orf.translated(orf.spliced(_exons_whole(spark, sf_dir), _contigs(spark, sf_dir)), 1).select("id", "protein")
+
+
+@query("orf_to_genome_whole")
+def orf_to_genome_whole(spark, sf_dir):
+    """An ORF from each transcript's first base to its last."""
+    exons = _exons_whole(spark, sf_dir)
+    orfs = exons.groupBy(F.col("parent_id").alias("id")).agg(F.lit(1).cast("long").alias("start"), F.sum(F.col("end") - F.col("start") + 1).alias("stop"))
+    return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
+
+
+def _junctions_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Junctions over all contigs and all of their bases; an intron in eight ends beyond its contig."""
+    docs = _contigs(spark, sf_dir).select("chrom", F.length("seq").cast("long").alias("n"))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    rows = bridge.table(spark, sf_dir, "orders").select((k % 7).alias("motif"), (1 + k % 50).alias("unique"), k.alias("k"), c.alias("c"), F.concat(F.lit("d"), (k % max(1, docs.count())).cast("string")).alias("chrom"))
+    at = 1 + F.pmod(F.xxhash64("k", "c"), F.greatest(F.col("n"), F.lit(1)))
+    size = F.when(F.col("k") % 8 == 0, F.col("n")).otherwise(F.pmod(F.xxhash64("c", "k"), F.greatest(F.col("n") - at, F.lit(1))))
+    return rows.join(docs, "chrom", "left").select("chrom", F.coalesce(at, F.lit(1)).cast("long").alias("intron_start"), F.coalesce(at + F.greatest(size, F.lit(1)), F.lit(1)).cast("long").alias("intron_end"), "motif", "unique")
+
+
+@query("splice_tally_whole")
+def splice_tally_whole(spark, sf_dir):
+    return splice.tally(_junctions_whole(spark, sf_dir), _contigs(spark, sf_dir))
+
+
+@query("splice_filter_whole")
+def splice_filter_whole(spark, sf_dir):
+    return splice.extra_types(splice.tally(_junctions_whole(spark, sf_dir), _contigs(spark, sf_dir)))
+
+
+@query("contig_sort_whole")
+def contig_sort_whole(spark, sf_dir):
+    return _contigs(spark, sf_dir).select("chrom", F.upper("seq").alias("seq"), F.length("seq").cast("long").alias("length")).orderBy(F.desc("length"), "chrom")
+
+
+@query("genome_split_size_whole")
+def genome_split_size_whole(spark, sf_dir):
+    return evidence.split_size(_contigs(spark, sf_dir), 8)
