@@ -2,14 +2,16 @@
 
 Opaque tokens (long runs of letters, digits, + / _ = -) are tested in the alphabet of their inferred encoding:
 chi-squared for uniform use of the alphabet, runs above and below its middle, and serial correlation. The
-three p-values are combined (Fisher). Words of prose of the same length, letters only, give the distribution of
+three p-values are combined (Fisher). Words joined to tokens of the same length and encoding give the distribution of
 the combined value for text; a token's p-value against it is controlled for false discoveries (Benjamini-Hochberg)
 separately in each length class, since short tokens of text look random more often than long ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genespark.llm.util import materialize
@@ -37,6 +39,13 @@ ENCODINGS = (
 )
 PROSE = ("word", "WORD")
 BINS = 200
+# What tokens that are text are made of, and the last length class that is made.
+STYLES = ("hex", "HEX", "base32", "base36", "base62", "base64", "base64url", "mixed")
+WORDS = (
+    "the of and to in is that for was with this from have which not are one all were there been their more will when who would time people first get name user data file list value type index table page item key node test view build set find read write order group service config request "
+    "der die und das nicht von sie ist des sich mit dem auch als nach wird bei einer zeit jahr haus strasse les que une dans pour pas sur avec plus par leur mais comme nous tout deux temps monde los del las por con para como pero sus sobre entre cuando hasta desde todo tiempo mundo"
+).split()
+LONGEST = 8
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -135,22 +144,74 @@ def p_bin(p: Column) -> Column:
     return F.least(F.greatest(F.floor(BINS + F.log10(p) * (BINS / 15)), F.lit(0)), F.lit(BINS - 1)).cast("int")
 
 
-def cuts(tokens: DataFrame, alpha: float) -> dict[int, int]:
-    """The least bin to report in each length class, from counts by class and bin (at most 20 x BINS rows)."""
-    kind = F.when(F.col("encoding").isin(*PROSE), "prose").when(F.col("encoding") == "digits", "number").otherwise("opaque")
-    rows = tokens.groupBy(length_class(F.col("n")).alias("c"), p_bin(F.col("p")).alias("b")).agg(F.count_if(kind == "prose").alias("prose"), F.count_if(kind == "opaque").alias("opaque")).collect()
-    out = {}
+def null_tokens(spark: SparkSession, classes: list[int], each: int = 500) -> DataFrame:
+    """(start, end, encoding, n, p) of made-up tokens that are text: `each` for each style of writing and length class.
+
+    Words run on, with digits, capitals and separators so that every encoding gets some. They do not depend on the
+    documents, so a table of any size has the same distribution. Classes over LONGEST share its tokens, which look
+    random more often than longer ones.
+    """
+    lows = sorted({_class_start(min(c, LONGEST)) for c in classes})
+    draw = lambda k, n, *salt: F.pmod(F.xxhash64("id", k, *(F.lit(x) for x in salt)), F.lit(n).cast("long")).cast("int")
+    words, styles = F.array(*(F.lit(w) for w in WORDS)), F.array(*(F.lit(x) for x in STYLES))
+    rows = spark.range(len(lows) * len(STYLES) * each).select("id", F.get(styles, (F.col("id") % len(STYLES)).cast("int")).alias("style"), F.get(F.array(*(F.lit(x) for x in lows)), (F.expr(f"id div {len(STYLES)}") % len(lows)).cast("int")).alias("low"))
+    # a class ends below 3/2 or 4/3 of its start
+    rows = rows.withColumn("n", (F.col("low") + F.floor(draw(F.lit(0), 1000, "n") * F.col("low") / 3000)).cast("int"))
+
+    def piece(k: Column) -> Column:
+        word, style = F.get(words, draw(k, len(WORDS), "w")), F.col("style")
+        word = F.when(style.isin("HEX", "base32"), F.upper(word)).when(style.isin("base36", "hex"), word).when(draw(k, 3, "c") == 0, F.initcap(word)).otherwise(word)
+        word = F.when(style == "hex", F.translate(word, _LOWER, "abcdefabcdefabcdefabcdefab")).when(style == "HEX", F.translate(word, _UPPER, "ABCDEFABCDEFABCDEFABCDEFAB")).otherwise(word)
+        number = F.when(draw(k, 2, "d") == 0, F.substring(draw(k, 9000, "x").cast("string"), 1, 3)).otherwise("")
+        number = F.when(style == "base32", F.translate(number, "0189", "2345")).otherwise(number)
+        sep = F.when(style == "base64", "/").when(style == "base64url", F.when(draw(k, 2, "s") == 0, "-").otherwise("_")).when(style == "mixed", F.when(draw(k, 2, "s") == 0, "/").otherwise("-")).otherwise("")
+        return F.concat(word, number, sep)
+
+    token = F.array_join(F.transform(F.sequence(F.lit(1), F.expr("n div 2 + 2")), piece), "").substr(F.lit(1), F.col("n"))
+    return rows.select(F.inline(battery(F.array(F.struct(F.lit(0).alias("start"), F.col("n").alias("end"), token.alias("token"))))))
+
+
+def _class_start(c: int) -> int:
+    return int((24 if c % 2 else 16) * 2.0 ** (c // 2))
+
+
+def cuts(tokens: DataFrame, alpha: float) -> dict[tuple[str, int], int]:
+    """The least bin to report for each encoding and length class, from counts by both and bin (at most 10 x 22 x BINS rows).
+
+    A token's p-value is the share of null tokens of its encoding and class that look as random, counted as far as
+    ten of them do; from there on it falls as the normal distribution of their log10 p does, so it has no least
+    value that the number of null tokens sets.
+    """
+    opaque = ~F.col("encoding").isin(*PROSE, "digits")
+    count = lambda t: t.where(opaque).groupBy("encoding", length_class(F.col("n")).alias("c"), p_bin(F.col("p")).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.log10("p")).alias("x"), F.sum(F.pow(F.log10("p"), F.lit(2.0))).alias("xx")).collect()
+    rows = count(tokens)
+    if not rows:
+        return {}
+    null: dict[tuple[str, int], list] = {}
+    for r in count(null_tokens(tokens.sparkSession, sorted({r.c for r in rows}))):
+        null.setdefault((r.encoding, r.c), []).append(r)
+
+    def p0(encoding: str, c: int, b: int) -> float:
+        own = null.get((encoding, min(c, LONGEST))) or [r for (_, k), x in null.items() if k == min(c, LONGEST) for r in x]
+        n = sum(r.n for r in own)
+        mean = sum(r.x for r in own) / n
+        spread = max((sum(r.xx for r in own) / n - mean * mean) ** 0.5, 1.0)
+        beyond = lambda k: math.erfc(((k - BINS) * 15 / BINS - mean) / spread / 2**0.5) / 2
+        tail = lambda k: sum(r.n for r in own if r.b >= k)
+        last = max((r.b for r in own if tail(r.b) >= 10), default=0)
+        return tail(b) / n if b <= last else tail(last) / n * beyond(b) / max(beyond(last), 1e-300)
+
+    out: dict[tuple[str, int], int] = {}
     for c in sorted({r.c for r in rows}):
-        own = {r.b: r for r in rows if r.c == c}
-        n_prose, n_opaque = sum(r.prose for r in own.values()), sum(r.opaque for r in own.values())
-        tail_prose = tail_opaque = 0
-        for b in range(BINS - 1, -1, -1):
-            if b in own:
-                tail_prose += own[b].prose
-                tail_opaque += own[b].opaque
-            p0 = (1 + tail_prose) / (1 + n_prose)
-            if tail_opaque and n_opaque * p0 <= alpha * tail_opaque:
-                out[c] = b
+        ranked = sorted((p0(r.encoding, c, r.b), r.encoding, r.b, r.n) for r in rows if r.c == c)
+        total, seen, most = sum(x[3] for x in ranked), 0, -1.0
+        for k, x in enumerate(ranked):
+            seen += x[3]
+            if (k + 1 == len(ranked) or ranked[k + 1][0] > x[0]) and total * x[0] <= alpha * seen:
+                most = x[0]
+        for p, encoding, b, _ in ranked:
+            if p <= most:
+                out[encoding, c] = min(b, out.get((encoding, c), b))
     return out
 
 
@@ -158,8 +219,7 @@ def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None,
     """Adds assign, access, hex (arrays of the base spans) and random (spans that the battery finds outside those).
 
     Offsets are code points, ends exclusive. Null texts are empty. An empty table gives an empty result. The
-    distribution of text and the control of false discoveries are over all documents given. A length class with
-    too little prose to bound the false discoveries by `alpha` reports nothing.
+    distribution of text is that of made-up tokens, the control of false discoveries is over all documents given.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (*KINDS, "random")]
     t = F.coalesce(F.col("t"), F.lit(""))
@@ -170,10 +230,10 @@ def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None,
     rows = rows.select(*(f"c{i}" for i in range(len(keep))), bare(assign).alias("assign"), bare(access).alias("access"), bare(matches(t, HEX)).alias("hex"), battery(matches(t, OPAQUE)).alias("tokens"))
     rows = materialize(rows, "secrets")
     least = cuts(rows.select(F.inline("tokens")), alpha)
-    cut = F.create_map(*(F.lit(x) for c in sorted(least) for x in (c, least[c]))) if least else F.create_map().cast("map<int,int>")
+    cut = F.create_map(*(F.lit(x) for (e, c), b in sorted(least.items()) for x in (f"{e} {c}", b))) if least else F.create_map().cast("map<string,int>")
     base = F.concat("assign", "access", "hex")
     free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
-    good = lambda s: ~s["encoding"].isin(*PROSE, "digits") & F.coalesce(p_bin(s["p"]) >= F.try_element_at(cut, length_class(s["n"])), F.lit(False))
+    good = lambda s: ~s["encoding"].isin(*PROSE, "digits") & F.coalesce(p_bin(s["p"]) >= F.try_element_at(cut, F.concat_ws(" ", s["encoding"], length_class(s["n"]).cast("string"))), F.lit(False))
     random = bare(F.filter("tokens", lambda s: good(s) & free(s)))
     return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), *KINDS, random.alias("random"))
 

@@ -104,3 +104,22 @@ def test_random_tokens(spark):
     assert all((s.start, s.end) == (16, 56) for k in range(len(keys)) for s in out[1000 + k])
     assert sum(len(v) for i, v in out.items() if i < 1000) == 0
     assert not out[2000] and not out[2001] and not out[2002]
+
+
+def test_few_random_tokens_in_ordinary_prose(spark):
+    """No word of prose is as long as the keys, and the table is small."""
+    r = random.Random(6)
+    prose = "it was late when they came home and nobody had thought of the lamp that stood beside the old garden door"
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = lambda n, a=letters: "".join(r.choice(a) for _ in range(n))
+    rows = [(i, prose) for i in range(30)] + [(100 + k, f"{prose} {key(40)} {prose}") for k in range(10)] + [(200 + k, f"{prose} {key(64)} {prose}") for k in range(10)] + [(300 + k, f"{prose} {key(28, letters[:-2])} {prose}") for k in range(10)]
+    names = ["chapters/introduction/overview-of-results", "getUserNameFromSecondTableOrDefault2", "the-quick-brown-fox-jumps-over-the-lazy-dog", "some_long_identifier_of_a_column_in_a_table", "2024-01-01/reports/monthly/summary"]
+    rows += [(400 + k, f"{prose} {n} {prose}") for k, n in enumerate(names)]
+    out = {x.doc_id: x.random for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    at = len(prose) + 1
+    for first, n in ((100, 40), (200, 64), (300, 28)):
+        found = [s for k in range(10) for s in out[first + k]]
+        assert len(found) >= 8 and all((s.start, s.end) == (at, at + n) for s in found), (n, len(found))
+    assert not any(out[i] for i in (*range(30), *range(400, 405)))
+    alone = secrets.scan(spark.createDataFrame([(1, f"{prose} {key(40)} {prose}")], "doc_id long, text string")).first()
+    assert [(s.start, s.end) for s in alone.random] == [(at, at + 40)]
