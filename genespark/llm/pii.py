@@ -170,21 +170,26 @@ def count_contexts(docs: DataFrame, patterns: list[str], *, text: str = "text")
     return docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(count, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
 
 
-def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int = 3, rounds: int = 3, most_patterns: int = 100_000) -> list[tuple[str, int, float]]:
-    """(pattern, kind, confidence) after `rounds` of scoring the graph of patterns and instances.
+def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int = 3, rounds: int = 3, most_patterns: int = 100_000) -> DataFrame | None:
+    """(pattern, kind, confidence) after `rounds` of scoring the graph of patterns and instances; None without patterns.
 
-    A pattern needs `support` distinct instances, or more where that would leave over `most_patterns` of them (no
-    more than slots / support can have it), so that the list that is sent to the executors has a fixed bound.
+    A pattern needs `support` distinct instances at every size. Their places are counted in blocks of about
+    `most_patterns` patterns, one scan of the texts each, so that what is sent to the executors has a fixed bound.
     """
     slots = found.select(F.inline(F.arrays_zip("s_what", "s_id", "s_one", "s_two")))
     edges = slots.select("s_what", "s_id", F.explode(F.array("s_one", "s_two")).alias("pattern")).where("pattern is not null").groupBy("pattern", "s_id", "s_what").agg(F.count(F.lit(1)).alias("n"))
     edges = materialize(edges, "pii-edges")
-    support = max(support, edges.count() // most_patterns)
     frequent = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= support)
-    patterns = [r.pattern for r in frequent.select("pattern").collect()]
-    if not patterns:
-        return []
-    totals = materialize(count_contexts(docs, patterns, text=text), "pii-totals")
+    frequent = materialize(frequent.select("pattern"), "pii-frequent")
+    blocks = -(-frequent.count() // most_patterns)
+    if not blocks:
+        return None
+    totals = None
+    for k in range(blocks):
+        patterns = [r.pattern for r in frequent.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks).cast("long")) == k).collect()]
+        if patterns:
+            counted = materialize(count_contexts(docs, patterns, text=text), "pii-totals")
+            totals = counted if totals is None else totals.unionByName(counted)
     # a pattern that occurs more often than twice its slots can never reach half confidence in any kind
     slots_of = edges.groupBy("pattern").agg(F.sum("n").alias("slots"))
     live = totals.join(slots_of, "pattern").where(F.col("total") <= 2 * F.col("slots")).select("pattern", "total")
@@ -200,7 +205,19 @@ def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int
         if k < rounds - 1:
             doubt = graph.join(trust, ["pattern", "kind"]).groupBy("s_id", "s_what", "kind").agg(F.exp(F.sum(F.log1p(-F.col("confidence")))).alias("doubt"))
             score = doubt.select("s_id", "s_what", "kind", F.when(F.col("s_what") >= 0, 1.0).otherwise(1 - F.col("doubt")).alias("score"))
-    return [(r.pattern, r.kind, r.confidence) for r in trust.collect()]
+    return trust
+
+
+def label(found: DataFrame, trust: DataFrame, least: float) -> DataFrame:
+    """(uid, m_start, m_kind, m_end): the candidates of each row of `found` that follow a pattern trusted by `least`.
+
+    Two words count before one, then the kind of the higher confidence.
+    """
+    slots = found.select("uid", F.inline(F.arrays_zip("s_start", "s_end", "s_what", "s_one", "s_two"))).where("s_what < 0")
+    slots = slots.select("uid", "s_start", "s_end", "s_what", F.posexplode(F.array("s_two", "s_one")).alias("rank", "pattern")).where("pattern is not null")
+    known = slots.join(trust.where(F.col("confidence") >= least), "pattern").where((-F.col("s_what")).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0)
+    best = known.groupBy("uid", "s_start", "s_end").agg(F.min(F.struct("rank", (-F.col("confidence")).alias("c"), "kind"))["kind"].alias("kind"))
+    return best.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("s_start", "kind", "s_end"))).alias("m")).select("uid", F.col("m.s_start").alias("m_start"), F.col("m.kind").alias("m_kind"), F.col("m.s_end").alias("m_end"))
 
 
 def find_pii(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, least: float = 0.5, **options) -> DataFrame:
@@ -210,27 +227,21 @@ def find_pii(docs: DataFrame, *, text: str = "text", keep: list[str] | None = No
     exclusive. Null texts are empty; an empty table gives an empty result; repeated rows get the same result.
     """
     keep = [c for c in (docs.columns if keep is None else keep)]
-    found = materialize(extract(docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("t_")), text="t_", keep=[f"c{i}" for i in range(len(keep))]), "pii")
-    trusted: dict[str, list[int]] = {}
-    for pattern, kind, confidence in learn(docs, found, text=text, **options):
-        if confidence >= least:
-            trusted.setdefault(pattern, []).append(kind)
-    sent = docs.sparkSession.sparkContext.broadcast(trusted)
+    found = materialize(extract(docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("t_")), text="t_", keep=[f"c{i}" for i in range(len(keep))]).withColumn("uid", F.monotonically_increasing_id()), "pii")
+    trust = learn(docs, found, text=text, **options)
+    rows = found.select(*(f"c{i}" for i in range(len(keep))), "uid", "b_start", "b_kind", "b_end")
+    none = F.array().cast("array<int>")
+    rows = rows.join(label(found, trust, least), "uid", "left") if trust is not None else rows.withColumns({c: none for c in ("m_start", "m_kind", "m_end")})
+    rows = rows.select(*(f"c{i}" for i in range(len(keep))), "b_start", "b_kind", "b_end", *(F.coalesce(c, none).alias(c) for c in ("m_start", "m_kind", "m_end")))
     n = len(keep)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
         for batch in batches:
             counts, base_text, all_text = [[] for _ in KINDS], [], []
-            rows = [c.to_pylist() for c in batch.columns[n:]]
-            for b_start, b_kind, b_end, s_start, s_end, s_what, _, s_one, s_two in zip(*rows, strict=True):
+            lists = [c.to_pylist() for c in batch.columns[n:]]
+            for b_start, b_kind, b_end, m_start, m_kind, m_end in zip(*lists, strict=True):
                 base = list(zip(b_start, b_kind, b_end, strict=True))
-                more = []
-                if known:
-                    for a, b, what, one, two in zip(s_start, s_end, s_what, s_one, s_two, strict=True):
-                        kinds = [k for p in (two, one) for k in known.get(p, ()) if what < 0 and -what >> k & 1]
-                        if kinds:
-                            more.append((a, kinds[0], b))
+                more = list(zip(m_start, m_kind, m_end, strict=True))
                 for k, col in enumerate(counts):
                     col.append(b_kind.count(k))
                 base_text.append(join_spans(base))
@@ -238,6 +249,6 @@ def find_pii(docs: DataFrame, *, text: str = "text", keep: list[str] | None = No
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], *(pa.array(c, pa.int64()) for c in counts), pa.array(base_text, pa.string()), pa.array(all_text, pa.string())], [f"c{i}" for i in range(n)] + [*(f"n_{k}" for k in KINDS), "base", "spans"])
 
     schema = ", ".join([*(f"c{i} {found.schema[f'c{i}'].dataType.simpleString()}" for i in range(n)), *(f"n_{k} long" for k in KINDS), "base string, spans string"])
-    out = found.mapInArrow(finish, schema)
+    out = rows.mapInArrow(finish, schema)
     new = [*(f"n_{k}" for k in KINDS), "base", "spans"]
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep) if c not in new), *new)

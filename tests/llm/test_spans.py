@@ -123,3 +123,12 @@ def test_few_random_tokens_in_ordinary_prose(spark):
     assert not any(out[i] for i in (*range(30), *range(400, 405)))
     alone = secrets.scan(spark.createDataFrame([(1, f"{prose} {key(40)} {prose}")], "doc_id long, text string")).first()
     assert [(s.start, s.end) for s in alone.random] == [(at, at + 40)]
+
+
+def test_support_does_not_grow_with_the_table(spark):
+    """A pattern of five instances still labels, however many edges there are to `most_patterns`."""
+    rows = [(i, f"please reach me via u{i}@mail.example.com today") for i in range(5)] + [(10, "please reach me via someone@localhost today")]
+    rows += [(100 + i, f"w{chr(97 + i % 26)} q{chr(97 + i // 26)} x{i}@host.example.org") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {m: {x.doc_id: x.spans for x in pii.find_pii(docs, most_patterns=m).collect()} for m in (10, 100_000)}
+    assert spans[10] == spans[100_000] and spans[10][10] == "email:20:37"
