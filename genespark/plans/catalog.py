@@ -632,3 +632,10 @@ def contig_sort_whole(spark, sf_dir):
 @query("genome_split_size_whole")
 def genome_split_size_whole(spark, sf_dir):
     return evidence.split_size(_contigs(spark, sf_dir), 8)
+
+
+@query("nonoverlapping_genes_whole", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds)")
+def nonoverlapping_genes_whole(spark, sf_dir):
+    """nonoverlapping_genes over all genes; that of the shorter name keeps every second one, as its SQL does."""
+    parts = bridge.cds(spark, sf_dir)
+    return intervals.nonoverlapping_genes(bridge.genes(parts), _pred(spark, sf_dir), parts.select("gene_id")).select("id")

@@ -85,3 +85,11 @@ def test_contigs_and_junctions(spark, made):
     assert far and {r.type: r["count"] for r in catalog.splice_tally_whole(spark, at).collect()} == want
     allowed = catalog.splice_filter_whole(spark, at).collect()
     assert {r.code for r in allowed} >= {"ctac", "ctgc", "atac", "gtat"}
+
+
+def test_nonoverlapping_genes_takes_all(spark):
+    at = "/root/testdata/sf0.001"
+    genes, pred = catalog._genes(spark, at).collect(), catalog._pred(spark, at).collect()
+    want = {g.id for g in genes if not any(g.chrom == p.chrom and g.strand == p.strand and g.start <= p.end and p.start <= g.end for p in pred)}
+    got = {r.id for r in catalog.nonoverlapping_genes_whole(spark, at).collect()}
+    assert got == want and any(int(i[1:]) % 2 for i in got) and any(int(i[1:]) % 2 == 0 for i in got)
