@@ -8,13 +8,16 @@ large corpus would shuffle many times its size, so:
    share theirs, so a text falls into runs of windows with one anchor: about two runs for each span - q + 1 bytes.
 2. Runs meet by anchor, with an identifier of their whole content only. Equal runs repeat in full. Runs whose anchor
    is unique do not repeat at all. Only runs that share an anchor but not the content are undecided.
-3. The texts of undecided runs (and one of each repeated run beside them) meet by anchor. There, window positions
-   are refined from q-gram buckets: positions are sorted on the bucket identifiers of later offsets, which are
-   themselves identifiers refined in the round before, so depth doubles; positions alone in their bucket leave.
-   What is left at depth `span` is repeated.
-
-Anchors met more often than `hot` times are never gathered: their runs are dealt by content and salt, and their
-undecided windows are counted by identifier with partial sums.
+3. The texts of undecided runs (and one of each repeated run beside them) meet by anchor. There, all positions
+   start in the bucket of their q-gram, and a round sorts the positions that share a bucket on the bucket pointers
+   of the position `depth` later. The new pointers are what the next round reads at its later offsets, so depth
+   doubles; positions alone in their bucket keep their pointer and are not sorted again. Window positions that
+   share a bucket at depth `span` are repeated.
+
+Anchors met more often than `hot` times are never gathered. Their undecided runs are halved again and again, at the
+same distances from the anchor in all runs: blocks of windows that are equal in full are repeated; a block whose
+common middle (the bytes that all its windows share) occurs once is not; only the others are halved. Equal blocks are
+counted in salted groups first, and one of each goes on, so no group meets in one task.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.llm.util import Texts, discard, lists, map_text, materialize, mix64, pieces, release
@@ -133,104 +136,180 @@ def _runs(docs: DataFrame, text: str, keep: list[str], span: int) -> DataFrame:
 
 
 RUN, ASK, ASK_HOT = 0, 1, 2
+MASK = ~SELF
+
+
+def _decide(dealt: DataFrame) -> DataFrame:
+    """(a, row, p, what) from (part, a, s, row, p, hot): repeated runs, and the runs whose text is needed.
+
+    Windows over sorted, spillable partitions: the rows of a part are never held as a whole by a function.
+    """
+    same = Window.partitionBy("part", "s")
+    times = F.count(F.lit(1)).over(same)
+    first = F.row_number().over(same.orderBy("row", "p")) == 1
+    whole = Window.partitionBy("part")
+    several = F.min("s").over(whole) != F.max("s").over(whole)  # other contents beside this one
+    marked = dealt.select("a", "row", "p", "hot", (times > 1).alias("twice"), first.alias("first"), several.alias("several"))
+    ask = F.col("first") & (F.col("several") | F.col("hot") | (~F.col("twice") & (F.col("p").bitwiseAND(F.lit(SELF)) > 0)))
+    what = F.filter(F.array(F.when(F.col("twice"), F.lit(RUN)), F.when(ask, F.when(F.col("hot"), F.lit(ASK_HOT)).otherwise(F.lit(ASK)))), lambda x: x.isNotNull())
+    return marked.select("a", "row", F.col("p").bitwiseAND(F.lit(MASK)).alias("p"), F.explode(what).alias("what"))
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, row, p, what) from (part, a, s, row, p, hot): repeated runs, and the runs whose text is needed."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    table = pa.Table.from_batches(got)
-    part, a, s, row, p = (table.column(c).to_numpy() for c in ("part", "a", "s", "row", "p"))
-    hot = table.column("hot").to_numpy(zero_copy_only=False).astype(bool)
-    order = np.lexsort((p, row, s, part))
-    part, a, s, row, p, hot = (x[order] for x in (part, a, s, row, p, hot))
-    group = np.ones(len(part), bool)
-    group[1:] = part[1:] != part[:-1]
-    first = group.copy()
-    first[1:] |= s[1:] != s[:-1]
-    run_no = np.cumsum(first) - 1
-    times = np.bincount(run_no)
-    repeated = times[run_no] > 1
-    group_no = np.cumsum(group) - 1
-    several = np.bincount(group_no, first)[group_no] > 1  # other contents beside this one
-    ask = first & (several | hot | (~repeated & ((p & SELF) > 0)))
-    p &= ~SELF
-    what = np.concatenate([np.full(repeated.sum(), RUN), np.where(hot[ask], ASK_HOT, ASK)]).astype(np.int32)
-    a, row, p = (np.concatenate([x[repeated], x[ask]]) for x in (a, row, p))
-    for at in range(0, len(a), 50_000):
-        cut = slice(at, at + 50_000)
-        yield pa.RecordBatch.from_arrays([pa.array(a[cut]), pa.array(row[cut]), pa.array(p[cut]), pa.array(what[cut])], ["a", "row", "p", "what"])
+def pieces_of_run(body: bytes, anchor: int, span: int) -> list[tuple[int, int, int]]:
+    """(first window, windows, distance of the anchor from it): parts of a run whose windows have the anchor at one place.
+
+    A window's anchor is the leftmost q-gram of that identifier in it.
+    """
+    grams = np.flatnonzero(gram_ids(np.frombuffer(body, np.uint8)).view(np.int64) == anchor)
+    at = grams[np.searchsorted(grams, np.arange(len(body) - span + 1))]
+    first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    return list(zip(first.tolist(), np.diff(np.append(first, len(at))).tolist(), (at[first] - first).tolist(), strict=True))
 
 
 def _texts_of_runs(span: int):
-    """Rows (text, row, a[], p[], hot[]) to (a, row, start, body, id): a run's bytes, or each of its windows' identifiers."""
+    """Rows (text, row, a[], p[], hot[]) to (a, row, start, size, off, body): the bytes of a run, or of a hot run's pieces.
+
+    off is the distance of the anchor from the first window, -1 for runs that are not hot.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, 0, 1 << 20):
             texts = Texts(part.column(0))
             rows = part.column(1).to_pylist()
-            cols: tuple[list, ...] = ([], [], [], [], [])
+            out: list[tuple] = []
             for i in range(texts.n):
-                body = texts.bytes(i)
-                ids = None
+                text = texts.bytes(i)
                 for a, p, hot in zip(part.column(2)[i].as_py(), part.column(3)[i].as_py(), part.column(4)[i].as_py(), strict=True):
                     start, size = p >> 16, p & 0xFFFF
+                    body = text[start : start + size + span - 1]
                     if not hot:
-                        for c, x in zip(cols, (a, rows[i], start, body[start : start + size + span - 1], None), strict=True):
-                            c.append(x)
+                        out.append((a, rows[i], start, size, -1, body))
                         continue
-                    if ids is None:
-                        ids = gram_ids(np.frombuffer(body, np.uint8))
-                    own = span_ids(ids, np.arange(start, start + size), span).view(np.int64).tolist()
-                    for c, x in zip(cols, ([a] * size, [rows[i]] * size, range(start, start + size), [None] * size, own), strict=True):
-                        c.extend(x)
-            for at in range(0, len(cols[0]), 50_000):
-                cut = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0][cut], pa.int64()), pa.array(cols[1][cut], pa.int64()), pa.array(list(cols[2][cut]), pa.int64()), pa.array(cols[3][cut], pa.binary()), pa.array(cols[4][cut], pa.int64())], ["a", "row", "start", "body", "id"])
+                    out += [(a, rows[i], start + first, n, off, body[first : first + n + span - 1]) for first, n, off in pieces_of_run(body, a, span)]
+            for at in range(0, len(out), 20_000):
+                cols = zip(*out[at : at + 20_000], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["a", "row", "start", "size", "off", "body"])
 
     return run
 
 
-def refine(bodies: np.ndarray, position: np.ndarray, group: np.ndarray, span: int) -> np.ndarray:
-    """Which of the window positions have an equal window in their group.
+def _measured(blocks: DataFrame, width: int, span: int) -> DataFrame:
+    """Adds u and i: identifiers of a block's whole content and of what all windows at its 2^width distances share.
 
-    bucket holds the identifiers of all positions at the present depth; a round sorts the live positions on
-    (their bucket, the bucket at +depth), drops those left alone, and the pairs become the identifiers of the next.
+    Both are within the anchor and the block's place; i depends on the place alone, not on which of its windows the
+    run has, so blocks of different runs can be compared.
     """
-    bucket, depth, level = gram_ids(bodies), Q, 0
-    ids, depths = {Q: bucket}, [Q]
-    while depth * 2 <= span:
-        bucket = pair(bucket[:-depth], bucket[depth:], level)
-        depth *= 2
-        level += 1
-        ids[depth] = bucket
-        depths.append(depth)
-    live = np.arange(len(position))
-    key = group.astype(_U)
-    # initial buckets, then later offsets by the deepest identifiers that fit; the last one overlaps
-    steps, at = [(0, Q)], Q
-    while at < span:
-        d = max((d for d in depths if at + d <= span and d <= at), default=None)
-        if d is None:
-            steps.append((span - Q, Q))
+    most = span - Q
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for at in range(0, part.num_rows, 4096):
+                own = part.slice(at, 4096)
+                a, size, off = (own.column(own.schema.get_field_index(c)).to_numpy() for c in ("a", "size", "off"))
+                bodies = own.column(own.schema.get_field_index("body")).to_pylist()
+                data = np.frombuffer(b"".join(bodies), np.uint8)
+                if not len(data):
+                    continue
+                lengths = np.fromiter(map(len, bodies), np.int64, len(bodies))
+                head = np.cumsum(lengths) - lengths
+                ids = gram_ids(data)
+                place = off >> width
+                low = place << width
+                high = np.minimum(low + (1 << width) - 1, most)
+                u = pair(span_ids(ids, head, span), span_ids(ids, head + size - 1, span), 5) + size.astype(_U)
+                i = np.zeros(len(a), _U)
+                shared = span - (high - low)
+                for n in np.unique(shared):  # two lengths at most: only the last place is cut
+                    one = shared == n
+                    i[one] = span_ids(ids, head[one] + off[one] - low[one], int(n))
+                key = pair(a.view(_U), place.astype(_U), width)
+                u, i = pair(key, mix64(u ^ off.astype(_U)), 3), pair(key, i, 4)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(u.view(np.int64)), pa.array(i.view(np.int64))], [*own.schema.names, "u", "i"])
+
+    return blocks.mapInArrow(run, "a long, row long, start long, size long, off long, known boolean, body binary, u long, i long")
+
+
+def _salted_count(rows: DataFrame, key: str, salt: Column, salts: int, keep_first: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rest, heads): rows by key in groups of key and salt; heads, the first of each group, then know whether the key has others.
+
+    heads has `several` (the key occurs more than once) and `lead` (first of its key); in rest the key always does.
+    """
+    order = [keep_first, "row", "start"] if keep_first is not None else ["row", "start"]
+    near = Window.partitionBy(key, "salt")
+    one = rows.withColumn("salt", F.pmod(salt, F.lit(salts))).withColumn("n1", F.count(F.lit(1)).over(near)).withColumn("k1", F.row_number().over(near.orderBy(*order)))
+    rest = one.where("k1 > 1")
+    far = Window.partitionBy(key)
+    heads = one.where("k1 = 1").withColumn("n2", F.sum("n1").over(far)).withColumn("k2", F.row_number().over(far.orderBy(*order)))
+    return rest, heads.withColumn("several", F.col("n2") > 1).withColumn("lead", F.col("k2") == 1)
+
+
+def halve(blocks: DataFrame, span: int, salts: int) -> DataFrame | None:
+    """(row, p): the repeated windows among hot runs' pieces (a, row, start, size, off, body). None if there are none."""
+    names = ["a", "row", "start", "size", "off", "known", "body"]
+    live = blocks.select(*names[:5], F.lit(False).alias("known"), "body")
+    found = None
+    for width in range((span - Q).bit_length(), -1, -1):
+        measured = materialize(_measured(live, width, span), "halves")
+        # equal blocks: all are repeated, and the first goes on as a witness; one that is known to be repeated comes first
+        rest, heads = _salted_count(measured, "u", F.xxhash64("row", "start"), salts, F.col("known").cast("int") * -1)
+        heads = materialize(heads, "heads")
+        code = F.shiftleft("start", 16).bitwiseOR(F.col("size")).alias("p")
+        own = rest.where("not known").select("row", code).unionByName(heads.where("not known and several").select("row", code))
+        found = materialize(own if found is None else found.unionByName(own), "loud")
+        leads = heads.where("lead").select(*names[:5], (F.col("known") | F.col("several")).alias("known"), "body", "u", "i")
+        # what several different blocks share in their middle may repeat in a part: halve those
+        rest, heads = _salted_count(leads, "i", F.col("u"), salts)
+        live = rest.select(*names).unionByName(heads.where("several").select(*names))
+        if not width:
+            break
+        cut = F.shiftleft(F.shiftright("off", width - 1), width - 1)  # the far half has the distances from here on
+        far = F.least("size", F.col("off") - cut + 1)
+        body = lambda a, n: F.substring("body", (a + 1).cast("int"), (n + span - 1).cast("int"))
+        none = F.lit(0).cast("long")
+        halves = F.array(
+            F.struct("start", far.alias("size"), "off", body(none, far).alias("body")),
+            F.struct((F.col("start") + far).alias("start"), (F.col("size") - far).alias("size"), (F.col("off") - far).alias("off"), body(far, F.col("size") - far).alias("body")),
+        )
+        live = live.select("a", "row", "known", F.inline(F.filter(halves, lambda h: h["size"] > 0))).select(*names)
+        live = materialize(live, "halves")
+        if live.limit(1).count() == 0:
             break
-        steps.append((at, d))
-        at += d
-    for level, (offset, d) in enumerate(steps):
-        key = pair(key, ids[d][position[live] + offset], level)
-        order = np.argsort(key)
-        sorted_ = key[order]
-        same = sorted_[1:] == sorted_[:-1]
-        stay = np.zeros(len(key), bool)
-        stay[1:] |= same
-        stay[:-1] |= same
-        keep = order[stay]
-        live, key = live[keep], key[keep]
+    return found
+
+
+def refine(bodies: np.ndarray, position: np.ndarray, group: np.ndarray, span: int) -> np.ndarray:
+    """Which of the window positions have an equal window in their group, by bucket-pointer refinement.
+
+    pointer is each position's bucket: at first that of its q-gram, then a round sorts the positions whose
+    bucket has others on (pointer, pointer `step` later) and stores the refined pointers, which the next round reads at
+    its own later offsets. Depth doubles up to `span`; the last step overlaps.
+    """
+    order = np.argsort(grams := gram_ids(bodies), kind="stable")
+    pointer = np.empty(len(grams), np.int64)
+    pointer[order] = np.cumsum(np.append(0, grams[order][1:] != grams[order][:-1]))
+    live, depth = np.arange(len(pointer)), Q
+    while depth < span:
+        step = min(depth, span - depth)
+        # positions whose later offset is over the end have no string of this depth, and stay apart
+        live = live[live + step < len(pointer)]
         if not len(live):
             break
+        here, later = pointer[live], pointer[live + step]
+        order = np.lexsort((later, here))
+        here, later, live = here[order], later[order], live[order]
+        head = np.append(True, here[1:] != here[:-1])
+        new = head | np.append(True, later[1:] != later[:-1])
+        # a refined bucket is named by the place of its first member among all that are sorted, above all older names
+        name = np.maximum.accumulate(np.where(new, np.arange(len(live)), 0)) + int(pointer.max(initial=0)) + 1
+        pointer[live] = name
+        alone = new & np.append(new[1:], True)
+        live, depth = live[~alone], depth + step
+    key = pair(group.astype(_U), pointer[position].astype(_U), 0)
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
     out = np.zeros(len(position), bool)
-    out[live] = True
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
     return out
 
 
@@ -299,21 +378,21 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text: str = "te
     busy = materialize(runs.withColumn("top", top).join(crowded, "top", "left_semi").groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("a", F.lit(True).alias("hot")), "hot")
     dealt = runs.join(busy, "a", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     dealt = dealt.withColumn("part", F.when(F.col("hot"), F.xxhash64("a", "s", F.pmod(F.xxhash64("row", "p"), F.lit(salts)))).otherwise(F.col("a")))
-    verdict = materialize(dealt.select("part", "a", "s", "row", "p", "hot").repartition("part").mapInArrow(_decide, "a long, row long, p long, what int"), "verdict")
+    verdict = materialize(_decide(dealt), "verdict")
     release(spark)
     asks = verdict.where(F.col("what") > RUN).groupBy("row").agg(F.collect_list("a").alias("a"), F.collect_list("p").alias("p"), F.collect_list(F.col("what") == ASK_HOT).alias("hot"))
     asks = materialize(asks.join(named, "row"), "asks")
     joined = rows.select("t_", "i_", "h_").join(asks.select(F.col("i_").alias("j_"), F.col("h_").alias("g_"), "row", "a", "p", "hot"), (F.col("h_") == F.col("g_")) & F.col("i_").eqNullSafe(F.col("j_")))
-    bodies = materialize(joined.select("t_", "row", "a", "p", "hot").mapInArrow(_texts_of_runs(span), "a long, row long, start long, body binary, id long"), "bodies")
+    bodies = materialize(joined.select("t_", "row", "a", "p", "hot").mapInArrow(_texts_of_runs(span), "a long, row long, start long, size long, off long, body binary"), "bodies")
     release(spark)
-    cold = bodies.where("body is not null").select("a", "row", "start", "body")
+    cold = bodies.where("off < 0").select("a", "row", "start", "body")
     size = cold.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size) // (8 << 20))
     late = cold.repartition(parts, "a").mapInArrow(_refined(span), "row long, p long")
-    windows = bodies.where("body is null").select("a", "id", "row", "start")
-    twice = windows.groupBy("a", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "id")
-    loud = windows.join(twice, ["a", "id"]).select("row", F.shiftleft("start", 16).bitwiseOR(F.lit(1).cast("long")).alias("p"))
-    runs_of = verdict.where(F.col("what") == RUN).select("row", "p").unionByName(late).unionByName(loud).groupBy("row").agg(F.collect_list("p").alias("p"))
+    runs_of = verdict.where(F.col("what") == RUN).select("row", "p").unionByName(late)
+    if busy.limit(1).count():
+        runs_of = runs_of.unionByName(halve(bodies.where("off >= 0"), span, salts))
+    runs_of = runs_of.groupBy("row").agg(F.collect_list("p").alias("p"))
     spans = materialize(runs_of.join(named, "row").groupBy("i_", "h_").agg(F.flatten(F.collect_list("p")).alias("p")), "spans")
     discard(found)
     discard(bodies)

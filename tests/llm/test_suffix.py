@@ -54,6 +54,33 @@ def test_against_brute_force(spark, span, hot):
     assert all(sum(b - a for a, b in zip(r.run_from, r.run_to, strict=True)) == r.n_removed for r in out)
 
 
+def test_hot_group_of_near_copies(spark):
+    """One passage in all documents, edited at random places: its anchors are hot, and only some of its windows repeat."""
+    r = random.Random(2)
+    base = "".join(r.choice("abcdefgh ") for _ in range(900))
+    texts = [base] * 3
+    for k in range(60):
+        cut = [*base]
+        for _ in range(r.randint(1, 4)):
+            cut[r.randrange(len(cut))] = r.choice("XYZ")
+        texts.append("".join(cut)[r.randint(0, 300) : r.randint(500, 900)] + f" end {k}")
+    texts += ["ab" * 400 + base[:300], "z" * 700, "z" * 700 + base[400:]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = plain(texts, 200)
+    for hot, salts in ((4, 2), (8, 64), (4096, 4)):
+        got = {x.doc_id: (x.n_bytes, x.n_removed, len(x.run_from), hashlib.sha256(x.kept).hexdigest()) for x in suffix.dedup_substrings(rows.repartition(3), hot=hot, salts=salts).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
+def test_very_long_text(spark):
+    """A text of a million bytes, twice, and a stretch of it elsewhere."""
+    r = random.Random(8)
+    long = "".join(r.choice("abcdefghijklmnop ") for _ in range(1_000_000))
+    rows = [(1, long), (2, long), (3, long[500_000:501_000] + "Q" * 150), (4, long[:150])]
+    got = {x.doc_id: (x.n_bytes, x.n_removed) for x in suffix.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), keep=["doc_id"]).collect()}
+    assert got == {1: (1_000_000, 1_000_000), 2: (1_000_000, 1_000_000), 3: (1150, 1000), 4: (150, 0)}
+
+
 def test_empty_and_columns(spark):
     none = spark.createDataFrame([], "doc_id long, text string, kept string, row long, a long")
     assert suffix.dedup_substrings(none).collect() == []
