@@ -1,8 +1,9 @@
 """Secret scan in built-in functions only: fixed formats, and a battery of randomness tests on opaque tokens.
 
 Opaque tokens (long runs of letters, digits, + / _ = -) are tested in the alphabet of their inferred encoding:
-chi-squared for uniform use of the alphabet, runs above and below its middle, and serial correlation. The
-three p-values are combined (Fisher). Words joined to tokens of the same length and encoding give the distribution of
+chi-squared for uniform use of the alphabet, runs above and below its middle, and serial correlation. Alphabets are
+in the order in which text uses their letters, and the chi-squared test joins neighbours into cells of five expected
+symbols or more, so that it tells text from random symbols in short tokens too. The three p-values are combined (Fisher). Words joined to tokens of the same length and encoding give the distribution of
 the combined value for text; a token's p-value against it is controlled for false discoveries (Benjamini-Hochberg)
 separately in each length class, since short tokens of text look random more often than long ones.
 """
@@ -10,6 +11,7 @@ separately in each length class, since short tokens of text look random more oft
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,8 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}+"
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 # Encodings as (name, pattern, alphabet), the first that fits is taken.
 _DIGIT, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Letters, most frequent in text first.
+_OFTEN = "etaoinsrhldcumfpgwybvkxjqz"
 ENCODINGS = (
     ("digits", "^[0-9]+$", _DIGIT),
     ("hex", "^[0-9a-f]+$", _DIGIT + "abcdef"),
@@ -39,6 +43,8 @@ ENCODINGS = (
 )
 PROSE = ("word", "WORD")
 BINS = 200
+BLOCK = 256
+CELL = 5  # symbols that a cell of the chi-squared test is to expect at least
 # What tokens that are text are made of, and the last length class that is made.
 STYLES = ("hex", "HEX", "base32", "base36", "base62", "base64", "base64url", "mixed")
 WORDS = (
@@ -56,14 +62,24 @@ def matches(text: Column, pattern: str) -> Column:
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     pairs = F.arrays_zip(F.transform(F.slice(gaps, 1, F.size(found)), F.length).alias("gap"), found.alias("token"))
     none = F.array().cast("array<struct<start:int,end:int,token:string>>")
+    place = lambda a, b, token: F.struct(a.alias("start"), b.alias("end"), token.alias("token"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.length(x["token"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(start.alias("start"), end.alias("end"), x["token"].alias("token"))).alias("out"))
+        return F.struct(end.alias("at"), F.array_append(acc["out"], place(start, end, x["token"])).alias("out"))
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+    # an append copies the array: folds over blocks of matches, then over blocks, are not quadratic in the matches of a text
+    of_block = lambda b: F.aggregate(b, F.struct(F.lit(0).alias("at"), none.alias("out")), step)
+    blocks = _let(pairs, lambda p: F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int")), lambda k: of_block(F.slice(p, k * BLOCK + 1, F.lit(BLOCK)))))
+    before = lambda b: F.aggregate(b, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, x: F.struct((acc["at"] + x["at"]).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")), lambda acc: acc["out"])
+    shifted = _let(blocks, lambda b: F.flatten(F.zip_with(b, before(b), lambda x, at: F.transform(x["out"], lambda s: place(s["start"] + at, s["end"] + at, s["token"])))))
+    return F.when(text.rlike(pattern), shifted).otherwise(none)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _erfc(x: Column) -> Column:
@@ -87,7 +103,8 @@ def battery(spans: Column) -> Column:
     body = lambda s: F.regexp_replace(F.when(s["token"].rlike("^[A-Z][a-z]+$"), F.lower(s["token"])).otherwise(s["token"]), "=+$", "")
     name = lambda s: F.coalesce(*(F.when(s["token"].rlike(p), F.lit(n)) for n, p, _ in ENCODINGS), F.lit("mixed"))
     mixed = _UPPER + _LOWER + _DIGIT + "+/-_="
-    alphabet = F.create_map(*(F.lit(x) for n, _, a in (*ENCODINGS, ("mixed", "", mixed)) for x in (n, a)))
+    rank = {c: k for k, c in enumerate(_OFTEN + _OFTEN.upper() + _DIGIT)}
+    alphabet = F.create_map(*(F.lit(x) for n, _, a in (*ENCODINGS, ("mixed", "", mixed)) for x in (n, "".join(sorted(a, key=lambda c: (rank.get(c, len(rank)), c))))))
 
     def codes(s: Column) -> Column:
         encoding = name(s)
@@ -97,8 +114,11 @@ def battery(spans: Column) -> Column:
 
     def sums(s: Column) -> Column:
         n = F.size(s["x"]).cast("double")
-        # counts of the symbols that occur
-        squares = F.aggregate(F.array_distinct(s["x"]), F.lit(0.0), lambda acc, c: acc + F.pow(F.size(F.filter(s["x"], lambda y: y == c)).cast("double"), F.lit(2.0)))
+        # cells of neighbouring symbols; the chi-squared sum over those that occur, each with its share of the alphabet
+        cells = F.least(F.greatest(F.floor(n / CELL), F.lit(2).cast("long")).cast("double"), s["k"])
+        cell = F.transform(s["x"], lambda c: F.floor((c - 1) * cells / s["k"]))
+        share = lambda j: (F.ceil((j + 1) * s["k"] / cells) - F.ceil(j * s["k"] / cells)) / s["k"]
+        squares = _let(cell, lambda own: F.aggregate(F.array_distinct(own), F.lit(0.0), lambda acc, j: acc + F.pow(F.size(F.filter(own, lambda y: y == j)).cast("double"), F.lit(2.0)) / (n * share(j))))
         total = F.aggregate(s["x"], F.lit(0.0), lambda acc, c: acc + c)
         square = F.aggregate(s["x"], F.lit(0.0), lambda acc, c: acc + c.cast("double") * c)
         ahead = F.slice(s["x"], F.lit(2), F.greatest(F.size(s["x"]) - 1, F.lit(0)))
@@ -108,14 +128,14 @@ def battery(spans: Column) -> Column:
         turns = F.size(F.filter(F.zip_with(back, ahead, lambda a, b: (a > middle) != (b > middle)), lambda c: c)).cast("double")
         high = F.size(F.filter(s["x"], lambda c: c > middle)).cast("double")
         return F.struct(
-            s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), s["k"].alias("k"), n.alias("n"), squares.alias("oo"), total.alias("sx"), square.alias("sxx"), lag.alias("lag"),
+            s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), s["k"].alias("k"), n.alias("n"), cells.alias("cells"), squares.alias("oo"), total.alias("sx"), square.alias("sxx"), lag.alias("lag"),
             turns.alias("turns"), high.alias("high"), F.element_at(s["x"], 1).cast("double").alias("first"), F.element_at(s["x"], -1).cast("double").alias("last"),
         )
 
     def p(s: Column) -> Column:
-        n, k = s["n"], s["k"]
-        chi = k / n * s["oo"] - n
-        p_chi = _upper((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
+        n, free = s["n"], s["cells"] - 1
+        # the tail of chi-squared by the cube root, which is near to normal for few degrees of freedom too
+        p_chi = _upper((F.cbrt(F.greatest(s["oo"] - n, F.lit(0.0)) / free) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free)))
         low = n - s["high"]
         mean = 2 * s["high"] * low / n + 1
         var = (mean - 1) * (mean - 2) / (n - 1)

@@ -132,3 +132,34 @@ def test_support_does_not_grow_with_the_table(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     spans = {m: {x.doc_id: x.spans for x in pii.find_pii(docs, most_patterns=m).collect()} for m in (10, 100_000)}
     assert spans[10] == spans[100_000] and spans[10][10] == "email:20:37"
+
+
+def test_nine_keys_in_ten_are_found(spark):
+    """Keys of 20 to 200 characters in several alphabets among ordinary words, long names and compounds."""
+    r = random.Random(12)
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = (lower.upper() + lower + digits + "+/", lower.upper() + lower + digits, lower + digits, lower.upper() + lower + digits + "-_")
+    plain = "it was late when they came home and nobody had thought of the lamp that stood beside the old garden door Donaudampfschifffahrtsgesellschaft responsabilidad".split()
+    names = ["chapters/introduction/overview-of-results", "getUserNameFromSecondTableOrDefault2", "the-quick-brown-fox-jumps-over-the-lazy-dog", "some_long_identifier_of_a_column_in_a_table", "internationalization-and-localization"]
+    rows, keys = [], {}
+    for i in range(400):
+        words = [r.choice(plain) for _ in range(r.randint(5, 40))]
+        if i % 4 == 1:
+            words.insert(3, r.choice(names))
+        if i % 4 == 2:
+            n = (20, 22, 24, 28, 32, 40, 64, 100, 200)[i // 4 % 9]
+            keys[i] = "".join(r.choice(alphabets[i // 36 % 4]) for _ in range(n))
+            words.insert(2, keys[i])
+        rows.append((i, " ".join(words)))
+    out = {x.doc_id: [x.text[s.start : s.end] for k in (*secrets.KINDS, "random") for s in x[k]] for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = sum(out[i] == [k] for i, k in keys.items())
+    false = sum(len(v) for i, v in out.items() if i not in keys)
+    assert found >= 0.9 * len(keys), (found, len(keys))
+    assert false <= 0.05 * max(1, found), false
+
+
+def test_many_matches_in_one_text(spark):
+    """Offsets over block borders; a text with thousands of matches."""
+    text = "é " + "\n".join(f"token=abcdefgh{i}" for i in range(5000))
+    row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(s.start, s.end) for s in row["assign"]] == [(a, b) for a, _, b in plain_secrets(text)]
