@@ -32,6 +32,9 @@ _ANY = re.compile(r"[0-9@]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _TOKEN = re.compile(r"[^\s\"'<>,;]*")
 _WORD = re.compile(r"[^\W\d_]+")
+_LAST = re.compile(r"[^\W\d_]*\Z")
+_NOT_GROUPED = re.compile(r"[^0-9().+/-]")
+_GROUPS = re.compile(r"[0-9](?:[ ()./-]{0,3}[0-9])*")
 _BLANKS = " \n\t\r\x0b\x0c\"'<>,;"
 _TRIM = ".:!?()[]{}=*#&$%"
 
@@ -94,32 +97,52 @@ def shapes(token: str) -> int:
 
 
 def candidates(t: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, shapes) of identifier-like tokens that overlap no fixed format."""
-    out, pos, k = [], 0, 0
+    """(start, end, shapes) of identifier-like tokens that overlap no fixed format.
+
+    A token lies between blanks, quotes and the like; one of digits and their separators goes on over blanks, as
+    numbers written in groups do, up to the next fixed format.
+    """
+    out, pos, k, passed = [], 0, 0, 0
     while m := _ANY.search(t, pos):
         at = m.start()
-        while k < len(base) and max(b for _, _, b in base[k : k + 1]) <= at:
+        while k < len(base) and base[k][2] <= at:
+            passed = max(passed, base[k][2])
             k += 1
         left = max(pos, *(t.rfind(c, pos, at) + 1 for c in _BLANKS))
         right = _TOKEN.match(t, at).end()
+        grouped = t[at] != "@" and not _NOT_GROUPED.search(t, left, right)
+        if grouped:
+            ahead = next((base[j][0] for j in range(k, len(base)) if base[j][0] > at), len(t))
+            right = _GROUPS.match(t, at, ahead).end()
         pos = max(right, at + 1)
         token = t[left:right]
-        left += len(token) - len(token.lstrip(_TRIM))
-        token = token.strip(_TRIM)
-        if len(token) < 6 or len(token) > 64 or not (mask := shapes(token)):
+        lead = _TRIM.replace("(", "") if grouped and ")" in token else _TRIM
+        left += len(token) - len(token.lstrip(lead))
+        token = t[left:right].rstrip(_TRIM)
+        if not (mask := shapes(token)) or passed > left:
             continue
-        if not any(a < left + len(token) and left < b for a, _, b in base):
+        j, clear = k, True
+        while j < len(base) and base[j][0] < left + len(token):
+            clear &= base[j][2] <= left
+            j += 1
+        if clear:
             out.append((left, left + len(token), mask))
     return out
 
 
-def contexts(t: str, start: int) -> tuple[str | None, str | None]:
-    """The word before `start`, and the two words before it, lower-cased."""
-    low = max(0, start - 96)
-    words = _WORD.findall(t[low:start].lower())
-    if low and words:
-        words = words[1:]  # it may be cut
-    return (words[-1] if words else None), (" ".join(words[-2:]) if len(words) > 1 else None)
+def contexts(t: str, starts: list[int]) -> list[tuple[str | None, str | None]]:
+    """The word before each of the ascending `starts`, and the two words before it, lower-cased; each stretch is read once."""
+    out = []
+    at, one, two = 0, None, None  # the last words that end before `at`
+    for start in starts:
+        words = _WORD.findall(t[at:start].lower())
+        last = ([w for w in (two, one) if w] + words)[-3:]
+        out.append((last[-1] if last else None, " ".join(last[-2:]) if len(last) > 1 else None))
+        at = start
+        if words and start < len(t) and _WORD.match(t, start - 1) and _WORD.match(t, start):  # the word goes on in what follows
+            at, last = start - len(_LAST.search(t[at - len(words[-1]) : start])[0]), last[:-1]
+        one, two = (last[-1] if last else None), (last[-2] if len(last) > 1 else None)
+    return out
 
 
 def join_spans(spans: list[tuple[int, int, int]]) -> str:
@@ -137,7 +160,8 @@ def extract(docs: DataFrame, *, text: str = "text", keep: list[str] | None = Non
                 base = base_spans(t)
                 slots = [(a, b, -1, k, hashlib.blake2b(t[a:b].lower().encode(), digest_size=8).digest()) for a, k, b in base]
                 slots += [(a, b, mask, -1, hashlib.blake2b(t[a:b].lower().encode(), digest_size=8).digest()) for a, b, mask in candidates(t, base)]
-                near = [contexts(t, s[0]) for s in slots]
+                slots.sort()
+                near = contexts(t, [s[0] for s in slots])
                 row = ([a for a, _, _ in base], [k for _, k, _ in base], [b for _, _, b in base], [s[0] for s in slots], [s[1] for s in slots], [s[3] if s[2] < 0 else -s[2] for s in slots], [int.from_bytes(s[4], "big", signed=True) for s in slots], [c[0] for c in near], [c[1] for c in near])
                 for col, x in zip(cols, row, strict=True):
                     col.append(x)
@@ -190,10 +214,7 @@ def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int
         if patterns:
             counted = materialize(count_contexts(docs, patterns, text=text), "pii-totals")
             totals = counted if totals is None else totals.unionByName(counted)
-    # a pattern that occurs more often than twice its slots can never reach half confidence in any kind
-    slots_of = edges.groupBy("pattern").agg(F.sum("n").alias("slots"))
-    live = totals.join(slots_of, "pattern").where(F.col("total") <= 2 * F.col("slots")).select("pattern", "total")
-    edges = materialize(edges.join(live, "pattern"), "pii-live")
+    edges = materialize(edges.join(totals, "pattern"), "pii-live")
     kinds = F.explode(F.array(*(F.lit(k) for k in range(len(KINDS)))))
     fits = (F.col("s_what") == F.col("kind")) | ((F.col("s_what") < 0) & (F.shiftright(-F.col("s_what"), 0).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0))
     graph = materialize(edges.withColumn("kind", kinds).where(fits), "pii-graph")

@@ -163,3 +163,38 @@ def test_many_matches_in_one_text(spark):
     text = "é " + "\n".join(f"token=abcdefgh{i}" for i in range(5000))
     row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert [(s.start, s.end) for s in row["assign"]] == [(a, b) for a, _, b in plain_secrets(text)]
+
+
+def test_contexts_and_candidates(spark):
+    """Words before a place against those of the whole text before it, however far away; numbers in groups."""
+    r = random.Random(0)
+    bits = ["a", "1", "23", ".", "@", "-", " ", "+", "(", ")", "tok", "Sé", "=", "é", "😀", "\n", "_", "x.y", "555 1234"]
+    for _ in range(3000):
+        t = "".join(r.choice(bits) for _ in range(r.randint(1, 30)))
+        starts = sorted(r.sample(range(len(t) + 1), min(len(t) + 1, r.randint(0, 6))))
+        words = [pii._WORD.findall(t[:x].lower()) for x in starts]
+        assert pii.contexts(t, starts) == [(w[-1] if w else None, " ".join(w[-2:]) if len(w) > 1 else None) for w in words]
+        base = pii.base_spans(t)
+        assert all(m == pii.shapes(t[a:b]) and not any(x < b and a < y for x, _, y in base) for a, b, m in pii.candidates(t, base))
+    assert pii.contexts("call" + " 1" * 1000 + " 5", [2005]) == [("call", None)]
+    for t, want in (("call (017) 555-7713 now", "(017) 555-7713"), ("card 4111 1111 1111 1112, ok", "4111 1111 1111 1112"), ("no. 555 123 4567.", "555 123 4567"), ("x" * 90 + "@localhost", "x" * 90 + "@localhost")):
+        assert [t[a:b] for a, b, _ in pii.candidates(t, pii.base_spans(t))] == [want]
+
+
+def test_unseen_identifiers_of_all_kinds(spark):
+    """Each kind has a pattern of its own; identifiers that no fixed format matches follow it, and neutral words."""
+    r = random.Random(9)
+    digits = lambda n: "".join(r.choice("123456789") for _ in range(n))
+    rows = []
+    for i in range(40):
+        rows += [(len(rows) + 0, f"his inbox u{i}@mail.example.com was full"), (len(rows) + 1, f"the host 10.0.{i}.7 was down"), (len(rows) + 2, f"dial +1 555 {digits(3)} {digits(4)} today")]
+    seen = len(rows)
+    unseen = [("inbox", "who@intranet", "email"), ("host", "fe80:0:0:1:2:3:4:5", "ip"), ("host", "300.20.30.40", "ip"), ("dial", "(017) 555-7713", "phone"), ("dial", "555 123 4567", "phone")]
+    rows += [(seen + k, f"then his {word} {x} again" if word == "inbox" else f"then the {word} {x} again" if word == "host" else f"please dial {x} again") for k, (word, x, _) in enumerate(unseen)]
+    rows += [(1000 + k, f"about {x} of them") for k, (_, x, _) in enumerate(unseen)]
+    out = {x.doc_id: x.spans for x in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for k, (_, x, kind) in enumerate(unseen):
+        at = texts[seen + k].index(x)
+        assert f"{kind}:{at}:{at + len(x)}" in out[seen + k].split(","), (x, out[seen + k])
+        assert not out[1000 + k]
