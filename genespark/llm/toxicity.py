@@ -73,7 +73,7 @@ def features(text: bytes, strong: frozenset, weak: frozenset) -> list[float]:
     upper = len(text) - len(text.translate(None, _UPPER))
     return [
         float(np.log1p(len(words))), n_fixed / m, n_deep / m, n_light / m, float(n_fixed), float(n_deep), float(len(fixed | deep)), near / m, float(nearest), len(you) / m,
-        upper / n, len(_CAPS.findall(text)) / m if upper * 4 > m else 0.0, text.count(b"!") / n, text.count(b"?") / n, (len(text) - len(text.translate(None, _PUNCT))) / n, len(mixed) / m, len(_STRETCH.findall(text)) / m,
+        upper / n, len(_CAPS.findall(text)) / m, text.count(b"!") / n, text.count(b"?") / n, (len(text) - len(text.translate(None, _PUNCT))) / n, len(mixed) / m, len(_STRETCH.findall(text)) / m,
         hidden / m, float(hidden), (len(text) - len(text.translate(None, b"0123456789"))) / n,
     ]
 
@@ -173,7 +173,6 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
                 if f[i] < 7:
                     seen[y[i] > 0].update(set(words_of(texts.bytes(i))))
         words = sorted(set(seen[0]) | set(seen[1]))
-        words = [w for w in words if len(w) < 64]
         if words:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([seen[0][w] for w in words], pa.int64()), pa.array([seen[1][w] for w in words], pa.int64())], ["w", "n0", "n1"])
 
@@ -203,7 +202,12 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text: s
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None, at: float = 0.7) -> DataFrame:
-    """Adds score (0 to 1, higher: likelier toxic) and predicted (1 from `at` on). Null and empty texts are scored as empty."""
+    """Adds score (0 to 1, higher: likelier toxic) and predicted (1 from `at` on).
+
+    Null and empty texts are scored as empty, equal texts alike, so repeated rows get the same result. Columns of `docs`
+    named score or predicted are replaced. An empty table gives an empty result. A text is read as a whole: memory is
+    a few times that of the longest one.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
