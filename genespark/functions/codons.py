@@ -18,10 +18,27 @@ CHANGES = {
     4: {"TGA": "W"},
     5: {"AGA": "S", "AGG": "S", "ATA": "M", "TGA": "W"},
     6: {"TAA": "Q", "TAG": "Q"},
+    9: {"AAA": "N", "AGA": "S", "AGG": "S", "TGA": "W"},
     10: {"TGA": "C"},
     11: {},
     12: {"CTG": "S"},
+    13: {"AGA": "G", "AGG": "G", "ATA": "M", "TGA": "W"},
+    14: {"AAA": "N", "AGA": "S", "AGG": "S", "TAA": "Y", "TGA": "W"},
+    15: {"TAG": "Q"},
+    16: {"TAG": "L"},
+    21: {"TGA": "W", "ATA": "M", "AGA": "S", "AGG": "S", "AAA": "N"},
+    22: {"TCA": "*", "TAG": "L"},
+    23: {"TTA": "*"},
+    24: {"AGA": "S", "AGG": "K", "TGA": "W"},
+    25: {"TGA": "G"},
     26: {"CTG": "A"},
+    27: {"TAA": "Q", "TAG": "Q", "TGA": "W"},
+    28: {"TAA": "Q", "TAG": "Q", "TGA": "W"},
+    29: {"TAA": "Y", "TAG": "Y"},
+    30: {"TAA": "E", "TAG": "E"},
+    31: {"TAA": "E", "TAG": "E", "TGA": "W"},
+    32: {"TAG": "W"},
+    33: {"TAA": "Y", "AGA": "S", "AGG": "K", "TGA": "W"},
 }
 STARTS = {
     1: ("TTG", "CTG", "ATG"),
@@ -30,11 +47,32 @@ STARTS = {
     4: ("TTA", "TTG", "CTG", "ATT", "ATC", "ATA", "ATG", "GTG"),
     5: ("TTG", "ATT", "ATC", "ATA", "ATG", "GTG"),
     6: ("ATG",),
+    9: ("ATG", "GTG"),
     10: ("ATG",),
     11: ("TTG", "CTG", "ATT", "ATC", "ATA", "ATG", "GTG"),
     12: ("CTG", "ATG"),
+    13: ("TTG", "ATA", "ATG", "GTG"),
+    14: ("ATG",),
+    15: ("ATG",),
+    16: ("ATG",),
+    21: ("ATG", "GTG"),
+    22: ("ATG",),
+    23: ("ATT", "ATG", "GTG"),
+    24: ("TTG", "CTG", "ATG", "GTG"),
+    25: ("TTG", "ATG", "GTG"),
     26: ("CTG", "ATG"),
+    27: ("ATG",),
+    28: ("ATG",),
+    29: ("ATG",),
+    30: ("ATG",),
+    31: ("ATG",),
+    32: ("TTG", "CTG", "ATT", "ATC", "ATA", "ATG", "GTG"),
+    33: ("TTG", "CTG", "ATG", "GTG"),
 }
+# Stops of codes in which a codon is read in both ways, and what other tools call the codes they know.
+BOTH = {27: ("TGA",), 28: ("TAA", "TAG", "TGA"), 31: ("TAA", "TAG")}
+ASSEMBLER_NAMES = {1: "universal", 6: "Tetrahymena", 10: "Euplotes", 12: "Candida"}
+PREDICTOR_CODES = (1, 6, 26)
 
 
 def table(code: int) -> dict[str, str]:
@@ -50,7 +88,27 @@ def starts(code: int) -> list[str]:
 
 
 def stops(code: int) -> list[str]:
-    return sorted(c for c, a in table(code).items() if a == "*")
+    """Codons that may end a frame, those that are also read as an amino acid included."""
+    return sorted({*(c for c, a in table(code).items() if a == "*"), *BOTH.get(code, ())})
+
+
+def code_of(value: int | str) -> int:
+    """The code as a number; ValueError for one that isn't a number or isn't known."""
+    try:
+        code = int(value)
+    except (TypeError, ValueError):
+        raise ValueError(f"genetic code must be a number: {value!r}") from None
+    table(code)
+    return code
+
+
+def assembler_flag(code: int) -> list[str]:
+    """Arguments for the transcript assembler: none for its default or a code that it doesn't know."""
+    return ["--GENETIC_CODE", ASSEMBLER_NAMES[code]] if code in ASSEMBLER_NAMES and code != 1 else []
+
+
+def predictor_flag(code: int) -> list[str]:
+    return [f"--gcode={code}"] if code in PREDICTOR_CODES and code != 1 else []
 
 
 def translate(seq: Column, code: int) -> Column:

@@ -37,6 +37,7 @@ def pfam_accession(accession: Column, name: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_replace(F.coalesce(accession, F.lit("")), r"\.\d+$", ""), F.lit("")), name)
 
 
+# How definitions write EC numbers.
 EC_TAG = r"\s*\[EC:([0-9.\-,nN\s]+)\]"
 EC_NUMBER = r"^[1-7](\.(\d+|-|n\d+)){3}$"
 
@@ -74,9 +75,16 @@ def bar(value: Column, width: int = 20) -> Column:
     return F.concat(F.repeat(F.lit("#"), full), F.repeat(F.lit("."), F.lit(width) - full))
 
 
+def raw_attribute(text: Column, key: str) -> Column:
+    """The text after the last 'key=' of a GFF3 attribute column, up to ';' as it stands; null where there is none."""
+    parts = F.filter(F.split(text, ";"), lambda p: F.startswith(p, F.lit(f"{key}=")))
+    return F.when(F.size(parts) > 0, F.substring(F.element_at(parts, -1), F.lit(len(key) + 2), F.length(text)))
+
+
 def attribute_map(text: Column) -> Column:
     """map<string, array<string>> from 'k=v1,v2;k2=v' (GFF3). Later keys win; values are URL-decoded after splitting."""
-    decode = lambda v: F.url_decode(F.replace(v, F.lit("+"), F.lit("%2B")))
+    # a stray '%' is kept as it is
+    decode = lambda v: F.coalesce(F.try_url_decode(F.replace(v, F.lit("+"), F.lit("%2B"))), v)
     parts = F.filter(F.transform(F.split(text, ";"), lambda p: F.trim(p)), lambda p: (p != "") & F.contains(p, F.lit("=")))
     pairs = F.transform(parts, lambda p: F.struct(F.substring_index(p, "=", 1).alias("k"), F.transform(F.split(F.substring(p, F.locate("=", p) + 1, F.length(p)), ","), decode).alias("v")))
     last = F.reduce(pairs, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>")), lambda m, p: F.map_concat(F.map_filter(m, lambda k, _: k != p["k"]), F.map_from_arrays(F.array(p["k"]), F.array(p["v"]))))

@@ -51,10 +51,19 @@ def interval_anti(left: DataFrame, right: DataFrame, id_cols: Sequence[str] = ("
     return left.join(_matched(left, right, id_cols, **options), list(id_cols), "left_anti").select(*left.columns)
 
 
-def running_max_end(df: DataFrame, keys: Sequence[str] = ("chrom", "strand"), order: Sequence[str] = ("start", "id"), end: str = "end") -> DataFrame:
-    """Adds max_end, the largest end so far in the given order."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("max_end", F.max(end).over(w))
+def running_max_end(df: DataFrame, keys: Sequence[str] = ("chrom", "strand"), order: Sequence[str] = ("start", "id"), end: str = "end", chunk: int = 1_000_000) -> DataFrame:
+    """Adds max_end, the largest end so far in the given order, whose first column is a position.
+
+    Two levels: within chunks of `chunk` bases of that column, and a window over one row a chunk for what comes before.
+    """
+    rows = df.withColumn("_chunk", F.floor(F.col(order[0]) / chunk))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    reach = rows.groupBy(*keys, "_chunk").agg(F.max(end).alias("_far")).select(*(F.col(k).alias(f"_{k}") for k in keys), F.col("_chunk").alias("_c"), F.max("_far").over(before).alias("_before"))
+    on = F.col("_chunk").eqNullSafe(F.col("_c"))
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.join(reach, on).withColumn("max_end", F.greatest(F.max(end).over(inside), "_before")).select(*df.columns, "max_end")
 
 
 def clusters(df: DataFrame, keys: Sequence[str] = ("chrom", "strand"), order: Sequence[str] = ("start", "id"), start: str = "start", end: str = "end", chunk: int = 1_000_000) -> DataFrame:

@@ -2,15 +2,47 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+_roots: dict[str, tuple[SparkSession, str]] = {}
+
+
+def _root(spark: SparkSession) -> str:
+    """A folder of our own in that of spark.checkpoint.dir; a temporary one in local mode where the session names none."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _roots:
+        base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        known = sc._jsc.sc().getCheckpointDir()
+        if not base and known.isDefined():
+            base = known.get()
+        if not base:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+            base = "file://" + tempfile.mkdtemp(prefix="genespark-")
+        _roots[sc.applicationId] = (spark, f"{base}/genespark-core-{uuid.uuid4().hex}")
+    return _roots[sc.applicationId][1]
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df`, computed once and stored in the folder of spark.checkpoint.dir (one of our own where the session names none)."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="genespark-"))
-    return df.checkpoint()
+    """`df`, computed once and written as Parquet to the shared folder: what is read again does not grow the plan."""
+    path = f"{_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def release() -> None:
+    """Delete this process's tables of sessions that still run; call it once their readers are done."""
+    for spark, path in list(_roots.values()):
+        sc = spark.sparkContext
+        if sc._jsc is not None:
+            try:
+                target = sc._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+            except Exception:  # noqa: BLE001  the JVM may be gone at exit
+                pass
+    _roots.clear()

@@ -8,15 +8,22 @@ from pyspark.sql import functions as F
 from genespark.functions import codons
 from genespark.functions.columns import reverse_complement
 from genespark.operators.hierarchy import five_to_three
+from genespark.operators.tiles import TILE, tiled
 
 
-def spliced(parts: DataFrame, contigs: DataFrame, parent: str = "parent_id") -> DataFrame:
+def spliced(parts: DataFrame, contigs: DataFrame, parent: str = "parent_id", tile: int = TILE) -> DataFrame:
     """(id, chrom, start, strand, seq): the parts' sequences in order, reverse-complemented on the minus strand; case is kept.
 
-    contigs: chrom, seq. Only the slices travel: each part takes its substring right after the join on chrom.
+    contigs: chrom, seq; they are joined as tiles of `tile` bases, by chrom and tile. Bases beyond a contig are left
+    off; parts on a contig that isn't there, or wholly beyond it, give nothing.
     """
-    piece = parts.join(contigs.select("chrom", F.col("seq").alias("_seq")), "chrom").withColumn("_piece", F.substring(F.col("_seq"), F.col("start").cast("int"), (F.col("end") - F.col("start") + 1).cast("int"))).drop("_seq")
-    joined = piece.groupBy(F.col(parent).alias("id"), "chrom", "strand").agg(F.min("start").alias("start"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "_piece"))), lambda x: x["_piece"]), "").alias("_whole"))
+    rows = parts.select("chrom", "strand", "start", "end", F.col(parent).alias("id"), F.monotonically_increasing_id().alias("_k"))
+    rows = rows.withColumn("tile", F.explode(F.sequence(F.expr(f"(greatest(start, 1) - 1) div {tile}"), F.expr(f"(greatest(`end`, 1) - 1) div {tile}"))))
+    rows = rows.join(tiled(contigs, tile), ["chrom", "tile"]).where("start <= n")
+    base = F.col("tile") * tile
+    low, high = F.greatest(F.col("start") - base, F.lit(1).cast("long")), F.least(F.col("end") - base, F.lit(tile).cast("long"))
+    piece = rows.withColumn("_piece", F.substring(F.col("piece"), low.cast("int"), F.greatest(high - low + 1, F.lit(0).cast("long")).cast("int")))
+    joined = piece.groupBy("id", "chrom", "strand").agg(F.min("start").alias("start"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "_k", "tile", "_piece"))), lambda x: x["_piece"]), "").alias("_whole"))
     return joined.select("id", "chrom", "start", "strand", F.when(F.col("strand") == "-", reverse_complement(F.col("_whole"))).otherwise(F.col("_whole")).alias("seq"))
 
 

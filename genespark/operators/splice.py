@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import splice_code
+from genespark.operators.tiles import TILE, tiled
 
 # Junction motif numbers, strands, and the kinds that need no configuration.
 MOTIFS = {1: "GT-AG", 2: "CT-AC", 3: "GC-AG", 4: "CT-GC", 5: "AT-AC", 6: "GT-AT"}
@@ -19,20 +20,25 @@ def _lookup(values: dict, column: str, otherwise: str):
     return F.coalesce(F.try_element_at(table, F.col(column).cast("int")), F.lit(otherwise))
 
 
-def tally(junctions: DataFrame, contigs: DataFrame | None = None) -> DataFrame:
+def tally(junctions: DataFrame, contigs: DataFrame | None = None, tile: int = TILE) -> DataFrame:
     """(type, count, unique_reads): by motif; motif 0 by the intron's outer dinucleotides on the plus strand.
 
     junctions: chrom, intron_start, intron_end, motif, unique. contigs: chrom, seq. An unknown contig or an end beyond it: 'unknown'.
     """
-    rows = junctions
+    named = junctions.where("motif <> 0").select(_lookup(MOTIFS, "motif", "unknown").alias("type"), "unique")
+    rows = junctions.where("motif = 0").select("chrom", "intron_start", "intron_end", "unique")
     if contigs is not None:
-        rows = rows.join(contigs.select(F.col("chrom").alias("_c"), F.col("seq").alias("_s")), F.col("chrom") == F.col("_c"), "left")
-        s, e = F.col("intron_start").cast("int"), F.col("intron_end").cast("int")
-        inner = F.when(F.col("_s").isNotNull() & (F.col("intron_end") <= F.length("_s")), F.upper(F.concat(F.substring(F.col("_s"), s, F.lit(2)), F.lit("-"), F.substring(F.col("_s"), e - 1, F.lit(2))))).otherwise("unknown")
+        # each end meets the tile that has it; tiles hold one base of the next, so two bases never lie in different ones
+        tiles, s, e = tiled(contigs, tile), F.col("intron_start") - 1, F.col("intron_end") - 2
+        rows = rows.withColumn("_ts", F.expr(f"(intron_start - 1) div {tile}")).withColumn("_te", F.expr(f"(intron_end - 2) div {tile}"))
+        rows = rows.join(tiles.select(F.col("chrom").alias("_c"), F.col("tile").alias("_ts"), "n", F.col("piece").alias("_a")).withColumnRenamed("_c", "chrom"), ["chrom", "_ts"], "left")
+        rows = rows.join(tiles.select("chrom", F.col("tile").alias("_te"), F.col("piece").alias("_b")), ["chrom", "_te"], "left")
+        two = lambda piece, at: F.substring(F.col(piece), (F.pmod(at, F.lit(tile)) + 1).cast("int"), F.lit(2))
+        inner = F.when(F.col("n").isNotNull() & (F.col("intron_end") <= F.col("n")), F.upper(F.concat(two("_a", s), F.lit("-"), two("_b", e)))).otherwise("unknown")
     else:
         inner = F.lit("unknown")
-    kind = F.when(F.col("motif") != 0, _lookup(MOTIFS, "motif", "unknown")).otherwise(inner)
-    return rows.groupBy(kind.alias("type")).agg(F.count(F.lit(1)).alias("count"), F.sum("unique").cast("long").alias("unique_reads"))
+    rows = named.unionByName(rows.select(inner.alias("type"), "unique"))
+    return rows.groupBy("type").agg(F.count(F.lit(1)).alias("count"), F.sum("unique").cast("long").alias("unique_reads"))
 
 
 def extra_types(summary: DataFrame, permissive: bool = False) -> DataFrame:

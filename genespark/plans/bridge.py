@@ -7,8 +7,6 @@ products and KOs, orders give junctions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -84,13 +82,6 @@ def predicted_sql(name: str, label: str = "p1", drop: int = 11) -> str:
   UNION ALL SELECT a.chrom, a.strand, a.s, b.e, 'm' || a.g, '{label}' FROM genes a JOIN genes b ON b.g = a.g + 25 AND a.strand = b.strand WHERE a.g % 19 = 0)"""
 
 
-@dataclass(frozen=True)
-class Models:
-    genes: DataFrame
-    mrnas: DataFrame
-    cds: DataFrame
-
-
 def second_source(parts: DataFrame, drop: int, nudge: int) -> DataFrame:
     """Another source's CDS: some genes missing, some parts moved by a base or more; the same ids."""
     g, rn = F.col("g"), F.col("rn")
@@ -103,11 +94,11 @@ def second_sql(name: str, drop: int, nudge: int) -> str:
     return f"{name} AS (SELECT chrom, strand, s + {move} AS s, e + {move} AS e, id, parent_id, gene_id, g, rn FROM cds WHERE g % {drop} <> 0)"
 
 
-def contigs(spark: SparkSession, sf_dir: str, size: int | None = 600) -> DataFrame:
-    """DNA from documents: chrom (the id), seq; of the first `size` characters, or of whole texts."""
-    letters = F.regexp_replace(F.lower(F.substring("text", 1, size) if size else F.col("text")), "[^a-z]", "")
+def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DNA from the whole texts of documents: chrom (the id), seq."""
+    letters = F.regexp_replace(F.lower("text"), "[^a-z]", "")
     return table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("chrom"), F.upper(F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "acgtacgtacgtacgtacgtacgtac")).alias("seq"))
 
 
 CONTIGS_SQL = """contigs AS (
-  SELECT 'd' || doc_id AS chrom, upper(translate(regexp_replace(lower(substr(text, 1, 600)), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'acgtacgtacgtacgtacgtacgtac')) AS seq FROM documents)"""
+  SELECT 'd' || doc_id AS chrom, upper(translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'acgtacgtacgtacgtacgtacgtac')) AS seq FROM documents)"""

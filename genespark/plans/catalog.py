@@ -277,20 +277,15 @@ def f1_by_level(spark, sf_dir):
     return out.select("level", F.round("p1", 6).alias("p1"))
 
 
-HITS_SQL = """, code AS (SELECT upper(seq) AS seq, chrom, length(seq) AS n FROM contigs)"""
-TABLE_11 = {"start": "('TTG','CTG','ATT','ATC','ATA','ATG','GTG')", "stop": "('TAA','TAG','TGA')"}
-TABLE_1 = {"start": "('TTG','CTG','ATG')", "stop": "('TAA','TAG','TGA')"}
+TABLE_11 = {"start": "TTG|CTG|ATT|ATC|ATA|ATG|GTG", "stop": "TAA|TAG|TGA"}
+TABLE_1 = {"start": "TTG|CTG|ATG", "stop": "TAA|TAG|TGA"}
 
 
 def _scan_sql(codons: dict[str, str]) -> str:
-    # code 1 has no starts or stops that overlap each other in one scan of a kind except as the walk decides
-    return f"""WITH RECURSIVE {CONTIGS_SQL},
-places AS (SELECT chrom AS id, length(seq) AS seqlen, p, substr(seq, p, 3) AS c FROM contigs, LATERAL (SELECT unnest(range(1, length(seq) - 1)) AS p) r),
-marked AS (SELECT id, seqlen, p, 'start' AS codon FROM places WHERE c IN {codons['start']} UNION ALL SELECT id, seqlen, p, 'stop' FROM places WHERE c IN {codons['stop']}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY id, codon ORDER BY p) AS k FROM marked),
-nexts AS (SELECT a.id, a.codon, a.p, a.seqlen, (SELECT min(b.p) FROM ranked b WHERE b.id = a.id AND b.codon = a.codon AND b.p >= a.p + 3) AS q FROM ranked a),
-walk AS (SELECT id, codon, p, seqlen, q FROM nexts WHERE (id, codon, p) IN (SELECT id, codon, min(p) FROM ranked GROUP BY 1, 2)
-         UNION ALL SELECT n.id, n.codon, n.p, n.seqlen, n.q FROM walk w JOIN nexts n ON n.id = w.id AND n.codon = w.codon AND n.p = w.q)"""
+    # a pattern's matches are leftmost and do not overlap: they are marked in one pass and listed in another
+    kind = lambda k: f"SELECT chrom AS id, length(seq) AS seqlen, '{k}' AS codon, string_split(regexp_replace(seq, '{codons[k]}', '#..', 'g'), '') AS m FROM contigs WHERE seq IS NOT NULL"
+    return f"""WITH {CONTIGS_SQL}, marked AS ({kind('start')} UNION ALL {kind('stop')}),
+walk AS (SELECT id, seqlen, codon, p FROM (SELECT id, seqlen, codon, unnest(m) AS c, generate_subscripts(m, 1) AS p FROM marked) WHERE c = '#')"""
 
 
 def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -312,15 +307,18 @@ def longest_orf(spark, sf_dir):
 
 
 def _exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three exons on each document's contig, on the minus strand for odd ids."""
-    docs = bridge.contigs(spark, sf_dir).where(F.length("seq") >= 200)
+    """Three exons in each 200 bases of every contig, to its last base; on the minus strand for odd ids."""
+    n = F.length("seq").cast("long")
     strand = F.when(F.substring("chrom", -1, 1).cast("int") % 2 == 1, "-").otherwise("+")
-    spans = F.array(*(F.struct(F.lit(a).cast("long").alias("start"), F.lit(b).cast("long").alias("end"), F.lit(k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
-    return docs.select("chrom", strand.alias("strand"), F.explode(spans).alias("x")).select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
+    tiles = bridge.contigs(spark, sf_dir).where(n >= 4).select("chrom", strand.alias("strand"), n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(length(seq) - 1) div 200"))).alias("tile"))
+    spans = F.array(*(F.struct((200 * F.col("tile") + a).alias("start"), F.least(200 * F.col("tile") + b, F.col("n")).alias("end"), (3 * F.col("tile") + k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
+    rows = tiles.select("chrom", "strand", "n", F.explode(spans).alias("x")).where("x.start <= n")
+    return rows.select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
 
 
 EXONS_SQL = f"""WITH {CONTIGS_SQL},
-exons AS (SELECT chrom, seq, CASE WHEN CAST(right(chrom, 1) AS INTEGER) % 2 = 1 THEN '-' ELSE '+' END AS strand, x.k, x.s, x.e FROM contigs CROSS JOIN (VALUES (0, 4, 60), (1, 71, 130), (2, 141, 197)) x(k, s, e) WHERE length(seq) >= 200),
+tiles AS (SELECT chrom, seq, length(seq) AS n, unnest(range(0, (length(seq) - 1) // 200 + 1)) AS tile FROM contigs WHERE length(seq) >= 4),
+exons AS (SELECT chrom, seq, CASE WHEN CAST(right(chrom, 1) AS INTEGER) % 2 = 1 THEN '-' ELSE '+' END AS strand, 3 * tile + x.k AS k, 200 * tile + x.a AS s, least(200 * tile + x.b, n) AS e FROM tiles CROSS JOIN (VALUES (0, 4, 60), (1, 71, 130), (2, 141, 197)) x(k, a, b) WHERE 200 * tile + x.a <= n),
 whole AS (SELECT 't' || chrom AS id, strand, string_agg(substr(seq, s, e - s + 1), '' ORDER BY s) AS w FROM exons GROUP BY ALL),
 spliced AS (SELECT id, strand, CASE WHEN strand = '-' THEN translate(reverse(w), 'ACGT', 'TGCA') ELSE w END AS seq FROM whole)"""
 
@@ -333,20 +331,21 @@ def spliced_sequence(spark, sf_dir):
 @query("translate_cds", f"""{EXONS_SQL}, bases AS (SELECT unnest(['T', 'C', 'A', 'G']) AS b, generate_subscripts(['T', 'C', 'A', 'G'], 1) - 1 AS k),
 code AS (SELECT x.b || y.b || z.b AS codon, substr('FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG', CAST(16 * x.k + 4 * y.k + z.k + 1 AS BIGINT), 1) AS aa FROM bases x, bases y, bases z),
 steps AS (SELECT id, p, substr(seq, 3 * p + 1, 3) AS codon FROM spliced, LATERAL (SELECT unnest(range(0, length(seq) // 3)) AS p) r)
-SELECT id, string_agg(aa, '' ORDER BY p) AS protein FROM steps JOIN code USING (codon) GROUP BY id""")
+SELECT spliced.id, coalesce(string_agg(aa, '' ORDER BY p), '') AS protein FROM spliced LEFT JOIN (steps JOIN code USING (codon)) x ON x.id = spliced.id GROUP BY spliced.id""")
 def translate_cds(spark, sf_dir):
     return orf.translated(orf.spliced(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir)), 1).select("id", "protein")
 
 
 @query("orf_to_genome", f"""{EXONS_SQL},
-orfs AS (SELECT id, strand, 10 AS f, 120 AS t FROM spliced),
+orfs AS (SELECT 't' || chrom AS id, 1 AS f, sum(e - s + 1) AS t FROM exons GROUP BY chrom),
 placed AS (SELECT 't' || chrom AS id, 't' || chrom || ':CDS:' || k AS cid, strand, s, e, coalesce(sum(e - s + 1) OVER (PARTITION BY chrom ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM exons),
 cut AS (SELECT p.*, greatest(f - 1 - before, 0) AS low, least(t - CASE WHEN p.strand = '-' THEN 1 ELSE 0 END - before, e - s + 1) AS high FROM placed p JOIN orfs o ON p.id = o.id),
 mapped AS (SELECT id AS parent_id, cid, strand, CASE WHEN strand = '-' THEN e - high + 1 ELSE s + low END AS s, CASE WHEN strand = '-' THEN e - low ELSE s + high - 1 END AS e FROM cut WHERE low < high)
 SELECT cid AS id, parent_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS stop, CAST((3 - coalesce(sum(e - s + 1) OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 3) % 3 AS BIGINT) AS phase FROM mapped""")
 def orf_to_genome(spark, sf_dir):
+    """An ORF from each transcript's first base to its last."""
     exons = _exons(spark, sf_dir)
-    orfs = exons.select(F.col("parent_id").alias("id")).distinct().select("id", F.lit(10).cast("long").alias("start"), F.lit(120).cast("long").alias("stop"))
+    orfs = exons.groupBy(F.col("parent_id").alias("id")).agg(F.lit(1).cast("long").alias("start"), F.sum(F.col("end") - F.col("start") + 1).alias("stop"))
     return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
 
 
@@ -429,12 +428,21 @@ def cleanup_report(spark, sf_dir):
 
 
 def _junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return bridge.table(spark, sf_dir, "orders").select(F.concat(F.lit("d"), (k % 250).cast("string")).alias("chrom"), (1 + k % 90).cast("long").alias("intron_start"), (100 + c % 300).cast("long").alias("intron_end"), (c % 3).alias("strand"), (k % 7).alias("motif"), (1 + k % 50).alias("unique"), (c % 5).alias("multi"))
-
-
-JUNCTIONS = """junctions AS (SELECT 'd' || (o_orderkey % 250) AS chrom, 1 + o_orderkey % 90 AS a, 100 + o_custkey % 300 AS b, o_custkey % 3 AS strand, o_orderkey % 7 AS motif, 1 + o_orderkey % 50 AS uniq, o_custkey % 5 AS multi FROM orders)"""
-TALLY = f"""WITH {CONTIGS_SQL}, {JUNCTIONS},
+    """Junctions over all contigs and all of their bases; an intron in eight ends beyond its contig."""
+    docs = bridge.contigs(spark, sf_dir).select("chrom", F.length("seq").cast("long").alias("n"))
+    k, c = F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long")
+    rows = bridge.table(spark, sf_dir, "orders").select(k.alias("k"), c.alias("c"), F.concat(F.lit("d"), (k % max(1, docs.count())).cast("string")).alias("chrom"))
+    k, c, n = F.col("k"), F.col("c"), F.coalesce("n", F.lit(0).cast("long"))
+    start = 1 + (k * 7919 + c * 104729) % F.greatest(n, F.lit(1).cast("long"))
+    size = F.when(k % 8 == 0, n).otherwise((c * 31 + k * 17) % F.greatest(n - start, F.lit(1).cast("long")))
+    return rows.join(docs, "chrom", "left").select("chrom", start.alias("intron_start"), (start + F.greatest(size, F.lit(1).cast("long"))).alias("intron_end"), (c % 3).alias("strand"), (k % 7).alias("motif"), (1 + k % 50).alias("unique"), (c % 5).alias("multi"))
+
+
+JUNCTIONS = f"""{CONTIGS_SQL}, sized AS (SELECT chrom, length(seq) AS n FROM contigs),
+placed AS (SELECT o_orderkey AS k, o_custkey AS c, 'd' || (o_orderkey % (SELECT greatest(1, count(*)) FROM contigs)) AS chrom FROM orders),
+starts AS (SELECT p.*, coalesce(n, 0) AS n, 1 + (k * 7919 + c * 104729) % greatest(coalesce(n, 0), 1) AS a FROM placed p LEFT JOIN sized USING (chrom)),
+junctions AS (SELECT chrom, a, a + greatest(CASE WHEN k % 8 = 0 THEN n ELSE (c * 31 + k * 17) % greatest(n - a, 1) END, 1) AS b, c % 3 AS strand, k % 7 AS motif, 1 + k % 50 AS uniq, c % 5 AS multi FROM starts)"""
+TALLY = f"""WITH {JUNCTIONS},
 kinds AS (SELECT CASE motif WHEN 1 THEN 'GT-AG' WHEN 2 THEN 'CT-AC' WHEN 3 THEN 'GC-AG' WHEN 4 THEN 'CT-GC' WHEN 5 THEN 'AT-AC' WHEN 6 THEN 'GT-AT' ELSE CASE WHEN seq IS NOT NULL AND b <= length(seq) THEN upper(substr(seq, a, 2) || '-' || substr(seq, b - 1, 2)) ELSE 'unknown' END END AS type, uniq FROM junctions LEFT JOIN contigs USING (chrom)),
 tally AS (SELECT type, count(*) AS count, CAST(sum(uniq) AS BIGINT) AS unique_reads FROM kinds GROUP BY type)"""
 
@@ -481,10 +489,10 @@ def contig_sort(spark, sf_dir):
     return bridge.contigs(spark, sf_dir).select("chrom", F.upper("seq").alias("seq"), F.length("seq").cast("long").alias("length")).orderBy(F.desc("length"), "chrom")
 
 
-@query("nonoverlapping_genes", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE a.g % 2 = 0 AND NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds WHERE rn = 2)")
+@query("nonoverlapping_genes", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds)")
 def nonoverlapping_genes(spark, sf_dir):
     parts = bridge.cds(spark, sf_dir)
-    return intervals.nonoverlapping_genes(bridge.genes(parts).where("g % 2 = 0"), _pred(spark, sf_dir), parts.where("rn = 2").select("gene_id")).select("id")
+    return intervals.nonoverlapping_genes(bridge.genes(parts), _pred(spark, sf_dir), parts.select("gene_id")).select("id")
 
 
 @query("transcript_models", f"{BASE} SELECT 'gene' AS type, id, NULL AS parent_id FROM genes UNION ALL SELECT 'mRNA', id || '_mRNA', id FROM genes UNION ALL SELECT 'CDS', id, gene_id || '_mRNA' FROM cds")
@@ -558,84 +566,3 @@ def comparison_labels(spark, sf_dir):
     k = F.col("page_id")
     path = F.concat(F.lit("/out/run"), (k % 40).cast("string"), F.when(k % 2 == 0, ".gff3").otherwise(".v1.gff"))
     return status.labels(bridge.table(spark, sf_dir, "pages").select(k.alias("position"), path.alias("path")))
-
-
-def _contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bridge.contigs(spark, sf_dir, None)
-
-
-@query("codon_scan_whole")
-def codon_scan_whole(spark, sf_dir):
-    """codon_scan over whole texts. Like all *_whole queries it has no SQL: that of its namesake reads 600 characters."""
-    return orf.codon_hits(_contigs(spark, sf_dir).select(F.col("chrom").alias("id"), "seq", F.lit("+").alias("strand")), 11).select("id", "pos", "codon", "frame")
-
-
-@query("longest_orf_whole")
-def longest_orf_whole(spark, sf_dir):
-    hits = orf.codon_hits(_contigs(spark, sf_dir).select(F.col("chrom").alias("id"), "seq", F.lit("+").alias("strand")), 1)
-    return orf.longest_orfs(hits, 60, 0.1).select("id", "start", "stop", "frame", "orflen")
-
-
-def _exons_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three exons in each 200 bases of every contig, to its last base; on the minus strand for odd ids."""
-    n = F.length("seq").cast("long")
-    strand = F.when(F.substring("chrom", -1, 1).cast("int") % 2 == 1, "-").otherwise("+")
-    tiles = _contigs(spark, sf_dir).where(n >= 4).select("chrom", strand.alias("strand"), n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(length(seq) - 1) div 200"))).alias("tile"))
-    spans = F.array(*(F.struct((200 * F.col("tile") + a).alias("start"), F.least(200 * F.col("tile") + b, F.col("n")).alias("end"), (3 * F.col("tile") + k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
-    rows = tiles.select("chrom", "strand", "n", F.explode(spans).alias("x")).where("x.start <= n")
-    return rows.select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
-
-
-@query("spliced_sequence_whole")
-def spliced_sequence_whole(spark, sf_dir):
-    return orf.spliced(_exons_whole(spark, sf_dir), _contigs(spark, sf_dir)).select("id", "strand", "seq")
-
-
-@query("translate_cds_whole")
-def translate_cds_whole(spark, sf_dir):
-    return orf.translated(orf.spliced(_exons_whole(spark, sf_dir), _contigs(spark, sf_dir)), 1).select("id", "protein")
-
-
-@query("orf_to_genome_whole")
-def orf_to_genome_whole(spark, sf_dir):
-    """An ORF from each transcript's first base to its last."""
-    exons = _exons_whole(spark, sf_dir)
-    orfs = exons.groupBy(F.col("parent_id").alias("id")).agg(F.lit(1).cast("long").alias("start"), F.sum(F.col("end") - F.col("start") + 1).alias("stop"))
-    return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
-
-
-def _junctions_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Junctions over all contigs and all of their bases; an intron in eight ends beyond its contig."""
-    docs = _contigs(spark, sf_dir).select("chrom", F.length("seq").cast("long").alias("n"))
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    rows = bridge.table(spark, sf_dir, "orders").select((k % 7).alias("motif"), (1 + k % 50).alias("unique"), k.alias("k"), c.alias("c"), F.concat(F.lit("d"), (k % max(1, docs.count())).cast("string")).alias("chrom"))
-    at = 1 + F.pmod(F.xxhash64("k", "c"), F.greatest(F.col("n"), F.lit(1)))
-    size = F.when(F.col("k") % 8 == 0, F.col("n")).otherwise(F.pmod(F.xxhash64("c", "k"), F.greatest(F.col("n") - at, F.lit(1))))
-    return rows.join(docs, "chrom", "left").select("chrom", F.coalesce(at, F.lit(1)).cast("long").alias("intron_start"), F.coalesce(at + F.greatest(size, F.lit(1)), F.lit(1)).cast("long").alias("intron_end"), "motif", "unique")
-
-
-@query("splice_tally_whole")
-def splice_tally_whole(spark, sf_dir):
-    return splice.tally(_junctions_whole(spark, sf_dir), _contigs(spark, sf_dir))
-
-
-@query("splice_filter_whole")
-def splice_filter_whole(spark, sf_dir):
-    return splice.extra_types(splice.tally(_junctions_whole(spark, sf_dir), _contigs(spark, sf_dir)))
-
-
-@query("contig_sort_whole")
-def contig_sort_whole(spark, sf_dir):
-    return _contigs(spark, sf_dir).select("chrom", F.upper("seq").alias("seq"), F.length("seq").cast("long").alias("length")).orderBy(F.desc("length"), "chrom")
-
-
-@query("genome_split_size_whole")
-def genome_split_size_whole(spark, sf_dir):
-    return evidence.split_size(_contigs(spark, sf_dir), 8)
-
-
-@query("nonoverlapping_genes_whole", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds)")
-def nonoverlapping_genes_whole(spark, sf_dir):
-    """nonoverlapping_genes over all genes; that of the shorter name keeps every second one, as its SQL does."""
-    parts = bridge.cds(spark, sf_dir)
-    return intervals.nonoverlapping_genes(bridge.genes(parts), _pred(spark, sf_dir), parts.select("gene_id")).select("id")

@@ -2,34 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genespark.functions.columns import attribute_map, attribute_text, first_value, gtf_map
+from genespark.functions.columns import attribute_map, attribute_text, first_value, gtf_map, raw_attribute
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(file, line_no, value) of text files, cut at a '##FASTA' line.
+    """(file, line_no, value) of text files, from 0 on, cut at a '##FASTA' line.
 
-    Numbers need the order within a file, so a file is read as one row and split in the task that has it; the cut is
-    made there as well. For very large files, convert to Parquet once.
+    Files are read in splits. Spark numbers the rows of a split in order, and a window over one row a split adds the lines
+    of the splits before it, so no file is ever one row or one task.
     """
-    whole = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), "value")
-
-    def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for file, text in zip(frame.file, frame.value, strict=True):
-                rows = []
-                for n, line in enumerate(text.splitlines()):
-                    if line.startswith("##FASTA"):
-                        break
-                    rows.append((file, n, line))
-                yield pd.DataFrame(rows, columns=["file", "line_no", "value"])
-
-    return whole.mapInPandas(split, "file string, line_no long, value string")
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"), "value")
+    splits = rows.groupBy("file", "_at").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")) - F.col("_first"))
+    rows = rows.join(splits.select("file", "_at", "_before"), ["file", "_at"]).select("file", (F.col("_n") + F.col("_before")).alias("line_no"), "value")
+    stop = rows.where(F.startswith("value", F.lit("##FASTA"))).groupBy("file").agg(F.min("line_no").alias("_stop"))
+    return rows.join(stop, "file", "left").where("_stop is null or line_no < _stop").drop("_stop")
 
 
 def features(rows: DataFrame, dialect: str = "gff3") -> DataFrame:
@@ -46,8 +37,14 @@ def features(rows: DataFrame, dialect: str = "gff3") -> DataFrame:
 
 
 def models(rows: DataFrame) -> DataFrame:
-    """Only genes, mRNAs and CDS with an id, as comparison reads them: chrom, strand, start, end, type, id, parent_id, line_no."""
-    return features(rows).where(F.col("type").isin("gene", "mRNA", "CDS") & F.col("id").isNotNull()).select("chrom", "strand", "start", "end", "type", "id", "parent_id", "line_no")
+    """Only genes, mRNAs and CDS with an id, as comparison reads them: chrom, strand, start, end, type, id, parent_id, line_no.
+
+    Ids and the first parent are taken as they are written, without URL-decoding.
+    """
+    part = lambda i: F.get(F.col("_c"), i)
+    rows = rows.where(~F.col("value").startswith("#")).withColumn("_c", F.split("value", "\t")).where((F.size("_c") >= 9) & part(2).isin("gene", "mRNA", "CDS"))
+    out = rows.select(part(0).alias("chrom"), part(6).alias("strand"), F.expr("try_cast(_c[3] as bigint)").alias("start"), F.expr("try_cast(_c[4] as bigint)").alias("end"), part(2).alias("type"), raw_attribute(part(8), "ID").alias("id"), F.substring_index(raw_attribute(part(8), "Parent"), ",", 1).alias("parent_id"), "line_no")
+    return out.where("id is not null")
 
 
 def from_gtf(rows: DataFrame) -> DataFrame:
@@ -69,9 +66,10 @@ def grouped_exons(rows: DataFrame) -> DataFrame:
 
 
 def unique_ids(rows: DataFrame) -> DataFrame:
-    """Ids that repeat get _1, _2, ... from their second line on, in file order."""
+    """Ids that repeat get _1, _2, ... from their second line on, in file order. Rows without an id stay as they are, out of the window."""
     k = F.row_number().over(Window.partitionBy("id").orderBy("line_no")) - 1
-    return rows.withColumn("id", F.when(F.col("id").isNotNull() & (k > 0), F.concat_ws("_", "id", k.cast("string"))).otherwise(F.col("id")))
+    named = rows.where("id is not null").withColumn("id", F.when(k > 0, F.concat_ws("_", "id", k.cast("string"))).otherwise(F.col("id")))
+    return named.unionByName(rows.where("id is null"))
 
 
 def count_type(rows: DataFrame, kind: str) -> DataFrame:
