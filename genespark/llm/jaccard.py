@@ -6,8 +6,9 @@ one is rare, a single-token index finds the pair. Otherwise all shared tokens ar
 are longer by c share at least c + 1 of them; frequent tokens are dealt into c cells, so two of those fall into one
 cell, and an index of two-token combinations within cells finds the pair. So nothing is indexed under a frequent
 token alone. Within each index list, parity bitmaps bound the difference of two sets from below; a spanning forest
-of the pairs that this leaves is verified on the texts. Where a pair of a forest fails, all pairs of the
-component concerned that are not yet known to be connected are looked at too, so no link is lost.
+of the pairs that this leaves is verified on the texts. Two similar sets are in one list, and its forest connects
+them by links unless one of its own pairs fails; so of a list with a failed pair, all pairs that are not yet known
+to be connected are looked at too, and no link is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genespark.llm.graph import components
-from genespark.llm.util import Texts, lists, map_text, materialize, mix64, pieces
+from genespark.llm.util import Texts, discard, lists, map_text, materialize, mix64, pieces
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BLANK = np.zeros(256, bool)
@@ -182,6 +183,11 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(got) if got else None
 
 
+def _parts(rows: DataFrame, each: int) -> int:
+    """Partitions for stored rows that a function holds a partition of: by their number, so that none grows with the table."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // each)
+
+
 def _node_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct sets of two or more nodes under the keys of a partition, which holds all rows (key, node) of its keys."""
     table = _gather(batches)
@@ -212,17 +218,17 @@ def blocks_of(rows: DataFrame, group: str, block: int) -> DataFrame:
 def index_lists(rows: DataFrame, block: int = 2000) -> DataFrame:
     """(gid, across, own, node): the nodes that share an index key. Keys with the same nodes count once.
 
-    Lists of frequent combinations that are longer than `block` are split into pairs of blocks; with across,
-    only pairs of nodes from different blocks (own) count.
+    Lists longer than `block`, of rare tokens or of combinations, are split into pairs of blocks, so no list is one
+    task; with across, only pairs of nodes from different blocks (own) count.
     """
-    rare = rows.select(F.explode("rare").alias("key"), "node")
-    combined = rows.select(F.explode("combined").alias("key"), "node")
-    many = combined.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    combined = combined.join(many, "key")
-    short = rare.unionByName(combined.where(F.col("n") <= block).select("key", "node"))
-    sets = short.repartition("key").mapInArrow(_node_sets, "nodes array<long>").distinct()
+    keys = rows.select(F.explode(F.concat("rare", "combined")).alias("key"), "node")
+    # most keys are met once: partial counts and one join by key leave the others, with the lengths of their lists
+    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keys = materialize(keys.join(many.hint("shuffle_hash"), "key"), "jaccard-keys")
+    short = keys.where(F.col("n") <= block).select("key", "node")
+    sets = short.repartition(_parts(short, 500_000), "key").mapInArrow(_node_sets, "nodes array<long>").distinct()
     sets = sets.select(F.xxhash64("nodes").alias("gid"), F.lit(False).alias("across"), F.lit(0).alias("own"), F.explode("nodes").alias("node"))
-    return sets.unionByName(blocks_of(combined.where(F.col("n") > block), "key", block))
+    return sets.unionByName(blocks_of(keys.where(F.col("n") > block).distinct(), "key", block))
 
 
 class _Bitmaps:
@@ -258,7 +264,7 @@ class _Bitmaps:
 
 
 def candidate_pairs(t: int, forest: bool):
-    """For partitions of groups with sizes, bitmaps and known roots: pairs to verify.
+    """For partitions of groups with sizes, bitmaps and known roots: pairs (gid, a, b) to verify.
 
     forest: pairs that join the group's nodes as far as they may be similar. Otherwise all pairs that may be similar
     and have different roots, by the full bitmaps.
@@ -272,7 +278,7 @@ def candidate_pairs(t: int, forest: bool):
         across, bits = table.column("across").to_numpy(zero_copy_only=False), table.column("bits")
         order = np.lexsort((size, gid))
         start = np.flatnonzero(np.append(True, gid[order][1:] != gid[order][:-1]))
-        x, y = [], []
+        x, y, z_ = [], [], []
         for a, z in zip(start.tolist(), np.append(start[1:], len(order)).tolist(), strict=True):
             at = order[a:z]
             at = at[np.unique(node[at], return_index=True)[1]]
@@ -297,11 +303,12 @@ def candidate_pairs(t: int, forest: bool):
                     r[np.isin(r, joined)] = r[i]
                 x.append(np.full(len(j), group[i]))
                 y.append(group[j])
+                z_.append(np.full(len(j), gid[order[a]]))
         if x:
-            x, y = np.concatenate(x), np.concatenate(y)
-            ab = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
-            for at in range(0, len(ab), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(ab[at : at + 50_000, 0]), pa.array(ab[at : at + 50_000, 1])], ["a", "b"])
+            x, y, z_ = np.concatenate(x), np.concatenate(y), np.concatenate(z_)
+            for at in range(0, len(x), 50_000):
+                cut = slice(at, at + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(z_[cut]), pa.array(np.minimum(x, y)[cut]), pa.array(np.maximum(x, y)[cut])], ["gid", "a", "b"])
 
     return run
 
@@ -359,26 +366,26 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     found = materialize(profiles(docs, frequent, id_col=id_col, text=text, n=n, t=t).withColumnRenamed(id_col, "id_"), "jaccard-profiles")
     nodes = materialize(found.where("node is not null").groupBy("node").agg(F.min("id_").alias("rep"), F.max("size").alias("size"), F.max("bits").alias("bits")), "jaccard-nodes")
     reps = nodes.select("node", "rep")
-    listed = index_lists(found.where("bits is not null").select("node", "rare", "combined"), block)
+    listed = materialize(index_lists(found.where("bits is not null").select("node", "rare", "combined"), block), "jaccard-lists")
+    groups = _parts(listed, 200_000)
     facts = nodes.where("bits is not null").select("node", "size", "bits")
-    shape = "a long, b long"
+    shape = "gid long, a long, b long"
     options = {"id_col": id_col, "text": text, "n": n, "t": t}
-    first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition("gid").mapInArrow(candidate_pairs(t, True), shape).distinct()
-    first = materialize(first, "jaccard-pairs")
-    done = materialize(verify(first, docs, reps, **options), "jaccard-verified")
+    first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition(groups, "gid").mapInArrow(candidate_pairs(t, True), shape)
+    first = materialize(first, "jaccard-forests")
+    done = materialize(verify(first.select("a", "b").distinct(), docs, reps, **options), "jaccard-verified")
     roots = components(done.where("linked"))
-    # similar sets of a list are in one component of its pairs; where a pair failed, all in that component are looked at
-    around = components(first).withColumnRenamed("root", "cluster")
-    failed = done.where("not linked").join(around, F.col("a") == F.col("node")).select("cluster").distinct()
-    around = around.join(failed, "cluster", "left_semi")
-    around = materialize(around.join(around.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster"), "jaccard-clusters")
-    second = blocks_of(around, "cluster", block).join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = second.repartition("gid").mapInArrow(candidate_pairs(t, False), shape).distinct().join(done, ["a", "b"], "left_anti")
+    # lists of which a pair failed: all their pairs with different roots
+    again = first.join(done.where("not linked").select("a", "b"), ["a", "b"]).select("gid").distinct()
+    second = listed.join(again, "gid", "left_semi").join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    second = second.repartition(groups, "gid").mapInArrow(candidate_pairs(t, False), shape).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
     more = materialize(second, "jaccard-pairs")
     if more.limit(1).count():
         late = materialize(verify(more, docs, reps, **options).where("linked"), "jaccard-verified")
         if late.limit(1).count():
             roots = components(done.where("linked").unionByName(late))
+    discard(listed)
+    discard(first)
     grouped = nodes.select("node", "rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = grouped.groupBy("root").agg(F.min("rep").alias("component_id"))
     by_node = grouped.join(least, "root").select("node", "component_id")
