@@ -3,16 +3,16 @@
 The exact table holds one row for each key (line, stripped and lower-cased, as a 128-bit hash) with the number
 of documents that hold it and the largest id among them; postings (key, document) make deletions exact. Each
 shard of the key space has a cuckoo filter of the keys in its reference table: on insertion, a key that the
-filter does not hold is new for certain and skips the lookup; on deletion, keys whose count falls to zero leave
-the filter. So any sequence of insertions and deletions ends in the state that a build from scratch gives.
+filter does not hold is new for certain, skips the lookup and enters the filter; on deletion, keys whose count falls to
+zero leave it. A filter is made anew only when it is full. So any sequence of insertions and deletions ends in the state that a build from scratch gives.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -85,6 +85,13 @@ class CuckooFilter:
             bucket = self._other(bucket, finger)
         return False
 
+    def add(self, keys: np.ndarray, known: bool = False) -> bool:
+        """Insert keys that are not held (known: their fingerprints may be, from other keys); False if the filter is full."""
+        keys = keys if known else keys[~self.contains(keys)]
+        if int((self.table != 0).sum()) + len(keys) > 0.9 * self.table.size:
+            return False
+        return self.insert(keys)
+
     def contains(self, keys: np.ndarray) -> np.ndarray:
         finger, bucket = self._places(keys)
         return (self.table[bucket] == finger[:, None]).any(1) | (self.table[self._other(bucket, finger)] == finger[:, None]).any(1)
@@ -98,6 +105,17 @@ class CuckooFilter:
                     break
 
 
+def _only_with_filter(change: Callable[[pa.Table, pa.Table], pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For cogroups of keys and filters: shards without a filter give nothing, those without keys their filter as it is."""
+
+    def run(keys: pa.Table, cells: pa.Table) -> pa.Table:
+        if not cells.num_rows or not keys.num_rows:
+            return pa.table({"shard": cells["shard"], "cells": cells["cells"]})
+        return change(keys, cells)
+
+    return run
+
+
 def _line_keys(text: bytes, least: int) -> list[tuple[bytes, int | None]]:
     """Each line with its 128-bit key, None below `least` code points."""
     out = []
@@ -153,35 +171,58 @@ class LineIndex:
         return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).select(F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard"), "k1", "k2", "n", "last")
 
     def insert(self, rows: DataFrame, fresh: bool = False) -> "LineIndex":
-        """Add postings. fresh: none of their documents is held yet; otherwise those held are left out first."""
+        """Add postings. fresh: none of their documents is held yet; otherwise those held are left out first.
+
+        Each shard that the batch touches loads its filter, which tells what may be held from what is new for certain;
+        the new keys go into that filter (it is made anew, at twice the size, only when they no longer fit). Only keys that
+        may be held are looked up, so the exact table is joined with those, and its other rows pass through unread by keys.
+        """
         if not fresh:
             rows = materialize(rows.join(self.postings, (rows.k1 == self.postings.k1) & (rows.k2 == self.postings.k2) & rows.doc.eqNullSafe(self.postings.doc), "left_anti"), "line-postings")
         batch = self._count(rows)
         kind = batch.schema["last"].dataType.simpleString()
 
-        def probe(keys: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-            """What the filter says of each key, and with one row more the filter with the new ones in it."""
-            k = keys.k1.to_numpy(np.int64)
-            if len(cells) and len(cells.cells[0]):
-                held = CuckooFilter.load(cells.cells[0])
-                keys["seen"] = held.contains(k) if len(k) else False
-            else:
-                keys["seen"] = False
-            return keys[["shard", "k1", "k2", "n", "last", "seen"]]
-
-        marked = materialize(batch.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(probe, f"shard int, k1 long, k2 long, n long, last {kind}, seen boolean"), "line-marked")
-        old = self.refs
-        # keys new for certain skip the lookup; the filter's other keys are looked up in the exact table
-        known = marked.where("seen").drop("seen").unionByName(old).groupBy("shard", "k1", "k2").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
-        refs = materialize(known.unionByName(marked.where("not seen").drop("seen")), "line-refs")
-        return replace(self, postings=self.postings.unionByName(rows), refs=refs, filters=self._filters(refs))
+        def probe(keys: pa.Table, cells: pa.Table) -> pa.Table:
+            """What the filter says of each key; the last row carries the filter with the new ones in it (null: it is full)."""
+            held = CuckooFilter.load(cells["cells"][0].as_py()) if cells.num_rows else None
+            shard = (keys if keys.num_rows else cells)["shard"][0].as_py()
+            k = keys["k1"].to_numpy()
+            seen = held.contains(k) if held is not None else np.zeros(len(k), bool)
+            new = np.unique(k[~seen])
+            held = CuckooFilter.build(new) if held is None else held if held.add(new) else None
+            one = {"shard": [shard], "k1": [None], "k2": [None], "n": [None], "last": [None], "seen": [held is None], "cells": [None if held is None else held.dump()]}
+            types = pa.schema([*keys.schema, ("seen", pa.bool_()), ("cells", pa.binary())])
+            rows = keys.append_column("seen", pa.array(seen)).append_column("cells", pa.nulls(len(k), pa.binary()))
+            return pa.concat_tables([rows.cast(types), pa.table({c: pa.array(v, types.field(c).type) for c, v in one.items()}, types)])
+
+        marked = materialize(batch.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(probe, f"shard int, k1 long, k2 long, n long, last {kind}, seen boolean, cells binary"), "line-marked")
+        keys = marked.where("n is not null")
+        held = materialize(keys.where("seen").select("shard", "k1", "k2", F.col("n").alias("n_"), F.col("last").alias("last_")), "line-held")
+        old = self.refs.join(held, ["shard", "k1", "k2"], "full").select("shard", "k1", "k2", (F.coalesce("n", F.lit(0).cast("long")) + F.coalesce("n_", F.lit(0).cast("long"))).alias("n"), F.greatest("last", "last_").alias("last"))
+        refs = materialize(old.unionByName(keys.where("not seen").select("shard", "k1", "k2", "n", "last")), "line-refs")
+        # keys that the filter held by chance only have no fingerprint of their own yet: a deletion would take another's
+        chance = held.select("shard", "k1").distinct().join(self.refs.select("k1"), "k1", "left_anti")
+
+        def add(keys: pa.Table, cells: pa.Table) -> pa.Table:
+            out = CuckooFilter.load(cells["cells"][0].as_py())
+            fits = out.add(keys["k1"].to_numpy(), known=True)
+            return pa.table({"shard": cells["shard"].combine_chunks(), "cells": pa.array([out.dump() if fits else None], pa.binary())})
+
+        ready = marked.where("cells is not null").select("shard", "cells")
+        filters = materialize(chance.groupBy("shard").cogroup(ready.groupBy("shard")).applyInArrow(_only_with_filter(add), "shard int, cells binary"), "line-filters")
+        full = materialize(filters.where("cells is null").select("shard").unionByName(marked.where("n is null and seen").select("shard")).distinct(), "line-full")
+        if full.limit(1).count():
+            filters = filters.where("cells is not null").unionByName(self._filters(refs.join(full, "shard", "left_semi")))
+        return replace(self, postings=self.postings.unionByName(rows), refs=refs, filters=filters)
 
     def _filters(self, refs: DataFrame) -> DataFrame:
-        def build(keys: pd.DataFrame) -> pd.DataFrame:
-            cells = CuckooFilter.build(np.unique(keys.k1.to_numpy(np.int64)))
-            return pd.DataFrame({"shard": keys.shard.iloc[:1], "cells": [cells.dump()]})
+        """Filters made anew from the exact table, for shards whose filter is full."""
+
+        def build(keys: pa.Table) -> pa.Table:
+            cells = CuckooFilter.build(np.unique(keys["k1"].to_numpy()))
+            return pa.table({"shard": pa.array([keys["shard"][0].as_py()], pa.int32()), "cells": pa.array([cells.dump()], pa.binary())})
 
-        return materialize(refs.select("shard", "k1").groupBy("shard").applyInPandas(build, "shard int, cells binary"), "line-filters")
+        return materialize(refs.select("shard", "k1").groupBy("shard").applyInArrow(build, "shard int, cells binary"), "line-filters")
 
     def delete(self, ids: DataFrame) -> "LineIndex":
         """Take documents out again: ids has one column of document ids (nulls: the documents without id)."""
@@ -194,14 +235,12 @@ class LineIndex:
         # several keys may share their first half: a fingerprint goes only when none of them is left
         dead = touched.select("k1").distinct().join(refs.select("k1"), "k1", "left_anti").select(F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard"), "k1")
 
-        def drop(keys: pd.DataFrame, cells: pd.DataFrame) -> pd.DataFrame:
-            if not len(cells):
-                return pd.DataFrame({"shard": [], "cells": []})
-            held = CuckooFilter.load(cells.cells[0])
-            held.delete(keys.k1.to_numpy(np.int64))
-            return pd.DataFrame({"shard": cells.shard.iloc[:1], "cells": [held.dump()]})
+        def drop(keys: pa.Table, cells: pa.Table) -> pa.Table:
+            held = CuckooFilter.load(cells["cells"][0].as_py())
+            held.delete(keys["k1"].to_numpy())
+            return pa.table({"shard": cells["shard"].combine_chunks(), "cells": pa.array([held.dump()], pa.binary())})
 
-        filters = materialize(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(drop, "shard int, cells binary"), "line-filters")
+        filters = materialize(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(_only_with_filter(drop), "shard int, cells binary"), "line-filters")
         return replace(self, postings=left, refs=refs, filters=filters)
 
     def doomed(self, min_docs: int) -> DataFrame:

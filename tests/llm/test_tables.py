@@ -164,6 +164,24 @@ def test_line_index_is_reversible(spark):
     assert all(held[k % 4].contains(np.array([k]))[0] for k in keys.tolist())
 
 
+def test_insertion_goes_into_the_filters(spark, monkeypatch):
+    """A small batch changes the stored filters; only one that overflows is made anew; both hold all keys afterwards."""
+    r = random.Random(5)
+    rows = lambda a, b: linededup.postings(docs_of(spark, [(i, f"line {i} {r.random()} that is long enough to count as a key", "s") for i in range(a, b)]))
+    made = []
+    real = linededup.LineIndex._filters
+    monkeypatch.setattr(linededup.LineIndex, "_filters", lambda self, refs: made.append(1) or real(self, refs))
+    first = rows(0, 60)
+    index = linededup.LineIndex.empty(first, 2).insert(first)
+    index = index.insert(rows(60, 64))
+    assert not made and index.filters.count() == 2
+    index = index.insert(rows(64, 400))
+    assert made
+    keys = [x.k1 for x in index.refs.collect()]
+    held = {x.shard: linededup.CuckooFilter.load(x.cells) for x in index.filters.collect()}
+    assert len(keys) == 400 and all(held[k % 2].contains(np.array([k]))[0] for k in keys)
+
+
 # decontamination
 
 
