@@ -9,14 +9,16 @@ all of them), so it stays vectorised although each place skips at its own pace.
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genespark.llm.util import Texts, lists, map_text
+from genespark.llm.util import Texts, lists, map_text, materialize
 
 _LOWER = np.full(256, 0x20, np.uint8)
 for _c in range(256):
@@ -42,45 +44,62 @@ def normalise(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], index[at]
 
 
+@dataclass
 class WuManber:
-    """Patterns of one class of lengths: shift table, suffix-hash buckets, verification."""
+    """Patterns of one class of lengths: shift table, suffix-hash buckets, and where each pattern stands in the items' text.
 
-    BITS = 20
+    All arrays: they are made once, on the driver, and sent to the tasks as they are.
+    """
+
+    start: np.ndarray  # of each pattern in the text of all items
+    lengths: np.ndarray
+    n_words: np.ndarray
+    owner_from: np.ndarray  # the items of pattern p are owners[owner_from[p] : owner_from[p + 1]]
+    owners: np.ndarray
+    m: int = 0
+    block: int = 0
+    bits: int = 0
+    shift: np.ndarray | None = None
+    bucket: np.ndarray | None = None
+    members: np.ndarray | None = None
+    head: np.ndarray | None = None
 
-    def __init__(self, patterns: list[bytes]):
-        self.patterns = patterns
-        self.m = min(map(len, patterns))
+    def index(self, text: np.ndarray) -> "WuManber":
+        """Build the tables from the items' text."""
+        self.m = int(self.lengths.min())
         self.block = min(8, self.m)
-        self.mask = np.uint64((1 << (8 * self.block)) - 1)
-        self.shift = np.full(1 << self.BITS, self.m - self.block + 1, np.int32)
-        prefix = np.frombuffer(b"".join(p[: self.m] for p in patterns), np.uint8).reshape(-1, self.m)
-        padded = np.zeros((len(patterns), self.m + 8), np.uint8)
-        padded[:, : self.m] = prefix
+        self.bits = min(20, max(14, int(len(self.start) * 64).bit_length()))
+        # a shorter shift than possible is right too: one byte each
+        self.shift = np.full(1 << self.bits, min(255, self.m - self.block + 1), np.uint8)
+        words = _eights(text)
+        self.head = words[self.start] & self._mask
         last = None
         for j in range(self.block, self.m + 1):
-            word = np.ascontiguousarray(padded[:, j - self.block : j - self.block + 8]).view(np.uint64)[:, 0]
-            last = self._hash(word)
-            np.minimum.at(self.shift, last, self.m - j)
+            last = self._hash(words[self.start + j - self.block])
+            if self.m - j < 255:
+                np.minimum.at(self.shift, last, np.uint8(self.m - j))
         order = np.argsort(last, kind="stable")
-        self.bucket, self.members = last[order], order
-        self.lengths = np.fromiter(map(len, patterns), np.int64, len(patterns))
-        self.head = np.ascontiguousarray(padded[:, :8]).view(np.uint64)[:, 0] & self.mask
+        self.bucket, self.members = last[order].astype(np.int32), order.astype(np.int32)
+        return self
+
+    @property
+    def _mask(self) -> np.uint64:
+        return np.uint64((1 << (8 * self.block)) - 1)
 
     def _hash(self, words: np.ndarray) -> np.ndarray:
-        return (((words & self.mask) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return (((words & self._mask) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def find(self, buffer: np.ndarray, lane: int = 192) -> tuple[np.ndarray, np.ndarray]:
-        """(pattern, start) of all occurrences; buffer is a block of normalised texts."""
+    def find(self, buffer: np.ndarray, items: bytes, lane: int = 192) -> tuple[np.ndarray, np.ndarray]:
+        """(pattern, start) of all occurrences; buffer is a block of normalised texts, items the text of all items."""
         n = len(buffer)
         if n < self.m:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        data = np.concatenate([buffer, np.zeros(8, np.uint8)])
-        words = np.lib.stride_tricks.as_strided(data[:8].view(np.uint64), (n + 1,), (1,))
+        words = _eights(buffer)
         at = np.arange(self.m, n + 1, lane, dtype=np.int64)  # one past the end of the block
         end = np.minimum(at + lane, n + 1)
         spots = []
         while len(at):
-            jump = self.shift[self._hash(words[at - self.block])]
+            jump = self.shift[self._hash(words[at - self.block])].astype(np.int64)
             if len(zero := at[jump == 0]):
                 spots.append(zero)
             at = at + np.maximum(jump, 1)
@@ -94,34 +113,58 @@ class WuManber:
         many = high - low
         start = np.repeat(spot - self.m, many)
         member = self.members[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-        good = ((words[start] & self.mask) == self.head[member]) & (start + self.lengths[member] <= n)
+        good = ((words[start] & self._mask) == self.head[member]) & (start + self.lengths[member] <= n)
         start, member = start[good], member[good]
         if len(start):
             flat = buffer.tobytes()
-            same = np.fromiter((flat.startswith(self.patterns[p], s) for p, s in zip(member.tolist(), start.tolist(), strict=True)), bool, len(start))
+            same = np.fromiter((flat[s : s + z] == items[p : p + z] for s, p, z in zip(start.tolist(), self.start[member].tolist(), self.lengths[member].tolist(), strict=True)), bool, len(start))
             start, member = start[same], member[same]
         return member, start
 
 
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number (zeros over the end), without a copy for each."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.lib.stride_tricks.as_strided(padded[:8].view(np.uint64), (len(data) + 1,), (1,))
+
+
 class Matcher:
     """Windows of all items, by class of length (powers of two), each class with tables of its own."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int):
-        owners: dict[bytes, set[str]] = {}
-        for item, text in items:
-            words = normalise([(text or "").encode("utf-8")])[0].tobytes().split()
-            for k in range(max(1, len(words) - window + 1) if words else 0):
-                own = owners.setdefault(b" " + b" ".join(words[k : k + window]) + b" ", set())
-                if item is not None:
-                    own.add(item)
-        self.n_words, self.owners, self.classes = [], [], []
-        by_size: dict[int, list[bytes]] = {}
-        for p in sorted(owners):
-            by_size.setdefault(len(p).bit_length(), []).append(p)
-        for size in sorted(by_size):
-            self.classes.append((len(self.owners), WuManber(by_size[size])))
-            self.owners += [sorted(owners[p]) for p in by_size[size]]
-            self.n_words += [p.count(b" ") - 1 for p in by_size[size]]
+        text, starts = normalise([(t or "").encode("utf-8") for _, t in items]) if items else (np.zeros(0, np.uint8), np.zeros(0, np.int64))
+        self.items, self.names, self.classes = text.tobytes(), [i for i, _ in items], []
+        blank = text == 0x20
+        word = np.flatnonzero(np.append(False, blank[:-1] & ~blank[1:] & (text[1:] != _BREAK))) if len(text) else np.zeros(0, np.int64)
+        blanks = np.flatnonzero(blank)
+        after = blanks[np.searchsorted(blanks, word)]  # the blank behind each word
+        item = np.searchsorted(starts, word, "right") - 1
+        count = np.bincount(item, minlength=len(items))
+        some = np.flatnonzero(count)
+        windows = np.maximum(count[some] - window + 1, 1)
+        own = np.repeat(some, windows)
+        first = np.repeat((np.cumsum(count) - count)[some], windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+        size = np.minimum(count[own], window)
+        at, end = word[first] - 1, after[first + size - 1] + 1
+        if not len(at):
+            return
+        digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(self.items[a:z]) for a, z in zip(at.tolist(), end.tolist(), strict=True)), np.uint64).reshape(-1, 2)
+        # equal windows are one pattern of several items
+        order = np.lexsort((own, digest[:, 1], digest[:, 0]))
+        digest, own, at, length, size = digest[order], own[order], at[order], (end - at)[order], size[order]
+        new = np.append(True, (digest[1:] != digest[:-1]).any(1))
+        pattern = np.cumsum(new) - 1
+        pair = new | np.append(True, own[1:] != own[:-1])
+        pattern_of, owner = pattern[pair], own[pair]
+        begin = np.append(np.flatnonzero(np.append(True, pattern_of[1:] != pattern_of[:-1])), len(pattern_of))
+        at, length, size = at[new], length[new], size[new]
+        kind = np.frexp(length.astype(float))[1]
+        for k in np.unique(kind):
+            one = np.flatnonzero(kind == k)
+            many = begin[one + 1] - begin[one]
+            owners = owner[np.repeat(begin[one] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+            table = WuManber(at[one], length[one].astype(np.int32), size[one].astype(np.int32), np.append(0, np.cumsum(many)).astype(np.int32), owners.astype(np.int32))
+            self.classes.append(table.index(text))
 
     def scan(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[list[tuple[int, int]]]]:
         """For each text: its words, its hit words, the items that occur, and the hit runs (first word, one past the last)."""
@@ -134,17 +177,17 @@ class Matcher:
         n_words = upto[ends] - base
         change = np.zeros(int(upto[-1]) + 2, np.int64)
         found: list[set[str]] = [set() for _ in texts]
-        for offset, table in self.classes:
-            pattern, start = table.find(buffer)
+        for table in self.classes:
+            pattern, start = table.find(buffer, self.items)
             if not len(start):
                 continue
             word = upto[start]  # index of the first word: as many start before it
-            size = np.fromiter((self.n_words[offset + p] for p in pattern.tolist()), np.int64, len(pattern))
             np.add.at(change, word, 1)
-            np.add.at(change, word + size, -1)
+            np.add.at(change, word + table.n_words[pattern], -1)
             doc = np.searchsorted(starts, start, "right") - 1
             for d, p in set(zip(doc.tolist(), pattern.tolist(), strict=True)):
-                found[d].update(self.owners[offset + p])
+                own = table.owners[table.owner_from[p] : table.owner_from[p + 1]].tolist()
+                found[d].update(self.names[i] for i in own if self.names[i] is not None)
         hit = np.cumsum(change)[:-1] > 0
         total = np.concatenate([[0], np.cumsum(hit)])
         n_hit = total[base + n_words] - total[base]
@@ -161,7 +204,7 @@ class Matcher:
 FIELDS = [("n_words", "long"), ("n_hit", "long"), ("items", "array<string>"), ("hit_from", "array<int>"), ("hit_to", "array<int>")]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, keep: list[str] | None = None, most_bytes: int = 64 << 20) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, keep: list[str] | None = None, most_bytes: int = 8 << 20) -> DataFrame:
     """Words of each document that lie in windows of benchmark items.
 
     Adds n_words, n_hit, items (ids of the items with occurring windows, sorted as strings), hit_from and
@@ -169,22 +212,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
     with null text have none; windows of an item with null id hit words but name no item; repeated items
     count once. Null or empty texts have no words. An empty benchmark hits nothing.
 
-    The benchmark is broadcast in parts of at most `most_bytes` of text (its size is summed first); a larger one
-    takes several scans whose hit runs are merged, so no executor ever holds more than one part.
+    Repeated rows get the same result. The benchmark is read in parts of at most `most_bytes` of text (its size is
+    summed first). The driver builds the tables of a part once, as arrays of at most about forty bytes a word, and
+    sends those; a larger benchmark takes several scans whose hit runs are merged by row. A text is read as a whole: memory
+    is a few times that of the longest one.
     """
     total = benchmark.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{item_text}`"))), F.lit(0))).first()[0]
     parts = max(1, -(-int(total) // most_bytes))
-    out = None
     items = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t")).distinct()
-    columns = docs.columns if keep is None else list(keep)
-    if parts > 1:
-        docs = docs.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
-    for k in range(parts):
+    columns = list(docs.columns if keep is None else keep)
+    spark = docs.sparkSession
+
+    def scan(rows: DataFrame, column: str, k: int, kept: list[str]) -> DataFrame:
         own = items if parts == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == k)
-        sent = docs.sparkSession.sparkContext.broadcast([(r.i, r.t) for r in own.collect()])
+        sent = spark.sparkContext.broadcast(Matcher([(r.i, r.t) for r in own.collect()], window))
 
-        def make(sent=sent):
-            matcher = Matcher(sent.value, window)
+        def make():
+            matcher = sent.value
 
             def of(texts: Texts) -> list[pa.Array]:
                 n_words, n_hit, found, runs = matcher.scan([texts.bytes(i) for i in range(texts.n)])
@@ -196,18 +240,38 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
 
             return of
 
-        one = map_text(docs, text, make, FIELDS, keep=columns if parts == 1 else ["_row"])
-        out = one if out is None else out.unionByName(one)
+        return map_text(rows, column, make, FIELDS, keep=kept)
+
     if parts == 1:
-        return out
-    # the same row comes once from each part (repeated rows as often as they repeat)
-    words = F.flatten(F.collect_list(F.flatten(F.transform(F.arrays_zip("hit_from", "hit_to"), lambda x: F.sequence(x["hit_from"], x["hit_to"] - 1)))))
-    merged = out.groupBy("_row").agg((F.count(F.lit(1)) / parts).cast("int").alias("times"), F.max("n_words").alias("n_words"), F.array_sort(F.array_distinct(words)).alias("w"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    begins = F.filter(F.col("w"), lambda x: ~F.array_contains(F.col("w"), x - 1))
-    ends = F.transform(F.filter(F.col("w"), lambda x: ~F.array_contains(F.col("w"), x + 1)), lambda x: x + 1)
-    merged = merged.withColumn("times", F.explode(F.array_repeat(F.lit(1), F.col("times"))))
+        return scan(docs, text, 0, columns)
     names = [c for c in columns if c not in {n for n, _ in FIELDS}]
-    return merged.select(*(F.col(f"_row.`{c}`").alias(c) for c in names), "n_words", F.size("w").cast("long").alias("n_hit"), "items", begins.alias("hit_from"), ends.alias("hit_to"))
+    base = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col(f"`{text}`").cast("string").alias("t_"))
+    base = materialize(base.withColumn("uid", F.monotonically_increasing_id()), "decontam")
+    scans = [materialize(scan(base, "t_", k, ["uid"]).where(F.lit(k == 0) | (F.col("n_hit") > 0)), "decontam-part") for k in range(parts)]
+    hits = scans[0]
+    for one in scans[1:]:
+        hits = hits.unionByName(one)
+    gather = lambda c: F.flatten(F.collect_list(c)).alias(c)
+    merged = hits.groupBy("uid").agg(F.max("n_words").alias("n_words"), gather("items"), gather("hit_from"), gather("hit_to"))
+    begins, ends = merged.schema["hit_from"].dataType, merged.schema["hit_to"].dataType
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_hit, low, high = [], [], []
+            for a, z in zip(batch.column(3), batch.column(4), strict=True):
+                a, z = a.values.to_numpy(), z.values.to_numpy()
+                order = np.argsort(a, kind="stable")
+                a, z = a[order], np.maximum.accumulate(z[order])
+                new = np.append(True, a[1:] > z[:-1]) if len(a) else np.zeros(0, bool)
+                low.append(a[new])
+                high.append(z[np.append(new[1:], True)] if len(a) else z)
+                n_hit.append(int((high[-1] - low[-1]).sum()))
+            sizes = [len(x) for x in low]
+            none = np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n_hit, pa.int64()), batch.column(2), lists(np.concatenate([*low, none]), sizes), lists(np.concatenate([*high, none]), sizes)], ["uid", "n_words", "n_hit", "items", "hit_from", "hit_to"])
+
+    merged = merged.withColumn("items", F.array_sort(F.array_distinct("items"))).mapInArrow(join, f"uid long, n_words long, n_hit long, items array<string>, hit_from {begins.simpleString()}, hit_to {ends.simpleString()}")
+    return base.join(merged, "uid").select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)), *(n for n, _ in FIELDS))
 
 
 def contaminated(hit: str = "n_hit", words: str = "n_words"):
