@@ -59,13 +59,14 @@ class Model:
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", bits: int = 16, smooth: float = 0.5, most_bytes: int = 256 << 20) -> Model:
     """Trigram counts of every row whose `lang` is not null. Null texts add nothing; no rows give a model without languages.
 
-    The table has (languages x 2^bits) cells; where that would pass `most_bytes` as floats, bits is lowered until it
-    fits, so what is sent to the executors has a fixed bound.
+    Repeated rows count as often as they repeat. The table has (languages x 2^bits) cells and is sent to the executors;
+    ValueError if it would pass `most_bytes` as floats (about 1,000 languages at 16 bits): the caller then chooses fewer
+    bits. An empty table gives a model without languages.
     """
     rows = docs.where(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{lang}`").cast("string").alias("l"))
     n_langs = rows.select("l").distinct().count()
-    while bits > 10 and n_langs * 4 << bits > most_bytes:
-        bits -= 1
+    if n_langs * 4 << bits > most_bytes:
+        raise ValueError(f"{n_langs} languages x 2^{bits} grams pass {most_bytes} bytes")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -125,7 +126,7 @@ def infer(model: Model, texts: list[bytes], *, penalty: float = 2.0, rounds: int
         if not len(active):
             break
         trial = pi[active].copy()
-        trial[np.arange(len(active)), live.argmin(1)] = 0
+        trial[np.arange(len(active)), k - 1 - live[:, ::-1].argmin(1)] = 0  # of equal ones the last in order
         trial /= trial.sum(1, keepdims=True)
         sub = like if len(active) == len(have) else like[np.repeat(np.isin(np.arange(len(have)), active), size)]
         own = size[active]
@@ -145,7 +146,9 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[st
     """Adds lang_pred, score (its share), langs and shares (the chosen set, largest share first).
 
     lang_pred is 'und' and score 0 where the text is null or has no letter, or the model no language; equal
-    shares go to the language first in code-point order. An empty table gives an empty result.
+    shares go to the language first in code-point order. Repeated rows get the same result; columns of the results' names
+    are replaced. An empty table gives an empty result. A text is read as a whole, with a few numbers for each of its
+    bytes and languages: memory is bounded by the longest text.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

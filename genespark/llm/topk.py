@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from genespark.llm.util import materialize
 
-SAFE = 2**31
+def _floor(x: Column) -> Column:
+    """floor as a double, at any size: from 2^53 on, doubles have no fraction."""
+    return F.when(F.abs(x) < 2.0**53, F.floor(x).cast("double")).otherwise(x)
 
 
 def quantise(vector: str, scale: int = 256) -> Column:
     """floor(scale * x) of each component as double; null where the vector is null or has a null or non-finite component."""
     v = F.col(f"`{vector}`")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    return F.when(v.isNotNull() & ~bad, F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("double")))
+    return F.when(v.isNotNull() & ~bad, F.transform(v, lambda x: _floor(x.cast("double") * scale)))
 
 
 def _rows(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
