@@ -20,13 +20,15 @@ _roots: dict[str, tuple[SparkSession, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where the session names none (tests), one of our own is set."""
+    """The folder in spark.checkpoint.dir; where the session names none, one of our own is set, in local mode only."""
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
         known = sc._jsc.sc().getCheckpointDir()
         if known.isDefined():
             base = known.get()
+        elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         else:
             base = "file://" + tempfile.mkdtemp(prefix="genespark-")
             sc.setCheckpointDir(base)
