@@ -6,9 +6,9 @@ one is rare, a single-token index finds the pair. Otherwise all shared tokens ar
 are longer by c share at least c + 1 of them; frequent tokens are dealt into c cells, so two of those fall into one
 cell, and an index of two-token combinations within cells finds the pair. So nothing is indexed under a frequent
 token alone. Within each index list, parity bitmaps bound the difference of two sets from below; a spanning forest
-of the pairs that this leaves is verified on the texts. Two similar sets are in one list, and its forest connects
-them by links unless one of its own pairs fails; so of a list with a failed pair, all pairs that are not yet known
-to be connected are looked at too, and no link is lost.
+of the pairs that this leaves is verified on the texts. Two similar sets are in one tree of a list's forest, which
+connects them by links unless one of its own pairs fails. So the trees with a failed pair are joined where they share
+sets, and of such a cluster all pairs that are not yet known to be connected are looked at too: no link is lost.
 """
 
 from __future__ import annotations
@@ -264,9 +264,9 @@ class _Bitmaps:
 
 
 def candidate_pairs(t: int, forest: bool):
-    """For partitions of groups with sizes, bitmaps and known roots: pairs (gid, a, b) to verify.
+    """For partitions of groups with sizes, bitmaps and known roots: pairs (tree, a, b) to verify.
 
-    forest: pairs that join the group's nodes as far as they may be similar. Otherwise all pairs that may be similar
+    forest: pairs that join the group's nodes as far as they may be similar; tree tells the parts of a group. Otherwise all pairs that may be similar
     and have different roots, by the full bitmaps.
     """
 
@@ -287,6 +287,7 @@ def candidate_pairs(t: int, forest: bool):
             maps = _Bitmaps([bits[int(i)].as_py() for i in at], not forest)
             # sizes ascend: partners of i end where sizes pass n / t
             stop = np.searchsorted(n, n * 100 // t, "right")
+            ends = []
             for i in range(len(at) - 1):
                 j = np.arange(i + 1, stop[i])
                 j = j[(r[j] != r[i]) & ((side[j] != side[i]) if apart else True)]
@@ -303,12 +304,15 @@ def candidate_pairs(t: int, forest: bool):
                     r[np.isin(r, joined)] = r[i]
                 x.append(np.full(len(j), group[i]))
                 y.append(group[j])
-                z_.append(np.full(len(j), gid[order[a]]))
+                ends.append(np.full(len(j), i))
+            if ends:
+                tree = r[np.concatenate(ends)].view(_U)  # by the roots at the end, when the trees are grown
+                z_.append(mix64(tree ^ np.array([gid[order[a]]]).view(_U)).view(np.int64))
         if x:
             x, y, z_ = np.concatenate(x), np.concatenate(y), np.concatenate(z_)
             for at in range(0, len(x), 50_000):
                 cut = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(z_[cut]), pa.array(np.minimum(x, y)[cut]), pa.array(np.maximum(x, y)[cut])], ["gid", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(z_[cut]), pa.array(np.minimum(x, y)[cut]), pa.array(np.maximum(x, y)[cut])], ["tree", "a", "b"])
 
     return run
 
@@ -369,16 +373,18 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     listed = materialize(index_lists(found.where("bits is not null").select("node", "rare", "combined"), block), "jaccard-lists")
     groups = _parts(listed, 200_000)
     facts = nodes.where("bits is not null").select("node", "size", "bits")
-    shape = "gid long, a long, b long"
+    shape = "tree long, a long, b long"
     options = {"id_col": id_col, "text": text, "n": n, "t": t}
     first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition(groups, "gid").mapInArrow(candidate_pairs(t, True), shape)
     first = materialize(first, "jaccard-forests")
     done = materialize(verify(first.select("a", "b").distinct(), docs, reps, **options), "jaccard-verified")
     roots = components(done.where("linked"))
-    # lists of which a pair failed: all their pairs with different roots
-    again = first.join(done.where("not linked").select("a", "b"), ["a", "b"]).select("gid").distinct()
-    second = listed.join(again, "gid", "left_semi").join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = second.repartition(groups, "gid").mapInArrow(candidate_pairs(t, False), shape).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+    # trees of which a pair failed, joined where they share sets: all their pairs with different roots, each once
+    failed = first.join(done.where("not linked").select("a", "b"), ["a", "b"]).select("tree").distinct()
+    around = components(first.join(failed, "tree", "left_semi").select("a", "b").distinct()).withColumnRenamed("root", "cluster")
+    around = materialize(around.join(around.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster"), "jaccard-clusters")
+    second = blocks_of(around, "cluster", block).join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    second = second.repartition(_parts(around, 50_000), "gid").mapInArrow(candidate_pairs(t, False), shape).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
     more = materialize(second, "jaccard-pairs")
     if more.limit(1).count():
         late = materialize(verify(more, docs, reps, **options).where("linked"), "jaccard-verified")
