@@ -52,7 +52,7 @@ def test_stages(spark, tmp_path):
             assert sorted((str(i), r.text) for i, r in got.items()) == [(i, t) for i, _, _, t in want]
             assert all(r.n_chars == len(r.text) for r in got.values())
         elif name == "near_duplicates":
-            assert set(got) == {i for i, n, c in plain_groups(sorted(kept.items())) if not n or i == c}
+            assert set(got) == {i for i, n, c in plain_groups(sorted(kept.items()), 5, 80) if not n or i == c}
         elif name == "decontaminate":
             bad = {int(i) for i, n, h, _ in plain_hits([(i, t, None) for i, t in kept.items()], items) if h and 20 * h >= n}
             assert bad and set(got) == set(kept) - bad
@@ -70,3 +70,19 @@ def test_empty(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_repeats_ties_and_nulls(spark, tmp_path):
+    """Rows that share an id, null ids, null and empty texts, ties; extra columns are left off."""
+    base = "the wh ing on er th " * 8
+    rows = [(1, base + "one", "en", "b", 1), (1, base + "one", "en", "a", 1), (1, "eux oi que ai ou ré " * 9, "fr", "a", 2), (None, base + "one", "en", None, 3), (7, None, None, None, None), (8, "", "en", "s", 0), (9, "12", None, "s", 2)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", copies string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("i", None)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language"](spark, docs, str(tmp_path))
+    assert kept.columns == list(corpus_pipeline.COLUMNS) and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "1", "None"]
+    kept = stages["near_duplicates"](spark, kept, str(tmp_path))
+    assert sorted((r.doc_id, r.source, r.lang) for r in kept.collect()) == [(1, "a", "en"), (1, "a", "fr")]
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in out) == [1, 1]
