@@ -26,7 +26,8 @@ def classify_genes(ref: DataFrame, pred: DataFrame, width: int = 2000) -> DataFr
     """
     labels = pred.select("prediction").distinct()
     ov = interval_join(ref.select("chrom", "strand", "start", "end", "id"), pred, width=width, prefixes=("r_", "p_"))
-    ov = ov.select("r_id", "r_start", "r_end", "p_id", "p_start", "p_end", F.col("p_prediction").alias("prediction"), "bp")
+    # read by the windows and by what decides on novel genes: the join is run once
+    ov = cut(ov.select("r_id", "r_start", "r_end", "p_id", "p_start", "p_end", F.col("p_prediction").alias("prediction"), "bp"))
     cover = ov.withColumn("cr", F.col("bp") / (F.col("r_end") - F.col("r_start") + 1)).withColumn("cp", F.col("bp") / (F.col("p_end") - F.col("p_start") + 1))
     by_pred, by_ref = Window.partitionBy("prediction", "p_id"), Window.partitionBy("prediction", "r_id")
     step = cover.withColumn("merging", F.count_if(F.col("cr") > MERGED).over(by_pred) >= 2)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from genespark.functions import codons
 from genespark.functions.columns import reverse_complement
 from genespark.operators.hierarchy import five_to_three
+from genespark.operators.intervals import merge_overlapping_genes
 from genespark.operators.tiles import TILE, tiled
 
 
@@ -81,3 +82,17 @@ def map_to_genome(orfs: DataFrame, exons: DataFrame, minus_strand_compat: bool =
     out = rows.select("chrom", "strand", F.when(minus, F.col("end") - F.col("_high") + 1).otherwise(F.col("start") + F.col("_low")).alias("start"), F.when(minus, F.col("end") - F.col("_low")).otherwise(F.col("start") + F.col("_high") - 1).alias("end"), F.regexp_replace("id", "exon", "CDS").alias("id"), F.col(parent).alias("parent_id"))
     before = F.coalesce(F.sum(F.col("end") - F.col("start") + 1).over(Window.partitionBy("parent_id").orderBy(five_to_three(), "id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     return out.withColumn("phase", F.pmod(-before, F.lit(3).cast("long")))
+
+
+def transcript_orfs(exons: DataFrame, contigs: DataFrame, code: int = 1, min_len: int = 90, min_share: float = 0.5, parent: str = "parent_id") -> dict[str, DataFrame]:
+    """genes, mrnas and cds of assembled transcripts: spliced, scanned, the longest ORF mapped back, overlapping genes merged.
+
+    exons: chrom, strand, start, end, id, parent_id (the transcript); contigs: chrom, seq. A transcript without an ORF
+    beyond both limits keeps its gene and mRNA and has no CDS.
+    """
+    sequences = spliced(exons, contigs, parent)
+    cds = map_to_genome(longest_orfs(codon_hits(sequences, code), min_len, min_share), exons, parent=parent)
+    genes = exons.groupBy("chrom", "strand", F.col(parent).alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    mrnas = genes.select("chrom", "strand", F.concat("id", F.lit("_mRNA")).alias("id"), F.col("id").alias("parent_id"), "start", "end")
+    kept, moved = merge_overlapping_genes(genes, mrnas)
+    return {"genes": kept, "mrnas": moved, "cds": cds.withColumn("parent_id", F.concat("parent_id", F.lit("_mRNA")))}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,3 +90,9 @@ def gene_length_limit(genes: DataFrame) -> DataFrame:
     """(limit): mean plus two sample deviations of abs(end - start), each truncated."""
     length = F.abs(F.col("end") - F.col("start"))
     return genes.agg((F.avg(length).cast("long") + 2 * F.coalesce(F.stddev_samp(length), F.lit(0.0)).cast("long")).alias("limit"))
+
+
+def summary_json(tallied: DataFrame) -> str:
+    """A tally as a JSON object, most frequent types first (equal ones by name); a few hundred rows at most, one a type."""
+    rows = tallied.orderBy(F.desc("count"), "type").collect()
+    return json.dumps({r["type"]: {"count": r["count"], "unique_reads": r["unique_reads"]} for r in rows}, indent=2)

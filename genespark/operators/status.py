@@ -93,3 +93,15 @@ def labels(paths: DataFrame) -> DataFrame:
     own = Window.partitionBy("stem")
     rows = paths.withColumn("stem", stem).withColumn("_n", F.count(F.lit(1)).over(own)).withColumn("_k", F.row_number().over(own.orderBy("position")))
     return rows.select("position", F.when(F.col("_n") > 1, F.concat_ws("_", "stem", F.col("_k").cast("string"))).otherwise(F.col("stem")).alias("label"))
+
+
+def output_errors(steps: DataFrame, files: DataFrame, valid: DataFrame) -> DataFrame:
+    """(step, state): completed steps whose output is missing, empty or unparseable.
+
+    steps: step, status, output (null: none expected); files: path, size; valid: path of the GFF files that parse. Only
+    outputs that end in .gff or .gff3 must be in `valid`.
+    """
+    rows = steps.where("status = 'completed' and output is not null and output <> ''").join(files.select(F.col("path").alias("output"), "size"), "output", "left")
+    rows = rows.join(valid.select(F.col("path").alias("output"), F.lit(True).alias("_valid")).distinct(), "output", "left")
+    state = F.when(F.col("size").isNull(), "missing").when(F.col("size") == 0, "empty").when(F.col("output").rlike(r"\.gff3?$") & F.col("_valid").isNull(), "unparseable")
+    return rows.select("step", state.alias("state")).where("state is not null")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import clean_product
+from genespark.sources.gff import hierarchical_text
 
 INFERENCES = 3
 SEVERITIES = ("FATAL", "ERROR", "WARNING", "INFO")
@@ -58,3 +59,24 @@ def header_duplicates(records: DataFrame) -> DataFrame:
     """The first record of each header line (header, seq, line_no)."""
     first = records.groupBy("header").agg(F.min_by(F.struct("seq", "line_no"), "line_no").alias("x"))
     return first.select("header", "x.seq", "x.line_no")
+
+
+def release(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lines, report) of a GFF3 for submission: without what has no CDS, attributes cleaned, in hierarchical order.
+
+    features: as sources.gff.features gives them. lines (value) begin with the version; other attributes keep their place.
+    """
+    of = lambda kind: features.where(F.col("type") == kind)
+    dropped = drop_set(of("gene").select("id"), of("mRNA").select("id", "parent_id"), of("CDS").select("parent_id"))
+    kept = features.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), (F.col("id") == F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
+    # what hangs on a dropped mRNA, or on nothing, is not written and not counted either
+    alive = kept.where("type = 'mRNA'").select(F.col("id").alias("_m")).distinct()
+    kept = kept.where("type in ('gene', 'mRNA')").unionByName(kept.where("type in ('exon', 'CDS')").join(alive, F.col("parent_id") == F.col("_m"), "left_semi"))
+    names = {"product": "product", "inference": "inference", "dbxref": "Dbxref", "note": "Note"}
+    cleaned = clean(kept.withColumns({c: F.try_element_at("attributes", F.lit(k)) for c, k in names.items()}))
+    value = lambda k, v: F.coalesce(*(F.when(k == key, F.coalesce(F.col(c), F.array().cast("array<string>"))) for c, key in names.items()), v)
+    stay = F.map_filter(F.transform_values("attributes", value), lambda k, v: (F.size(v) > 0) | ~k.isin(*names.values()))
+    fresh = F.when(F.col("note").isNotNull() & ~F.map_contains_key("attributes", "Note"), F.create_map(F.lit("Note"), F.col("note"))).otherwise(F.create_map().cast("map<string,array<string>>"))
+    cleaned = cleaned.withColumn("attributes", F.map_concat(stay, fresh))
+    head = features.sparkSession.range(1).select(F.lit("##gff-version 3").alias("value"))
+    return head.unionByName(hierarchical_text(cleaned.select(*features.columns))), report(cleaned, dropped)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from genespark.functions.columns import clean_product, ec_numbers, without_ec
 from genespark.operators import compare, concordance, evidence, functional, hierarchy, intervals, orf, splice, status, submission
+from genespark.operators.lineage import cut
 from genespark.plans import bridge
 from genespark.plans.bridge import CONTIGS_SQL, GENES_SQL, MRNAS_SQL, cds_sql, predicted_sql, second_sql
 
@@ -37,9 +38,15 @@ def _pred(spark: SparkSession, sf_dir: str, label: str = "p1", drop: int = 11) -
     return bridge.predicted_genes(_genes(spark, sf_dir), label, drop)
 
 
+def _pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(genes, predictions); the genes, which both are read from several times, are computed once."""
+    genes = cut(_genes(spark, sf_dir))
+    return genes, bridge.predicted_genes(genes)
+
+
 @query("interval_overlap_join", f"{BASE}, {predicted_sql('pred')} SELECT a.id AS ref_id, b.id AS pred_id, least(a.e, b.e) - greatest(a.s, b.s) + 1 AS bp FROM genes a JOIN pred b ON {OVER}")
 def interval_overlap_join(spark, sf_dir):
-    out = intervals.interval_join(_genes(spark, sf_dir), _pred(spark, sf_dir))
+    out = intervals.interval_join(*_pair(spark, sf_dir))
     return out.select(F.col("l_id").alias("ref_id"), F.col("r_id").alias("pred_id"), "bp")
 
 
@@ -206,19 +213,20 @@ MANY_PRED = f"{predicted_sql('q1')}, {predicted_sql('q2', 'p2', 5)}, {predicted_
 MANY = f"{BASE}, {MANY_PRED}{classes_sql('pred')}"
 
 
-def _many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pred(spark, sf_dir).unionByName(_pred(spark, sf_dir, "p2", 5)).unionByName(_pred(spark, sf_dir, "p3", 23))
+def _many(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    genes = cut(_genes(spark, sf_dir))
+    return genes, bridge.predicted_genes(genes).unionByName(bridge.predicted_genes(genes, "p2", 5)).unionByName(bridge.predicted_genes(genes, "p3", 23))
 
 
 @query("gene_classification", f"{ONE} SELECT classification, count(*) AS n FROM (SELECT classification FROM classes UNION ALL SELECT 'novel' FROM novel) GROUP BY classification")
 def gene_classification(spark, sf_dir):
-    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
+    return compare.classify_genes(*_pair(spark, sf_dir)).groupBy("classification").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("gene_records", f"""{ONE} SELECT ref_id, classification, CASE WHEN hit THEN pid END AS pred_id, coalesce(CASE WHEN hit THEN bp END, 0) AS overlap_bp, CASE WHEN hit THEN round(sn, 6) END AS sn, CASE WHEN hit THEN round(sp, 6) END AS sp
 FROM (SELECT *, classification IN ('exact', 'inexact') AS hit FROM classes)""")
 def gene_records(spark, sf_dir):
-    out = compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification <> 'novel'")
+    out = compare.classify_genes(*_pair(spark, sf_dir)).where("classification <> 'novel'")
     return out.select("ref_id", "classification", "pred_id", F.coalesce("overlap_bp", F.lit(0).cast("long")).alias("overlap_bp"), F.round("sn", 6).alias("sn"), F.round("sp", 6).alias("sp"))
 
 
@@ -227,18 +235,22 @@ def gene_records(spark, sf_dir):
   FROM classes GROUP BY 1), r AS (SELECT *, (exact + inexact) / (exact + inexact + missing + merged + fragmented) AS sens, (exact + inexact) / (exact + inexact + coalesce(novel, 0)) AS prec FROM c LEFT JOIN n USING (prediction))
 SELECT prediction, exact, inexact, missing, merged, fragmented, coalesce(novel, 0) AS novel, round(sens, 6) AS sensitivity, round(prec, 6) AS precision, round(2 * sens * prec / (sens + prec), 6) AS f1 FROM r""")
 def gene_stats(spark, sf_dir):
-    out = compare.gene_stats(compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir)))
+    out = compare.gene_stats(compare.classify_genes(*_many(spark, sf_dir)))
     return out.select("prediction", "exact", "inexact", "missing", "merged", "fragmented", "novel", *(F.round(c, 6).alias(c) for c in ("sensitivity", "precision", "f1")))
 
 
 @query("boundary_diffs", f"""{ONE} SELECT ref_id, CASE WHEN strand = '+' THEN ps - rs ELSE re - pe END AS boundary_5p, CASE WHEN strand = '+' THEN pe - re ELSE rs - ps END AS boundary_3p FROM classes WHERE classification = 'inexact'""")
 def boundary_diffs(spark, sf_dir):
-    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification = 'inexact'").select("ref_id", "boundary_5p", "boundary_3p")
+    return compare.classify_genes(*_pair(spark, sf_dir)).where("classification = 'inexact'").select("ref_id", "boundary_5p", "boundary_3p")
+
+
+def _binned(name: str, source: str) -> str:
+    return f"{name} AS (SELECT id, chrom, strand, s, e, unnest(range(s // 2000, e // 2000 + 1)) AS bin FROM {source})"
 
 
-@query("novel_predictions", f"{ONE} SELECT pred_id FROM novel")
+@query("novel_predictions", f"{BASE}, {predicted_sql('pred')}, {_binned('gb', 'genes')}, {_binned('pb', 'pred')}, hit AS (SELECT DISTINCT b.id FROM pb b JOIN gb a USING (chrom, strand, bin) WHERE a.s <= b.e AND b.s <= a.e) SELECT id AS pred_id FROM pred WHERE id NOT IN (SELECT id FROM hit)")
 def novel_predictions(spark, sf_dir):
-    return compare.classify_genes(_genes(spark, sf_dir), _pred(spark, sf_dir)).where("classification = 'novel'").select("pred_id")
+    return compare.classify_genes(*_pair(spark, sf_dir)).where("classification = 'novel'").select("pred_id")
 
 
 POWERSET = f"""{MANY}, kinds AS (SELECT ref_id, prediction, CASE WHEN classification IN ('exact', 'inexact') THEN 'match' ELSE classification END AS kind FROM classes),
@@ -249,13 +261,13 @@ SELECT class, labels, count(*) AS n FROM sets GROUP BY 1, 2"""
 
 @query("powerset_agreement", POWERSET)
 def powerset_agreement(spark, sf_dir):
-    records = compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir))
+    records = compare.classify_genes(*_many(spark, sf_dir))
     return compare.agreement(records, ["p1", "p2", "p3"]).select("class", F.array_join("labels", ",").alias("labels"), "n")
 
 
 @query("powerset_buckets", f"SELECT class, CASE len(string_split(labels, ',')) WHEN 3 THEN 'all' WHEN 2 THEN 'other' ELSE CASE WHEN labels = '' THEN 'none' ELSE 'unique' END END AS bucket, CAST(sum(n) AS BIGINT) AS n FROM ({POWERSET}) GROUP BY ALL")
 def powerset_buckets(spark, sf_dir):
-    records = compare.classify_genes(_genes(spark, sf_dir), _many(spark, sf_dir))
+    records = compare.classify_genes(*_many(spark, sf_dir))
     return compare.agreement_buckets(compare.agreement(records, ["p1", "p2", "p3"]), 3)
 
 
@@ -349,6 +361,19 @@ def orf_to_genome(spark, sf_dir):
     return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
 
 
+@query("transcript_orfs", f"""{EXONS_SQL},
+marked AS (SELECT id, strand, length(seq) AS seqlen, k, string_split(regexp_replace(seq, pattern, '#..', 'g'), '') AS m FROM spliced CROSS JOIN (VALUES ('start', '{TABLE_1['start']}'), ('stop', '{TABLE_1['stop']}')) t(k, pattern)),
+places AS (SELECT id, strand, seqlen, k, p FROM (SELECT id, strand, seqlen, k, unnest(m) AS c, generate_subscripts(m, 1) AS p FROM marked) WHERE c = '#'),
+h AS (SELECT *, min(CASE WHEN k = 'stop' THEN p END) OVER (PARTITION BY id, (p - 1) % 3 ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop, min(p) OVER (PARTITION BY id, (p - 1) % 3) AS first FROM places),
+b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY stop - p DESC, first, p) AS n FROM h WHERE k = 'start' AND stop - p > 90 AND (stop - p) / seqlen > 0.5),
+orfs AS (SELECT id, p AS f, stop + 2 AS t FROM b WHERE n = 1),
+placed AS (SELECT 't' || chrom AS id, 't' || chrom || ':CDS:' || k AS cid, strand, s, e, coalesce(sum(e - s + 1) OVER (PARTITION BY chrom ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM exons),
+cut AS (SELECT p.*, greatest(f - 1 - before, 0) AS low, least(t - CASE WHEN p.strand = '-' THEN 1 ELSE 0 END - before, e - s + 1) AS high FROM placed p JOIN orfs o ON p.id = o.id)
+SELECT cid AS id, id || '_mRNA' AS parent_id, CAST(CASE WHEN strand = '-' THEN e - high + 1 ELSE s + low END AS BIGINT) AS start, CAST(CASE WHEN strand = '-' THEN e - low ELSE s + high - 1 END AS BIGINT) AS stop FROM cut WHERE low < high""")
+def transcript_orfs(spark, sf_dir):
+    return orf.transcript_orfs(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir))["cds"].select("id", "parent_id", "start", F.col("end").alias("stop"))
+
+
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
