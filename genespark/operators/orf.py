@@ -46,7 +46,9 @@ def codon_hits(sequences: DataFrame, code: int = 1) -> DataFrame:
         return F.transform(taken, lambda p: F.struct(p.alias("pos"), F.lit(kind).alias("codon")))
 
     hits = F.concat(scan("start", codons.starts(code)), scan("stop", codons.stops(code)))
-    return sequences.select("id", F.length("seq").alias("seqlen"), "strand", F.explode(hits).alias("x")).select("id", "seqlen", "x.pos", "strand", "x.codon", ((F.col("x.pos") - 1) % 3).alias("frame"))
+    # the sequence is left behind before hits become rows: otherwise each would carry a copy of it
+    listed = sequences.select("id", F.length("seq").alias("seqlen"), "strand", hits.alias("_hits"))
+    return listed.select("id", "seqlen", "strand", F.explode("_hits").alias("x")).select("id", "seqlen", "x.pos", "strand", "x.codon", ((F.col("x.pos") - 1) % 3).alias("frame"))
 
 
 def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5) -> DataFrame:
