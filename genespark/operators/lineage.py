@@ -27,9 +27,14 @@ def _root(spark: SparkSession) -> str:
     return _roots[sc.applicationId][1]
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the shared folder; it goes with the others at the end."""
+    return f"{_root(spark)}/{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df`, computed once and written as Parquet to the shared folder: what is read again does not grow the plan."""
-    path = f"{_root(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -16,8 +16,8 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fasta_text(sequences: DataFrame, name: str = "chrom", seq: str = "seq", width: int = 60) -> DataFrame:
-    """(value): one row a record, '>' and the sequence in lines of `width`."""
-    return sequences.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.rtrim(F.regexp_replace(F.col(seq), f"(.{{{width}}})", "$1\n"))).alias("value"))
+    """(value): one row a record, '>' and the sequence in lines of `width`; a null sequence is an empty one."""
+    return sequences.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.regexp_replace(F.coalesce(seq, F.lit("")), f"(.{{{width}}})(?=.)", "$1\n")).alias("value"))
 
 
 def by_length(sequences: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """GFF3 files read in splits, attributes as written, genetic codes."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from genespark.functions import codons
+from genespark.functions.columns import six_places
 from genespark.sources import gff
 
 
@@ -48,3 +50,9 @@ def test_codes():
     for bad in ("x", None, 7, 99):
         with pytest.raises(ValueError):
             codons.code_of(bad)
+
+
+def test_six_places_are_those_of_the_exact_binary_value(spark):
+    values = [p / q for q in (1, 3, 128, 384, 640, 896, 1000) for p in range(0, q + 1, 1 if q < 400 else 7)] + [-1 / 128, 123456.0000005, 0.9999995, 0.0000005]
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").select("v", six_places(F.col("v")).alias("t")).collect()
+    assert [r.t for r in rows] == [None if r.v is None else f"{r.v:.6f}" for r in rows]
