@@ -65,29 +65,31 @@ def splice_code(kind: Column) -> Column:
     return F.when(kind.rlike("^..-..$"), F.lower(F.replace(kind, F.lit("-"), F.lit(""))))
 
 
-def percent(value: Column) -> Column:
-    return F.format_string("%.1f%%", value * 100)
-
-
-def six_places(value: Column) -> Column:
-    """A fraction with six places, rounded by its exact binary value, ties to even; format_string rounds the shortest decimal half up.
+def fixed(value: Column, places: int = 6) -> Column:
+    """A fraction with so many places, rounded by its exact binary value, ties to even; format_string rounds the shortest decimal half up.
 
-    The value is split in two halves of 26 bits, so that its products with 2,000,000 are exact. Values of a billion or
-    more, infinite ones and NaN are left to format_string.
+    The value is split in two halves of 26 bits, so that their products with 2 * 10 ** places (six places at most) are
+    exact. Values of a billion or more, infinite ones and NaN are left to format_string; null stays null.
     """
-    x = F.abs(value)
+    if places > 6:
+        raise ValueError("six places at most")
+    x, scale = F.abs(value), 10.0**places
     high = x * 134217729.0 - (x * 134217729.0 - x)
-    below = F.floor(x * 1e6)
-    rest = (high * 2e6 - (below * 2 + 1).cast("double")) + (x - high) * 2e6
+    below = F.floor(x * scale)
+    rest = (high * (2 * scale) - (below * 2 + 1).cast("double")) + (x - high) * (2 * scale)
     rounded = below + F.when((rest > 0) | ((rest == 0) & (below % 2 == 1)), 1).otherwise(0)
-    exact = F.format_string("%.6f", F.when(value < 0, -rounded).otherwise(rounded) / 1e6)
-    return F.when(x < 1e9, exact).otherwise(F.format_string("%.6f", value))
+    exact = F.format_string(f"%.{places}f", F.when(value < 0, -rounded).otherwise(rounded) / scale)
+    return F.when(x < 1e9, exact).when(value.isNotNull(), F.format_string(f"%.{places}f", value))
+
+
+def percent(value: Column) -> Column:
+    return F.concat(fixed(value.cast("double") * 100, 1), F.lit("%"))
 
 
 def bar(value: Column, width: int = 20) -> Column:
-    """A bar of `width` cells, filled by truncation."""
+    """A bar of `width` cells in brackets, filled by truncation."""
     full = (value * width).cast("int")
-    return F.concat(F.repeat(F.lit("#"), full), F.repeat(F.lit("."), F.lit(width) - full))
+    return F.concat(F.lit("["), F.repeat(F.lit("#"), full), F.repeat(F.lit("."), F.lit(width) - full), F.lit("]"))
 
 
 def raw_attribute(text: Column, key: str) -> Column:

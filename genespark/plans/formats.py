@@ -379,7 +379,7 @@ def splice_summary(spark, sf_dir):
     return spark.range(1).select(F.lit(text).alias("value"))
 
 
-@query("percent_bars", "SELECT p_partkey, printf('%.1f', p_size / 50.0::DOUBLE * 100) || '%' AS percent, repeat('#', CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) || repeat('.', 20 - CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) AS bar FROM part")
+@query("percent_bars", "SELECT p_partkey, printf('%.1f', p_size / 50.0::DOUBLE * 100) || '%' AS percent, '[' || repeat('#', CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) || repeat('.', 20 - CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) || ']' AS bar FROM part")
 def percent_bars(spark, sf_dir):
     share = F.col("p_size") / F.lit(50.0)
     return bridge.table(spark, sf_dir, "part").select("p_partkey", percent(share).alias("percent"), bar(share).alias("bar"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from genespark.functions.columns import attribute_map, attribute_text, first_value, gtf_map, raw_attribute, six_places
+from genespark.functions.columns import attribute_map, attribute_text, first_value, fixed, gtf_map, raw_attribute
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -107,6 +107,6 @@ def hierarchical_text(rows: DataFrame) -> DataFrame:
 def record_text(records: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """(value): tab-separated records; nulls are empty, fractions have six places."""
     kinds = dict(records.dtypes)
-    cells = [F.coalesce(six_places(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string"), F.lit("")) for c in columns]
+    cells = [F.coalesce(fixed(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string"), F.lit("")) for c in columns]
     cells = [F.when(F.col(c).isNull(), F.lit("")).otherwise(x) for c, x in zip(columns, cells, strict=True)]
     return records.select(F.concat_ws("\t", *cells).alias("value"))

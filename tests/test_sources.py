@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from genespark.functions import codons
-from genespark.functions.columns import six_places
+from genespark.functions.columns import bar, fixed, percent
 from genespark.sources import gff
 
 
@@ -54,5 +54,7 @@ def test_codes():
 
 def test_six_places_are_those_of_the_exact_binary_value(spark):
     values = [p / q for q in (1, 3, 128, 384, 640, 896, 1000) for p in range(0, q + 1, 1 if q < 400 else 7)] + [-1 / 128, 123456.0000005, 0.9999995, 0.0000005]
-    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").select("v", six_places(F.col("v")).alias("t")).collect()
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").select("v", fixed(F.col("v")).alias("t")).collect()
     assert [r.t for r in rows] == [None if r.v is None else f"{r.v:.6f}" for r in rows]
+    shares = spark.createDataFrame([(k / 800,) for k in range(801)], "v double").select("v", percent(F.col("v")).alias("p"), bar(F.col("v")).alias("b")).collect()
+    assert all(r.p == f"{r.v * 100:.1f}%" and r.b == "[" + ("#" * int(r.v * 20)).ljust(20, ".") + "]" for r in shares)
