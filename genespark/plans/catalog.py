@@ -273,17 +273,53 @@ def powerset_buckets(spark, sf_dir):
 
 def _cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     # read by every level: computed once, and the levels' plans stay small
-    genes, mrnas, cds = (x.persist() for x in _source(spark, sf_dir))
-    pg, pm, pc = (x.withColumn("prediction", F.lit("p1")).persist() for x in _source(spark, sf_dir, 11))
+    genes, mrnas, cds = (cut(x) for x in _source(spark, sf_dir))
+    pg, pm, pc = (cut(x.withColumn("prediction", F.lit("p1"))) for x in _source(spark, sf_dir, 11))
     return compare.compare({"genes": genes, "mrnas": mrnas, "cds": cds}, {"genes": pg, "mrnas": pm, "cds": pc})
 
 
-@query("subfeature_match")
+def _gaps(name: str, source: str) -> str:
+    return f"{name} AS (SELECT * FROM (SELECT chrom, strand, parent_id, e + 1 AS s, lead(s) OVER w - 1 AS e, parent_id || ':intron:' || row_number() OVER w AS id FROM {source} WINDOW w AS (PARTITION BY parent_id ORDER BY s, id)) WHERE e IS NOT NULL)"
+
+
+def _match(n: str, parents: str, ref: str, pred: str) -> str:
+    """Up to eight lines a side: every way to give each line of the shorter side one of the longer, the greatest total wins,
+    then the first in order. Beyond: overlaps are walked from the greatest on, one is kept if both of its lines are free."""
+    return f"""
+{n}_r AS (SELECT rp, pp, x.* FROM {parents} JOIN {ref} x ON x.parent_id = rp), {n}_p AS (SELECT rp, pp, x.* FROM {parents} JOIN {pred} x ON x.parent_id = pp),
+{n}_o AS (SELECT rp, pp, r.id AS rid, p.id AS pid, r.s AS rs, r.e AS re, p.s AS ps, p.e AS pe, least(r.e, p.e) - greatest(r.s, p.s) + 1 AS bp FROM {n}_r r JOIN {n}_p p USING (rp, pp) WHERE r.chrom = p.chrom AND r.strand = p.strand AND r.s <= p.e AND p.s <= r.e AND least(r.e, p.e) >= greatest(r.s, p.s)),
+{n}_k AS (SELECT *, dense_rank() OVER (PARTITION BY rp, pp ORDER BY rs, re, rid) AS a, dense_rank() OVER (PARTITION BY rp, pp ORDER BY ps, pe, pid) AS b FROM {n}_o),
+{n}_big AS (SELECT rp, pp FROM (SELECT rp, pp FROM {n}_r GROUP BY rp, pp HAVING count(*) > 8 UNION SELECT rp, pp FROM {n}_p GROUP BY rp, pp HAVING count(*) > 8)),
+{n}_s AS (SELECT rp, pp, rid, pid, a, b, row_number() OVER (PARTITION BY rp, pp ORDER BY bp DESC, a, b) AS z FROM {n}_k JOIN {n}_big USING (rp, pp)),
+{n}_g AS (SELECT rp, pp, CAST(0 AS BIGINT) AS z, CAST([] AS BIGINT[]) AS ua, CAST([] AS BIGINT[]) AS ub, CAST(NULL AS VARCHAR) AS rid, CAST(NULL AS VARCHAR) AS pid FROM {n}_big
+  UNION ALL SELECT rp, pp, z, CASE WHEN free THEN list_append(ua, a) ELSE ua END, CASE WHEN free THEN list_append(ub, b) ELSE ub END, CASE WHEN free THEN rid END, CASE WHEN free THEN pid END
+  FROM (SELECT s.*, g.ua, g.ub, NOT list_contains(g.ua, s.a) AND NOT list_contains(g.ub, s.b) AS free FROM {n}_g g JOIN {n}_s s ON s.rp = g.rp AND s.pp = g.pp AND s.z = g.z + 1)),
+{n}_n AS (SELECT rp, pp, max(a) AS na, max(b) AS nb FROM {n}_k WHERE (rp, pp) NOT IN (SELECT (rp, pp) FROM {n}_big) GROUP BY rp, pp),
+{n}_c AS (SELECT rp, pp, rid, pid, bp, CASE WHEN na <= nb THEN a ELSE b END AS i, CASE WHEN na <= nb THEN b ELSE a END AS j FROM {n}_k JOIN {n}_n USING (rp, pp)),
+{n}_w AS (SELECT rp, pp, least(na, nb) AS n, greatest(na, nb) AS m, CAST(0 AS BIGINT) AS done, CAST(0 AS BIGINT) AS total, CAST([] AS BIGINT[]) AS path FROM {n}_n
+  UNION ALL SELECT w.rp, w.pp, w.n, w.m, w.done + 1, CAST(w.total + coalesce(c.bp, 0) AS BIGINT), list_append(w.path, t.j) FROM {n}_w w JOIN range(1, 9) t(j) ON t.j <= w.m AND NOT list_contains(w.path, t.j) LEFT JOIN {n}_c c ON c.rp = w.rp AND c.pp = w.pp AND c.i = w.done + 1 AND c.j = t.j WHERE w.done < w.n),
+{n}_b AS (SELECT rp, pp, path, row_number() OVER (PARTITION BY rp, pp ORDER BY total DESC, path) AS z FROM {n}_w WHERE done = n),
+{n}_m AS (SELECT rp, pp, rid, pid FROM {n}_b JOIN {n}_c USING (rp, pp) WHERE z = 1 AND path[i] = j UNION ALL SELECT rp, pp, rid, pid FROM {n}_g WHERE rid IS NOT NULL),
+{n}_t AS (SELECT '{n}' AS level, (SELECT count(*) FROM {n}_m) AS tp, (SELECT count(*) FROM {n}_r WHERE (rp, pp, id) NOT IN (SELECT (rp, pp, rid) FROM {n}_m)) AS fn, (SELECT count(*) FROM {n}_p WHERE (rp, pp, id) NOT IN (SELECT (rp, pp, pid) FROM {n}_m)) AS fp)"""
+
+
+CASCADE = f"""{BASE.replace("WITH", "WITH RECURSIVE", 1)}, {MRNAS_SQL}, {second_sql("other", 11, 9)},
+pred AS (SELECT chrom, strand, gene_id AS id, min(s) AS s, max(e) AS e, 'p1' AS prediction FROM other GROUP BY chrom, strand, gene_id),
+pred_mrnas AS (SELECT chrom, strand, parent_id AS id, gene_id AS parent_id, min(s) AS s, max(e) AS e FROM other GROUP BY chrom, strand, parent_id, gene_id){classes_sql("pred")},
+{_gaps("ref_gaps", "cds")}, {_gaps("pred_gaps", "other")},
+hits AS (SELECT ref_id AS rp, pid AS pp FROM classes WHERE classification IN ('exact', 'inexact')),{_match("mrna", "hits", "mrnas", "pred_mrnas")},
+inside AS (SELECT DISTINCT rid AS rp, pid AS pp FROM mrna_m),{_match("cds", "inside", "cds", "other")},{_match("intron", "inside", "ref_gaps", "pred_gaps")},
+parts AS (SELECT * FROM mrna_t UNION ALL SELECT * FROM cds_t UNION ALL SELECT * FROM intron_t)"""
+
+
+@query("subfeature_match", f"""{CASCADE}, every AS (SELECT 'gene' AS level, classification, count(*) AS n FROM (SELECT classification FROM classes UNION ALL SELECT 'novel' FROM novel) GROUP BY classification
+UNION ALL SELECT level, 'match', tp FROM parts UNION ALL SELECT level, 'missing', fn FROM parts UNION ALL SELECT level, 'fp', fp FROM parts) SELECT * FROM every WHERE n > 0""")
 def subfeature_match(spark, sf_dir):
     return _cascade(spark, sf_dir).groupBy("level", "classification").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("f1_by_level")
+@query("f1_by_level", f"""{CASCADE}, every AS (SELECT * FROM parts UNION ALL SELECT 'gene', count(*) FILTER (WHERE classification IN ('exact', 'inexact')), count(*) FILTER (WHERE classification NOT IN ('exact', 'inexact')), (SELECT count(*) FROM novel) FROM classes)
+SELECT level, round(2 * tp / (2 * tp + fn + fp), 6) AS p1 FROM every""")
 def f1_by_level(spark, sf_dir):
     out = compare.f1_by_level(_cascade(spark, sf_dir), ["p1"])
     return out.select("level", F.round("p1", 6).alias("p1"))
@@ -391,7 +427,7 @@ def best_hit_per_query(spark, sf_dir):
 
 @query("domain_hits_greedy", HITS.replace("WITH", "WITH RECURSIVE", 1) + """, dom AS (SELECT query_id, hit_rank, event_id * 37 % 5000 AS a, event_id * 37 % 5000 + event_id % 40 AS b FROM hits),
 walk AS (SELECT query_id, hit_rank, a, b, b AS at, TRUE AS kept FROM dom WHERE hit_rank = 1
-  UNION ALL SELECT d.query_id, d.hit_rank, d.a, d.b, CASE WHEN d.a > w.at THEN d.b ELSE w.at END, d.a > w.at FROM walk w JOIN dom d ON d.query_id = w.query_id AND d.hit_rank = w.hit_rank + 1)
+  UNION ALL SELECT d.query_id, d.hit_rank, d.a, d.b, CASE WHEN d.a > w.done THEN d.b ELSE w.done END, d.a > w.done FROM walk w JOIN dom d ON d.query_id = w.query_id AND d.hit_rank = w.hit_rank + 1)
 SELECT query_id, CAST(hit_rank AS INTEGER) AS hit_rank, a AS dom_start, b AS dom_end FROM walk WHERE kept""")
 def domain_hits_greedy(spark, sf_dir):
     start = F.col("event_id") * 37 % 5000
