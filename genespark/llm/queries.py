@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from genespark.llm import decontam, jaccard, langid, linededup, mixing, pii, secrets, suffix, topk, toxicity
-from genespark.llm.util import crc_mod
+from genespark.llm import codebooks, decontam, jaccard, langid, linededup, mixing, pii, prefixtrie, secrets, suffix, tokencount, topk, toxicity
+from genespark.llm.util import crc_mod, materialize
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,24 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.where("vec_id % 50 = 0"), 5)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.compress(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = materialize(prefixtrie.turns(table(spark, sf_dir, "conversations")), "turns")
+    c = F.col("c")
+    rebuilt = prefixtrie.shared_heads(turns, heads=crc_mod("c", 6), base=c - c % 100, most=5)
+    return prefixtrie.trie(rebuilt).drop("digest")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return out.withColumn("over_limit", tokencount.over(2048))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_pii": op2_pii,
@@ -82,9 +100,68 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_top_k": op10_top_k,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_counts": op13_token_counts,
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds as a chain of common tables: a<r> assigns by the codebooks c<r>, which the assignment a<r - 1> gave."""
+    steps = [
+        r"""WITH e AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS k, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (
+  SELECT k, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS s FROM e, (SELECT unnest(range(4)) AS p)),
+c0 AS MATERIALIZED (SELECT p, k - 1 AS j, s AS c FROM x WHERE k <= 256)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT k, p, s, m.j AS j, m.d AS d
+  FROM (SELECT k, p, any_value(s) AS s, min({{'d': list_inner_product(s, s) - 2 * list_inner_product(s, c) + list_inner_product(c, c), 'j': j}}) AS m
+        FROM x JOIN c{r} USING (p) GROUP BY k, p))""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT p, j, coalesce(m.c, o.c) AS c
+  FROM c{r} o LEFT JOIN (
+    SELECT p, j, list(y ORDER BY q) AS c
+    FROM (SELECT p, j, q, floor(sum(z) / count(*)) AS y FROM (SELECT p, j, unnest(s) AS z, generate_subscripts(s, 1) AS q FROM a{r}) GROUP BY p, j, q)
+    GROUP BY p, j) m USING (p, j))""")
+    steps.append(f"""coded AS (
+  SELECT k, string_agg(printf('%02x', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY k),
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(z AS BIGINT) AS VARCHAR), ',' ORDER BY p, j, q)) AS h FROM (SELECT p, j, unnest(c) AS z, generate_subscripts(c, 1) AS q FROM c{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN e USING (k), books""")
+    return ",\n".join(steps)
+
+
 ORACLES = {
+    "op12_prefix_trie": r"""
+WITH said AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS x
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, list(x ORDER BY pos) AS l,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda z: ascii(z)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1))))) % 6 AS h
+  FROM said GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.l[1 : c.h], []), c.l[c.h + 1 :]) AS l FROM convs c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, len(l) = d AS ends, d, sha256(CAST(to_json(l[1 : d]) AS VARCHAR)) AS k, CASE WHEN d > 0 THEN sha256(CAST(to_json(l[1 : d - 1]) AS VARCHAR)) END AS up, CASE WHEN d > 0 THEN length(l[d].t) ELSE 0 END AS chars
+  FROM rebuilt, LATERAL (SELECT unnest(range(len(l) + 1)) AS d)),
+n AS (
+  SELECT d, k, min(conv_id) AS conv_id, any_value(up) AS up, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM p GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT a.d, a.k, sum(n.saved) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+  FROM n LEFT JOIN kids USING (d, k) JOIN p a ON a.conv_id = n.conv_id AND a.d <= n.d GROUP BY a.d, a.k)
+SELECT n.conv_id, n.d AS depth, par.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, leaves AS n_leaves, CAST(sums.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN sums USING (d, k) LEFT JOIN kids USING (d, k) LEFT JOIN n par ON par.d = n.d - 1 AND par.k = n.up
+""",
+    "op11_vector_codes": _codes_sql(),
     "op5_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, t.i AS pos, t.line AS line,

@@ -75,6 +75,29 @@ def cleanup() -> None:
     _roots.clear()
 
 
+def join_hot(rows: DataFrame, table: DataFrame, on: dict[str, str], count: str, most: int = 4096) -> DataFrame:
+    """`rows` with the columns of `table`, which has one row for each key; `on` names the key's column in each. A row without a match is left out.
+
+    `count` holds for how many rows a key is met. The keys of more than one row in `most`, so at most `most` keys, are
+    broadcast; the rest are shuffled, and none of those brings more than that share of the rows to a task. Null keys are equal.
+    `table` should be a stored one: it is read three times.
+    """
+    total = table.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    hot = F.col(count) * most > F.lit(total)
+    right = table.select(*(F.col(b).alias(f"key_{a}") for a, b in on.items()), *(F.col(c) for c in table.columns if c not in on.values()))
+
+    def fits(left: DataFrame, keys: DataFrame) -> Column:
+        test = F.lit(True)
+        for a in on:
+            test &= left[a].eqNullSafe(keys[f"key_{a}"])
+        return test
+
+    often, rest = F.broadcast(right.where(hot)), right.where(~hot)
+    shuffled = rows.join(often, fits(rows, often), "left_anti")
+    joined = shuffled.join(rest, fits(shuffled, rest), "inner")
+    return rows.join(often, fits(rows, often), "inner").unionByName(joined).drop(*(f"key_{a}" for a in on), count)
+
+
 def crc_mod(col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n
