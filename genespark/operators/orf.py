@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions import codons
 from genespark.functions.columns import reverse_complement
 from genespark.operators.hierarchy import five_to_three
 from genespark.operators.intervals import merge_overlapping_genes
-from genespark.operators.tiles import TILE, tiled
+from genespark.operators.tiles import TILE, entering, tiled
 
 
 def spliced(parts: DataFrame, contigs: DataFrame, parent: str = "parent_id", tile: int = TILE) -> DataFrame:
@@ -32,38 +32,72 @@ def translated(sequences: DataFrame, code: int = 1, seq: str = "seq") -> DataFra
     return sequences.withColumn("protein", codons.translate(F.col(seq), code))
 
 
-def codon_hits(sequences: DataFrame, code: int = 1) -> DataFrame:
+#: Bases a row of a codon scan holds; its hits are walked over within the row.
+SCAN = 4096
+
+
+def codon_hits(sequences: DataFrame, code: int = 1, tile: int = SCAN) -> DataFrame:
     """(id, seqlen, pos, strand, codon, frame): start and stop codons, each kind from left to right without overlap.
 
-    sequences: id, seq, strand. pos is 1-based, frame (pos - 1) mod 3.
+    sequences: id, seq, strand, or tiles of sequences of `tile` bases (4 at least) with two bases more (id, strand, n, tile, piece).
+    pos is 1-based, frame (pos - 1) mod 3.
+
+    A sequence is scanned tile by tile. A match that begins in one tile may end in the next, so a tile can be entered
+    with 0, 1 or 2 of its bases taken. Which is the case depends on all tiles before; so each tile is scanned for all three
+    cases, which gives the step from case to case, and the steps are combined along the sequence.
     """
-    seq = F.translate(F.upper("seq"), "#", "N")
+    if tile < 4:
+        raise ValueError("a tile holds four bases at least")
+    named = sequences.select(F.struct("id", "strand").alias("of"), *(c for c in sequences.columns if c in ("seq", "n", "tile", "piece")))
+    rows = tiled(named, tile, 2, "of").select("of", "tile", "n", F.translate(F.upper("piece"), "#", "N").alias("piece"))
 
-    def scan(kind: str, wanted: list[str]):
-        # a regular expression's matches are leftmost and do not overlap; one pass marks them, one more lists the marks
-        marked = F.split(F.regexp_replace(seq, "|".join(wanted), "#.."), "")
-        taken = F.filter(F.transform(marked, lambda c, i: F.when(c == "#", i + 1)), lambda p: p.isNotNull())
-        return F.transform(taken, lambda p: F.struct(p.alias("pos"), F.lit(kind).alias("codon")))
+    def of_kind(kind: str, wanted: list[str]) -> DataFrame:
+        def marked(taken: Column) -> Column:
+            """The tile after its first bases that are taken. A regular expression's matches are leftmost and do not overlap: each is marked."""
+            return F.regexp_replace(F.substring("piece", taken + 1, F.lit(tile + 2)), "|".join(wanted), "#..")
 
-    hits = F.concat(scan("start", codons.starts(code)), scan("stop", codons.stops(code)))
-    # the sequence is left behind before hits become rows: otherwise each would carry a copy of it
-    listed = sequences.select("id", F.length("seq").alias("seqlen"), "strand", hits.alias("_hits"))
-    return listed.select("id", "seqlen", "strand", F.explode("_hits").alias("x")).select("id", "seqlen", "x.pos", "strand", "x.codon", ((F.col("x.pos") - 1) % 3).alias("frame"))
+        def taken_next(m: Column, taken: int) -> Column:
+            """How many bases of the next tile the last match takes: it then begins at this tile's last base or the one before."""
+            return F.when(F.substring(m, tile - taken, 1) == "#", 2).when(F.substring(m, tile - 1 - taken, 1) == "#", 1).otherwise(0)
 
+        step = F.array(*(taken_next(marked(F.lit(t)), t) for t in range(3)))
+        state = entering(rows.where(F.col("n") > tile), ["of"], "tile", step, 3)
+        found = rows.join(state, ["of", "tile"], "left").withColumn("taken", F.coalesce("state", F.lit(0))).select("of", "n", "tile", "taken", F.split(marked(F.col("taken")), "#").alias("between"))
+        # what lies between the marks tells where they are
+        places = F.reduce("between", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("seen")), lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.array_append(acc["seen"], acc["at"] + F.length(x) + 1).alias("seen")), lambda acc: acc["seen"])
+        listed = found.where(F.size("between") > 1).select("of", "n", "tile", "taken", F.explode(F.slice(places, F.lit(1), F.size("between") - 1)).alias("at"))
+        return listed.select("of", "n", F.lit(kind).alias("codon"), (F.col("tile") * tile + F.col("taken") + F.col("at")).alias("pos"))
 
-def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5) -> DataFrame:
+    hits = of_kind("start", codons.starts(code)).unionByName(of_kind("stop", codons.stops(code)))
+    return hits.select("of.id", F.col("n").cast("int").alias("seqlen"), F.col("pos").cast("int").alias("pos"), "of.strand", "codon", ((F.col("pos") - 1) % 3).cast("int").alias("frame"))
+
+
+def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5, block: int = 1 << 20) -> DataFrame:
     """(id, seqlen, start, stop, strand, frame, orflen): the longest ORF of each (id, strand).
 
     A start reaches to the next stop downstream in its frame; orflen is stop - start and must exceed min_len and
     min_share of the sequence. Ties: the first start in a frame; of frames, the one whose first codon comes first.
+
+    The next stop is looked for within blocks of `block` bases, and beyond a block's last stop in one row for each block,
+    so a task holds no more than a block of a sequence's frame.
     """
+    frame = ["id", "strand", "frame"]
+    stop = F.when(F.col("codon") == "stop", F.col("pos"))
+    rows = hits.withColumn("block_", F.expr(f"pos div {block}"))
     # backwards: a frame that grows is kept up row by row, one that shrinks is read anew for each row
-    ahead = Window.partitionBy("id", "strand", "frame").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("id", "strand", "frame")
-    rows = hits.withColumn("_stop", F.min(F.when(F.col("codon") == "stop", F.col("pos"))).over(ahead)).withColumn("_first", F.min("pos").over(whole))
-    rows = rows.where("codon = 'start' and _stop is not null").withColumn("orflen", F.col("_stop") - F.col("pos")).where((F.col("orflen") > min_len) & (F.col("orflen") / F.col("seqlen") > min_share))
-    best = F.row_number().over(Window.partitionBy("id", "strand").orderBy(F.desc("orflen"), "_first", "pos"))
-    return rows.withColumn("_k", best).where("_k = 1").select("id", "seqlen", F.col("pos").alias("start"), (F.col("_stop") + 2).alias("stop"), "strand", "frame", "orflen")
+    later = Window.partitionBy(*frame).orderBy(F.desc("block_")).rowsBetween(Window.unboundedPreceding, -1)
+    facts = rows.groupBy(*frame, "block_").agg(F.min(stop).alias("own_"), F.min("pos").alias("low_"))
+    facts = facts.select(*(F.col(c).alias(f"{c}_") for c in frame), F.col("block_").alias("b_"), F.min("own_").over(later).alias("later_"), F.min("low_").over(Window.partitionBy(*frame)).alias("first_"))
+    on = F.col("block_") == F.col("b_")
+    for c in frame:
+        on &= F.col(c).eqNullSafe(F.col(f"{c}_"))
+    ahead = Window.partitionBy(*frame, "block_").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("near_", F.min(stop).over(ahead)).where("codon = 'start'").join(facts, on)
+    rows = rows.withColumn("stop_", F.coalesce("near_", "later_")).withColumn("orflen", F.col("stop_") - F.col("pos"))
+    rows = rows.where((F.col("orflen") > min_len) & (F.col("orflen") / F.col("seqlen") > min_share))
+    row = F.struct("seqlen", F.col("pos").alias("start"), (F.col("stop_") + 2).alias("stop"), "frame", "orflen")
+    best = rows.groupBy("id", "strand").agg(F.max_by(row, F.struct("orflen", -F.col("first_"), -F.col("pos"))).alias("x"))
+    return best.select("id", "x.seqlen", "x.start", "x.stop", "strand", "x.frame", "x.orflen")
 
 
 def map_to_genome(orfs: DataFrame, exons: DataFrame, minus_strand_compat: bool = True, parent: str = "parent_id", tie: str = "id") -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,20 +25,22 @@ def tally(junctions: DataFrame, contigs: DataFrame | None = None, tile: int = TI
 
     junctions: chrom, intron_start, intron_end, motif, unique. contigs: chrom, seq. An unknown contig or an end beyond it: 'unknown'.
     """
-    named = junctions.where("motif <> 0").select(_lookup(MOTIFS, "motif", "unknown").alias("type"), "unique")
-    rows = junctions.where("motif = 0").select("chrom", "intron_start", "intron_end", "unique")
+    named = junctions.where("motif <> 0").select(_lookup(MOTIFS, "motif", "unknown").alias("type"), F.lit(1).cast("long").alias("n"), "unique")
+    span = ["chrom", "intron_start", "intron_end"]
+    # junctions of one span have one type
+    rows = junctions.where("motif = 0").groupBy(*span).agg(F.count(F.lit(1)).alias("n"), F.sum("unique").alias("unique"))
     if contigs is not None:
-        # each end meets the tile that has it; tiles hold one base of the next, so two bases never lie in different ones
-        tiles, s, e = tiled(contigs, tile), F.col("intron_start") - 1, F.col("intron_end") - 2
-        rows = rows.withColumn("_ts", F.expr(f"(intron_start - 1) div {tile}")).withColumn("_te", F.expr(f"(intron_end - 2) div {tile}"))
-        rows = rows.join(tiles.select(F.col("chrom").alias("_c"), F.col("tile").alias("_ts"), "n", F.col("piece").alias("_a")).withColumnRenamed("_c", "chrom"), ["chrom", "_ts"], "left")
-        rows = rows.join(tiles.select("chrom", F.col("tile").alias("_te"), F.col("piece").alias("_b")), ["chrom", "_te"], "left")
-        two = lambda piece, at: F.substring(F.col(piece), (F.pmod(at, F.lit(tile)) + 1).cast("int"), F.lit(2))
-        inner = F.when(F.col("n").isNotNull() & (F.col("intron_end") <= F.col("n")), F.upper(F.concat(two("_a", s), F.lit("-"), two("_b", e)))).otherwise("unknown")
+        # both ends meet the tiles in one join; tiles hold one base of the next, so two bases never lie in different ones
+        at = F.explode(F.array(*(F.struct(F.lit(k).alias("end"), p.alias("at")) for k, p in ((0, F.col("intron_start") - 1), (1, F.col("intron_end") - 2)))))
+        ends = rows.select(*span, "n", "unique", at.alias("x")).select(*span, F.col("n").alias("n_"), "unique", "x.end", "x.at", F.expr(f"x.at div {tile}").alias("tile"))
+        ends = ends.join(tiled(contigs, tile), ["chrom", "tile"], "left")
+        two = F.when(F.col("intron_end") <= F.col("n"), F.upper(F.substring("piece", (F.pmod("at", F.lit(tile)) + 1).cast("int"), F.lit(2))))
+        rows = ends.groupBy(*span).agg(F.first("n_").alias("n"), F.first("unique").alias("unique"), F.max(F.when(F.col("end") == 0, two)).alias("a"), F.max(F.when(F.col("end") == 1, two)).alias("b"))
+        inner = F.coalesce(F.concat("a", F.lit("-"), "b"), F.lit("unknown"))
     else:
         inner = F.lit("unknown")
-    rows = named.unionByName(rows.select(inner.alias("type"), "unique"))
-    return rows.groupBy("type").agg(F.count(F.lit(1)).alias("count"), F.sum("unique").cast("long").alias("unique_reads"))
+    rows = named.unionByName(rows.select(inner.alias("type"), "n", "unique"))
+    return rows.groupBy("type").agg(F.sum("n").alias("count"), F.sum("unique").cast("long").alias("unique_reads"))
 
 
 def extra_types(summary: DataFrame, permissive: bool = False) -> DataFrame:
@@ -92,7 +92,14 @@ def gene_length_limit(genes: DataFrame) -> DataFrame:
     return genes.agg((F.avg(length).cast("long") + 2 * F.coalesce(F.stddev_samp(length), F.lit(0.0)).cast("long")).alias("limit"))
 
 
+def summary_text(tallied: DataFrame) -> DataFrame:
+    """(value): a tally as one JSON object, most frequent types first (equal ones by name); a few hundred types at most."""
+    order = F.struct((-F.col("count")).alias("n"), "type", "unique_reads")
+    entry = lambda x: F.format_string('  "%s": {\n    "count": %d,\n    "unique_reads": %d\n  }', x["type"], -x["n"], x["unique_reads"])
+    entries = F.array_join(F.transform(F.sort_array(F.collect_list(order)), entry), ",\n")
+    return tallied.agg(F.when(F.count(F.lit(1)) > 0, F.concat(F.lit("{\n"), entries, F.lit("\n}"))).otherwise("{}").alias("value"))
+
+
 def summary_json(tallied: DataFrame) -> str:
-    """A tally as a JSON object, most frequent types first (equal ones by name); a few hundred rows at most, one a type."""
-    rows = tallied.orderBy(F.desc("count"), "type").collect()
-    return json.dumps({r["type"]: {"count": r["count"], "unique_reads": r["unique_reads"]} for r in rows}, indent=2)
+    """The text of summary_text()."""
+    return summary_text(tallied).first().value

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from genespark.operators.tiles import TILE
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """(header, chrom, seq): records are split by '\\n>'; chrom is the header up to the first blank."""
@@ -15,6 +17,40 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.trim(header).alias("header"), F.get(F.split(F.trim(header), r"\s+"), 0).alias("chrom"), seq.alias("seq"))
 
 
+def read_tiles(spark: SparkSession, path: str, size: int = TILE, over: int = 1) -> DataFrame:
+    """(file, record, header, chrom, n, tile, piece): FASTA records in tiles of `size` bases with `over` of what follows, as tiled() cuts them.
+
+    The file is read by lines in splits, so a chromosome is never one row. Two things must be known of a line: its record and how
+    many bases of the record come before it. Both are running sums, taken within a split and then over one row a split; the
+    last header of a split is handed on to those after it. Pieces of lines then meet by record and tile. Lines before the
+    first header belong to no record; carriage returns are left off; an empty record has one empty tile. Records of equal headers stay apart
+    by their number.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split_"), F.monotonically_increasing_id().alias("row_"), "value")
+    head = F.startswith("value", F.lit(">"))
+    rows = rows.withColumn("head_", head).withColumn("text_", F.when(head, "").otherwise(F.translate("value", "\r", ""))).withColumn("len_", F.length("text_").cast("long"))
+    upto = Window.partitionBy("file", "split_").orderBy("row_").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("records_", F.count_if("head_").over(upto)).withColumn("bases_", F.sum("len_").over(upto))
+    rows = rows.withColumn("last_", F.max(F.when(F.col("head_"), F.struct(F.col("records_").alias("record"), F.col("bases_").alias("from"), F.col("value").alias("header")))).over(upto))
+    before = Window.partitionBy("file").orderBy("split_").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    splits = rows.groupBy("file", "split_").agg(F.max("records_").alias("r_"), F.max("bases_").alias("b_"), F.max("last_").alias("l_"))
+    splits = splits.withColumn("r0_", F.coalesce(F.sum("r_").over(before), zero)).withColumn("b0_", F.coalesce(F.sum("b_").over(before), zero))
+    whole = lambda x: F.struct((x["record"] + F.col("r0_")).alias("record"), (x["from"] + F.col("b0_")).alias("from"), x["header"].alias("header"))
+    splits = splits.withColumn("w_", F.when(F.col("l_").isNotNull(), whole(F.col("l_")))).withColumn("l0_", F.last("w_", ignorenulls=True).over(before))
+    rows = rows.join(splits.select("file", "split_", "r0_", "b0_", "l0_"), ["file", "split_"])
+    rows = rows.withColumn("of_", F.when(F.col("last_").isNotNull(), whole(F.col("last_"))).otherwise(F.col("l0_"))).where("of_ is not null and (head_ or len_ > 0)")
+    at = (F.col("b0_") + F.col("bases_") - F.col("len_") - F.col("of_.from")).alias("at_")
+    rows = rows.select("file", F.col("of_.record").alias("record"), F.trim(F.substring("of_.header", 2, 1 << 30)).alias("header"), "text_", "len_", at)
+    n = rows.groupBy("file", "record").agg(F.sum("len_").alias("n"))
+    first, final = F.greatest(F.floor((F.col("at_") - over) / size), zero), F.greatest(F.floor((F.col("at_") + F.col("len_") - 1) / size), zero)
+    parts = rows.withColumn("tile", F.explode(F.sequence(F.least(first, final), final)))
+    low, high = F.greatest(F.col("at_"), F.col("tile") * size), F.least(F.col("at_") + F.col("len_"), F.col("tile") * size + size + over)
+    parts = parts.select("file", "record", "header", "tile", low.alias("low_"), F.substring(F.col("text_"), (low - F.col("at_") + 1).cast("int"), F.greatest(high - low, zero).cast("int")).alias("part_"))
+    tiles = parts.groupBy("file", "record", "tile").agg(F.max("header").alias("header"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("low_", "part_"))), lambda x: x["part_"]), "").alias("piece"))
+    return tiles.join(n, ["file", "record"]).select("file", "record", "header", F.get(F.split("header", r"\s+"), 0).alias("chrom"), "n", "tile", "piece")
+
+
 def fasta_text(sequences: DataFrame, name: str = "chrom", seq: str = "seq", width: int = 60) -> DataFrame:
     """(value): one row a record, '>' and the sequence in lines of `width`; a null sequence is an empty one."""
     return sequences.select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.regexp_replace(F.coalesce(seq, F.lit("")), f"(.{{{width}}})(?=.)", "$1\n")).alias("value"))
