@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from genespark.operators.graph import with_parents
 from genespark.operators.hierarchy import complete, exon_roles, strip_contig_names
-from genespark.operators.intervals import nonoverlapping_genes
+from genespark.operators.intervals import nonoverlapping_genes, nonoverlapping_models
+from genespark.sources.gff import combined
 
 # fixed values: evidence files, their class, source and which of the weights (protein, prediction, transcript) they take
 EVIDENCE = (
@@ -100,6 +102,16 @@ def patch_consensus(consensus: DataFrame, orfs: DataFrame) -> DataFrame:
     return consensus.unionByName(orfs.join(new.select(F.col("id").alias("gene_id")), "gene_id", "left_semi").select(*consensus.columns))
 
 
+def patch_models(consensus: DataFrame, orfs: DataFrame) -> DataFrame:
+    """The same for features as sources.gff.features() gives them, with several parents and any depth: what ORF genes bring is merged in.
+
+    Features that agree in all but attributes become one; an id that the consensus has otherwise gets a number.
+    """
+    new = nonoverlapping_models(orfs, consensus.where("type = 'gene'")).dropDuplicates(["row_"])
+    both = with_parents(consensus).withColumn("part_", F.lit(0)).unionByName(with_parents(new.select(*orfs.columns)).withColumn("part_", F.lit(1)), allowMissingColumns=True)
+    return combined(both, "merge", ("part_", "line_no")).drop("part_")
+
+
 def zff_lines(exons: DataFrame, contigs: DataFrame, parent: str = "parent_id", tie: str = "id") -> DataFrame:
     """(chrom, position, mrna, k, value): '>contig' and its exons by role; ordering by all but value gives the file.
 

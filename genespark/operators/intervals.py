@@ -3,24 +3,60 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import overlap_bp, overlaps
+from genespark.operators.graph import hierarchy
 
 
-def _binned(df: DataFrame, keys: Sequence[str], side: str, start: str, end: str, width: int) -> DataFrame:
+#: Each level's bins are FACTOR times as wide as those of the level before.
+FACTOR, LEVELS = 4, 14
+
+
+def level_of(start: Column, end: Column, width: int, copies: int) -> Column:
+    """The finest level of which an interval touches at most `copies` + 1 bins; the last takes what is longer still."""
+    steps = [F.when(end - start >= copies * width * FACTOR**k, 1).otherwise(0) for k in range(LEVELS - 1)]
+    return reduce(lambda a, b: a + b, steps)
+
+
+def width_of(level: Column, width: int) -> Column:
+    """The width of a level's bins."""
+    return F.get(F.array(*(F.lit(width * FACTOR**k).cast("long") for k in range(LEVELS))), level)
+
+
+def bins_of(start: Column, end: Column, levels: Column, width: int) -> Column:
+    """An array of (level, bin): the bins that an interval touches at each of the levels."""
+    at = lambda level: F.transform(F.sequence(F.floor(start / width_of(level, width)), F.floor(end / width_of(level, width))), lambda b: F.struct(level.alias("level"), b.alias("bin")))
+    return F.flatten(F.transform(levels, at))
+
+
+def _levels(df: DataFrame, start: str, end: str, width: int, copies: int) -> DataFrame:
+    """(other_): the levels of a side, in one row."""
+    return df.agg(F.collect_set(level_of(F.col(start), F.col(end), width, copies)).alias("other_"))
+
+
+def _binned(df: DataFrame, other: DataFrame, keys: Sequence[str], side: str, start: str, end: str, width: int, copies: int) -> DataFrame:
+    """A row for each bin touched, at the row's own level and at the wider ones that the other side has."""
+    s, e, own = F.col(start), F.col(end), F.col(f"own_{side}")
+    rows = df.withColumn(f"own_{side}", level_of(s, e, width, copies)).join(F.broadcast(other))  # one row
+    levels = F.array_union(F.array(own), F.filter("other_", lambda x: x > own))
     cols = [F.col(c).alias(f"{side}{c}") for c in df.columns]
-    return df.select(*cols, *(F.col(k).alias(f"key_{i}_{side}") for i, k in enumerate(keys)), F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))).alias(f"bin_{side}"))
+    binned = rows.select(*cols, own, *(F.col(k).alias(f"key_{i}_{side}") for i, k in enumerate(keys)), F.explode(bins_of(s, e, levels, width)).alias("x"))
+    return binned.select("*", F.col("x.level").alias(f"level_{side}"), F.col("x.bin").alias(f"bin_{side}")).drop("x")
 
 
-def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("chrom", "strand"), start: str = "start", end: str = "end", prefixes: tuple[str, str] = ("l_", "r_"), width: int = 2000, slack: int = 0) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("chrom", "strand"), start: str = "start", end: str = "end", prefixes: tuple[str, str] = ("l_", "r_"), width: int = 2000, slack: int = 0, copies: int = 4) -> DataFrame:
     """Pairs of rows with equal keys whose intervals overlap (after widening the left one by `slack`).
 
-    Both sides are replicated to the bins of `width` bases that they touch and joined on keys and bin; a pair is
-    kept in the bin of its later start only, so no distinct is needed. Columns get the prefixes; bp is the overlap.
-    Choose `width` near the upper lengths of the features: each row is copied once per bin. Null keys match nothing.
+    Bins have levels, each FACTOR times as wide as the one before, from `width` bases on. A row lies in the finest level
+    of which it touches at most `copies` + 1 bins, and is looked for in the wider levels that the other side has (in one or a few bins
+    of each): so a feature of megabases is copied a few times, not once for every `width` bases, and one of 50 bases no more
+    often. A pair meets at the wider of its two levels, and there in the bin of its later start only, so no distinct
+    is needed. Which levels a side has comes from one aggregate over it. Columns get the prefixes; bp is the overlap. Null keys
+    match nothing. The bins are join keys that adaptive execution may split where one is crowded.
     """
     a, b = prefixes
     if slack:
@@ -28,9 +64,12 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("
         ls, le = "_s", "_e"
     else:
         ls, le = start, end
-    lhs, rhs = _binned(left, keys, a, ls, le, width), _binned(right, keys, b, start, end, width)
+    lhs = _binned(left, _levels(right, start, end, width, copies), keys, a, ls, le, width, copies)
+    rhs = _binned(right, _levels(left, ls, le, width, copies), keys, b, start, end, width, copies)
     s1, e1, s2, e2 = F.col(a + ls), F.col(a + le), F.col(b + start), F.col(b + end)
-    on = (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2) & (F.col(f"bin_{a}") == F.floor(F.greatest(s1, s2) / width))
+    wide = width_of(F.col(f"level_{a}"), width)
+    on = (F.col(f"level_{a}") == F.col(f"level_{b}")) & (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2)
+    on &= (F.col(f"level_{a}") == F.greatest(f"own_{a}", f"own_{b}")) & (F.col(f"bin_{a}") == F.floor(F.greatest(s1, s2) / wide))
     for i in range(len(keys)):
         on &= F.col(f"key_{i}_{a}") == F.col(f"key_{i}_{b}")
     out = lhs.join(rhs, on)
@@ -105,6 +144,17 @@ def nonoverlapping_genes(source: DataFrame, target: DataFrame, cds_genes: DataFr
     return interval_anti(source, target).join(cds_genes.select(F.col("gene_id").alias("id")).distinct(), "id", "left_semi").select(*source.columns)
 
 
+def nonoverlapping_models(features: DataFrame, target: DataFrame) -> DataFrame:
+    """Of `features` (chrom, strand, start, end, type, id, parents or parent_id), the genes that overlap no gene of `target` on their
+    strand and have a CDS at any depth, each with all its descendants. Adds gene_id and row_; what lies below two such genes has two rows."""
+    known = hierarchy(features)
+    genes = known.rows.where("type = 'gene'")
+    new = nonoverlapping_genes(genes, target, known.holding("gene", "CDS").withColumnRenamed("id", "gene_id"))
+    below = known.under("gene").join(new.select(F.col("id").alias("ancestor")), "ancestor", "left_semi")
+    cols = [*features.columns, "row_"]
+    return new.select(*cols, F.col("id").alias("gene_id")).unionByName(below.select(*cols, F.col("ancestor").alias("gene_id")))
+
+
 def same_span(s1: Column, e1: Column, s2: Column, e2: Column, tolerance: float = 0.05) -> Column:
     """Starts and ends differ by at most `tolerance` of the longer span (spans as end - start, 1 at least)."""
     allowed = F.lit(tolerance) * F.greatest(e1 - s1, e2 - s2, F.lit(1).cast("long"))

@@ -6,18 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import clean_product
-from genespark.sources.gff import hierarchical_text
+from genespark.operators.graph import Hierarchy, hierarchy, with_parents
+from genespark.operators.lineage import cut
+from genespark.sources.gff import placed, placed_text
 
 INFERENCES = 3
 SEVERITIES = ("FATAL", "ERROR", "WARNING", "INFO")
 
 
 def drop_set(genes: DataFrame, mrnas: DataFrame, cds: DataFrame) -> DataFrame:
-    """(id, kind): mRNAs without CDS, and genes without an mRNA that has one (genes without any mRNA too)."""
-    coding = mrnas.join(cds.select(F.col("parent_id").alias("id")).distinct(), "id", "left_semi")
-    bare = mrnas.join(coding.select("id"), "id", "left_anti").select("id", F.lit("mRNA").alias("kind"))
-    empty = genes.join(coding.select(F.col("parent_id").alias("id")).distinct(), "id", "left_anti").select("id", F.lit("gene").alias("kind"))
-    return bare.unionByName(empty)
+    """(id, kind): mRNAs without CDS, and genes without an mRNA that has one (genes without any mRNA too).
+
+    genes: id; mrnas: id and parents (or parent_id); cds: parents (or parent_id).
+    """
+    nil = F.lit(None).cast("string")
+    rows = genes.select("id", F.lit("gene").alias("type"), F.array().cast("array<string>").alias("parents"))
+    rows = rows.unionByName(with_parents(mrnas).select("id", F.lit("mRNA").alias("type"), "parents")).unionByName(with_parents(cds).select(nil.alias("id"), F.lit("CDS").alias("type"), "parents"))
+    return without_cds(hierarchy(rows))
+
+
+def without_cds(known: Hierarchy) -> DataFrame:
+    """(id, kind): mRNAs without CDS at any depth, and genes without an mRNA that has one."""
+    coding = known.holding("mRNA", "CDS")
+    rows = known.rows.where("id is not null")
+    mrna = rows.where("type = 'mRNA'")
+    bare = mrna.join(coding, "id", "left_anti").select("id", F.lit("mRNA").alias("kind"))
+    kept = known.under("gene", mrna.join(coding, "id", "left_semi").select(*rows.columns)).select(F.col("ancestor").alias("id")).distinct()
+    return bare.unionByName(rows.where("type = 'gene'").join(kept, "id", "left_anti").select("id", F.lit("gene").alias("kind")))
 
 
 def clean(features: DataFrame) -> DataFrame:
@@ -65,18 +80,18 @@ def release(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(lines, report) of a GFF3 for submission: without what has no CDS, attributes cleaned, in hierarchical order.
 
     features: as sources.gff.features gives them. lines (value) begin with the version; other attributes keep their place.
+    A part of several mRNAs is written, and what was cleaned in it counted, below each that stays.
     """
-    of = lambda kind: features.where(F.col("type") == kind)
-    dropped = drop_set(of("gene").select("id"), of("mRNA").select("id", "parent_id"), of("CDS").select("parent_id"))
-    kept = features.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), (F.col("id") == F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
-    # what hangs on a dropped mRNA, or on nothing, is not written and not counted either
-    alive = kept.where("type = 'mRNA'").select(F.col("id").alias("_m")).distinct()
-    kept = kept.where("type in ('gene', 'mRNA')").unionByName(kept.where("type in ('exon', 'CDS')").join(alive, F.col("parent_id") == F.col("_m"), "left_semi"))
+    known = hierarchy(features)
+    dropped = cut(without_cds(known))
+    kept = known.rows.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), F.col("id").eqNullSafe(F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
     names = {"product": "product", "inference": "inference", "dbxref": "Dbxref", "note": "Note"}
     cleaned = clean(kept.withColumns({c: F.try_element_at("attributes", F.lit(k)) for c, k in names.items()}))
     value = lambda k, v: F.coalesce(*(F.when(k == key, F.coalesce(F.col(c), F.array().cast("array<string>"))) for c, key in names.items()), v)
     stay = F.map_filter(F.transform_values("attributes", value), lambda k, v: (F.size(v) > 0) | ~k.isin(*names.values()))
     fresh = F.when(F.col("note").isNotNull() & ~F.map_contains_key("attributes", "Note"), F.create_map(F.lit("Note"), F.col("note"))).otherwise(F.create_map().cast("map<string,array<string>>"))
     cleaned = cleaned.withColumn("attributes", F.map_concat(stay, fresh))
+    # what hangs on dropped mRNAs only, or on nothing, has no place: it is neither written nor counted
+    rows = cut(placed(Hierarchy(cleaned, known.above)))
     head = features.sparkSession.range(1).select(F.lit("##gff-version 3").alias("value"))
-    return head.unionByName(hierarchical_text(cleaned.select(*features.columns))), report(cleaned, dropped)
+    return head.unionByName(placed_text(rows)), report(rows, dropped)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from genespark.functions.columns import attribute_map, attribute_text, first_value, fixed, gtf_map, raw_attribute
+from genespark.operators.graph import Hierarchy, hierarchy
+from genespark.operators.lineage import cut
 
 
 def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -65,13 +69,67 @@ def grouped_exons(rows: DataFrame) -> DataFrame:
     return base.select(part(0).alias("chrom"), F.lit("exon").alias("type"), F.expr("try_cast(split(value, '\\t')[3] as bigint)").alias("start"), F.expr("try_cast(split(value, '\\t')[4] as bigint)").alias("end"), part(6).alias("strand"), F.concat_ws("_", "group", F.lit("exon"), n.cast("string")).alias("id"), F.col("group").alias("parent_id"))
 
 
-def unique_ids(rows: DataFrame) -> DataFrame:
+def unique_ids(rows: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
     """Ids that repeat get _1, _2, ... from their second line on, in file order. Rows without an id stay as they are, out of the window."""
-    k = F.row_number().over(Window.partitionBy("id").orderBy("line_no")) - 1
+    k = F.row_number().over(Window.partitionBy("id").orderBy(*order)) - 1
     named = rows.where("id is not null").withColumn("id", F.when(k > 0, F.concat_ws("_", "id", k.cast("string"))).otherwise(F.col("id")))
     return named.unionByName(rows.where("id is null"))
 
 
+#: The columns besides id and attributes that tell whether features of one id are the same.
+FIELDS = ("chrom", "source", "type", "start", "end", "score", "strand", "frame")
+
+
+def merge_same(rows: DataFrame, order: Sequence[str] = ("line_no",), fields: Sequence[str] = FIELDS) -> DataFrame:
+    """Features of one id that agree in `fields` become one, with the union of their attributes; those that differ get _1, _2, ... in order.
+
+    Values of an attribute are a set in ascending order; ID, Name and Parent come first, other attributes by name. Other columns
+    are those of the first row by `order`. Nulls in `fields` are equal. Rows without an id stay as they are. Only rows whose id
+    repeats are taken apart; a feature's values are gathered as a set, however many rows repeat them.
+    """
+    rows = cut(rows)  # read from several sides
+    times = rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1").select("id")
+    once, again = rows.join(times, "id", "left_anti"), rows.join(times, "id", "left_semi")
+    fields = [f for f in fields if f in rows.columns]
+    same = ["id", *fields]
+    at = F.struct(*order)
+    first = again.groupBy(*same).agg(F.min(at).alias("at_"), F.min_by(F.struct(*(c for c in rows.columns if c not in (*same, "attributes"))), at).alias("row_"))
+    values = again.select(*same, F.explode("attributes").alias("key_", "v_")).select(*same, "key_", F.explode_outer("v_").alias("v_"))
+    sets = values.groupBy(*same, "key_").agg(F.sort_array(F.collect_set("v_")).alias("v_"))
+    rank = F.coalesce(F.nullif(F.array_position(F.array(F.lit("ID"), F.lit("Name"), F.lit("Parent")), F.col("key_")), F.lit(0).cast("long")), F.lit(4).cast("long"))
+    maps = sets.groupBy(*same).agg(F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct(rank.alias("r"), "key_", "v_"))), lambda x: F.struct(x["key_"], x["v_"]))).alias("attributes"))
+    on = F.lit(True)
+    for c in same:
+        on &= first[c].eqNullSafe(maps[c])
+    whole = first.join(maps, on, "left").select(*(first[c] for c in same), "at_", "row_", "attributes")
+    k = F.row_number().over(Window.partitionBy("id").orderBy("at_", *fields)) - 1
+    whole = whole.withColumn("k_", k).withColumn("id", F.when(F.col("k_") > 0, F.concat_ws("_", "id", F.col("k_").cast("string"))).otherwise(F.col("id")))
+    empty = F.create_map().cast(rows.schema["attributes"].dataType)
+    out = whole.select(*(F.col(c) if c in same else F.coalesce("attributes", empty).alias(c) if c == "attributes" else F.col(f"row_.{c}").alias(c) for c in rows.columns))
+    if "parents" in rows.columns:
+        out = out.withColumn("parents", F.try_element_at("attributes", F.lit("Parent")))
+    if "parent_id" in rows.columns:
+        out = out.withColumn("parent_id", F.get(F.try_element_at("attributes", F.lit("Parent")), 0))
+    return once.select(*rows.columns).unionByName(out)
+
+
+def keep_last(rows: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
+    """Of features that share an id the last by `order` stays, as a whole. Rows without an id stay."""
+    last = rows.where("id is not null").groupBy("id").agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("x"))
+    return last.select("x.*").unionByName(rows.where("id is null"))
+
+
+def combined(rows: DataFrame, strategy: str = "create_unique", order: Sequence[str] = ("line_no",)) -> DataFrame:
+    """Features with ids that repeat made one set: create_unique (unique_ids), merge (merge_same) or replace (keep_last)."""
+    if strategy == "create_unique":
+        return unique_ids(rows, order)
+    if strategy == "merge":
+        return merge_same(rows, order)
+    if strategy == "replace":
+        return keep_last(rows, order)
+    raise ValueError(f"no way to combine features called {strategy}")
+
+
 def count_type(rows: DataFrame, kind: str) -> DataFrame:
     """(n): rows whose third column is `kind`."""
     return rows.agg(F.count_if(~F.col("value").startswith("#") & (F.get(F.split("value", "\t"), 2) == kind)).alias("n"))
@@ -83,25 +141,56 @@ def summary(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if(F.col("type") == "gene").alias("genes"), F.count_if(mrna).alias("mrnas"), F.count_if(mrna & F.map_contains_key("attributes", "inference")).alias("with_inference"))
 
 
+def head_facts(rows: DataFrame, n: int = 10) -> DataFrame:
+    """(file, n, lacking): the features of each file, and how many of its first `n` lack start, end or attributes. Without `file` all are one file, called ''."""
+    rows = rows.withColumn("file", F.col("file") if "file" in rows.columns else F.lit(""))
+    total = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    first = rows.withColumn("k_", F.row_number().over(Window.partitionBy("file").orderBy("line_no"))).where(F.col("k_") <= n)
+    whole = F.col("start").isNotNull() & F.col("end").isNotNull() & (F.size("attributes") > 0)
+    return total.join(first.groupBy("file").agg(F.count_if(~F.coalesce(whole, F.lit(False))).alias("lacking")), "file")
+
+
 def check(rows: DataFrame, n: int = 10) -> None:
-    """ValueError unless there are features and the first `n` have start, end and an attribute."""
-    head = rows.orderBy("line_no").limit(n).select((F.col("start").isNotNull() & F.col("end").isNotNull() & (F.size("attributes") > 0)).alias("ok")).collect()
-    if not head:
+    """ValueError unless there are features and the first `n` of each file have start, end and an attribute."""
+    facts = head_facts(rows, n).agg(F.count(F.lit(1)).alias("files"), F.sum("lacking").alias("lacking")).first()
+    if not facts.files:
         raise ValueError("no features")
-    if not all(r.ok for r in head):
+    if facts.lacking:
         raise ValueError("a feature lacks start, end or attributes")
 
 
-def hierarchical_text(rows: DataFrame) -> DataFrame:
-    """(value) lines in order: each gene, its mRNAs by start, and of each its exons, then its CDS. Anything else is left off."""
-    gene = rows.where("type = 'gene'").select(F.col("id").alias("g"), F.col("chrom").alias("g_chrom"), F.col("start").alias("g_start"))
-    mrna = rows.where("type = 'mRNA'").select(F.col("id").alias("m"), F.col("parent_id").alias("m_parent"), F.col("start").alias("m_start")).join(gene, F.col("m_parent") == F.col("g"))
-    nil = F.lit(None)
-    a = rows.where("type = 'gene'").select("*", F.col("chrom").alias("k0"), F.col("start").alias("k1"), F.col("id").alias("k2"), nil.cast("long").alias("k3"), nil.cast("string").alias("k4"), F.lit(0).alias("k5"))
-    b = rows.where("type = 'mRNA'").join(mrna.select("m", "g", "g_chrom", "g_start"), F.col("id") == F.col("m")).select(*rows.columns, F.col("g_chrom").alias("k0"), F.col("g_start").alias("k1"), F.col("g").alias("k2"), F.col("start").alias("k3"), F.col("id").alias("k4"), F.lit(1).alias("k5"))
-    c = rows.where(F.col("type").isin("exon", "CDS")).join(mrna, F.col("parent_id") == F.col("m")).select(*rows.columns, F.col("g_chrom").alias("k0"), F.col("g_start").alias("k1"), F.col("g").alias("k2"), F.col("m_start").alias("k3"), F.col("m").alias("k4"), F.when(F.col("type") == "exon", 2).otherwise(3).alias("k5"))
+def placed(known: Hierarchy) -> DataFrame:
+    """The rows that belong into a file, with `at`, their place: genes by contig and start, below each its mRNAs by start, and of each the exons, then the CDS.
+
+    A feature with several parents has a row below each; how many levels lie between a gene, its mRNAs and their parts
+    doesn't matter. Anything else is left off. Equal places go by the order of the rows read.
+    """
+    c, place = F.col, lambda **keys: F.struct(*(v.alias(k) for k, v in keys.items()))
+    own = known.rows.columns
+    gene = known.rows.where("type = 'gene'")
+    at_gene = gene.where("id is not null").select(c("id").alias("ancestor"), c("chrom").alias("g_chrom"), c("start").alias("g_start"))
+    mrna = known.under("gene", known.rows.where("type = 'mRNA'")).join(at_gene, "ancestor")
+    spot = mrna.where("id is not null").select(c("id").alias("mrna"), c("start").alias("m_start"), c("ancestor").alias("gene"), "g_chrom", "g_start")
+    seats = cut(known.above.join(spot, c("ancestor") == c("mrna")).select(c("id").alias("via_"), "mrna", "m_start", "gene", "g_chrom", "g_start"))
+    part = known.rows.where(c("type").isin("exon", "CDS")).withColumn("via_", F.explode("parents")).join(seats, "via_")
+    part = part.where(F.size("parents") == 1).unionByName(part.where(F.size("parents") > 1).dropDuplicates(["row_", "gene", "mrna"]))
+    nil, zero = F.lit(None), F.lit(0)
+    return (
+        gene.select(*own, place(chrom=c("chrom"), g_start=c("start"), gene=c("id"), m_start=nil.cast("long"), mrna=nil.cast("string"), kind=zero, start=c("start"), row=c("row_")).alias("at"))
+        .unionByName(mrna.select(*own, place(chrom=c("g_chrom"), g_start=c("g_start"), gene=c("ancestor"), m_start=c("start"), mrna=c("id"), kind=zero + 1, start=c("start"), row=c("row_")).alias("at")))
+        .unionByName(part.select(*own, place(chrom=c("g_chrom"), g_start=c("g_start"), gene=c("gene"), m_start=c("m_start"), mrna=c("mrna"), kind=F.when(c("type") == "exon", 2).otherwise(3), start=c("start"), row=c("row_")).alias("at")))
+    )
+
+
+def placed_text(rows: DataFrame) -> DataFrame:
+    """(value): GFF3 lines of placed() rows in order. They are moved once, by place into ranges, each sorted for itself."""
     line = F.concat_ws("\t", "chrom", "source", "type", F.col("start").cast("string"), F.col("end").cast("string"), "score", "strand", "frame", attribute_text(F.col("attributes")))
-    return a.unionByName(b).unionByName(c).orderBy("k0", "k1", "k2", F.col("k3").asc_nulls_first(), F.col("k4").asc_nulls_first(), "k5", "start").select(line.alias("value"))
+    return rows.select("at", line.alias("value")).orderBy("at").select("value")
+
+
+def hierarchical_text(rows: DataFrame) -> DataFrame:
+    """(value): the lines of features in the order of placed()."""
+    return placed_text(placed(hierarchy(rows)))
 
 
 def record_text(records: DataFrame, columns: tuple[str, ...]) -> DataFrame:
