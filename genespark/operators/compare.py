@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.operators.hierarchy import introns
 from genespark.operators.intervals import interval_join
 from genespark.operators.lineage import cut
+from genespark.operators.selection import medians
 
 MERGED, FRAGMENT, EXHAUSTIVE = 0.5, 0.5, 8
 RECORD = ("level", "classification", "ref_id", "pred_id", "chrom", "strand", "ref_start", "ref_end", "pred_start", "pred_end", "overlap_bp", "sn", "sp", "f1", "boundary_5p", "boundary_3p")
@@ -94,7 +95,7 @@ def match_parts(level: str, parents: DataFrame, ref: DataFrame, pred: DataFrame)
 
     parents: prediction, ref_parent, pred_parent. ref, pred: chrom, strand, start, end, id, parent_id (pred also
     prediction). Within a pair of parents, overlaps that are the only ones of both sides match directly; the rest
-    of a pair goes through best_assignment. Missing and fp are decided by id, so lines that share an id count as
+    of a pair goes through best_assignment, in tasks that hold one pair of parents at a time. Missing and fp are decided by id, so lines that share an id count as
     matched together.
     """
     r = ref.select("parent_id", "id", "chrom", "strand", "start", "end").join(parents, F.col("parent_id") == F.col("ref_parent")).drop("parent_id")
@@ -117,29 +118,38 @@ def match_parts(level: str, parents: DataFrame, ref: DataFrame, pred: DataFrame)
     hard = hard.join(lines(r, "total_r"), pair).join(lines(p, "total_p"), pair)
     schema = hard.select(*cols).schema
 
-    at = {c: k for k, c in enumerate(hard.columns)}
-    own_r, own_p, own_pair = ([at[c] for c in names] for names in (["start", "end", "id"], ["p_start", "p_end", "p_id"], pair))
-
-    def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        groups: dict[tuple, list[tuple]] = {}
-        for frame in frames:
-            for x in frame.itertuples(index=False, name=None):
-                groups.setdefault(tuple(x[k] for k in own_pair), []).append(x)
-        out = []
-        for lines_ in groups.values():
-            left, right = sorted({tuple(x[k] for k in own_r) for x in lines_}), sorted({tuple(x[k] for k in own_p) for x in lines_})
-            row, column = {x: i for i, x in enumerate(left)}, {x: i for i, x in enumerate(right)}
-            table = [[0] * len(right) for _ in left]
-            index = {}
-            for x in lines_:
-                i, j = row[tuple(x[k] for k in own_r)], column[tuple(x[k] for k in own_p)]
-                table[i][j] = int(x[at["bp"]])
-                index[i, j] = x
-            out += [index[ij][: len(cols)] for ij in best_assignment(table, max(lines_[0][at["total_r"]], lines_[0][at["total_p"]]) <= EXHAUSTIVE)]
-        if out:
-            yield pd.DataFrame(out, columns=cols)
-
-    matched = direct.unionByName(hard.repartition(*pair).mapInPandas(assign, schema))
+    names = [*cols, "total_r", "total_p"]
+    at = {c: k for k, c in enumerate(names)}
+    own_r, own_p, own_pair = ([at[c] for c in picked] for picked in (["start", "end", "id"], ["p_start", "p_end", "p_id"], pair))
+
+    def chosen(overlaps: list[tuple]) -> list[tuple]:
+        """The assigned overlaps of one pair of parents."""
+        left, right = sorted({tuple(x[k] for k in own_r) for x in overlaps}), sorted({tuple(x[k] for k in own_p) for x in overlaps})
+        row, column = {x: i for i, x in enumerate(left)}, {x: i for i, x in enumerate(right)}
+        placed = {(row[tuple(x[k] for k in own_r)], column[tuple(x[k] for k in own_p)]): x for x in overlaps}
+        table = [[0] * len(right) for _ in left]
+        for (i, j), x in placed.items():
+            table[i][j] = x[at["bp"]]
+        small = max(overlaps[0][at["total_r"]], overlaps[0][at["total_p"]]) <= EXHAUSTIVE
+        return [placed[ij][: len(cols)] for ij in best_assignment(table, small)]
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple] = []  # of one pair of parents: rows come sorted by pair
+        kind = None
+        for batch in batches:
+            kind = pa.schema([batch.schema.field(k) for k in range(len(cols))])
+            out = []
+            for x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if pending and any(pending[0][k] != x[k] for k in own_pair):
+                    out += chosen(pending)
+                    pending = []
+                pending.append(x)
+            yield pa.RecordBatch.from_pylist([dict(zip(cols, x, strict=True)) for x in out], kind)
+        if pending:
+            yield pa.RecordBatch.from_pylist([dict(zip(cols, x, strict=True)) for x in chosen(pending)], kind)
+
+    sorted_pairs = hard.select(*names).repartition(*pair).sortWithinPartitions(*pair)
+    matched = direct.unionByName(sorted_pairs.mapInArrow(assign, schema))
     sn, sp = F.col("bp") / (F.col("end") - F.col("start") + 1), F.col("bp") / (F.col("p_end") - F.col("p_start") + 1)
     plus = F.col("strand") == "+"
     b5 = F.when(plus, F.col("p_start") - F.col("start")).otherwise(F.col("end") - F.col("p_end"))
@@ -187,10 +197,13 @@ def gene_stats(records: DataFrame) -> DataFrame:
     c = F.col("classification")
     counts = {k: F.count_if(c == k).alias(k) for k in ("exact", "inexact", "missing", "merged", "fragmented", "novel")}
     off = lambda b: F.when(c == "inexact", F.abs(F.col(b)))
-    out = records.where("level = 'gene'").groupBy("prediction").agg(
-        *counts.values(), F.coalesce(F.avg("sn"), F.lit(0.0)).alias("mean_sn"), F.coalesce(F.avg("sp"), F.lit(0.0)).alias("mean_sp"), F.coalesce(F.avg("f1"), F.lit(0.0)).alias("mean_f1"), F.median("f1").alias("median_f1"),
-        F.count_if(F.col("f1") >= 0.99).alias("perfect"), F.avg(off("boundary_5p")).alias("mean_5p"), F.median(off("boundary_5p")).alias("median_5p"), F.avg(off("boundary_3p")).alias("mean_3p"), F.median(off("boundary_3p")).alias("median_3p"),
+    rows = records.where("level = 'gene'")
+    out = rows.groupBy("prediction").agg(
+        *counts.values(), F.coalesce(F.avg("sn"), F.lit(0.0)).alias("mean_sn"), F.coalesce(F.avg("sp"), F.lit(0.0)).alias("mean_sp"), F.coalesce(F.avg("f1"), F.lit(0.0)).alias("mean_f1"),
+        F.count_if(F.col("f1") >= 0.99).alias("perfect"), F.avg(off("boundary_5p")).alias("mean_5p"), F.avg(off("boundary_3p")).alias("mean_3p"),
     )
+    middle = medians(rows, ["prediction"], {"median_f1": F.col("f1"), "median_5p": off("boundary_5p"), "median_3p": off("boundary_3p")})
+    out = out.join(middle.withColumnRenamed("prediction", "p_"), F.col("prediction").eqNullSafe(F.col("p_")), "left").drop("p_")
     out = out.withColumn("tp", F.col("exact") + F.col("inexact")).withColumn("fn", F.col("missing") + F.col("fragmented") + F.col("merged")).withColumn("fp", F.col("novel"))
     return _ratios(out.withColumnRenamed("mean_f1", "mean_gene_f1")).withColumn("ref_total", F.col("tp") + F.col("fn"))
 
@@ -204,7 +217,9 @@ def part_stats(records: DataFrame) -> DataFrame:
 
 def f1_by_level(records: DataFrame, labels: Sequence[str]) -> DataFrame:
     """F1 of each level (rows) for each prediction (columns)."""
-    rows = gene_stats(records).select("prediction", F.lit("gene").alias("level"), "f1").unionByName(part_stats(records).select("prediction", "level", "f1"))
+    c = F.col("classification")
+    counts = {"tp": c.isin("exact", "inexact", "match"), "fn": c.isin("missing", "merged", "fragmented"), "fp": c.isin("novel", "fp")}
+    rows = _ratios(records.groupBy("prediction", "level").agg(*(F.count_if(x).alias(k) for k, x in counts.items()))).select("prediction", "level", "f1")
     return rows.groupBy("level").pivot("prediction", list(labels)).agg(F.first("f1"))
 
 
