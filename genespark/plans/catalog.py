@@ -12,6 +12,7 @@ from genespark.operators import compare, concordance, evidence, functional, hier
 from genespark.operators.lineage import cut
 from genespark.plans import bridge
 from genespark.plans.bridge import CONTIGS_SQL, GENES_SQL, MRNAS_SQL, cds_sql, predicted_sql, second_sql
+from genespark.sources import sequences
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -245,10 +246,10 @@ def boundary_diffs(spark, sf_dir):
 
 
 def _binned(name: str, source: str) -> str:
-    return f"{name} AS (SELECT id, chrom, strand, s, e, unnest(range(s // 2000, e // 2000 + 1)) AS bin FROM {source})"
+    return f"{name} AS MATERIALIZED (SELECT id, chrom, strand, s, e, unnest(range(s // 2000, e // 2000 + 1)) AS bin FROM {source})"
 
 
-@query("novel_predictions", f"{BASE}, {predicted_sql('pred')}, {_binned('gb', 'genes')}, {_binned('pb', 'pred')}, hit AS (SELECT DISTINCT b.id FROM pb b JOIN gb a USING (chrom, strand, bin) WHERE a.s <= b.e AND b.s <= a.e) SELECT id AS pred_id FROM pred WHERE id NOT IN (SELECT id FROM hit)")
+@query("novel_predictions", f"{BASE}, {predicted_sql('pred')}, {_binned('gb', 'genes')}, {_binned('pb', 'pred')}, hit AS MATERIALIZED (SELECT DISTINCT b.id FROM pb b JOIN gb a USING (chrom, strand, bin) WHERE a.s <= b.e AND b.s <= a.e) SELECT id AS pred_id FROM pred WHERE id NOT IN (SELECT id FROM hit)")
 def novel_predictions(spark, sf_dir):
     return compare.classify_genes(*_pair(spark, sf_dir)).where("classification = 'novel'").select("pred_id")
 
@@ -426,7 +427,7 @@ def best_hit_per_query(spark, sf_dir):
 
 
 @query("domain_hits_greedy", HITS.replace("WITH", "WITH RECURSIVE", 1) + """, dom AS (SELECT query_id, hit_rank, event_id * 37 % 5000 AS a, event_id * 37 % 5000 + event_id % 40 AS b FROM hits),
-walk AS (SELECT query_id, hit_rank, a, b, b AS at, TRUE AS kept FROM dom WHERE hit_rank = 1
+walk AS (SELECT query_id, hit_rank, a, b, b AS done, TRUE AS kept FROM dom WHERE hit_rank = 1
   UNION ALL SELECT d.query_id, d.hit_rank, d.a, d.b, CASE WHEN d.a > w.done THEN d.b ELSE w.done END, d.a > w.done FROM walk w JOIN dom d ON d.query_id = w.query_id AND d.hit_rank = w.hit_rank + 1)
 SELECT query_id, CAST(hit_rank AS INTEGER) AS hit_rank, a AS dom_start, b AS dom_end FROM walk WHERE kept""")
 def domain_hits_greedy(spark, sf_dir):
@@ -492,7 +493,8 @@ def _junctions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Junctions over all contigs and all of their bases; an intron in eight ends beyond its contig."""
     docs = bridge.contigs(spark, sf_dir).select("chrom", F.length("seq").cast("long").alias("n"))
     k, c = F.col("o_orderkey").cast("long"), F.col("o_custkey").cast("long")
-    rows = bridge.table(spark, sf_dir, "orders").select(k.alias("k"), c.alias("c"), F.concat(F.lit("d"), (k % max(1, docs.count())).cast("string")).alias("chrom"))
+    many = bridge.table(spark, sf_dir, "documents").agg(F.greatest(F.count(F.lit(1)), F.lit(1).cast("long")).alias("many"))  # one row
+    rows = bridge.table(spark, sf_dir, "orders").join(F.broadcast(many)).select(k.alias("k"), c.alias("c"), F.concat(F.lit("d"), (k % F.col("many")).cast("string")).alias("chrom"))
     k, c, n = F.col("k"), F.col("c"), F.coalesce("n", F.lit(0).cast("long"))
     start = 1 + (k * 7919 + c * 104729) % F.greatest(n, F.lit(1).cast("long"))
     size = F.when(k % 8 == 0, n).otherwise((c * 31 + k * 17) % F.greatest(n - start, F.lit(1).cast("long")))
@@ -547,7 +549,7 @@ def dedupe_by_header(spark, sf_dir):
 
 @query("contig_sort", f"WITH {CONTIGS_SQL} SELECT chrom, upper(seq) AS seq, length(seq) AS length FROM contigs ORDER BY length(seq) DESC, chrom")
 def contig_sort(spark, sf_dir):
-    return bridge.contigs(spark, sf_dir).select("chrom", F.upper("seq").alias("seq"), F.length("seq").cast("long").alias("length")).orderBy(F.desc("length"), "chrom")
+    return sequences.by_length(bridge.contigs(spark, sf_dir)).select("chrom", "seq", F.length("seq").cast("long").alias("length"))
 
 
 @query("nonoverlapping_genes", f"{BASE}, {predicted_sql('pred')} SELECT a.id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}) AND a.id IN (SELECT gene_id FROM cds)")

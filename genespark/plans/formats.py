@@ -375,8 +375,7 @@ def prettified_ids(spark, sf_dir):
 
 @query("splice_summary", f"""{TALLY} SELECT '{{' || chr(10) || string_agg('  "' || type || '": {{' || chr(10) || '    "count": ' || count || ',' || chr(10) || '    "unique_reads": ' || unique_reads || chr(10) || '  }}', ',' || chr(10) ORDER BY count DESC, type) || chr(10) || '}}' AS value FROM tally""")
 def splice_summary(spark, sf_dir):
-    text = splice.summary_json(splice.tally(_junctions(spark, sf_dir), bridge.contigs(spark, sf_dir)))
-    return spark.range(1).select(F.lit(text).alias("value"))
+    return splice.summary_text(splice.tally(_junctions(spark, sf_dir), bridge.contigs(spark, sf_dir)))
 
 
 @query("percent_bars", "SELECT p_partkey, printf('%.1f', p_size / 50.0::DOUBLE * 100) || '%' AS percent, '[' || repeat('#', CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) || repeat('.', 20 - CAST(trunc(p_size / 50.0::DOUBLE * 20) AS INTEGER)) || ']' AS bar FROM part")
