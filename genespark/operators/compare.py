@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from genespark.operators.hierarchy import introns
-from genespark.operators.intervals import interval_join
+from genespark.operators.intervals import cut_with_levels, interval_join, levels_of
 from genespark.operators.lineage import cut
 from genespark.operators.selection import medians
 
@@ -25,8 +25,10 @@ def classify_genes(ref: DataFrame, pred: DataFrame, width: int = 2000) -> DataFr
     (several predicted genes lie by half or more in one), else the best overlap among predicted genes that are
     neither; none: missing. Ties go to the smaller start, then id. A predicted gene without any overlap is novel.
     """
+    pred, of_pred = cut_with_levels(pred, width)  # read by the join and for novel genes
+    [of_ref] = levels_of(ref, width=width)
     labels = pred.select("prediction").distinct()
-    ov = interval_join(ref.select("chrom", "strand", "start", "end", "id"), pred, width=width, prefixes=("r_", "p_"))
+    ov = interval_join(ref.select("chrom", "strand", "start", "end", "id"), pred, width=width, prefixes=("r_", "p_"), levels=(of_ref, of_pred))
     # read by the windows and by what decides on novel genes: the join is run once
     ov = cut(ov.select("r_id", "r_start", "r_end", "p_id", "p_start", "p_end", F.col("p_prediction").alias("prediction"), "bp"))
     cover = ov.withColumn("cr", F.col("bp") / (F.col("r_end") - F.col("r_start") + 1)).withColumn("cp", F.col("bp") / (F.col("p_end") - F.col("p_start") + 1))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genespark.operators.intervals import interval_join, same_span
+from genespark.operators.intervals import interval_join, levels_of, same_span
 
 WEAK = 250
 
@@ -28,7 +28,7 @@ def with_parts(mrnas: DataFrame, cds: DataFrame) -> DataFrame:
 
 def concordant_genes(a: tuple[DataFrame, DataFrame], b: tuple[DataFrame, DataFrame], width: int = 2000) -> DataFrame:
     """gene_id of a's genes of which some mRNA agrees with some mRNA of b. a, b: (mRNAs with parent_id, CDS)."""
-    pairs = interval_join(with_parts(*a), with_parts(*b), width=width)
+    pairs = interval_join(with_parts(*a), with_parts(*b), width=width, levels=tuple(levels_of(a[0], b[0], width=width)))
     same = same_span(F.col("l_start"), F.col("l_end"), F.col("r_start"), F.col("r_end"))
     return pairs.where(same & boundaries_match(F.col("l_parts"), F.col("r_parts"))).select(F.col("l_parent_id").alias("gene_id")).distinct()
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from genespark.functions.columns import overlap_bp, overlaps
 from genespark.operators.graph import hierarchy
+from genespark.operators.lineage import cut_observed
 
 
 #: Each level's bins are FACTOR times as wide as those of the level before.
@@ -33,30 +34,41 @@ def bins_of(start: Column, end: Column, levels: Column, width: int) -> Column:
     return F.flatten(F.transform(levels, at))
 
 
-def _levels(df: DataFrame, start: str, end: str, width: int, copies: int) -> DataFrame:
-    """(other_): the levels of a side, in one row."""
-    return df.agg(F.collect_set(level_of(F.col(start), F.col(end), width, copies)).alias("other_"))
+def levels_of(*sides: DataFrame, start: str = "start", end: str = "end", width: int = 2000, copies: int = 4) -> list[list[int]]:
+    """The levels that each side has, from one job over them all."""
+    parts = [x.select(F.lit(i).alias("side"), level_of(F.col(start), F.col(end), width, copies).alias("level")) for i, x in enumerate(sides)]
+    found = {r.side: sorted(r.levels) for r in reduce(DataFrame.unionByName, parts).groupBy("side").agg(F.collect_set("level").alias("levels")).collect()}
+    return [found.get(i, []) for i in range(len(sides))]
 
 
-def _binned(df: DataFrame, other: DataFrame, keys: Sequence[str], side: str, start: str, end: str, width: int, copies: int) -> DataFrame:
-    """A row for each bin touched, at the row's own level and at the wider ones that the other side has."""
+def cut_with_levels(df: DataFrame, width: int = 2000, copies: int = 4) -> tuple[DataFrame, list[int]]:
+    """The rows stored, and their levels, which are observed as they are written."""
+    tests = {f"level_{k}": F.count_if(level_of(F.col("start"), F.col("end"), width, copies) == k) for k in range(LEVELS)}
+    out, seen = cut_observed(df, tests)
+    return out, [k for k in range(LEVELS) if seen.get(f"level_{k}")]
+
+
+def _binned(df: DataFrame, other: Sequence[int], keys: Sequence[str], side: str, start: str, end: str, width: int, copies: int, flat: bool) -> DataFrame:
+    """A row for each bin touched, at the row's own level and at the wider ones among `other`. Flat: all is of level 0."""
     s, e, own = F.col(start), F.col(end), F.col(f"own_{side}")
-    rows = df.withColumn(f"own_{side}", level_of(s, e, width, copies)).join(F.broadcast(other))  # one row
-    levels = F.array_union(F.array(own), F.filter("other_", lambda x: x > own))
-    cols = [F.col(c).alias(f"{side}{c}") for c in df.columns]
-    binned = rows.select(*cols, own, *(F.col(k).alias(f"key_{i}_{side}") for i, k in enumerate(keys)), F.explode(bins_of(s, e, levels, width)).alias("x"))
+    cols = [F.col(c).alias(f"{side}{c}") for c in df.columns] + [F.col(k).alias(f"key_{i}_{side}") for i, k in enumerate(keys)]
+    if flat:
+        return df.select(*cols, F.explode(F.sequence(F.floor(s / width), F.floor(e / width))).alias(f"bin_{side}"))
+    levels = F.array_union(F.array(own), F.filter(F.array(*(F.lit(x) for x in other)), lambda x: x > own))
+    binned = df.withColumn(f"own_{side}", level_of(s, e, width, copies)).select(*cols, own, F.explode(bins_of(s, e, levels, width)).alias("x"))
     return binned.select("*", F.col("x.level").alias(f"level_{side}"), F.col("x.bin").alias(f"bin_{side}")).drop("x")
 
 
-def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("chrom", "strand"), start: str = "start", end: str = "end", prefixes: tuple[str, str] = ("l_", "r_"), width: int = 2000, slack: int = 0, copies: int = 4) -> DataFrame:
+def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("chrom", "strand"), start: str = "start", end: str = "end", prefixes: tuple[str, str] = ("l_", "r_"), width: int = 2000, slack: int = 0, copies: int = 4, levels: tuple[Sequence[int], Sequence[int]] | None = None) -> DataFrame:
     """Pairs of rows with equal keys whose intervals overlap (after widening the left one by `slack`).
 
     Bins have levels, each FACTOR times as wide as the one before, from `width` bases on. A row lies in the finest level
     of which it touches at most `copies` + 1 bins, and is looked for in the wider levels that the other side has (in one or a few bins
     of each): so a feature of megabases is copied a few times, not once for every `width` bases, and one of 50 bases no more
     often. A pair meets at the wider of its two levels, and there in the bin of its later start only, so no distinct
-    is needed. Which levels a side has comes from one aggregate over it. Columns get the prefixes; bp is the overlap. Null keys
-    match nothing. The bins are join keys that adaptive execution may split where one is crowded.
+    is needed. Which `levels` the sides have is found by a job over their ends unless it is given (more than there are do no
+    harm). Columns get the prefixes; bp is the overlap. Null keys match nothing. The bins are join keys that adaptive execution may
+    split where one is crowded.
     """
     a, b = prefixes
     if slack:
@@ -64,12 +76,16 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("
         ls, le = "_s", "_e"
     else:
         ls, le = start, end
-    lhs = _binned(left, _levels(right, start, end, width, copies), keys, a, ls, le, width, copies)
-    rhs = _binned(right, _levels(left, ls, le, width, copies), keys, b, start, end, width, copies)
+    if levels is None:
+        levels = levels_of(left.select(F.col(ls).alias("start"), F.col(le).alias("end")), right.select(F.col(start).alias("start"), F.col(end).alias("end")), width=width, copies=copies)
+    flat = not any(x for side in levels for x in side)
+    lhs = _binned(left, levels[1], keys, a, ls, le, width, copies, flat)
+    rhs = _binned(right, levels[0], keys, b, start, end, width, copies, flat)
     s1, e1, s2, e2 = F.col(a + ls), F.col(a + le), F.col(b + start), F.col(b + end)
-    wide = width_of(F.col(f"level_{a}"), width)
-    on = (F.col(f"level_{a}") == F.col(f"level_{b}")) & (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2)
-    on &= (F.col(f"level_{a}") == F.greatest(f"own_{a}", f"own_{b}")) & (F.col(f"bin_{a}") == F.floor(F.greatest(s1, s2) / wide))
+    on = (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2)
+    if not flat:
+        on &= (F.col(f"level_{a}") == F.col(f"level_{b}")) & (F.col(f"level_{a}") == F.greatest(f"own_{a}", f"own_{b}"))
+    on &= F.col(f"bin_{a}") == F.floor(F.greatest(s1, s2) / (width if flat else width_of(F.col(f"level_{a}"), width)))
     for i in range(len(keys)):
         on &= F.col(f"key_{i}_{a}") == F.col(f"key_{i}_{b}")
     out = lhs.join(rhs, on)

@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _roots: dict[str, tuple[SparkSession, str]] = {}
 
@@ -39,6 +39,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """cut(), and aggregates over the rows that come with the same job."""
+    seen = Observation()
+    out = cut(df.observe(seen, *(m.alias(k) for k, m in metrics.items())))
+    return out, seen.get
+
+
 @atexit.register
 def release() -> None:
     """Delete this process's tables of sessions that still run; call it once their readers are done."""

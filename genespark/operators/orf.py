@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from genespark.functions import codons
 from genespark.functions.columns import reverse_complement
 from genespark.operators.hierarchy import five_to_three
 from genespark.operators.intervals import merge_overlapping_genes
+from genespark.operators.lineage import cut
 from genespark.operators.tiles import TILE, entering, tiled
 
 
@@ -32,8 +38,8 @@ def translated(sequences: DataFrame, code: int = 1, seq: str = "seq") -> DataFra
     return sequences.withColumn("protein", codons.translate(F.col(seq), code))
 
 
-#: Bases a row of a codon scan holds; its hits are walked over within the row.
-SCAN = 4096
+#: Bases a row of a codon scan holds.
+SCAN = 16_384
 
 
 def codon_hits(sequences: DataFrame, code: int = 1, tile: int = SCAN) -> DataFrame:
@@ -51,25 +57,52 @@ def codon_hits(sequences: DataFrame, code: int = 1, tile: int = SCAN) -> DataFra
     named = sequences.select(F.struct("id", "strand").alias("of"), *(c for c in sequences.columns if c in ("seq", "n", "tile", "piece")))
     rows = tiled(named, tile, 2, "of").select("of", "tile", "n", F.translate(F.upper("piece"), "#", "N").alias("piece"))
 
-    def of_kind(kind: str, wanted: list[str]) -> DataFrame:
-        def marked(taken: Column) -> Column:
-            """The tile after its first bases that are taken. A regular expression's matches are leftmost and do not overlap: each is marked."""
-            return F.regexp_replace(F.substring("piece", taken + 1, F.lit(tile + 2)), "|".join(wanted), "#..")
+    patterns = {"start": "|".join(codons.starts(code)), "stop": "|".join(codons.stops(code))}
+
+    def marked(kind: str, taken: Column) -> Column:
+        """The tile after its first bases that are taken. A regular expression's matches are leftmost and do not overlap: each is marked."""
+        return F.regexp_replace(F.substring("piece", taken + 1, F.lit(tile + 2)), patterns[kind], "#..")
+
+    def taken_next(kind: str, taken: int) -> Column:
+        """How many bases of the next tile the last match takes: it then begins at this tile's last base or the one before."""
+        m = marked(kind, F.lit(taken))
+        return F.when(F.substring(m, tile - taken, 1) == "#", 2).when(F.substring(m, tile - 1 - taken, 1) == "#", 1).otherwise(0)
+
+    # both kinds in one state, 3 x starts + stops
+    each = rows.where(F.col("n") > tile).select("of", "tile", *(F.array(*(taken_next(kind, t) for t in range(3))).alias(kind) for kind in patterns))
+    state = entering(each, ["of"], "tile", F.flatten(F.transform("start", lambda a: F.transform("stop", lambda b: 3 * a + b))), 9)
+    known = rows.join(state, ["of", "tile"], "left").withColumn("state", F.coalesce("state", F.lit(0)))
+    taken = {"start": F.expr("state div 3").cast("int"), "stop": F.col("state") % 3}
+    found = known.select("of", "n", "tile", *(taken[k].alias(f"{k}_taken") for k in patterns), *(marked(k, taken[k]).alias(k) for k in patterns))
+    return _marks(found, tile).select("of.id", F.col("n").cast("int").alias("seqlen"), F.col("pos").cast("int").alias("pos"), "of.strand", "codon", ((F.col("pos") - 1) % 3).cast("int").alias("frame"))
+
+
+def _marks(rows: DataFrame, tile: int) -> DataFrame:
+    """(of, n, codon, pos): a row for each '#' in the columns start and stop; their first base is the one after those taken."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for kind in ("start", "stop"):
+                text = Texts(batch.column(kind))
+                hits = np.flatnonzero(text.data == ord("#"))
+                row = np.searchsorted(text.ends, hits, "right")
+                begin = batch.column("tile").to_numpy() * tile + batch.column(f"{kind}_taken").to_numpy()
+                pos = hits - text.starts[row] + 1 + begin[row]
+                at = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("of").take(at), batch.column("n").take(at), pa.array([kind] * len(hits), pa.string()), pa.array(pos, pa.int64())], ["of", "n", "codon", "pos"])
+
+    schema = T.StructType([rows.schema["of"], rows.schema["n"], *T.StructType.fromDDL("codon string, pos long").fields])
+    return rows.mapInArrow(run, schema)
 
-        def taken_next(m: Column, taken: int) -> Column:
-            """How many bases of the next tile the last match takes: it then begins at this tile's last base or the one before."""
-            return F.when(F.substring(m, tile - taken, 1) == "#", 2).when(F.substring(m, tile - 1 - taken, 1) == "#", 1).otherwise(0)
 
-        step = F.array(*(taken_next(marked(F.lit(t)), t) for t in range(3)))
-        state = entering(rows.where(F.col("n") > tile), ["of"], "tile", step, 3)
-        found = rows.join(state, ["of", "tile"], "left").withColumn("taken", F.coalesce("state", F.lit(0))).select("of", "n", "tile", "taken", F.split(marked(F.col("taken")), "#").alias("between"))
-        # what lies between the marks tells where they are
-        places = F.reduce("between", F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("seen")), lambda acc, x: F.struct((acc["at"] + F.length(x) + 1).alias("at"), F.array_append(acc["seen"], acc["at"] + F.length(x) + 1).alias("seen")), lambda acc: acc["seen"])
-        listed = found.where(F.size("between") > 1).select("of", "n", "tile", "taken", F.explode(F.slice(places, F.lit(1), F.size("between") - 1)).alias("at"))
-        return listed.select("of", "n", F.lit(kind).alias("codon"), (F.col("tile") * tile + F.col("taken") + F.col("at")).alias("pos"))
+class Texts:
+    """The bytes of an Arrow column of strings, and where each begins and ends; a null is empty."""
 
-    hits = of_kind("start", codons.starts(code)).unionByName(of_kind("stop", codons.stops(code)))
-    return hits.select("of.id", F.col("n").cast("int").alias("seqlen"), F.col("pos").cast("int").alias("pos"), "of.strand", "codon", ((F.col("pos") - 1) % 3).cast("int").alias("frame"))
+    def __init__(self, column: pa.Array):
+        column = column.fill_null("").cast(pa.large_string())
+        offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+        self.data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+        self.starts, self.ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
 
 def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5, block: int = 1 << 20) -> DataFrame:
@@ -126,7 +159,7 @@ def transcript_orfs(exons: DataFrame, contigs: DataFrame, code: int = 1, min_len
     exons: chrom, strand, start, end, id, parent_id (the transcript); contigs: chrom, seq. A transcript without an ORF
     beyond both limits keeps its gene and mRNA and has no CDS.
     """
-    sequences = spliced(exons, contigs, parent)
+    sequences = cut(spliced(exons, contigs, parent))  # scanned twice
     cds = map_to_genome(longest_orfs(codon_hits(sequences, code), min_len, min_share), exons, parent=parent)
     genes = exons.groupBy("chrom", "strand", F.col(parent).alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"))
     mrnas = genes.select("chrom", "strand", F.concat("id", F.lit("_mRNA")).alias("id"), F.col("id").alias("parent_id"), "start", "end")

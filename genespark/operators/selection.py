@@ -28,8 +28,10 @@ def select_ranks(rows: DataFrame, wanted: DataFrame, keys: list[str], cells: int
         open_ = now.where("low < high")
         if not open_.limit(1).count():
             return ready
-        # halves first: the span of two doubles may not be one
-        cell = F.least(F.floor((F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * cells), F.lit(cells - 1).cast("long"))
+        v, low, span = F.col("value"), F.col("low"), F.col("high") - F.col("low")
+        # the span of two doubles may be none: then halves
+        part = F.when(span < float("inf"), (v - low) / span).otherwise((v / 2 - low / 2) / (F.col("high") / 2 - low / 2))
+        cell = F.least(F.floor(part * cells), F.lit(cells - 1).cast("long"))
         met = rows.join(open_, keys).where("value between low and high").withColumn("cell", cell)
         counts = met.groupBy(*on, "cell").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.first("left").alias("left"))
         upto = Window.partitionBy(*on).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)

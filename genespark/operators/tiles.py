@@ -9,17 +9,19 @@ TILE = 65_536
 
 
 def tiled(contigs: DataFrame, size: int = TILE, over: int = 1, name: str = "chrom") -> DataFrame:
-    """(chrom, tile, n, piece): bases from tile * size + 1 on, and the first `over` of what follows; n is the contig's length.
+    """(chrom, tile, n, piece): bases from tile * size + 1 on, and the first `over` (`size` at most) of what follows; n is the contig's length.
 
     contigs: chrom, seq; rows that are tiles already (tile, n, piece) are passed on. An empty or null sequence has one empty tile.
     """
     if "piece" in contigs.columns:
         return contigs.select(name, "n", "tile", "piece")
     rows = contigs.select(name, F.coalesce("seq", F.lit("")).alias("_seq"))
-    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.expr(f"(length(_seq) - 1) div {size}").cast("int")))
-    pieces = F.transform(starts, lambda k: F.struct(k.alias("tile"), F.substring(F.col("_seq"), k * size + 1, F.lit(size + over)).alias("piece")))
-    rows = rows.select(name, F.length("_seq").cast("long").alias("n"), F.explode(pieces).alias("x"))
-    return rows.select(name, "n", F.col("x.tile").cast("long").alias("tile"), "x.piece")
+    parts = F.when(F.col("_seq") == "", F.array(F.lit(""))).otherwise(F.regexp_extract_all("_seq", F.lit(f"(?s).{{1,{size}}}"), F.lit(0)))
+    # the sequence is left behind with its parts: each further use would work it out again
+    rows = rows.select(name, parts.alias("_p"))
+    n = (F.size("_p").cast("long") - 1) * size + F.length(F.get("_p", F.size("_p") - 1))
+    joined = F.transform("_p", lambda p, i: F.concat(p, F.substring(F.coalesce(F.get("_p", i + 1), F.lit("")), 1, over))) if over else F.col("_p")
+    return rows.select(name, n.alias("n"), F.posexplode(joined).alias("tile", "piece")).select(name, "n", F.col("tile").cast("long").alias("tile"), "piece")
 
 
 def entering(rows: DataFrame, keys: list[str], order: str, step: Column, states: int, block: int = 1024) -> DataFrame:
