@@ -1,11 +1,12 @@
 """Secret scan in built-in functions only: fixed formats, and a battery of randomness tests on opaque tokens.
 
-Opaque tokens (long runs of letters, digits, + / _ = -) are tested in the alphabet of their inferred encoding:
-chi-squared for uniform use of the alphabet, runs above and below its middle, and serial correlation. Alphabets are
+Opaque tokens (runs of 20 or more letters, digits, + / _ = -) are tested, without - _ =, in the alphabet of their inferred encoding:
+chi-squared for uniform use of the alphabet, runs above and below its middle, and serial correlation; letters of one case
+also for pairs that are frequent in text. Tokens of digits only are not reported: dates and running numbers look as random. Alphabets are
 in the order in which text uses their letters, and the chi-squared test joins neighbours into cells of five expected
-symbols or more, so that it tells text from random symbols in short tokens too. The three p-values are combined (Fisher). Words joined to tokens of the same length and encoding give the distribution of
+symbols or more, so that it tells text from random symbols in short tokens too. The p-values are combined (Fisher). Words joined to tokens of the same length and encoding give the distribution of
 the combined value for text; a token's p-value against it is controlled for false discoveries (Benjamini-Hochberg)
-separately in each length class, since short tokens of text look random more often than long ones.
+separately in each length class, and for letters of one case apart, since short tokens of text look random more often than long ones.
 """
 
 from __future__ import annotations
@@ -36,17 +37,22 @@ ENCODINGS = (
     ("word", "^[A-Za-z]?[a-z]+$", _LOWER),
     ("WORD", "^[A-Z]+$", _UPPER),
     ("base32", "^[A-Z2-7]+=*$", _UPPER + "234567"),
+    ("BASE36", "^[A-Z0-9]+$", _DIGIT + _UPPER),
     ("base36", "^[a-z0-9]+$", _DIGIT + _LOWER),
     ("base62", "^[A-Za-z0-9]+$", _DIGIT + _UPPER + _LOWER),
-    ("base64", "^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGIT + "+/"),
-    ("base64url", "^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGIT + "-_"),
+    ("base64", "^[A-Za-z0-9+/]+$", _UPPER + _LOWER + _DIGIT + "+/"),
 )
+# What joins the parts of names, dates and numbers; it is left off before the encoding is inferred.
+SEPARATORS = "[-_=]"
+# Encodings of letters of one case, which are tested for pairs of letters too.
 PROSE = ("word", "WORD")
+# Pairs of letters that are frequent in text of some European languages.
+PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch ll be ma si om ur ei ie ge un qu el la ta ue os do da em us ec et ai".split()
 BINS = 200
 BLOCK = 256
 CELL = 5  # symbols that a cell of the chi-squared test is to expect at least
 # What tokens that are text are made of, and the last length class that is made.
-STYLES = ("hex", "HEX", "base32", "base36", "base62", "base64", "base64url", "mixed")
+STYLES = ("hex", "HEX", "word", "WORD", "base32", "BASE36", "base36", "base62", "base64", "base64url", "mixed")
 WORDS = (
     "the of and to in is that for was with this from have which not are one all were there been their more will when who would time people first get name user data file list value type index table page item key node test view build set find read write order group service config request "
     "der die und das nicht von sie ist des sich mit dem auch als nach wird bei einer zeit jahr haus strasse les que une dans pour pas sur avec plus par leur mais comme nous tout deux temps monde los del las por con para como pero sus sobre entre cuando hasta desde todo tiempo mundo"
@@ -100,7 +106,8 @@ def _upper(z: Column) -> Column:
 
 def battery(spans: Column) -> Column:
     """For each span: start, end, encoding, n and p, the combined p-value of randomness in its encoding."""
-    body = lambda s: F.regexp_replace(F.when(s["token"].rlike("^[A-Z][a-z]+$"), F.lower(s["token"])).otherwise(s["token"]), "=+$", "")
+    body = lambda s: F.when(s["token"].rlike("^[A-Z][a-z]+$"), F.lower(s["token"])).otherwise(s["token"])
+    often = F.array(*(F.lit(x) for x in PAIRS))
     name = lambda s: F.coalesce(*(F.when(s["token"].rlike(p), F.lit(n)) for n, p, _ in ENCODINGS), F.lit("mixed"))
     mixed = _UPPER + _LOWER + _DIGIT + "+/-_="
     rank = {c: k for k, c in enumerate(_OFTEN + _OFTEN.upper() + _DIGIT)}
@@ -110,7 +117,10 @@ def battery(spans: Column) -> Column:
         encoding = name(s)
         letters = F.element_at(alphabet, encoding)
         chars = F.filter(F.split(body(s), ""), lambda c: c != "")
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), encoding.alias("encoding"), F.length(letters).cast("double").alias("k"), F.transform(chars, lambda c: F.instr(letters, c)).alias("x"))
+        # frequent pairs, of letters of one case only
+        pair = lambda t: F.size(F.filter(F.sequence(F.lit(1), F.greatest(F.length(t) - 1, F.lit(1))), lambda i: F.array_contains(often, t.substr(i, F.lit(2)))))
+        pairs = F.when(encoding.isin(*PROSE), pair(F.lower(s["token"]))).otherwise(0).cast("double")
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), encoding.alias("encoding"), F.length(letters).cast("double").alias("k"), F.transform(chars, lambda c: F.instr(letters, c)).alias("x"), pairs.alias("pairs"))
 
     def sums(s: Column) -> Column:
         n = F.size(s["x"]).cast("double")
@@ -129,7 +139,7 @@ def battery(spans: Column) -> Column:
         high = F.size(F.filter(s["x"], lambda c: c > middle)).cast("double")
         return F.struct(
             s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), s["k"].alias("k"), n.alias("n"), cells.alias("cells"), squares.alias("oo"), total.alias("sx"), square.alias("sxx"), lag.alias("lag"),
-            turns.alias("turns"), high.alias("high"), F.element_at(s["x"], 1).cast("double").alias("first"), F.element_at(s["x"], -1).cast("double").alias("last"),
+            turns.alias("turns"), high.alias("high"), F.element_at(s["x"], 1).cast("double").alias("first"), F.element_at(s["x"], -1).cast("double").alias("last"), s["pairs"].alias("pairs"),
         )
 
     def p(s: Column) -> Column:
@@ -147,9 +157,15 @@ def battery(spans: Column) -> Column:
         p_serial = F.when(spread > 0, _two_sided((r + 1 / (n - 1)) * F.sqrt(n))).otherwise(F.lit(1e-12))
         half = -(F.log(p_chi) + F.log(p_runs) + F.log(p_serial))
         fisher = F.exp(-half) * (1 + half + half * half / 2)
+        # letters of one case: a fourth test, of more frequent pairs than random letters have
+        rare = len(PAIRS) / 26**2
+        p_pairs = _upper((s["pairs"] - (n - 1) * rare) / F.sqrt((n - 1) * rare * (1 - rare)))
+        more = half - F.log(p_pairs)
+        fisher = F.when(s["encoding"].isin(*PROSE), F.exp(-more) * (1 + more + more * more / 2 + more * more * more / 6)).otherwise(fisher)
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), n.cast("int").alias("n"), F.least(F.greatest(fisher, F.lit(1e-30)), F.lit(1.0)).alias("p"))
 
-    enough = F.filter(F.transform(spans, codes), lambda s: F.size(s["x"]) >= 8)
+    bare = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.regexp_replace(s["token"], SEPARATORS, "").alias("token")))
+    enough = F.filter(F.transform(bare, codes), lambda s: F.size(s["x"]) >= 8)
     return F.transform(F.transform(enough, sums), p)
 
 
@@ -180,10 +196,10 @@ def null_tokens(spark: SparkSession, classes: list[int], each: int = 500) -> Dat
 
     def piece(k: Column) -> Column:
         word, style = F.get(words, draw(k, len(WORDS), "w")), F.col("style")
-        word = F.when(style.isin("HEX", "base32"), F.upper(word)).when(style.isin("base36", "hex"), word).when(draw(k, 3, "c") == 0, F.initcap(word)).otherwise(word)
+        word = F.when(style.isin("HEX", "base32", "BASE36", "WORD"), F.upper(word)).when(style.isin("base36", "hex", "word"), word).when(draw(k, 3, "c") == 0, F.initcap(word)).otherwise(word)
         word = F.when(style == "hex", F.translate(word, _LOWER, "abcdefabcdefabcdefabcdefab")).when(style == "HEX", F.translate(word, _UPPER, "ABCDEFABCDEFABCDEFABCDEFAB")).otherwise(word)
         number = F.when(draw(k, 2, "d") == 0, F.substring(draw(k, 9000, "x").cast("string"), 1, 3)).otherwise("")
-        number = F.when(style == "base32", F.translate(number, "0189", "2345")).otherwise(number)
+        number = F.when(style == "base32", F.translate(number, "0189", "2345")).when(style.isin(*PROSE), "").otherwise(number)
         sep = F.when(style == "base64", "/").when(style == "base64url", F.when(draw(k, 2, "s") == 0, "-").otherwise("_")).when(style == "mixed", F.when(draw(k, 2, "s") == 0, "/").otherwise("-")).otherwise("")
         return F.concat(word, number, sep)
 
@@ -195,14 +211,17 @@ def _class_start(c: int) -> int:
     return int((24 if c % 2 else 16) * 2.0 ** (c // 2))
 
 
-def cuts(tokens: DataFrame, alpha: float) -> dict[tuple[str, int], int]:
+def cuts(tokens: DataFrame, alpha: float, reject: float) -> dict[tuple[str, int], int]:
     """The least bin to report for each encoding and length class, from counts by both and bin (at most 10 x 22 x BINS rows).
 
+    Tokens with a p-value below `reject` are not random by the battery itself, however little text looks like them: they
+    are tested, but no discovery.
+
     A token's p-value is the share of null tokens of its encoding and class that look as random, counted as far as
     ten of them do; from there on it falls as the normal distribution of their log10 p does, so it has no least
     value that the number of null tokens sets.
     """
-    opaque = ~F.col("encoding").isin(*PROSE, "digits")
+    opaque = F.col("encoding") != "digits"
     count = lambda t: t.where(opaque).groupBy("encoding", length_class(F.col("n")).alias("c"), p_bin(F.col("p")).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.log10("p")).alias("x"), F.sum(F.pow(F.log10("p"), F.lit(2.0))).alias("xx")).collect()
     rows = count(tokens)
     if not rows:
@@ -222,8 +241,10 @@ def cuts(tokens: DataFrame, alpha: float) -> dict[tuple[str, int], int]:
         return tail(b) / n if b <= last else tail(last) / n * beyond(b) / max(beyond(last), 1e-300)
 
     out: dict[tuple[str, int], int] = {}
-    for c in sorted({r.c for r in rows}):
-        ranked = sorted((p0(r.encoding, c, r.b), r.encoding, r.b, r.n) for r in rows if r.c == c)
+    floor = min(max(math.ceil(BINS + math.log10(reject) * BINS / 15), 0), BINS - 1)
+    # words, which are letters of one case, are many: they are controlled apart, so that they do not hide other tokens
+    for c, prose in sorted({(r.c, r.encoding in PROSE) for r in rows}):
+        ranked = sorted((p0(r.encoding, c, r.b) if r.b >= floor else 1.0, r.encoding, r.b, r.n) for r in rows if r.c == c and (r.encoding in PROSE) == prose)
         total, seen, most = sum(x[3] for x in ranked), 0, -1.0
         for k, x in enumerate(ranked):
             seen += x[3]
@@ -231,14 +252,15 @@ def cuts(tokens: DataFrame, alpha: float) -> dict[tuple[str, int], int]:
                 most = x[0]
         for p, encoding, b, _ in ranked:
             if p <= most:
-                out[encoding, c] = min(b, out.get((encoding, c), b))
+                out[encoding, c] = max(floor, min(b, out.get((encoding, c), b)))
     return out
 
 
-def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, alpha: float = 0.05) -> DataFrame:
+def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None, alpha: float = 0.05, reject: float = 0.001) -> DataFrame:
     """Adds assign, access, hex (arrays of the base spans) and random (spans that the battery finds outside those).
 
-    Offsets are code points, ends exclusive. Null texts are empty. An empty table gives an empty result. The
+    Offsets are code points, ends exclusive. Null texts are empty. An empty table gives an empty result. Repeated rows are
+    scanned each, and count each in the control of false discoveries; texts of any length are scanned whole. The
     distribution of text is that of made-up tokens, the control of false discoveries is over all documents given.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c not in (*KINDS, "random")]
@@ -249,11 +271,11 @@ def scan(docs: DataFrame, *, text: str = "text", keep: list[str] | None = None,
     rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").cast("string").alias("t"))
     rows = rows.select(*(f"c{i}" for i in range(len(keep))), bare(assign).alias("assign"), bare(access).alias("access"), bare(matches(t, HEX)).alias("hex"), battery(matches(t, OPAQUE)).alias("tokens"))
     rows = materialize(rows, "secrets")
-    least = cuts(rows.select(F.inline("tokens")), alpha)
+    least = cuts(rows.select(F.inline("tokens")), alpha, reject)
     cut = F.create_map(*(F.lit(x) for (e, c), b in sorted(least.items()) for x in (f"{e} {c}", b))) if least else F.create_map().cast("map<string,int>")
     base = F.concat("assign", "access", "hex")
     free = lambda s: ~F.exists(base, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
-    good = lambda s: ~s["encoding"].isin(*PROSE, "digits") & F.coalesce(p_bin(s["p"]) >= F.try_element_at(cut, F.concat_ws(" ", s["encoding"], length_class(s["n"]).cast("string"))), F.lit(False))
+    good = lambda s: (s["encoding"] != "digits") & F.coalesce(p_bin(s["p"]) >= F.try_element_at(cut, F.concat_ws(" ", s["encoding"], length_class(s["n"]).cast("string"))), F.lit(False))
     random = bare(F.filter("tokens", lambda s: good(s) & free(s)))
     return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)), *KINDS, random.alias("random"))
 

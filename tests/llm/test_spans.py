@@ -198,3 +198,22 @@ def test_unseen_identifiers_of_all_kinds(spark):
         at = texts[seen + k].index(x)
         assert f"{kind}:{at}:{at + len(x)}" in out[seen + k].split(","), (x, out[seen + k])
         assert not out[1000 + k]
+
+
+def test_alphabets_of_one_case_and_names(spark):
+    """Keys in letters of one case, with separators or as UUIDs are found; names, compounds and numbers are left alone; the base spans stay in `spans`."""
+    r = random.Random(3)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    make = [lambda: "".join(r.choice(lower) for _ in range(32)), lambda: "".join(r.choice(lower.upper()) for _ in range(28)), lambda: "-".join("".join(r.choice("0123456789abcdef") for _ in range(k)) for k in (8, 4, 4, 4, 12)), lambda: "_".join("".join(r.choice(lower + "0123456789") for _ in range(8)) for _ in range(5))]
+    names = ["ORDER-2024-000123-EU-WEST-1-PRIMARY-KEY", "the-quick-brown-fox-jumps-over-the-lazy-dog", "Donaudampfschifffahrtsgesellschaft", "internationalization-and-localization", "20240101123000000000000123", "INVOICE_2023_11_000045_CUSTOMER_COPY"]
+    rows = [(i, f"é it was late when {make[i % 4]()} came home") for i in range(60)] + [(100 + i, f"it was late when {names[i % 6]} came home") for i in range(240)]
+    rows += [(500, f"password=abcdefgh12 and AKIA{'Q' * 16} then {make[0]()} end")]
+    rows += [(501, None), (502, ""), (503, "word " * 300_000 + make[1]()), *rows[:2]]
+    df = spark.createDataFrame([(*x, "own") for x in rows], "doc_id long, text string, random string")
+    out = secrets.scan(df, keep=["doc_id"])
+    got = [(x.doc_id, [(s.start, s.end) for s in x.random]) for x in out.collect()]
+    found = [sum(bool(s) for i, s in got if i < 60 and i % 4 == k) for k in range(4)]
+    assert all(n >= 13 for n in found) and not any(s for i, s in got if 100 <= i < 400), found
+    assert len(got) == len(rows) and all(s[0][0] == 19 for i, s in got if i < 60 and s)
+    spans = {x.doc_id: x.s for x in out.select("doc_id", secrets.listed(*secrets.KINDS, "random").alias("s")).collect()}
+    assert spans[500].startswith("assign:0:19,access:24:44,random:50:82") and spans[501] == spans[502] == "" and spans[503] == "random:1500000:1500028"
