@@ -215,7 +215,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
     Repeated rows get the same result. The benchmark is read in parts of at most `most_bytes` of text (its size is
     summed first). The driver builds the tables of a part once, as arrays of at most about forty bytes a word, and
     sends those; a larger benchmark takes several scans whose hit runs are merged by row. A text is read as a whole: memory
-    is a few times that of the longest one.
+    is a few times that of the longest one. Kept columns called like results are replaced.
     """
     total = benchmark.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{item_text}`"))), F.lit(0))).first()[0]
     parts = max(1, -(-int(total) // most_bytes))

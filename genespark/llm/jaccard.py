@@ -364,7 +364,8 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     component_id is the smallest id reachable over links, its own included. Texts without words (null, empty)
     have n_shingles 0 and are linked with nothing, not even each other. Repeated rows and rows that share an
     id each count as documents; a null id is never the smallest unless its group has no other. Tokens and sets
-    are told apart by 64-bit hashes. An empty table gives an empty result.
+    are told apart by 64-bit hashes. An empty table gives an empty result. Texts are read whole: a document's set of n-grams is
+    held in memory, however long it is. Other columns are not read.
     """
     frequent = frequent_cells(docs, text=text, n=n)
     found = materialize(profiles(docs, frequent, id_col=id_col, text=text, n=n, t=t).withColumnRenamed(id_col, "id_"), "jaccard-profiles")

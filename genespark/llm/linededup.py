@@ -267,7 +267,8 @@ def dedup_lines(docs: DataFrame, index: LineIndex, *, id_col: str = "doc_id", te
     A line of at least `least` code points (stripped of blanks, A-Z lower-cased) stays in the largest id that
     holds it only. Adds n_lines, n_dropped and the kept text as `out_text`. A null or empty text is one empty
     line and stays as it is ('' for null). Rows that share an id count as one document and lose the same
-    lines; null ids are one document, smaller than any other. An empty table gives an empty result.
+    lines; null ids are one document, smaller than any other. An empty table gives an empty result. Texts and lines are
+    read whole, however long; kept columns called like results are replaced.
     """
     doomed = index.doomed(min_docs)
     keep = docs.columns if keep is None else keep

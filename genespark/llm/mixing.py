@@ -105,7 +105,8 @@ def mix(docs: DataFrame, member: Column, size: Column, *, id_col: str = "doc_id"
     Each pattern's taken tokens differ from its flow by at most half a document. Rows in the same seeded
     place (repeated rows) are ordered by id and size, so reruns agree. An empty table gives an empty result;
     null ids are kept; documents of size 0 take 0. Patterns and sources are a configuration dimension: more
-    than `most_patterns` patterns raise ValueError, since the plan is solved in the driver.
+    than `most_patterns` patterns raise ValueError, since the plan is solved in the driver. Only sizes are read of texts,
+    so their length doesn't matter; columns called like results are not carried over.
     """
     spark = docs.sparkSession
     members = F.array_sort(F.array_distinct(F.when(F.size(F.coalesce(member, F.array().cast("array<string>"))) > 0, member).otherwise(F.array(F.lit(None).cast("string")))))

@@ -246,6 +246,7 @@ def find_pii(docs: DataFrame, *, text: str = "text", keep: list[str] | None = No
 
     spans holds the fixed formats and what the learned patterns discover. Offsets are code points, ends
     exclusive. Null texts are empty; an empty table gives an empty result; repeated rows get the same result.
+    Texts are scanned whole, however long: memory is a few times that of the longest one.
     """
     keep = [c for c in (docs.columns if keep is None else keep)]
     found = materialize(extract(docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), F.col(f"`{text}`").alias("t_")), text="t_", keep=[f"c{i}" for i in range(len(keep))]).withColumn("uid", F.monotonically_increasing_id()), "pii")

@@ -360,7 +360,8 @@ def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text: str = "te
     ones count. Adds n_bytes, n_removed, run_from, run_to (the maximal removed runs) and kept (binary, since a
     cut may fall within a character). Null texts are empty; texts shorter than `span` lose nothing; repeated rows
     are copies of each other. Rows are matched by id and text, so ids may be null or repeat. An empty table gives
-    an empty result. Strings are told apart by 64-bit identifiers within a 64-bit anchor.
+    an empty result. Strings are told apart by 64-bit identifiers within a 64-bit anchor. Texts are read whole, however long;
+    memory is a few times that of the longest one.
     """
     if span < 2 * Q or span > 2**15:
         raise ValueError(f"span must be {2 * Q} to {2**15}")

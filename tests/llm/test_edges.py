@@ -157,3 +157,14 @@ def test_very_long_texts(spark, toxic):
     model = langid.train(df.withColumn("lang", F.lit("aa")))
     assert by(langid.identify(df, model, keep=["doc_id"]))[3].lang_pred == "aa"
     assert by(mixing.mix(df, F.array(F.lit("s")), mixing.word_count("text")))[1]["size"] == 28_000 * 12
+
+
+def test_line_dedup_with_clashing_names_and_long_texts(spark):
+    """Kept columns called n_lines, n_dropped and kept are replaced; a long line and a long text are read whole."""
+    line = "a line that five documents hold, with more than forty signs"
+    long = "x" * 3_000_000
+    rows = [(i, f"own {i}\n{line}\n" + (long if i < 6 else ""), "a", "b", "c") for i in range(7)] + [(7, None, "a", "b", "c"), (8, "\n".join(["short"] * 200_000), "a", "b", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string, n_dropped string, kept string")
+    out = {x.doc_id: x for x in linededup.dedup_lines(docs, linededup.build(docs), out_text="kept").collect()}
+    assert {i: (x.n_lines, x.n_dropped) for i, x in out.items()} == {**{i: (3, 2) for i in range(5)}, 5: (3, 1), 6: (3, 0), 7: (1, 0), 8: (200_000, 0)}
+    assert out[0].kept == "own 0" and out[5].kept == f"own 5\n{long}" and out[6].kept == rows[6][1] and out[7].kept == "" and out[8].kept == rows[8][1]
