@@ -4,7 +4,8 @@ The exact table holds one row for each key (line, stripped and lower-cased, as a
 of documents that hold it and the largest id among them; postings (key, document) make deletions exact. Each
 shard of the key space has a cuckoo filter of the keys in its reference table: on insertion, a key that the
 filter does not hold is new for certain, skips the lookup and enters the filter; on deletion, keys whose count falls to
-zero leave it. A filter is made anew only when it is full. So any sequence of insertions and deletions ends in the state that a build from scratch gives.
+zero leave it. A filter is made anew only when it is full or when the shards are doubled, as they are before a batch that would bring more than
+`keys_a_shard` keys to one, so no task's filter grows with the index. So any sequence of insertions and deletions ends in the state that a build from scratch gives.
 """
 
 from __future__ import annotations
@@ -15,10 +16,10 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from genespark.llm.util import Texts, lists, map_text, materialize
+from genespark.llm.util import Texts, join_hot, lists, map_text, materialize
 
 STRIP = b" \t\n\x0b\x0c\r"
 
@@ -56,7 +57,7 @@ class CuckooFilter:
 
     def _places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = keys.view(np.uint64) if keys.dtype == np.int64 else keys.astype(np.uint64)
-        return ((keys >> np.uint64(48)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16), (keys & np.uint64(self.n - 1)).astype(np.int64)
+        return ((keys >> np.uint64(48)) % np.uint64(65535) + np.uint64(1)).astype(np.uint16), ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(24) & np.uint64(self.n - 1)).astype(np.int64)  # not the low bits, which tell the shard
 
     def _other(self, bucket: np.ndarray, finger: np.ndarray) -> np.ndarray:
         return bucket ^ (((finger.astype(np.uint64) * np.uint64(0x5BD1E995C6A4A793)) >> np.uint64(20)) & np.uint64(self.n - 1)).astype(np.int64)
@@ -152,23 +153,41 @@ def postings(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", lea
 
 @dataclass(frozen=True)
 class LineIndex:
-    """What has been inserted: postings(doc, k1, k2), refs(shard, k1, k2, n, last), filters(shard, cells)."""
+    """What has been inserted: postings(doc, k1, k2), refs(shard, k1, k2, n, last), filters(shard, cells).
+
+    Lines that many documents hold are joined as join_hot() does: none of them is one task.
+    """
 
     postings: DataFrame
     refs: DataFrame
     filters: DataFrame
     shards: int
+    keys_a_shard: int = 500_000
 
     @classmethod
-    def empty(cls, like: DataFrame, shards: int = 64) -> "LineIndex":
+    def empty(cls, like: DataFrame, shards: int = 64, keys_a_shard: int = 500_000) -> "LineIndex":
         """An index without documents, for postings of the schema of `like`."""
         none = like.where("false")
         refs = none.select(F.lit(0).alias("shard"), "k1", "k2", F.lit(0).cast("long").alias("n"), F.col("doc").alias("last"))
-        return cls(none, refs, none.select(F.lit(0).alias("shard"), F.lit(b"").alias("cells")), shards)
+        return cls(none, refs, none.select(F.lit(0).alias("shard"), F.lit(b"").alias("cells")), shards, keys_a_shard)
+
+    def _shard(self) -> Column:
+        return F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard")
+
+    def grown(self, keys: int) -> "LineIndex":
+        """The index with its shards doubled until `keys` keys take no more than keys_a_shard in each; itself if they do."""
+        shards = self.shards
+        while keys > shards * self.keys_a_shard:
+            shards *= 2
+        if shards == self.shards:
+            return self
+        more = replace(self, shards=shards)
+        refs = materialize(self.refs.select(more._shard(), "k1", "k2", "n", "last"), "line-refs")
+        return replace(more, refs=refs, filters=more._filters(refs))
 
     def _count(self, rows: DataFrame) -> DataFrame:
         """Exact counts by key; partial sums before the shuffle, so a hot key sends one row a task."""
-        return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).select(F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard"), "k1", "k2", "n", "last")
+        return rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).select(self._shard(), "k1", "k2", "n", "last")
 
     def insert(self, rows: DataFrame, fresh: bool = False) -> "LineIndex":
         """Add postings. fresh: none of their documents is held yet; otherwise those held are left out first.
@@ -179,6 +198,10 @@ class LineIndex:
         """
         if not fresh:
             rows = materialize(rows.join(self.postings, (rows.k1 == self.postings.k1) & (rows.k2 == self.postings.k2) & rows.doc.eqNullSafe(self.postings.doc), "left_anti"), "line-postings")
+        index = self.grown(self.refs.count() + rows.count())
+        return index._insert(rows)
+
+    def _insert(self, rows: DataFrame) -> "LineIndex":
         batch = self._count(rows)
         kind = batch.schema["last"].dataType.simpleString()
 
@@ -229,11 +252,11 @@ class LineIndex:
         ids = ids.toDF("gone").distinct()
         gone = self.postings.join(ids, self.postings.doc.eqNullSafe(ids.gone), "left_semi")
         left = materialize(self.postings.join(ids, self.postings.doc.eqNullSafe(ids.gone), "left_anti"), "line-postings")
-        touched = gone.select("k1", "k2").distinct()
-        again = self._count(left.join(touched, ["k1", "k2"], "left_semi"))
+        touched = materialize(gone.select("k1", "k2").distinct().join(self.refs.select("k1", "k2", "n"), ["k1", "k2"]), "line-touched")
+        again = self._count(join_hot(left, touched, {"k1": "k1", "k2": "k2"}, "n"))
         refs = materialize(self.refs.join(touched, ["k1", "k2"], "left_anti").select("shard", "k1", "k2", "n", "last").unionByName(again), "line-refs")
         # several keys may share their first half: a fingerprint goes only when none of them is left
-        dead = touched.select("k1").distinct().join(refs.select("k1"), "k1", "left_anti").select(F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard"), "k1")
+        dead = touched.select("k1").distinct().join(refs.select("k1"), "k1", "left_anti").select(self._shard(), "k1")
 
         def drop(keys: pa.Table, cells: pa.Table) -> pa.Table:
             held = CuckooFilter.load(cells["cells"][0].as_py())
@@ -245,16 +268,16 @@ class LineIndex:
 
     def doomed(self, min_docs: int) -> DataFrame:
         """(doc, drop): the keys that each document loses, as an array of structs (k1, k2)."""
-        hot = self.refs.where(F.col("n") >= min_docs).select("k1", "k2", "last")
-        lost = self.postings.join(hot, ["k1", "k2"]).where(~F.col("doc").eqNullSafe(F.col("last")))
+        hot = materialize(self.refs.where(F.col("n") >= min_docs).select("k1", "k2", "n", "last"), "line-hot")
+        lost = join_hot(self.postings, hot, {"k1": "k1", "k2": "k2"}, "n").where(~F.col("doc").eqNullSafe(F.col("last")))
         return lost.groupBy("doc").agg(F.collect_list("k1").alias("d1"), F.collect_list("k2").alias("d2"))
 
 
 def build(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", least: int = 40, batches: int = 2, keys_a_shard: int = 500_000) -> LineIndex:
     """An index of all documents, inserted in batches (by id hash)."""
     rows = materialize(postings(docs, id_col=id_col, text=text, least=least), "line-postings")
-    shards = max(16, rows.count() // keys_a_shard)
-    index = LineIndex.empty(rows, shards)
+    shards = max(16, -(-rows.count() // keys_a_shard))
+    index = LineIndex.empty(rows, shards, keys_a_shard)
     for k in range(batches):
         part = rows if batches == 1 else rows.where(F.pmod(F.xxhash64("doc"), F.lit(batches)) == k)
         index = index.insert(part, fresh=True)

@@ -182,6 +182,36 @@ def test_insertion_goes_into_the_filters(spark, monkeypatch):
     assert len(keys) == 400 and all(held[k % 2].contains(np.array([k]))[0] for k in keys)
 
 
+def test_shards_grow_with_the_index(spark):
+    """Shards double before a batch that would overfill them; filters follow, and results equal a build from scratch."""
+    rows = line_corpus()
+    first, later = rows[:10], rows[10:]
+    index = linededup.LineIndex.empty(linededup.postings(docs_of(spark, first)), 1, keys_a_shard=8).insert(linededup.postings(docs_of(spark, first)))
+    before = index.shards
+    index = index.insert(linededup.postings(docs_of(spark, later)))
+    assert index.shards > before > 1 and index.refs.count() <= index.shards * 8
+    held = {r.shard: linededup.CuckooFilter.load(r.cells) for r in index.filters.collect()}
+    assert all(r.shard == r.k1 % index.shards and held[r.shard].contains(np.array([r.k1]))[0] for r in index.refs.collect())
+    out = linededup.dedup_lines(docs_of(spark, rows), index).collect()
+    assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in out) == plain_lines(rows)
+
+
+def test_hot_lines_in_both_ways_of_the_join(spark, monkeypatch):
+    """Lines that are broadcast, shuffled, or some of each lose the same copies; deletion too."""
+    rows = line_corpus()
+    docs = docs_of(spark, rows)
+    index = linededup.build(docs)
+    real = linededup.join_hot
+    for most in (1, 30, 10**9):
+        monkeypatch.setattr(linededup, "join_hot", lambda *a, most=most: real(*a, most=most))
+        out = linededup.dedup_lines(docs, index).collect()
+        assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in out) == plain_lines(rows)
+        left = [r for r in rows if r[0] is None or r[0] % 2]
+        rest = index.delete(spark.createDataFrame(sorted({(r[0],) for r in rows if r not in left}), "i long"))
+        out = linededup.dedup_lines(docs_of(spark, left), rest).collect()
+        assert sorted((str(r.doc_id), r.n_lines, r.n_dropped, r.text) for r in out) == plain_lines(left)
+
+
 # decontamination
 
 
