@@ -14,11 +14,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from genespark.llm.util import Texts, map_text, materialize, pieces
+from genespark.llm.util import Texts, join_hot, map_text, materialize, pieces
 
 # The kinds, in the order in which equal starts are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -174,59 +176,103 @@ def extract(docs: DataFrame, *, text: str = "text", keep: list[str] | None = Non
     return map_text(docs, text, make, fields, keep=keep)
 
 
-def count_contexts(docs: DataFrame, patterns: list[str], *, text: str = "text") -> DataFrame:
-    """(pattern, total): all places in the corpus where the words of each pattern occur."""
-    sent = docs.sparkSession.sparkContext.broadcast((frozenset(p for p in patterns if " " not in p), frozenset(tuple(p.split(" ")) for p in patterns if " " in p)))
+def _cells(patterns: list[str], bits: int) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(p.encode("utf-8", "replace")) for p in patterns), np.uint64, len(patterns)) >> np.uint64(64 - bits)
+
+
+def pattern_cells(frequent: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap over 2^bits cells of the patterns' hashes, however many patterns there are; tasks send words of 64 cells."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << bits - 6, np.uint64)
+        for batch in batches:
+            at = _cells(batch.column(0).to_pylist(), bits)
+            np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        at = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(own[at].view(np.int64))], ["word", "cells"])
+
+    rows = frequent.select("pattern").mapInArrow(mark, "word int, cells long").groupBy("word").agg(F.bit_or("cells").alias("cells")).toPandas()  # at most 2^(bits - 6)
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[rows.word.to_numpy(int)] = rows.cells.to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def count_contexts(docs: DataFrame, frequent: DataFrame, *, text: str = "text", bits: int = 26, most_held: int = 200_000) -> DataFrame:
+    """(pattern, total): all places in the corpus where the words of each pattern of `frequent` (pattern) occur.
+
+    One scan of the texts, however many patterns there are: what their bitmap (8 MB at 26 bits) lets through is counted by its words, and the few that are
+    none of the patterns go in the join. A pair is looked up only if its second word is, which holds for every pattern
+    of two words: its last word alone has the same instances. A task holds `most_held` counts at most.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(pattern_cells(frequent, bits))
+
+    def held(names: list[str]) -> list[bool]:
+        at = _cells(names, bits)
+        return (sent.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool).tolist()
+
+    def rows_of(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["pattern", "total"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = sent.value
         seen: Counter = Counter()
+        known: dict[str, bool] = {}
         for part in pieces(batches, 0, 1 << 21):
             texts = Texts(part.column(0))
+            ones: Counter = Counter()
+            twos: Counter = Counter()
             for i in range(texts.n):
                 words = _WORD.findall(texts.bytes(i).decode("utf-8", "replace").lower())
-                seen.update(filter(one.__contains__, words))
-                seen.update(filter(two.__contains__, zip(words, words[1:], strict=False)))
+                if fresh := list(set(words) - known.keys()):
+                    known.update(zip(fresh, held(fresh), strict=True))
+                ones.update(filter(known.__getitem__, words))
+                twos.update(pair for pair in zip(words, words[1:], strict=False) if known[pair[1]])
+            pairs = [" ".join(p) for p in twos]
+            for name, n, ok in zip(pairs, twos.values(), held(pairs), strict=True):
+                if ok:
+                    ones[name] += n
+            seen.update(ones)
+            if len(seen) > most_held:
+                yield rows_of(seen)
+                seen.clear()
+            if len(known) > most_held:
+                known.clear()
         if seen:
-            names = [k if isinstance(k, str) else " ".join(k) for k in seen]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(list(seen.values()), pa.int64())], ["pattern", "total"])
+            yield rows_of(seen)
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(count, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    found = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(count, "pattern string, total long").groupBy("pattern").agg(F.sum("total").alias("total"))
+    return found.join(frequent.select("pattern"), "pattern")
 
 
-def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int = 3, rounds: int = 3, most_patterns: int = 100_000) -> DataFrame | None:
-    """(pattern, kind, confidence) after `rounds` of scoring the graph of patterns and instances; None without patterns.
+def learn(docs: DataFrame, found: DataFrame, *, text: str = "text", support: int = 3, rounds: int = 3) -> DataFrame | None:
+    """(pattern, kind, confidence, places) after `rounds` of scoring the graph of patterns and instances; None without patterns.
 
-    A pattern needs `support` distinct instances at every size. Their places are counted in blocks of about
-    `most_patterns` patterns, one scan of the texts each, so that what is sent to the executors has a fixed bound.
+    A pattern needs `support` distinct instances at every size. Patterns of many instances and instances of many patterns are joined
+    as join_hot() does: none of them is one task.
     """
     slots = found.select(F.inline(F.arrays_zip("s_what", "s_id", "s_one", "s_two")))
     edges = slots.select("s_what", "s_id", F.explode(F.array("s_one", "s_two")).alias("pattern")).where("pattern is not null").groupBy("pattern", "s_id", "s_what").agg(F.count(F.lit(1)).alias("n"))
     edges = materialize(edges, "pii-edges")
-    frequent = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= support)
-    frequent = materialize(frequent.select("pattern"), "pii-frequent")
-    blocks = -(-frequent.count() // most_patterns)
-    if not blocks:
+    frequent = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"), F.sum("n").alias("places")).where(F.col("instances") >= support)
+    frequent = materialize(frequent, "pii-frequent")
+    if not frequent.limit(1).count():
         return None
-    totals = None
-    for k in range(blocks):
-        patterns = [r.pattern for r in frequent.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks).cast("long")) == k).collect()]
-        if patterns:
-            counted = materialize(count_contexts(docs, patterns, text=text), "pii-totals")
-            totals = counted if totals is None else totals.unionByName(counted)
-    edges = materialize(edges.join(totals, "pattern"), "pii-live")
+    totals = materialize(count_contexts(docs, frequent, text=text).join(frequent, "pattern"), "pii-totals")
+    edges = join_hot(edges, totals, {"pattern": "pattern"}, "instances")
     kinds = F.explode(F.array(*(F.lit(k) for k in range(len(KINDS)))))
-    fits = (F.col("s_what") == F.col("kind")) | ((F.col("s_what") < 0) & (F.shiftright(-F.col("s_what"), 0).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0))
+    fits = (F.col("s_what") == F.col("kind")) | ((F.col("s_what") < 0) & ((-F.col("s_what")).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0))
     graph = materialize(edges.withColumn("kind", kinds).where(fits), "pii-graph")
-    score = graph.select("s_id", "s_what", "kind").distinct().withColumn("score", (F.col("s_what") >= 0).cast("double"))
+    instance = {c: c for c in ("s_id", "s_what", "kind")}
+    score = graph.groupBy(*instance).agg(F.count(F.lit(1)).alias("m")).withColumn("score", (F.col("s_what") >= 0).cast("double"))
     trust = None
     for k in range(rounds):
-        trust = graph.join(score, ["s_id", "s_what", "kind"]).groupBy("pattern", "kind").agg((F.sum(F.col("n") * F.col("score")) / (F.max("total") + 1)).alias("confidence"))
+        scored = join_hot(graph, materialize(score, "pii-score"), instance, "m")
+        trust = scored.groupBy("pattern", "kind").agg((F.sum(F.col("n") * F.col("score")) / (F.max("total") + 1)).alias("confidence"), F.max("places").alias("places"), F.count(F.lit(1)).alias("m"))
         trust = materialize(trust.withColumn("confidence", F.least("confidence", F.lit(0.999))), "pii-trust")
         if k < rounds - 1:
-            doubt = graph.join(trust, ["pattern", "kind"]).groupBy("s_id", "s_what", "kind").agg(F.exp(F.sum(F.log1p(-F.col("confidence")))).alias("doubt"))
-            score = doubt.select("s_id", "s_what", "kind", F.when(F.col("s_what") >= 0, 1.0).otherwise(1 - F.col("doubt")).alias("score"))
-    return trust
+            trusted = join_hot(graph.drop("places"), trust.drop("places"), {"pattern": "pattern", "kind": "kind"}, "m")
+            doubt = trusted.groupBy(*instance).agg(F.exp(F.sum(F.log1p(-F.col("confidence")))).alias("doubt"), F.count(F.lit(1)).alias("m"))
+            score = doubt.select(*instance, "m", F.when(F.col("s_what") >= 0, 1.0).otherwise(1 - F.col("doubt")).alias("score"))
+    return trust.drop("m")
 
 
 def label(found: DataFrame, trust: DataFrame, least: float) -> DataFrame:
@@ -236,7 +282,9 @@ def label(found: DataFrame, trust: DataFrame, least: float) -> DataFrame:
     """
     slots = found.select("uid", F.inline(F.arrays_zip("s_start", "s_end", "s_what", "s_one", "s_two"))).where("s_what < 0")
     slots = slots.select("uid", "s_start", "s_end", "s_what", F.posexplode(F.array("s_two", "s_one")).alias("rank", "pattern")).where("pattern is not null")
-    known = slots.join(trust.where(F.col("confidence") >= least), "pattern").where((-F.col("s_what")).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0)
+    kinds = trust.where(F.col("confidence") >= least).groupBy("pattern").agg(F.max("places").alias("places"), F.collect_list(F.struct("kind", "confidence")).alias("kinds"))
+    known = join_hot(slots, materialize(kinds, "pii-known"), {"pattern": "pattern"}, "places")
+    known = known.select("uid", "s_start", "s_end", "s_what", "rank", F.inline("kinds")).where((-F.col("s_what")).bitwiseAND(F.expr("shiftleft(1, kind)")) != 0)
     best = known.groupBy("uid", "s_start", "s_end").agg(F.min(F.struct("rank", (-F.col("confidence")).alias("c"), "kind"))["kind"].alias("kind"))
     return best.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("s_start", "kind", "s_end"))).alias("m")).select("uid", F.col("m.s_start").alias("m_start"), F.col("m.kind").alias("m_kind"), F.col("m.s_end").alias("m_end"))
 

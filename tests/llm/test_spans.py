@@ -126,12 +126,42 @@ def test_few_random_tokens_in_ordinary_prose(spark):
 
 
 def test_support_does_not_grow_with_the_table(spark):
-    """A pattern of five instances still labels, however many edges there are to `most_patterns`."""
+    """A pattern of five instances still labels, however many other patterns there are."""
     rows = [(i, f"please reach me via u{i}@mail.example.com today") for i in range(5)] + [(10, "please reach me via someone@localhost today")]
     rows += [(100 + i, f"w{chr(97 + i % 26)} q{chr(97 + i // 26)} x{i}@host.example.org") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    spans = {m: {x.doc_id: x.spans for x in pii.find_pii(docs, most_patterns=m).collect()} for m in (10, 100_000)}
-    assert spans[10] == spans[100_000] and spans[10][10] == "email:20:37"
+    spans = {x.doc_id: x.spans for x in pii.find_pii(docs).collect()}
+    alone = {x.doc_id: x.spans for x in pii.find_pii(docs.where("doc_id < 100")).collect()}
+    assert all(spans[k] == v for k, v in alone.items()) and spans[10] == "email:20:37"
+
+
+@pytest.mark.parametrize(("bits", "most_held"), [(26, 200_000), (26, 1), (6, 3)])
+def test_contexts_counted_in_one_scan(spark, bits, most_held):
+    """Places of one and two words against plain counts; also where the bitmap lets everything through or tasks hand on at once."""
+    r = random.Random(8)
+    words = ["alpha", "Beta", "gamma", "délta", "x", "mail", "ΣΊΣΥΦΟΣ"]
+    rows = [(" ".join(r.choice(words) + r.choice(["", ",", "1", "@"]) for _ in range(r.randint(0, 40))),) for _ in range(60)] + [(None,), ("",)]
+    plain = {}
+    for (t,) in rows:
+        own = re.findall(r"[^\W\d_]+", (t or "").lower())
+        for p in own + [" ".join(x) for x in zip(own, own[1:], strict=False)]:
+            plain[p] = plain.get(p, 0) + 1
+    wanted = {"beta", "gamma", "alpha beta", "mail gamma", "ΣΊΣΥΦΟΣ".lower(), "never"}
+    frequent = spark.createDataFrame([(p,) for p in sorted(wanted)], "pattern string")
+    out = pii.count_contexts(spark.createDataFrame(rows, "text string"), frequent, bits=bits, most_held=most_held).collect()
+    assert {x.pattern: x.total for x in out} == {p: plain[p] for p in wanted if p in plain}
+
+
+@pytest.mark.parametrize("most", [1, 20, 10**9])
+def test_hot_patterns_in_both_ways_of_the_join(spark, monkeypatch, most):
+    """Spans are the same whether patterns and instances are broadcast, shuffled, or some of each."""
+    rows = [(i, f"please reach me via u{i % 9}@mail.example.com or the host 10.0.0.{i % 5} today") for i in range(40)]
+    rows += [(100, "please reach me via someone@localhost today"), (101, "behind the host 300.20.30.40 it was")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    real = pii.join_hot
+    monkeypatch.setattr(pii, "join_hot", lambda *a: real(*a, most=most))
+    out = {x.doc_id: x.spans for x in pii.find_pii(docs).collect()}
+    assert out[100] == "email:20:37" and out[101] == "ip:16:28"
 
 
 def test_nine_keys_in_ten_are_found(spark):
