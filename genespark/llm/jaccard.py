@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from genespark.llm.graph import components
@@ -183,9 +183,16 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
     return pa.Table.from_batches(got) if got else None
 
 
-def _parts(rows: DataFrame, each: int) -> int:
-    """Partitions for stored rows that a function holds a partition of: by their number, so that none grows with the table."""
-    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // each)
+def _parts(rows: DataFrame, each: int, size: Column | None = None, most_bytes: int = 64 << 20) -> int:
+    """Partitions for rows that a function holds a partition of: by their number and, if given, by the bytes of `size`,
+    so that none grows with the table or its texts."""
+    n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.lit(0) if size is None else size), F.lit(0))).first()
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(n) // each, int(total) // most_bytes)
+
+
+def _weight(n: Column, size: Column) -> Column:
+    """How much a group of n nodes counts against a block: its nodes, or its tokens by 16,384 (up to 8 KB of bitmap), whichever is more."""
+    return F.greatest(n, F.ceil(size / 16384))
 
 
 def _node_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +216,7 @@ def _node_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def blocks_of(rows: DataFrame, group: str, block: int) -> DataFrame:
-    """(gid, across, own, node) from (group, node, n), n rows a group: groups as pairs of blocks of about `block` nodes."""
+    """(gid, across, own, node) from (group, node, n), n the weight of a group: groups as pairs of blocks of a weight of about `block`."""
     rows = rows.withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select(F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other")).alias("gid"), (F.col("blocks") > 1).alias("several"), F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "node").select("gid", (F.col("several") & (F.col("bi") != F.col("bj"))).alias("across"), "own", "node")
@@ -218,13 +225,13 @@ def blocks_of(rows: DataFrame, group: str, block: int) -> DataFrame:
 def index_lists(rows: DataFrame, block: int = 2000) -> DataFrame:
     """(gid, across, own, node): the nodes that share an index key. Keys with the same nodes count once.
 
-    Lists longer than `block`, of rare tokens or of combinations, are split into pairs of blocks, so no list is one
-    task; with across, only pairs of nodes from different blocks (own) count.
+    Lists of a weight above `block`, of rare tokens or of combinations, are split into pairs of blocks, so no list is one
+    task, be it for many sets or for large ones; with across, only pairs of nodes from different blocks (own) count.
     """
-    keys = rows.select(F.explode(F.concat("rare", "combined")).alias("key"), "node")
+    keys = rows.select(F.explode(F.concat("rare", "combined")).alias("key"), "node", F.col("size").cast("int").alias("size"))
     # most keys are met once: partial counts and one join by key leave the others, with the lengths of their lists
-    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    keys = materialize(keys.join(many.hint("shuffle_hash"), "key"), "jaccard-keys")
+    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), _weight(F.count(F.lit(1)), F.sum("size")).alias("w")).where("n > 1").select("key", F.col("w").alias("n"))
+    keys = materialize(keys.drop("size").join(many.hint("shuffle_hash"), "key"), "jaccard-keys")
     short = keys.where(F.col("n") <= block).select("key", "node")
     sets = short.repartition(_parts(short, 500_000), "key").mapInArrow(_node_sets, "nodes array<long>").distinct()
     sets = sets.select(F.xxhash64("nodes").alias("gid"), F.lit(False).alias("across"), F.lit(0).alias("own"), F.explode("nodes").alias("node"))
@@ -320,14 +327,16 @@ def candidate_pairs(t: int, forest: bool):
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, *, id_col: str, text: str, n: int, t: int, fan: int = 500) -> DataFrame:
     """(a, b, linked) for each pair, from the texts of one document of each set.
 
-    A pair's texts meet under its first set; one with many partners is dealt into groups of about `fan`, each with a
-    copy of its text.
+    A pair's texts meet under its first set; one with many partners is dealt into groups of about `fan`, fewer where sets pass
+    16,384 tokens, each with a copy of its text. Tasks are sized by the tokens that they hold.
     """
-    fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / fan).cast("int").alias("salts"))
+    # the sets of a pair are about as large as each other: large ones have smaller groups
+    fans = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("k")).join(reps.select(F.col("node").alias("a"), "size"), "a")
+    fans = fans.select("a", F.ceil(F.col("k") * F.greatest(F.lit(1.0), F.col("size") / 16384) / fan).cast("int").alias("salts"))
     children = pairs.join(fans, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("node"))
     parents = fans.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("node"))
-    wanted = materialize(children.unionByName(parents).join(reps, "node").select("a", "salt", "node", "rep"), "verify")
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), wanted.count() // 2000)
+    wanted = materialize(children.unionByName(parents).join(reps, "node").select("a", "salt", "node", "rep", "size"), "verify")
+    groups = _parts(wanted, 2000, F.col("size") * 8 + 200)
     # always dealt by id, at every size: the texts are many times the list of those wanted, which is hashed
     texts = docs.select(F.col(f"`{id_col}`").alias("rep_"), F.col(f"`{text}`").cast("string").alias("t")).join(wanted.hint("shuffle_hash"), F.col("rep_").eqNullSafe(F.col("rep"))).select("t", "a", "salt", "node")
 
@@ -370,10 +379,12 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     frequent = frequent_cells(docs, text=text, n=n)
     found = materialize(profiles(docs, frequent, id_col=id_col, text=text, n=n, t=t).withColumnRenamed(id_col, "id_"), "jaccard-profiles")
     nodes = materialize(found.where("node is not null").groupBy("node").agg(F.min("id_").alias("rep"), F.max("size").alias("size"), F.max("bits").alias("bits")), "jaccard-nodes")
-    reps = nodes.select("node", "rep")
-    listed = materialize(index_lists(found.where("bits is not null").select("node", "rare", "combined"), block), "jaccard-lists")
-    groups = _parts(listed, 200_000)
+    reps = nodes.select("node", "rep", "size")
+    listed = materialize(index_lists(found.where("bits is not null").select("node", "size", "rare", "combined"), block), "jaccard-lists")
     facts = nodes.where("bits is not null").select("node", "size", "bits")
+    held = facts.select("node", (F.octet_length("bits") + 64).cast("long").alias("held"))  # bytes in a task
+    listings = listed.groupBy("node").agg(F.count(F.lit(1)).alias("k")).join(held, "node")
+    groups = max(_parts(listed, 200_000), _parts(listings, 1 << 62, F.col("k") * F.col("held")))
     shape = "tree long, a long, b long"
     options = {"id_col": id_col, "text": text, "n": n, "t": t}
     first = listed.join(facts, "node").withColumn("root", F.col("node")).repartition(groups, "gid").mapInArrow(candidate_pairs(t, True), shape)
@@ -383,9 +394,14 @@ def join_similar(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
     # trees of which a pair failed, joined where they share sets: all their pairs with different roots, each once
     failed = first.join(done.where("not linked").select("a", "b"), ["a", "b"]).select("tree").distinct()
     around = components(first.join(failed, "tree", "left_semi").select("a", "b").distinct()).withColumnRenamed("root", "cluster")
-    around = materialize(around.join(around.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")), "cluster"), "jaccard-clusters")
+    around = materialize(around.join(nodes.select("node", "size"), "node").join(held, "node"), "jaccard-around")
+    weights = around.groupBy("cluster").agg(_weight(F.count(F.lit(1)), F.sum("size")).alias("n"))
+    around = materialize(around.join(weights, "cluster"), "jaccard-clusters")
+    copies = F.ceil(F.col("n") / block)
+    # each node is met once a block of its cluster: tasks follow the copies, in number and in bytes
+    tasks = max(_parts(around, 50_000, copies * F.col("held")), _parts(around, 1 << 62, copies, 50_000))
     second = blocks_of(around, "cluster", block).join(facts, "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    second = second.repartition(_parts(around, 50_000), "gid").mapInArrow(candidate_pairs(t, False), shape).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
+    second = second.repartition(tasks, "gid").mapInArrow(candidate_pairs(t, False), shape).select("a", "b").distinct().join(done, ["a", "b"], "left_anti")
     more = materialize(second, "jaccard-pairs")
     if more.limit(1).count():
         late = materialize(verify(more, docs, reps, **options).where("linked"), "jaccard-verified")
