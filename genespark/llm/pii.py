@@ -222,7 +222,7 @@ def count_contexts(docs: DataFrame, frequent: DataFrame, *, text: str = "text",
             twos: Counter = Counter()
             for i in range(texts.n):
                 words = _WORD.findall(texts.bytes(i).decode("utf-8", "replace").lower())
-                if fresh := list(set(words) - known.keys()):
+                if fresh := [w for w in set(words) if w not in known]:
                     known.update(zip(fresh, held(fresh), strict=True))
                 ones.update(filter(known.__getitem__, words))
                 twos.update(pair for pair in zip(words, words[1:], strict=False) if known[pair[1]])
