@@ -67,18 +67,3 @@ def test_null_and_repeated_ids(spark):
     out = jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == plain(rows)
     assert jaccard.join_similar(spark.createDataFrame([], "doc_id long, text string")).collect() == []
-
-
-def test_lists_of_few_large_sets_are_split(spark):
-    """Sets of 30,000 tokens weigh more than their number: their lists, clusters and comparisons are split, no link is lost."""
-    r = random.Random(6)
-    base = [f"w{r.randrange(10**6)}" for _ in range(30_000)]
-    rows = [(9, "some other text of a few words")]
-    for i in range(5):
-        w = list(base)
-        for _ in range(900 * i):  # some pairs pass 85 per cent, others don't
-            w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
-        rows.append((20 - i, " ".join(w)))
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted(((x.doc_id, x.n_shingles, x.component_id) for x in jaccard.join_similar(docs, block=2).collect()), key=str)
-    assert got == plain(rows)
