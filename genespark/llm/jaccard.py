@@ -95,10 +95,16 @@ def frequent_cells(docs: DataFrame, *, text: str, n: int, local: int = 8, least:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(seen[at], pa.int64())], ["cell", "n"])
 
     rows = docs.select(F.col(f"`{text}`").cast("string").alias("t")).mapInArrow(count, "cell int, n long")
-    found = rows.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("cell").toPandas()  # at most 2^22
-    out = np.zeros(1 << _CELLS, bool)
-    out[found.cell.to_numpy(int)] = True
-    return np.packbits(out)
+    return collect_cells(rows.groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+
+
+def collect_cells(cells: DataFrame) -> np.ndarray:
+    """The packed bitmap of cells (cell). Tasks pack 64 cells into a word: the driver gets 2^16 rows at most, however many cells there are."""
+    bit = F.expr("shiftleft(1L, cell & 63)")
+    found = cells.groupBy(F.expr("cell div 64").cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (_CELLS - 6), "<i8")
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return np.packbits(np.unpackbits(words.view(np.uint8), bitorder="little"))
 
 
 def _ceil_share(n: int, t: int) -> int:

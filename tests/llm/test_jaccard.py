@@ -67,3 +67,21 @@ def test_null_and_repeated_ids(spark):
     out = jaccard.join_similar(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == plain(rows)
     assert jaccard.join_similar(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_frequent_cells_reach_the_driver_packed(spark, monkeypatch):
+    """Most of the 2^22 cells are frequent in some GB of text: as rows of their own they would fill the driver."""
+    import numpy as np
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    sent, plain_arrow = [], DataFrame.toArrow
+    monkeypatch.setattr(DataFrame, "toPandas", lambda self: pytest.fail("cells as single rows"))
+    monkeypatch.setattr(DataFrame, "toArrow", lambda self: sent.append(plain_arrow(self)) or sent[-1])
+    docs = spark.createDataFrame([(f"{a} {b} {c} D", ) for a in "pqrst" for b in "uvwxyz" for c in "abc"], "text string")
+    got = np.unpackbits(jaccard.frequent_cells(docs.unionByName(docs), text="text", n=4, local=1, least=1))
+    tokens = np.concatenate(list(jaccard.token_lists([r.text.lower().encode() for r in docs.collect()], 4)))
+    assert got[(tokens >> np.uint64(42)).astype(int)].all()
+    every = jaccard.collect_cells(spark.range(1 << 22).selectExpr("cast(id as int) cell").where("cell % 3 = 0 or cell >= 4194240"))
+    want = np.arange(1 << 22)
+    assert (np.unpackbits(every).astype(bool) == ((want % 3 == 0) | (want >= 4194240))).all()
+    assert max(t.num_rows for t in sent) <= 1 << 16
