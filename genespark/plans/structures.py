@@ -186,12 +186,12 @@ def exact_medians(spark, sf_dir):
 
 @query("numbered_lines", f"""{BASE}, l AS (SELECT g * 1000 + rn AS k, concat_ws({TAB}, chrom, id, s) AS value FROM cds) SELECT row_number() OVER (ORDER BY k) - 1 AS line_no, value FROM l""")
 def numbered_lines(spark, sf_dir):
-    """Lines of one file in their order, without what follows its sequence mark."""
+    """Lines of one text in their order, without what follows its sequence mark; it is written in parts, as it is sorted."""
     path = fresh_path(spark)
     own = bridge.cds(spark, sf_dir).select((F.col("g") * 1000 + F.col("rn")).alias("k"), F.concat_ws("\t", "chrom", "id", _text("start")).alias("value"))
     after = bridge.table(spark, sf_dir, "nation").select((F.lit(2) ** 50).cast("long").alias("k"), F.explode(F.array(F.lit("##FASTA"), F.col("n_name"))).alias("value"))
-    own.unionByName(after).orderBy("k", "value").select("value").coalesce(1).write.text(path)
-    return gff.lines(spark, path).select("line_no", "value")
+    own.unionByName(after).orderBy("k", "value").select("value").write.text(path)
+    return gff.lines(spark, path, parts=True).select("line_no", "value")
 
 
 @query("input_heads", f"{BASE} SELECT chrom, count(*) AS n, count(*) FILTER (WHERE k <= 10 AND (s % 7 = 0 OR e % 11 = 0)) AS lacking FROM (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY g * 1000 + rn) AS k FROM cds) GROUP BY chrom")

@@ -12,19 +12,23 @@ from genespark.operators.graph import Hierarchy, hierarchy
 from genespark.operators.lineage import cut
 
 
-def lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def lines(spark: SparkSession, paths: str | list[str], parts: bool = False) -> DataFrame:
     """(file, line_no, value) of text files, from 0 on, cut at a '##FASTA' line.
 
     Files are read in splits. Spark numbers the rows of a split in order, and a window over one row a split adds the lines
-    of the splits before it, so no file is ever one row or one task.
+    of the splits before it, so no file is ever one row or one task, and no line is moved: the rows of splits are few, and are
+    sent to the lines. With `parts`, the files are those of one text that Spark has written in order (part-00000, ...): numbers
+    and cut go over all of them.
     """
     rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_n"), "value")
-    splits = rows.groupBy("file", "_at").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy("file").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")) - F.col("_first"))
-    rows = rows.join(splits.select("file", "_at", "_before"), ["file", "_at"]).select("file", (F.col("_n") + F.col("_before")).alias("line_no"), "value")
-    stop = rows.where(F.startswith("value", F.lit("##FASTA"))).groupBy("file").agg(F.min("line_no").alias("_stop"))
-    return rows.join(stop, "file", "left").where("_stop is null or line_no < _stop").drop("_stop")
+    mark = F.when(F.startswith("value", F.lit("##FASTA")), F.col("_n"))
+    splits = rows.groupBy("file", "_at").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_size"), F.min(mark).alias("_mark"))
+    text = Window.partitionBy(F.lit(0) if parts else F.col("file"))
+    # a part's number may have more digits than another's
+    before = text.orderBy(F.length("file"), "file", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0).cast("long")) - F.col("_first")).withColumn("_stop", F.min(F.col("_mark") + F.col("_before")).over(text))
+    rows = rows.join(F.broadcast(splits.select("file", "_at", "_before", "_stop")), ["file", "_at"]).withColumn("line_no", F.col("_n") + F.col("_before"))
+    return rows.where("_stop is null or line_no < _stop").select("file", "line_no", "value")
 
 
 def features(rows: DataFrame, dialect: str = "gff3") -> DataFrame:

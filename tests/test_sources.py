@@ -58,3 +58,20 @@ def test_six_places_are_those_of_the_exact_binary_value(spark):
     assert [r.t for r in rows] == [None if r.v is None else f"{r.v:.6f}" for r in rows]
     shares = spark.createDataFrame([(k / 800,) for k in range(801)], "v double").select("v", percent(F.col("v")).alias("p"), bar(F.col("v")).alias("b")).collect()
     assert all(r.p == f"{r.v * 100:.1f}%" and r.b == "[" + ("#" * int(r.v * 20)).ljust(20, ".") + "]" for r in shares)
+
+
+def test_lines_of_parts(spark, tmp_path):
+    """Parts that Spark has written are one text: numbers run through all, '##FASTA' in one ends those after it. No line is moved."""
+    texts = [f"l{i}" for i in range(500)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate([*texts, "##FASTA", ">s", "ACGT"])], "k int, value string")
+    rows.repartitionByRange(7, "k").sortWithinPartitions("k").select("value").write.text(str(tmp_path / "t"))
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = gff.lines(spark, str(tmp_path / "t"), parts=True)
+        assert sorted((r.line_no, r.value) for r in out.collect()) == list(enumerate(texts))
+        assert "SortMergeJoin" not in gff.lines(spark, str(tmp_path / "t"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
