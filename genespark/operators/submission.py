@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from genespark.functions.columns import clean_product
 from genespark.operators.graph import Hierarchy, hierarchy, with_parents
 from genespark.operators.lineage import cut
-from genespark.sources.gff import placed, placed_text
+from genespark.sources.gff import as_text, placed, placed_text
 
 INFERENCES = 3
 SEVERITIES = ("FATAL", "ERROR", "WARNING", "INFO")
@@ -82,16 +82,17 @@ def release(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     features: as sources.gff.features gives them. lines (value) begin with the version; other attributes keep their place.
     A part of several mRNAs is written, and what was cleaned in it counted, below each that stays.
     """
-    known = hierarchy(features)
-    dropped = cut(without_cds(known))
-    kept = known.rows.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), F.col("id").eqNullSafe(F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
     names = {"product": "product", "inference": "inference", "dbxref": "Dbxref", "note": "Note"}
-    cleaned = clean(kept.withColumns({c: F.try_element_at("attributes", F.lit(k)) for c, k in names.items()}))
+    cleaned = clean(features.withColumns({c: F.try_element_at("attributes", F.lit(k)) for c, k in names.items()}))
     value = lambda k, v: F.coalesce(*(F.when(k == key, F.coalesce(F.col(c), F.array().cast("array<string>"))) for c, key in names.items()), v)
     stay = F.map_filter(F.transform_values("attributes", value), lambda k, v: (F.size(v) > 0) | ~k.isin(*names.values()))
     fresh = F.when(F.col("note").isNotNull() & ~F.map_contains_key("attributes", "Note"), F.create_map(F.lit("Note"), F.col("note"))).otherwise(F.create_map().cast("map<string,array<string>>"))
     cleaned = cleaned.withColumn("attributes", F.map_concat(stay, fresh))
+    # cleaned row by row and put into lines before anything is moved
+    known = hierarchy(as_text(cleaned, "n_organism", "n_fragment", "n_capped", "n_kegg"))
+    dropped = cut(without_cds(known))
+    kept = known.rows.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), F.col("id").eqNullSafe(F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
     # what hangs on dropped mRNAs only, or on nothing, has no place: it is neither written nor counted
-    rows = cut(placed(Hierarchy(cleaned, known.above)))
+    rows = cut(placed(Hierarchy(kept, known.above)))
     head = features.sparkSession.range(1).select(F.lit("##gff-version 3").alias("value"))
     return head.unionByName(placed_text(rows)), report(rows, dropped)
