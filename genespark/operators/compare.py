@@ -103,6 +103,7 @@ def match_parts(level: str, parents: DataFrame, ref: DataFrame, pred: DataFrame)
     r = ref.select("parent_id", "id", "chrom", "strand", "start", "end").join(parents, F.col("parent_id") == F.col("ref_parent")).drop("parent_id")
     p = pred.select(F.col("parent_id").alias("p_parent"), F.col("prediction").alias("p_label"), F.col("id").alias("p_id"), F.col("chrom").alias("p_chrom"), F.col("strand").alias("p_strand"), F.col("start").alias("p_start"), F.col("end").alias("p_end"))
     p = p.join(parents, (F.col("p_parent") == F.col("pred_parent")) & F.col("p_label").eqNullSafe(F.col("prediction"))).drop("p_parent", "p_label")
+    r, p = cut(r), cut(p)  # each read by the overlaps, the totals and what is left over
     pair = ["prediction", "ref_parent", "pred_parent"]
     both = r.join(p, pair).where((F.col("chrom") == F.col("p_chrom")) & (F.col("strand") == F.col("p_strand")))
     both = both.withColumn("bp", F.greatest(F.least("end", "p_end") - F.greatest("start", "p_start") + 1, F.lit(0).cast("long"))).where("bp > 0")

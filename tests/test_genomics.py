@@ -314,3 +314,17 @@ def test_fasta_and_lists(spark, tmp_path):
     assert {(v.k_number, v.threshold) for v in tables.ko_list(lines(spark, text)).collect()} == {("K28880", 443.33), ("K2", None)}
     log = lines(spark, "Uniquely mapped reads % |\t60.5%\n% of reads mapped to multiple loci |\t10.0%")
     assert tuple(tables.mapping_rate(log).first()) == (60.5, 10.0, 70.5, True)
+
+
+def test_sides_of_a_match_are_stored_once(spark, monkeypatch):
+    """Both sides' parts below matched parents are read several times, so they are stored."""
+    from genespark.operators.lineage import cut
+
+    stored = []
+    monkeypatch.setattr(compare, "cut", lambda df: stored.append(set(df.columns)) or cut(df))
+    parents = spark.createDataFrame([("p", "a", "b")], "prediction string, ref_parent string, pred_parent string")
+    ref = spark.createDataFrame([("c", "+", 1, 9, "r1", "a"), ("c", "+", 20, 29, "r2", "a")], "chrom string, strand string, start long, end long, id string, parent_id string")
+    pred = spark.createDataFrame([("c", "+", 2, 9, "q1", "b", "p"), ("c", "+", 40, 49, "q2", "b", "p")], "chrom string, strand string, start long, end long, id string, parent_id string, prediction string")
+    got = sorted((r.classification, r.ref_id or "", r.pred_id or "") for r in compare.match_parts("cds", parents, ref, pred).collect())
+    assert got == [("fp", "", "q2"), ("match", "r1", "q1"), ("missing", "r2", "")]
+    assert any("id" in c and "p_id" not in c for c in stored) and any("p_id" in c and "id" not in c for c in stored)
