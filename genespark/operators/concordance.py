@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genespark.operators.intervals import interval_join, levels_of, same_span
+from genespark.operators.intervals import cut_with_levels, interval_join, levels_of, same_span
+from genespark.operators.lineage import cut
 
 WEAK = 250
 
@@ -47,13 +48,31 @@ def descendants(kept: DataFrame, features: DataFrame) -> DataFrame:
     return features.join(kept.select("prio", F.col("id").alias("gene_id")), ["prio", "gene_id"], "left_semi")
 
 
-def supported(models: list[tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:
-    """Genes on which two of the sources agree: for three sources the union of pairwise agreements (0,1), (0,2), (2,1)."""
+def supported(models: list[tuple[DataFrame, DataFrame, DataFrame]], width: int = 2000, tolerance: int = 3) -> DataFrame:
+    """Genes on which two of the sources agree: for three sources the union of pairwise agreements (0,1), (0,2), (2,1).
+
+    models: (genes, mRNAs with parent_id, CDS). All sources' mRNAs are put into bins together and joined with themselves, so they are moved once,
+    not once for each other source.
+    """
     if len(models) not in (2, 3):
         raise ValueError("two or three sources")
-    pairs = [(0, 1)] if len(models) == 2 else [(0, 1), (0, 2), (2, 1)]
-    found = [models[i][0].join(concordant_genes(models[i][1:], models[j][1:]).withColumnRenamed("gene_id", "id"), "id", "left_semi") for i, j in pairs]
-    return found[0] if len(found) == 1 else nonredundant(*found)
+    needed = ("chrom", "strand", "start", "end", "id", "parent_id")
+    rows = reduce(DataFrame.unionByName, (with_parts(m.select(*needed), cds).drop("id").withColumn("source", F.lit(i)) for i, (_, m, cds) in enumerate(models)))
+    rows = rows.withColumn("parts", F.flatten(F.transform("parts", lambda x: F.array(x["start"] - F.col("start"), x["end"] - F.col("start")))))  # small numbers, which pack well
+    rows, found = cut_with_levels(rows, width)
+    pairs = interval_join(rows, rows, width=width, levels=(found, found)).where("l_source < r_source")
+    same = same_span(F.col("l_start"), F.col("l_end"), F.col("r_start"), F.col("r_end"))
+    # the gene is that of the first source; of the last where it agrees with the second
+    first = F.col("l_source") == 0
+    gene = F.when(first, F.col("l_parent_id")).otherwise(F.col("r_parent_id"))
+    n = F.size("l_parts")
+    apart = F.zip_with("l_parts", "r_parts", lambda x, y: F.abs(x - y + F.col("l_start") - F.col("r_start")))
+    near = (n == F.size("r_parts")) & F.forall(F.transform(apart, lambda d, i: (d <= tolerance) | (i == 0) | (i == n - 1)), lambda ok: ok)  # as boundaries_match
+    agreed = pairs.where(same & near).select(gene.alias("id"), F.when(first, F.col("r_source") - 1).otherwise(2).alias("prio")).distinct()
+    agreed = cut(agreed)  # read for each pair of sources
+    by = (0, 0, 2)
+    kept = [models[i][0].join(agreed.where(F.col("prio") == k).select("id"), "id", "left_semi") for k, i in enumerate(by[: 1 if len(models) == 2 else 3])]
+    return kept[0] if len(kept) == 1 else nonredundant(*kept)
 
 
 def training_set(genes: DataFrame) -> DataFrame:

@@ -48,10 +48,10 @@ def cut_with_levels(df: DataFrame, width: int = 2000, copies: int = 4) -> tuple[
     return out, [k for k in range(LEVELS) if seen.get(f"level_{k}")]
 
 
-def _binned(df: DataFrame, other: Sequence[int], keys: Sequence[str], side: str, start: str, end: str, width: int, copies: int, flat: bool) -> DataFrame:
+def _binned(df: DataFrame, other: Sequence[int], side: str, start: str, end: str, width: int, copies: int, flat: bool) -> DataFrame:
     """A row for each bin touched, at the row's own level and at the wider ones among `other`. Flat: all is of level 0."""
     s, e, own = F.col(start), F.col(end), F.col(f"own_{side}")
-    cols = [F.col(c).alias(f"{side}{c}") for c in df.columns] + [F.col(k).alias(f"key_{i}_{side}") for i, k in enumerate(keys)]
+    cols = [F.col(c).alias(f"{side}{c}") for c in df.columns]
     if flat:
         return df.select(*cols, F.explode(F.sequence(F.floor(s / width), F.floor(e / width))).alias(f"bin_{side}"))
     levels = F.array_union(F.array(own), F.filter(F.array(*(F.lit(x) for x in other)), lambda x: x > own))
@@ -79,15 +79,15 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("
     if levels is None:
         levels = levels_of(left.select(F.col(ls).alias("start"), F.col(le).alias("end")), right.select(F.col(start).alias("start"), F.col(end).alias("end")), width=width, copies=copies)
     flat = not any(x for side in levels for x in side)
-    lhs = _binned(left, levels[1], keys, a, ls, le, width, copies, flat)
-    rhs = _binned(right, levels[0], keys, b, start, end, width, copies, flat)
+    lhs = _binned(left, levels[1], a, ls, le, width, copies, flat)
+    rhs = _binned(right, levels[0], b, start, end, width, copies, flat)
     s1, e1, s2, e2 = F.col(a + ls), F.col(a + le), F.col(b + start), F.col(b + end)
     on = (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2)
     if not flat:
         on &= (F.col(f"level_{a}") == F.col(f"level_{b}")) & (F.col(f"level_{a}") == F.greatest(f"own_{a}", f"own_{b}"))
     on &= F.col(f"bin_{a}") == F.floor(F.greatest(s1, s2) / (width if flat else width_of(F.col(f"level_{a}"), width)))
-    for i in range(len(keys)):
-        on &= F.col(f"key_{i}_{a}") == F.col(f"key_{i}_{b}")
+    for k in keys:
+        on &= F.col(a + k) == F.col(b + k)
     out = lhs.join(rhs, on)
     return out.select(*(a + c for c in left.columns if c not in ("_s", "_e")), *(b + c for c in right.columns), overlap_bp(F.col(a + start), F.col(a + end), F.col(b + start), F.col(b + end)).alias("bp"))
 

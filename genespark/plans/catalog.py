@@ -149,8 +149,8 @@ def exon_roles(spark, sf_dir):
     return hierarchy.exon_roles(bridge.cds(spark, sf_dir)).select("id", "role", F.col("from").alias("from_pos"), F.col("to").alias("to_pos"))
 
 
-def _source(spark: SparkSession, sf_dir: str, drop: int | None = None, nudge: int = 9) -> tuple[DataFrame, DataFrame, DataFrame]:
-    parts = bridge.cds(spark, sf_dir)
+def _source(spark: SparkSession, sf_dir: str, drop: int | None = None, nudge: int = 9, parts: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    parts = bridge.cds(spark, sf_dir) if parts is None else parts
     if drop:
         parts = bridge.second_source(parts, drop, nudge)
     return bridge.genes(parts), bridge.mrnas(parts), parts.select("chrom", "strand", "start", "end", "id", "parent_id")
@@ -167,7 +167,8 @@ SAME = """a.chrom = b.chrom AND a.strand = b.strand AND a.s <= b.e AND b.s <= a.
 
 @query("concordant_models", f"{BASE}, {second_sql('other', 11, 9)}, {_listed('x', 'cds')}, {_listed('y', 'other')} SELECT DISTINCT a.gene_id FROM x a JOIN y b ON {SAME}")
 def concordant_models(spark, sf_dir):
-    return concordance.concordant_genes(_source(spark, sf_dir)[1:], _source(spark, sf_dir, 11)[1:])
+    parts = bridge.cds(spark, sf_dir, once=True)
+    return concordance.concordant_genes(_source(spark, sf_dir, parts=parts)[1:], _source(spark, sf_dir, 11, parts=parts)[1:])
 
 
 THREE = f"{BASE}, {second_sql('o1', 11, 9)}, {second_sql('o2', 7, 8)}, {_listed('x', 'cds')}, {_listed('y', 'o1')}, {_listed('z', 'o2')}"
@@ -176,7 +177,8 @@ THREE = f"{BASE}, {second_sql('o1', 11, 9)}, {second_sql('o2', 7, 8)}, {_listed(
 @query("supported_models", f"""{THREE}, found AS (SELECT a.gene_id, 0 AS prio FROM x a JOIN y b ON {SAME} UNION SELECT a.gene_id, 1 FROM x a JOIN z b ON {SAME} UNION SELECT a.gene_id, 2 FROM z a JOIN y b ON {SAME})
 SELECT gene_id AS id, CAST(min(prio) AS INTEGER) AS prio FROM found GROUP BY gene_id""")
 def supported_models(spark, sf_dir):
-    return concordance.supported([_source(spark, sf_dir), _source(spark, sf_dir, 11), _source(spark, sf_dir, 7, 8)]).select("id", "prio")
+    parts = bridge.cds(spark, sf_dir, once=True)
+    return concordance.supported([_source(spark, sf_dir, *own, parts=parts) for own in ((), (11,), (7, 8))]).select("id", "prio")
 
 
 @query("nonredundant_union", f"""{BASE}, {second_sql('o1', 11, 9)}, {second_sql('o2', 7, 8)}, rows_ AS (
@@ -475,7 +477,7 @@ def inference_cap(spark, sf_dir):
 @query("drop_cdsless", f"""{BASE}, {MRNAS_SQL}, left_ AS (SELECT * FROM cds WHERE g % 4 <> 0 OR l_odd = 1), bare AS (SELECT id FROM mrnas WHERE id NOT IN (SELECT parent_id FROM left_))
 SELECT id, 'mRNA' AS kind FROM bare UNION ALL SELECT id, 'gene' FROM genes WHERE id NOT IN (SELECT parent_id FROM mrnas WHERE id IN (SELECT parent_id FROM left_))""".replace("l_odd = 1", "right(parent_id, 1) = '1'"))
 def drop_cdsless(spark, sf_dir):
-    genes, mrnas, cds = _source(spark, sf_dir)
+    genes, mrnas, cds = _source(spark, sf_dir, parts=bridge.cds(spark, sf_dir, once=True))
     g = F.regexp_extract("id", r"^c(\d+)_", 1).cast("long")
     return submission.drop_set(genes, mrnas, cds.where((g % 4 != 0) | F.col("parent_id").endswith("1")))
 

@@ -11,7 +11,7 @@ from genespark.operators import checks, evidence, functional, graph, intervals,
 from genespark.operators.lineage import cut, fresh_path
 from genespark.plans import bridge
 from genespark.plans.bridge import CONTIGS_SQL, MRNAS_SQL, predicted_sql, second_sql
-from genespark.plans.catalog import BASE, OVER, Query, _genes, _pair, _pred
+from genespark.plans.catalog import BASE, OVER, Query, _genes, _pair
 from genespark.plans.formats import DESCRIBED, _described, _models, _named_contigs, _read_gff, _text
 from genespark.sources import files, gff, sequences, store
 
@@ -30,7 +30,10 @@ def query(name: str, sql: str):
 
 def _shared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genes, mRNAs, CDS and parts of CDS; every second CDS has two mRNAs as parents, of which one may be missing."""
-    parts = bridge.cds(spark, sf_dir)
+    return _shared_of(bridge.cds(spark, sf_dir, once=True))
+
+
+def _shared_of(parts: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     one = lambda df, kind, parents: df.select("chrom", "strand", "start", "end", F.lit(kind).alias("type"), "id", parents.alias("parents"), "g", F.col("rn") if "rn" in df.columns else F.lit(None).cast("int").alias("rn"))
     both = F.array(F.concat("gene_id", F.lit(".m0")), F.concat("gene_id", F.lit(".m1")))
@@ -79,12 +82,14 @@ def released_gff3(spark, sf_dir):
 @query("nonoverlapping_models", f"""{SHARED}, {predicted_sql('pred')}, new AS (SELECT id FROM genes a WHERE NOT EXISTS (SELECT 1 FROM pred b WHERE {OVER}))
 SELECT 'gene' AS type, id, id AS gene_id FROM new WHERE id IN (SELECT ancestor FROM below JOIN cds USING (id)) UNION ALL SELECT DISTINCT f.type, f.id, b.ancestor FROM feature f JOIN below b USING (id) JOIN new ON new.id = b.ancestor""")
 def nonoverlapping_models(spark, sf_dir):
-    return intervals.nonoverlapping_models(_shared(spark, sf_dir), _pred(spark, sf_dir)).select("type", "id", "gene_id")
+    parts = bridge.cds(spark, sf_dir, once=True)
+    pred = bridge.predicted_genes(cut(bridge.genes(parts)))
+    return intervals.nonoverlapping_models(_shared_of(parts), pred).select("type", "id", "gene_id")
 
 
 def _two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CDS of two sources under the same ids, some at other places, with notes and parents of their own."""
-    parts = bridge.cds(spark, sf_dir)
+    parts = bridge.cds(spark, sf_dir, once=True)
 
     def source(df: DataFrame, k: int, notes, ups) -> DataFrame:
         at = F.map_from_arrays(F.array(F.lit("ID"), F.lit("Note"), F.lit("Parent")), F.array(F.array("id"), notes, ups))
@@ -119,8 +124,10 @@ def patched_models(spark, sf_dir):
         at = F.create_map(F.lit("ID"), F.array("id"), F.lit("Parent"), F.col("parents"))
         return df.select("chrom", "strand", "start", "end", "type", "id", "parents", at.alias("attributes"), F.xxhash64("id").alias("line_no"))
 
-    old = _pred(spark, sf_dir).withColumn("type", F.lit("gene")).withColumn("parents", F.array().cast("array<string>"))
-    return evidence.patch_models(shape(old), shape(_shared(spark, sf_dir).where("type <> 'part'"))).select("type", "id", "start")
+    parts = bridge.cds(spark, sf_dir, once=True)
+    pred = bridge.predicted_genes(cut(bridge.genes(parts)))
+    old = pred.withColumn("type", F.lit("gene")).withColumn("parents", F.array().cast("array<string>"))
+    return evidence.patch_models(shape(old), shape(_shared_of(parts).where("type <> 'part'"))).select("type", "id", "start")
 
 
 @query("fasta_tiles", f"WITH {CONTIGS_SQL}, sized AS (SELECT chrom, coalesce(seq, '') AS seq, length(coalesce(seq, '')) AS n FROM contigs), cut AS (SELECT chrom, seq, n, unnest(range(0, greatest(1, (n + 999) // 1000))) AS tile FROM sized) SELECT chrom || ' contig' AS header, chrom, n, tile, substr(seq, 1000 * tile + 1, 1002) AS piece FROM cut")

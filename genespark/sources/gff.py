@@ -88,33 +88,38 @@ def merge_same(rows: DataFrame, order: Sequence[str] = ("line_no",), fields: Seq
     """Features of one id that agree in `fields` become one, with the union of their attributes; those that differ get _1, _2, ... in order.
 
     Values of an attribute are a set in ascending order; ID, Name and Parent come first, other attributes by name. Other columns
-    are those of the first row by `order`. Nulls in `fields` are equal. Rows without an id stay as they are. Only rows whose id
-    repeats are taken apart; a feature's values are gathered as a set, however many rows repeat them.
+    are those of the first row by `order`. Nulls in `fields` are equal. Rows without an id stay as they are, as do those whose id
+    does not repeat. Rows are moved once, by id, and what follows stays there; rows that repeat a feature's attributes are
+    gathered once, however many they are.
     """
-    rows = cut(rows)  # read from several sides
-    times = rows.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n_")).where("n_ > 1").select("id")
-    once, again = rows.join(times, "id", "left_anti"), rows.join(times, "id", "left_semi")
     fields = [f for f in fields if f in rows.columns]
-    same = ["id", *fields]
+    # a row without an id has a number instead: it meets no other
+    key = ["id", "none_"]
+    same = [*key, *fields]
     at = F.struct(*order)
-    first = again.groupBy(*same).agg(F.min(at).alias("at_"), F.min_by(F.struct(*(c for c in rows.columns if c not in (*same, "attributes"))), at).alias("row_"))
-    values = again.select(*same, F.explode("attributes").alias("key_", "v_")).select(*same, "key_", F.explode_outer("v_").alias("v_"))
-    sets = values.groupBy(*same, "key_").agg(F.sort_array(F.collect_set("v_")).alias("v_"))
-    rank = F.coalesce(F.nullif(F.array_position(F.array(F.lit("ID"), F.lit("Name"), F.lit("Parent")), F.col("key_")), F.lit(0).cast("long")), F.lit(4).cast("long"))
-    maps = sets.groupBy(*same).agg(F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct(rank.alias("r"), "key_", "v_"))), lambda x: F.struct(x["key_"], x["v_"]))).alias("attributes"))
-    on = F.lit(True)
-    for c in same:
-        on &= first[c].eqNullSafe(maps[c])
-    whole = first.join(maps, on, "left").select(*(first[c] for c in same), "at_", "row_", "attributes")
-    k = F.row_number().over(Window.partitionBy("id").orderBy("at_", *fields)) - 1
-    whole = whole.withColumn("k_", k).withColumn("id", F.when(F.col("k_") > 0, F.concat_ws("_", "id", F.col("k_").cast("string"))).otherwise(F.col("id")))
-    empty = F.create_map().cast(rows.schema["attributes"].dataType)
-    out = whole.select(*(F.col(c) if c in same else F.coalesce("attributes", empty).alias(c) if c == "attributes" else F.col(f"row_.{c}").alias(c) for c in rows.columns))
-    if "parents" in rows.columns:
-        out = out.withColumn("parents", F.try_element_at("attributes", F.lit("Parent")))
-    if "parent_id" in rows.columns:
-        out = out.withColumn("parent_id", F.get(F.try_element_at("attributes", F.lit("Parent")), 0))
-    return once.select(*rows.columns).unionByName(out)
+    moved = rows.withColumn("none_", F.when(F.col("id").isNull(), F.monotonically_increasing_id())).repartition(*key)
+    rest = F.struct(*(c for c in rows.columns if c not in ("id", *fields)))
+    whole = moved.groupBy(*same).agg(F.count(F.lit(1)).alias("n_"), F.min(at).alias("at_"), F.min_by(rest, at).alias("row_"), F.flatten(F.collect_set(F.map_entries("attributes"))).alias("all_"))
+    k = F.row_number().over(Window.partitionBy(*key).orderBy("at_", *fields)) - 1
+    whole = whole.withColumn("k_", k).withColumn("alone_", F.sum("n_").over(Window.partitionBy(*key)) == 1)
+    rank = lambda name: F.coalesce(F.nullif(F.array_position(F.array(F.lit("ID"), F.lit("Name"), F.lit("Parent")), name), F.lit(0).cast("long")), F.lit(4).cast("long"))
+    names = F.sort_array(F.transform(F.array_distinct(F.transform("all_", lambda x: x["key"])), lambda name: F.struct(rank(name).alias("r"), name.alias("key"))))
+    values = lambda name: F.flatten(F.transform(F.filter("all_", lambda x: x["key"] == name), lambda x: F.coalesce(x["value"], F.array().cast("array<string>"))))
+    merged = F.map_from_entries(F.transform(names, lambda x: F.struct(x["key"], F.sort_array(F.array_distinct(F.filter(values(x["key"]), lambda v: v.isNotNull()))))))
+    whole = whole.withColumn("attributes_", F.when(~F.col("alone_"), merged))
+    parents = F.try_element_at("attributes_", F.lit("Parent"))
+    made = {"attributes": F.col("attributes_"), "parents": parents, "parent_id": F.get(parents, 0)}
+    named = F.when(F.col("k_") > 0, F.concat_ws("_", "id", F.col("k_").cast("string"))).otherwise(F.col("id"))
+
+    def column(c: str):
+        if c == "id":
+            return named.alias(c)
+        if c in fields:
+            return F.col(c)
+        own = F.col(f"row_.{c}")
+        return F.when(F.col("alone_"), own).otherwise(made[c]).alias(c) if c in made else own.alias(c)
+
+    return whole.select(*(column(c) for c in rows.columns))
 
 
 def keep_last(rows: DataFrame, order: Sequence[str] = ("line_no",)) -> DataFrame:
