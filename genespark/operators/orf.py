@@ -15,21 +15,28 @@ from genespark.functions.columns import reverse_complement
 from genespark.operators.hierarchy import five_to_three
 from genespark.operators.intervals import merge_overlapping_genes
 from genespark.operators.lineage import cut
-from genespark.operators.tiles import TILE, entering, tiled
+from genespark.operators.tiles import entering, tiled
 
 
-def spliced(parts: DataFrame, contigs: DataFrame, parent: str = "parent_id", tile: int = TILE) -> DataFrame:
+#: Bases a tile holds from which parts are cut.
+CUT = 4096
+
+
+def spliced(parts: DataFrame, contigs: DataFrame, parent: str = "parent_id", tile: int = CUT) -> DataFrame:
     """(id, chrom, start, strand, seq): the parts' sequences in order, reverse-complemented on the minus strand; case is kept.
 
     contigs: chrom, seq; they are joined as tiles of `tile` bases, by chrom and tile. Bases beyond a contig are left
-    off; parts on a contig that isn't there, or wholly beyond it, give nothing.
+    off; parts on a contig that isn't there, or wholly beyond it, give nothing. In a tile without letters of several bytes a
+    part is found at its byte; else letters are counted from the tile's first one.
     """
     rows = parts.select("chrom", "strand", "start", "end", F.col(parent).alias("id"), F.monotonically_increasing_id().alias("_k"))
     rows = rows.withColumn("tile", F.explode(F.sequence(F.expr(f"(greatest(start, 1) - 1) div {tile}"), F.expr(f"(greatest(`end`, 1) - 1) div {tile}"))))
-    rows = rows.join(tiled(contigs, tile), ["chrom", "tile"]).where("start <= n")
+    tiles = tiled(contigs, tile).withColumn("plain_", F.octet_length("piece") == F.length("piece"))
+    rows = rows.join(tiles, ["chrom", "tile"]).where("start <= n")
     base = F.col("tile") * tile
     low, high = F.greatest(F.col("start") - base, F.lit(1).cast("long")), F.least(F.col("end") - base, F.lit(tile).cast("long"))
-    piece = rows.withColumn("_piece", F.substring(F.col("piece"), low.cast("int"), F.greatest(high - low + 1, F.lit(0).cast("long")).cast("int")))
+    at, many = low.cast("int"), F.greatest(high - low + 1, F.lit(0).cast("long")).cast("int")
+    piece = rows.withColumn("_piece", F.when(F.col("plain_"), F.substring(F.col("piece").cast("binary"), at, many).cast("string")).otherwise(F.substring("piece", at, many)))
     joined = piece.groupBy("id", "chrom", "strand").agg(F.min("start").alias("start"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "end", "_k", "tile", "_piece"))), lambda x: x["_piece"]), "").alias("_whole"))
     return joined.select("id", "chrom", "start", "strand", F.when(F.col("strand") == "-", reverse_complement(F.col("_whole"))).otherwise(F.col("_whole")).alias("seq"))
 
@@ -50,12 +57,13 @@ def codon_hits(sequences: DataFrame, code: int = 1, tile: int = SCAN) -> DataFra
 
     A sequence is scanned tile by tile. A match that begins in one tile may end in the next, so a tile can be entered
     with 0, 1 or 2 of its bases taken. Which is the case depends on all tiles before; so each tile is scanned for all three
-    cases, which gives the step from case to case, and the steps are combined along the sequence.
+    cases, which gives the step from case to case, and the steps are combined along the sequence. Tiles are stored, as both passes
+    read them; a sequence of one tile takes no part in the first.
     """
     if tile < 4:
         raise ValueError("a tile holds four bases at least")
     named = sequences.select(F.struct("id", "strand").alias("of"), *(c for c in sequences.columns if c in ("seq", "n", "tile", "piece")))
-    rows = tiled(named, tile, 2, "of").select("of", "tile", "n", F.translate(F.upper("piece"), "#", "N").alias("piece"))
+    rows = cut(tiled(named, tile, 2, "of").select("of", "tile", "n", F.regexp_replace(F.upper("piece"), "#", "N").alias("piece")))
 
     patterns = {"start": "|".join(codons.starts(code)), "stop": "|".join(codons.stops(code))}
 
@@ -71,14 +79,18 @@ def codon_hits(sequences: DataFrame, code: int = 1, tile: int = SCAN) -> DataFra
     # both kinds in one state, 3 x starts + stops
     each = rows.where(F.col("n") > tile).select("of", "tile", *(F.array(*(taken_next(kind, t) for t in range(3))).alias(kind) for kind in patterns))
     state = entering(each, ["of"], "tile", F.flatten(F.transform("start", lambda a: F.transform("stop", lambda b: 3 * a + b))), 9)
-    known = rows.join(state, ["of", "tile"], "left").withColumn("state", F.coalesce("state", F.lit(0)))
+    long = rows.where(F.col("n") > tile).join(state, ["of", "tile"], "left").withColumn("state", F.coalesce("state", F.lit(0)))
+    known = rows.where(F.col("n") <= tile).withColumn("state", F.lit(0)).unionByName(long)
     taken = {"start": F.expr("state div 3").cast("int"), "stop": F.col("state") % 3}
     found = known.select("of", "n", "tile", *(taken[k].alias(f"{k}_taken") for k in patterns), *(marked(k, taken[k]).alias(k) for k in patterns))
     return _marks(found, tile).select("of.id", F.col("n").cast("int").alias("seqlen"), F.col("pos").cast("int").alias("pos"), "of.strand", "codon", ((F.col("pos") - 1) % 3).cast("int").alias("frame"))
 
 
 def _marks(rows: DataFrame, tile: int) -> DataFrame:
-    """(of, n, codon, pos): a row for each '#' in the columns start and stop; their first base is the one after those taken."""
+    """(of, n, codon, pos): a row for each '#' in the columns start and stop; their first base is the one after those taken.
+
+    A tile's places come back from Python as one list a kind.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +100,12 @@ def _marks(rows: DataFrame, tile: int) -> DataFrame:
                 row = np.searchsorted(text.ends, hits, "right")
                 begin = batch.column("tile").to_numpy() * tile + batch.column(f"{kind}_taken").to_numpy()
                 pos = hits - text.starts[row] + 1 + begin[row]
-                at = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("of").take(at), batch.column("n").take(at), pa.array([kind] * len(hits), pa.string()), pa.array(pos, pa.int64())], ["of", "n", "codon", "pos"])
+                ends = np.searchsorted(row, np.arange(len(batch) + 1))
+                places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pos, pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("of"), batch.column("n"), pa.array([kind] * len(batch), pa.string()), places], ["of", "n", "codon", "places"])
 
-    schema = T.StructType([rows.schema["of"], rows.schema["n"], *T.StructType.fromDDL("codon string, pos long").fields])
-    return rows.mapInArrow(run, schema)
+    schema = T.StructType([rows.schema["of"], rows.schema["n"], *T.StructType.fromDDL("codon string, places array<long>").fields])
+    return rows.mapInArrow(run, schema).select("of", "n", "codon", F.explode("places").alias("pos"))
 
 
 class Texts:
@@ -114,6 +127,7 @@ def longest_orfs(hits: DataFrame, min_len: int = 90, min_share: float = 0.5, blo
     The next stop is looked for within blocks of `block` bases, and beyond a block's last stop in one row for each block,
     so a task holds no more than a block of a sequence's frame.
     """
+    hits = cut(hits)  # read by blocks' facts and by what is within them
     frame = ["id", "strand", "frame"]
     stop = F.when(F.col("codon") == "stop", F.col("pos"))
     rows = hits.withColumn("block_", F.expr(f"pos div {block}"))
@@ -159,7 +173,7 @@ def transcript_orfs(exons: DataFrame, contigs: DataFrame, code: int = 1, min_len
     exons: chrom, strand, start, end, id, parent_id (the transcript); contigs: chrom, seq. A transcript without an ORF
     beyond both limits keeps its gene and mRNA and has no CDS.
     """
-    sequences = cut(spliced(exons, contigs, parent))  # scanned twice
+    sequences = spliced(exons, contigs, parent)
     cds = map_to_genome(longest_orfs(codon_hits(sequences, code), min_len, min_share), exons, parent=parent)
     genes = exons.groupBy("chrom", "strand", F.col(parent).alias("id")).agg(F.min("start").alias("start"), F.max("end").alias("end"))
     mrnas = genes.select("chrom", "strand", F.concat("id", F.lit("_mRNA")).alias("id"), F.col("id").alias("parent_id"), "start", "end")

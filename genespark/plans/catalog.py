@@ -357,11 +357,11 @@ def longest_orf(spark, sf_dir):
     return orf.longest_orfs(hits, 60, 0.1).select("id", "start", "stop", "frame", "orflen")
 
 
-def _exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three exons in each 200 bases of every contig, to its last base; on the minus strand for odd ids."""
-    n = F.length("seq").cast("long")
+def _exons(contigs: DataFrame) -> DataFrame:
+    """Three exons in each 200 bases of every contig (chrom, n), to its last base; on the minus strand for odd ids."""
+    n = F.col("n")
     strand = F.when(F.substring("chrom", -1, 1).cast("int") % 2 == 1, "-").otherwise("+")
-    tiles = bridge.contigs(spark, sf_dir).where(n >= 4).select("chrom", strand.alias("strand"), n.alias("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(length(seq) - 1) div 200"))).alias("tile"))
+    tiles = contigs.where(n >= 4).select("chrom", strand.alias("strand"), "n", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(n - 1) div 200"))).alias("tile"))
     spans = F.array(*(F.struct((200 * F.col("tile") + a).alias("start"), F.least(200 * F.col("tile") + b, F.col("n")).alias("end"), (3 * F.col("tile") + k).alias("k")) for k, (a, b) in enumerate(((4, 60), (71, 130), (141, 197)))))
     rows = tiles.select("chrom", "strand", "n", F.explode(spans).alias("x")).where("x.start <= n")
     return rows.select("chrom", "strand", "x.start", "x.end", F.concat(F.lit("t"), "chrom", F.lit(":exon:"), F.col("x.k").cast("string")).alias("id"), F.concat(F.lit("t"), "chrom").alias("parent_id"))
@@ -376,7 +376,8 @@ spliced AS (SELECT id, strand, CASE WHEN strand = '-' THEN translate(reverse(w),
 
 @query("spliced_sequence", f"{EXONS_SQL} SELECT id, strand, seq FROM spliced")
 def spliced_sequence(spark, sf_dir):
-    return orf.spliced(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir)).select("id", "strand", "seq")
+    contigs = bridge.contigs(spark, sf_dir, once=True)
+    return orf.spliced(_exons(contigs), contigs).select("id", "strand", "seq")
 
 
 @query("translate_cds", f"""{EXONS_SQL}, bases AS (SELECT unnest(['T', 'C', 'A', 'G']) AS b, generate_subscripts(['T', 'C', 'A', 'G'], 1) - 1 AS k),
@@ -384,7 +385,8 @@ code AS (SELECT x.b || y.b || z.b AS codon, substr('FFLLSSSSYY**CC*WLLLLPPPPHHQQ
 steps AS (SELECT id, p, substr(seq, 3 * p + 1, 3) AS codon FROM spliced, LATERAL (SELECT unnest(range(0, length(seq) // 3)) AS p) r)
 SELECT spliced.id, coalesce(string_agg(aa, '' ORDER BY p), '') AS protein FROM spliced LEFT JOIN (steps JOIN code USING (codon)) x ON x.id = spliced.id GROUP BY spliced.id""")
 def translate_cds(spark, sf_dir):
-    return orf.translated(orf.spliced(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir)), 1).select("id", "protein")
+    contigs = bridge.contigs(spark, sf_dir, once=True)
+    return orf.translated(orf.spliced(_exons(contigs), contigs), 1).select("id", "protein")
 
 
 @query("orf_to_genome", f"""{EXONS_SQL},
@@ -395,7 +397,7 @@ mapped AS (SELECT id AS parent_id, cid, strand, CASE WHEN strand = '-' THEN e -
 SELECT cid AS id, parent_id, CAST(s AS BIGINT) AS start, CAST(e AS BIGINT) AS stop, CAST((3 - coalesce(sum(e - s + 1) OVER (PARTITION BY parent_id ORDER BY CASE WHEN strand = '-' THEN -s ELSE s END ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 3) % 3 AS BIGINT) AS phase FROM mapped""")
 def orf_to_genome(spark, sf_dir):
     """An ORF from each transcript's first base to its last."""
-    exons = _exons(spark, sf_dir)
+    exons = _exons(bridge.contigs(spark, sf_dir, once=True))
     orfs = exons.groupBy(F.col("parent_id").alias("id")).agg(F.lit(1).cast("long").alias("start"), F.sum(F.col("end") - F.col("start") + 1).alias("stop"))
     return orf.map_to_genome(orfs, exons).select("id", "parent_id", "start", F.col("end").alias("stop"), "phase")
 
@@ -410,7 +412,8 @@ placed AS (SELECT 't' || chrom AS id, 't' || chrom || ':CDS:' || k AS cid, stran
 cut AS (SELECT p.*, greatest(f - 1 - before, 0) AS low, least(t - CASE WHEN p.strand = '-' THEN 1 ELSE 0 END - before, e - s + 1) AS high FROM placed p JOIN orfs o ON p.id = o.id)
 SELECT cid AS id, id || '_mRNA' AS parent_id, CAST(CASE WHEN strand = '-' THEN e - high + 1 ELSE s + low END AS BIGINT) AS start, CAST(CASE WHEN strand = '-' THEN e - low ELSE s + high - 1 END AS BIGINT) AS stop FROM cut WHERE low < high""")
 def transcript_orfs(spark, sf_dir):
-    return orf.transcript_orfs(_exons(spark, sf_dir), bridge.contigs(spark, sf_dir))["cds"].select("id", "parent_id", "start", F.col("end").alias("stop"))
+    contigs = bridge.contigs(spark, sf_dir, once=True)
+    return orf.transcript_orfs(_exons(contigs), contigs)["cds"].select("id", "parent_id", "start", F.col("end").alias("stop"))
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 import pytest
 
-from genespark.operators import concordance
+from genespark.operators import concordance, orf
 from genespark.plans import catalog, structures
 from genespark.sources import gff
 
@@ -45,3 +45,19 @@ def test_supported_joins_sources_once(spark):
             want.setdefault(x.gene_id, prio)
     assert {x.id: x.prio for x in out.collect()} == want == {"g0": 0, "g1": 2, "g2": 1, "g3": 2}
     assert "parts" not in plan(out)
+
+
+@pytest.mark.parametrize("name", ["spliced_sequence", "translate_cds", "codon_scan", "longest_orf", "transcript_orfs"])
+def test_contigs_are_made_once(spark, name):
+    """Contigs, or tiles of them, are stored; before, each reader made them from the texts again."""
+    assert "documents.parquet" not in plan(catalog.QUERIES[name](spark, DATA))
+
+
+def test_parts_of_tiles_with_other_letters(spark):
+    """Parts are found by bytes only in tiles that have one a letter."""
+    seq = "ACGT" * 5 + "éN" + "GATTACA" * 6
+    contigs = spark.createDataFrame([("c", seq), ("d", seq.replace("é", "A"))], "chrom string, seq string")
+    spans = [(1, 3), (19, 24), (22, 40), (41, 90)]
+    parts = spark.createDataFrame([(c, "+", a, b, c) for c in "cd" for a, b in spans], "chrom string, strand string, start long, end long, parent_id string")
+    got = {r.id: r.seq for r in orf.spliced(parts, contigs, tile=16).collect()}
+    assert got == {c: "".join(s[a - 1 : b] for a, b in spans) for c, s in (("c", seq), ("d", seq.replace("é", "A")))}
