@@ -31,14 +31,18 @@ def classify_genes(ref: DataFrame, pred: DataFrame, width: int = 2000) -> DataFr
     ov = interval_join(ref.select("chrom", "strand", "start", "end", "id"), pred, width=width, prefixes=("r_", "p_"), levels=(of_ref, of_pred))
     # read by the windows and by what decides on novel genes: the join is run once
     ov = cut(ov.select("r_id", "r_start", "r_end", "p_id", "p_start", "p_end", F.col("p_prediction").alias("prediction"), "bp"))
-    cover = ov.withColumn("cr", F.col("bp") / (F.col("r_end") - F.col("r_start") + 1)).withColumn("cp", F.col("bp") / (F.col("p_end") - F.col("p_start") + 1))
+    over_ref, over_pred = F.col("bp") / (F.col("r_end") - F.col("r_start") + 1) > MERGED, F.col("bp") / (F.col("p_end") - F.col("p_start") + 1) >= FRAGMENT
+    cover = ov.select("prediction", "r_id", "p_id", "p_start", "p_end", "bp", over_ref.alias("over_ref"), over_pred.alias("over_pred"))
     by_pred, by_ref = Window.partitionBy("prediction", "p_id"), Window.partitionBy("prediction", "r_id")
-    step = cover.withColumn("merging", F.count_if(F.col("cr") > MERGED).over(by_pred) >= 2)
-    step = step.withColumn("merged", F.max(F.col("merging") & (F.col("cr") > MERGED)).over(by_ref))
-    step = step.withColumn("fragmented", ~F.col("merged") & (F.count_if(F.col("cp") >= FRAGMENT).over(by_ref) >= 2))
-    step = step.withColumn("excluded", F.col("merging") | F.max(F.col("fragmented") & (F.col("cp") >= FRAGMENT)).over(by_pred))
+    step = cover.withColumn("merging", F.count_if("over_ref").over(by_pred) >= 2).withColumn("lone", F.count(F.lit(1)).over(by_pred) == 1)
+    step = step.withColumn("merged", F.max(F.col("merging") & F.col("over_ref")).over(by_ref)).withColumn("lone", F.min("lone").over(by_ref))
+    step = step.withColumn("fragmented", ~F.col("merged") & (F.count_if("over_pred").over(by_ref) >= 2))
+    # where no predicted gene of a reference gene meets another, all is known; the rest is moved by predicted gene once more
+    taken = F.col("fragmented") & F.col("over_pred")
     best = F.row_number().over(by_ref.orderBy("excluded", F.desc("bp"), "p_start", "p_id"))
-    chosen = step.withColumn("k", best).where("k = 1").select("prediction", "r_id", "merged", "fragmented", "excluded", "p_id", "p_start", "p_end", "bp")
+    chosen = step.where("lone").withColumn("excluded", F.col("merging") | taken).withColumn("k", best)
+    chosen = chosen.unionByName(step.where("not lone").withColumn("excluded", F.col("merging") | F.max(taken).over(by_pred)).withColumn("k", best))
+    chosen = chosen.where("k = 1").select("prediction", "r_id", "merged", "fragmented", "excluded", "p_id", "p_start", "p_end", "bp")
     grid = ref.select("chrom", "strand", "start", "end", "id").join(F.broadcast(labels))  # one row a label: as many as predictions are compared
     rows = grid.join(chosen, (F.col("id") == F.col("r_id")) & chosen.prediction.eqNullSafe(grid.prediction), "left").drop(chosen.prediction)
     kind = F.when(F.col("r_id").isNull(), "missing").when(F.col("merged"), "merged").when(F.col("fragmented"), "fragmented").when(F.col("excluded"), "missing").when((F.col("start") == F.col("p_start")) & (F.col("end") == F.col("p_end")), "exact").otherwise("inexact")
@@ -52,7 +56,7 @@ def classify_genes(ref: DataFrame, pred: DataFrame, width: int = 2000) -> DataFr
         "prediction", F.lit("gene").alias("level"), "classification", F.col("id").alias("ref_id"), hit(F.col("p_id")).alias("pred_id"), "chrom", "strand", F.col("start").alias("ref_start"), F.col("end").alias("ref_end"),
         hit(F.col("p_start")).alias("pred_start"), hit(F.col("p_end")).alias("pred_end"), hit(F.col("bp")).alias("overlap_bp"), hit(sn).alias("sn"), hit(sp).alias("sp"), hit(2 * sn * sp / (sn + sp)).alias("f1"), hit(b5).alias("boundary_5p"), hit(b3).alias("boundary_3p"),
     )
-    touched = ov.select("prediction", F.col("p_id").alias("id")).distinct()
+    touched = ov.select("prediction", F.col("p_id").alias("id"))
     novel = pred.join(touched, (pred.id == touched.id) & pred.prediction.eqNullSafe(touched.prediction), "left_anti")
     empty = {c: F.lit(None).cast(found.schema[c].dataType).alias(c) for c in RECORD}
     novel = novel.select("prediction", *(F.lit("gene").alias("level") if c == "level" else F.lit("novel").alias(c) if c == "classification" else F.col({"pred_id": "id", "pred_start": "start", "pred_end": "end"}[c]).alias(c) if c.startswith("pred_") else F.col(c) if c in ("chrom", "strand") else empty[c] for c in RECORD))
@@ -200,7 +204,8 @@ def gene_stats(records: DataFrame) -> DataFrame:
     c = F.col("classification")
     counts = {k: F.count_if(c == k).alias(k) for k in ("exact", "inexact", "missing", "merged", "fragmented", "novel")}
     off = lambda b: F.when(c == "inexact", F.abs(F.col(b)))
-    rows = records.where("level = 'gene'")
+    # read by the means, the medians and their keys: records are made once, and what is read of them stored
+    rows = cut(records.where("level = 'gene'").select("prediction", "classification", "sn", "sp", "f1", "boundary_5p", "boundary_3p"))
     out = rows.groupBy("prediction").agg(
         *counts.values(), F.coalesce(F.avg("sn"), F.lit(0.0)).alias("mean_sn"), F.coalesce(F.avg("sp"), F.lit(0.0)).alias("mean_sp"), F.coalesce(F.avg("f1"), F.lit(0.0)).alias("mean_f1"),
         F.count_if(F.col("f1") >= 0.99).alias("perfect"), F.avg(off("boundary_5p")).alias("mean_5p"), F.avg(off("boundary_3p")).alias("mean_3p"),
