@@ -161,9 +161,10 @@ def stored_overlap_join(spark, sf_dir):
     """Genes and mRNAs of two annotations are stored; their genes are joined."""
     genes, pred = _pair(spark, sf_dir)
     run = uuid.uuid4().hex[:12]
+    buckets = store.buckets_for(2 * genes.count(), 8)  # of two types; there are about as many predictions
     for name, rows in ((f"ref_{run}", genes), (f"pred_{run}", pred)):
         typed = rows.select("chrom", "strand", "start", "end", "id", F.explode(F.array(F.lit("gene"), F.lit("mRNA"))).alias("type"))
-        store.store(typed, name, buckets=8, top=2)
+        store.store(typed, name, buckets=buckets, top=2)
     out = store.overlapping(spark, f"ref_{run}", f"pred_{run}", (("gene",), ("gene",)))
     return out.select(F.col("l_id").alias("ref_id"), F.col("r_id").alias("pred_id"), "bp")
 

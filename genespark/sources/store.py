@@ -14,12 +14,20 @@ from genespark.operators.lineage import fresh_path
 PLACE = ("chrom", "strand", "level_", "bin_")
 
 
+def buckets_for(rows: int, least: int = 64, full: int = 200_000) -> int:
+    """Buckets for tables of up to `rows` features: `least`, doubled until a bucket, which is one task, holds `full` features at most."""
+    n = least
+    while n * full < rows:
+        n *= 2
+    return n
+
+
 def store(features: DataFrame, name: str, *, buckets: int = 64, width: int = 2000, copies: int = 4, top: int = 3, path: str | None = None) -> None:
     """Writes features (chrom, strand, start, end, type, ...) as table `name`, bucketed by chromosome, strand and bin, and partitioned by type.
 
     A feature has a row in the bins of its own level and in those of the wider ones up to `top` that it touches; what is too long for
     the last level touches more of its bins. Tables that are joined must agree in buckets, width, copies and top. Each
-    bucket is one file a type. The files lie at `path`, by default in the shared folder of this run. Features without a position are left out.
+    bucket is one file a type and one task's work: buckets_for() has their number grow with the features. The files lie at `path`, by default in the shared folder of this run. Features without a position are left out.
     """
     own = F.least(level_of(F.col("start"), F.col("end"), width, copies), F.lit(top))
     rows = features.withColumn("own_", own).withColumn("x_", F.explode(bins_of(F.col("start"), F.col("end"), F.sequence(F.col("own_"), F.lit(top)), width)))

@@ -1,11 +1,13 @@
 """What several branches of a query read is made once."""
 
+import re
+
 from pyspark.sql import functions as F
 import pytest
 
 from genespark.operators import concordance, orf
 from genespark.plans import catalog, structures
-from genespark.sources import gff
+from genespark.sources import gff, sequences, store
 
 DATA = "/root/testdata/sf0.001"
 
@@ -61,3 +63,23 @@ def test_parts_of_tiles_with_other_letters(spark):
     parts = spark.createDataFrame([(c, "+", a, b, c) for c in "cd" for a, b in spans], "chrom string, strand string, start long, end long, parent_id string")
     got = {r.id: r.seq for r in orf.spliced(parts, contigs, tile=16).collect()}
     assert got == {c: "".join(s[a - 1 : b] for a, b in spans) for c, s in (("c", seq), ("d", seq.replace("é", "A")))}
+
+
+def test_records_are_made_once(spark):
+    """Means, medians and their keys read stored records; before, each classified all genes again."""
+    assert "p_start" not in plan(catalog.QUERIES["gene_stats"](spark, DATA))
+
+
+def test_buckets_grow(spark):
+    assert [store.buckets_for(n, 8) for n in (0, 1_600_000, 1_600_001, 10**9)] == [8, 8, 16, 8192]
+
+
+def test_fasta_lines_are_not_sorted(spark, tmp_path):
+    """Letters are moved into tiles only; before, all lines were sorted by split first."""
+    texts = {"a.fa": ">x one\nACGTA\nCG\n>y\n>z\nAAAéA\nCC\n\n", "b.fa": "lost\n>w\nGGG\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    out = sequences.read_tiles(spark, str(tmp_path), 4, 1)
+    assert not re.search(r"\[file#\d+, split_#\d+L\]", "".join(x for x in plan(out).splitlines(True) if "Window" in x))
+    got = sorted((r.file[-4:], r.record, r.header, r.chrom, r.n, r.tile, r.piece) for r in out.collect())
+    assert got == [("a.fa", 1, "x one", "x", 7, 0, "ACGTA"), ("a.fa", 1, "x one", "x", 7, 1, "ACG"), ("a.fa", 2, "y", "y", 0, 0, ""), ("a.fa", 3, "z", "z", 7, 0, "AAAéA"), ("a.fa", 3, "z", "z", 7, 1, "ACC"), ("b.fa", 1, "w", "w", 3, 0, "GGG")]
