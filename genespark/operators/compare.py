@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from genespark.operators.hierarchy import introns
 from genespark.operators.intervals import cut_with_levels, interval_join, levels_of
 from genespark.operators.lineage import cut
 from genespark.operators.selection import medians
@@ -96,80 +97,207 @@ def best_assignment(overlap: list[list[int]], exhaustive: bool | None = None) ->
     return [(i, j) for i, j in out if overlap[i][j] > 0]
 
 
+#: So many pairs of lines at most are held against each other at a time in a task.
+HELD = 1 << 21
+PAIR = ("prediction", "ref_parent", "pred_parent")
+LINE = ("id", "chrom", "strand", "start", "end")
+
+
+def _codes(*columns: pa.Array) -> list[np.ndarray]:
+    """Strings as numbers that order them alike, in all columns together; -1 for null."""
+    all_ = pa.concat_arrays(columns).dictionary_encode()
+    rank = np.empty(len(all_.dictionary) + 1, dtype=np.int64)
+    rank[pc.sort_indices(all_.dictionary).to_numpy()] = np.arange(len(all_.dictionary))
+    rank[-1] = -1
+    found = rank[all_.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)]
+    return np.split(found, np.cumsum([len(c) for c in columns])[:-1])
+
+
+def _same(*keys: np.ndarray) -> np.ndarray:
+    """A number for each row: equal for equal keys, growing with them, the first key first."""
+    order = np.lexsort(keys[::-1])
+    steps = np.zeros(len(order), dtype=np.int64)
+    for k in keys:
+        steps[1:] |= np.diff(k[order]) != 0
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.cumsum(steps)
+    return out
+
+
+def _place(row: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """How many smaller values of `row` its group has; values belong to one group and grow with it."""
+    values, at = np.unique(row, return_inverse=True)
+    first = np.full(group.max(initial=0) + 1, len(values))
+    np.minimum.at(first, group, at)
+    return at - first[group]
+
+
+def _assigned(pair: np.ndarray, row: np.ndarray, column: np.ndarray, bp: np.ndarray, small: np.ndarray) -> np.ndarray:
+    """Which overlaps best_assignment() takes, for many pairs of parents at once: row, column (numbers of lines, in order), bp.
+
+    Where each line of the shorter side overlaps one line more than any other, and these differ, that is the answer. Pairs of two
+    lines at most a side are decided by the two sums; what is left goes through best_assignment() pair by pair.
+    """
+    _, pair = np.unique(pair, return_inverse=True)
+    n = pair.max(initial=-1) + 1
+    a, b = _place(row, pair), _place(column, pair)
+    size = lambda x: np.bincount(np.unique(np.stack([pair, x]), axis=1)[0], minlength=n)
+    rows, columns = size(a), size(b)
+
+    def sole(own: np.ndarray, other: np.ndarray, lines: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The greatest overlap of each line of one side, and the pairs where these are the answer."""
+        _, line = np.unique(own, return_inverse=True)
+        top = np.zeros(line.max(initial=-1) + 1, dtype=np.int64)
+        np.maximum.at(top, line, bp)
+        best = bp == top[line]
+        _, seat = np.unique(other, return_inverse=True)
+        clash = np.bincount(seat[best], minlength=seat.max(initial=-1) + 1)[seat] > 1
+        tie = np.bincount(line[best], minlength=len(top))[line] > 1
+        wrong = np.bincount(pair[best & (clash | tie)], minlength=n) > 0
+        return best, ~wrong & (lines <= others)
+
+    by_row, sure_row = sole(row, column, rows, columns)
+    by_column, sure_column = sole(column, row, columns, rows)
+    taken = np.where(sure_row[pair], by_row, sure_column[pair] & by_column)
+    sure = sure_row | sure_column
+    two = ~sure & (rows <= 2) & (columns <= 2) & (np.bincount(pair[~small], minlength=n) == 0)
+    straight, cross = (np.bincount(pair, weights=np.where((a == b) == same, bp, 0), minlength=n) for same in (True, False))
+    taken |= two[pair] & ((a == b) == (straight >= cross)[pair])
+    rest = np.flatnonzero(~(sure | two)[pair])
+    rest = rest[np.argsort(pair[rest], kind="stable")]
+    for own in np.split(rest, np.flatnonzero(np.diff(pair[rest])) + 1) if len(rest) else ():
+        k = pair[own[0]]
+        table = [[0] * int(columns[k]) for _ in range(rows[k])]
+        at = {}
+        for x in own.tolist():
+            table[a[x]][b[x]] = int(bp[x])
+            at[int(a[x]), int(b[x])] = x
+        taken[[at[ij] for ij in best_assignment(table, bool(small[own[0]]))]] = True
+    return taken
+
+
+def _matched(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Matches and what is left over on both sides, from one row a pair of parents with lists of their lines."""
+    sides, parent = [], []
+    for prefix in ("", "p_"):
+        lists = {c: batch.column(prefix + c) for c in LINE}
+        sides.append({c: x.flatten() for c, x in lists.items()})
+        parent.append(pc.list_parent_indices(lists["id"]).to_numpy().astype(np.int64))
+    r, p = sides
+    times = batch.column("times").to_numpy()
+    number = lambda x: x.fill_null(0).to_numpy(zero_copy_only=False)
+    place = [_codes(r[c], p[c]) for c in ("chrom", "strand")]
+    names = [_codes(x["id"])[0] for x in sides]
+    spans = [(number(x["start"]), number(x["end"])) for x in sides]
+    whole = [np.logical_and.reduce([x[c].is_valid().to_numpy(zero_copy_only=False) for c in LINE[1:]]) for x in sides]
+    line = [_same(g, *span, name) for g, span, name in zip(parent, spans, names, strict=True)]
+    count = [np.bincount(g, minlength=len(times)) for g in parent]
+    first = np.cumsum(count[1]) - count[1]
+    # lines of one side against all of the other side below the same parents, some at a time
+    wide = count[1][parent[0]]
+    ends = np.cumsum(wide)
+    found, begin = [], 0
+    while begin < len(wide):
+        done = ends[begin] - wide[begin]
+        stop = max(begin + 1, int(np.searchsorted(ends, done + HELD, "right")))
+        i = np.repeat(np.arange(begin, stop), wide[begin:stop])
+        j = first[parent[0][i]] + np.arange(len(i)) - (ends[i] - wide[i] - done)
+        bp = np.minimum(spans[0][1][i], spans[1][1][j]) - np.maximum(spans[0][0][i], spans[1][0][j]) + 1
+        ok = (bp > 0) & whole[0][i] & whole[1][j]
+        for left, right in place:
+            ok &= left[i] == right[j]
+        found.append((i[ok], j[ok], bp[ok]))
+        begin = stop
+    i, j, bp = (np.concatenate(x).astype(np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 3
+    # lines that are alike are one
+    once = np.sort(np.unique(np.stack([line[0][i], line[1][j]]), axis=1, return_index=True)[1])
+    i, j, bp = i[once], j[once], bp[once]
+    pair = parent[0][i]
+    small = np.maximum(count[0], count[1])[pair] * times[pair] <= EXHAUSTIVE
+    taken = _assigned(pair, line[0][i], line[1][j], bp, small)
+    i, j, bp = i[taken], j[taken], bp[taken]
+
+    def left_over(k: int, hit: np.ndarray) -> np.ndarray:
+        """Lines without a match, by id: those that share one count as matched together."""
+        own = _same(parent[k], names[k])
+        out = np.flatnonzero(~np.isin(own, own[hit]) | (names[k] < 0))
+        return np.repeat(out, times[parent[k][out]])
+
+    lost, extra = left_over(0, i), left_over(1, j)
+    nil = lambda n, kind: pa.nulls(n, kind)
+    groups = np.concatenate([pair[taken], parent[0][lost], parent[1][extra]])
+    at = lambda side, c, rows: side[c].take(pa.array(rows))
+    joined = lambda *x: pa.concat_arrays(x)
+    kind = joined(*(pa.array([name] * n, pa.string()) for name, n in (("match", len(i)), ("missing", len(lost)), ("fp", len(extra)))))
+    out = {c: batch.column(c).take(pa.array(groups)) for c in PAIR} | {"classification": kind}
+    out |= {"ref_id": joined(at(r, "id", i), at(r, "id", lost), nil(len(extra), r["id"].type)), "pred_id": joined(at(p, "id", j), nil(len(lost), p["id"].type), at(p, "id", extra))}
+    out |= {c: joined(at(r, c, i), at(r, c, lost), at(p, c, extra)) for c in ("chrom", "strand")}
+    out |= {f"ref_{c}": joined(at(r, c, i), at(r, c, lost), nil(len(extra), r[c].type)) for c in ("start", "end")}
+    out |= {f"pred_{c}": joined(at(p, c, j), nil(len(lost), p[c].type), at(p, c, extra)) for c in ("start", "end")}
+    out["overlap_bp"] = joined(pa.array(bp, pa.int64()), nil(len(lost) + len(extra), pa.int64()))
+    return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+
+def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = _matched(batch)
+        for k in range(0, out.num_rows, 10_000):
+            yield out.slice(k, 10_000)
+
+
+def _below(parents: DataFrame, ref: DataFrame, pred: DataFrame) -> DataFrame:
+    """A row for each pair of parents: how often it is given (`times`), lists of the reference's lines below it, and of the prediction's (p_...).
+
+    Lines are moved once, by parent, where they become lists; these are stored, and what is moved to meet the other side's.
+    """
+    def lists(rows: DataFrame, by: list[str], prefix: str) -> DataFrame:
+        line = F.struct(F.col("id").cast("string").alias("id"), "chrom", "strand", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
+        return rows.where("parent_id is not null").groupBy(*by).agg(F.collect_list(line).alias("x")).select(*(F.col(c).alias(f"{c}_") for c in by), *(F.col(f"x.{c}").alias(prefix + c) for c in LINE))
+
+    pairs = parents.where("ref_parent is not null and pred_parent is not null").repartition("ref_parent").groupBy(*PAIR).agg(F.count(F.lit(1)).alias("times"))
+    own = lists(ref, ["parent_id"], "")
+    r = cut(pairs.join(own, F.col("ref_parent") == F.col("parent_id_"), "left").select(*PAIR, "times", *LINE))
+    p = cut(lists(pred, ["prediction", "parent_id"], "p_"))
+    met = (F.col("pred_parent") == F.col("parent_id_")) & F.col("prediction").eqNullSafe(F.col("prediction_"))
+    return r.join(p, met, "left").drop("parent_id_", "prediction_")
+
+
+def _records(level: str, below: DataFrame) -> DataFrame:
+    """Records of the lines of _below()."""
+    kinds = {c: t for c, t in below.dtypes if c in PAIR}
+    spec = [*(f"{c} {t}" for c, t in kinds.items()), "classification string", "ref_id string", "pred_id string", "chrom string", "strand string", *(f"{c} long" for c in RECORD[6:11])]
+    whole = below.select(*PAIR, "times", *(prefix + c for prefix in ("", "p_") for c in LINE)).where("id is not null or p_id is not null")
+    rows = whole.mapInArrow(_match, ", ".join(spec)).withColumn("level", F.lit(level))
+    sn, sp = F.col("overlap_bp") / (F.col("ref_end") - F.col("ref_start") + 1), F.col("overlap_bp") / (F.col("pred_end") - F.col("pred_start") + 1)
+    plus, hit = F.col("strand") == "+", F.col("classification") == "match"
+    b5 = F.when(plus, F.col("pred_start") - F.col("ref_start")).otherwise(F.col("ref_end") - F.col("pred_end"))
+    b3 = F.when(plus, F.col("pred_end") - F.col("ref_end")).otherwise(F.col("ref_start") - F.col("pred_start"))
+    more = {"sn": sn, "sp": sp, "f1": 2 * sn * sp / (sn + sp), "boundary_5p": b5, "boundary_3p": b3}
+    return rows.select(*PAIR, *RECORD[:11], *(F.when(hit, v).alias(c) for c, v in more.items()))
+
+
 def match_parts(level: str, parents: DataFrame, ref: DataFrame, pred: DataFrame) -> DataFrame:
     """Records of sub-features whose parents were matched: match, missing, fp.
 
     parents: prediction, ref_parent, pred_parent. ref, pred: chrom, strand, start, end, id, parent_id (pred also
-    prediction). Within a pair of parents, overlaps that are the only ones of both sides match directly; the rest
-    of a pair goes through best_assignment, in tasks that hold one pair of parents at a time. Missing and fp are decided by id, so lines that share an id count as
-    matched together.
+    prediction). Within a pair of parents, lines are matched as by best_assignment: the optimum if both sides have eight at
+    most, else greedily. The lines below one parent are a row; a task holds a batch of these. Missing and fp are decided by id, so
+    lines that share an id count as matched together. Lines without a contig, strand, start or end match nothing.
     """
-    r = ref.select("parent_id", "id", "chrom", "strand", "start", "end").join(parents, F.col("parent_id") == F.col("ref_parent")).drop("parent_id")
-    p = pred.select(F.col("parent_id").alias("p_parent"), F.col("prediction").alias("p_label"), F.col("id").alias("p_id"), F.col("chrom").alias("p_chrom"), F.col("strand").alias("p_strand"), F.col("start").alias("p_start"), F.col("end").alias("p_end"))
-    p = p.join(parents, (F.col("p_parent") == F.col("pred_parent")) & F.col("p_label").eqNullSafe(F.col("prediction"))).drop("p_parent", "p_label")
-    r, p = cut(r), cut(p)  # each read by the overlaps, the totals and what is left over
-    pair = ["prediction", "ref_parent", "pred_parent"]
-    both = r.join(p, pair).where((F.col("chrom") == F.col("p_chrom")) & (F.col("strand") == F.col("p_strand")))
-    both = both.withColumn("bp", F.greatest(F.least("end", "p_end") - F.greatest("start", "p_start") + 1, F.lit(0).cast("long"))).where("bp > 0")
-    line_r, line_p = ["id", "start", "end"], ["p_id", "p_start", "p_end"]
-    both = both.withColumn("n_r", F.count(F.lit(1)).over(Window.partitionBy(*pair, *line_r))).withColumn("n_p", F.count(F.lit(1)).over(Window.partitionBy(*pair, *line_p)))
-    both = cut(both.withColumn("plain", F.max(F.greatest("n_r", "n_p")).over(Window.partitionBy(*pair)) == 1))
-    cols = ["prediction", "ref_parent", "pred_parent", "chrom", "strand", *line_r, *line_p, "bp"]
-    direct = both.where("plain").select(*cols)
-    hard = both.where("not plain").select(*cols)
-
-    def lines(x: DataFrame, name: str) -> DataFrame:
-        """All lines of a pair, overlapping or not: their number decides between optimum and greedy."""
-        return x.groupBy(*pair).agg(F.count(F.lit(1)).alias(name))
-
-    hard = hard.join(lines(r, "total_r"), pair).join(lines(p, "total_p"), pair)
-    schema = hard.select(*cols).schema
-
-    names = [*cols, "total_r", "total_p"]
-    at = {c: k for k, c in enumerate(names)}
-    own_r, own_p, own_pair = ([at[c] for c in picked] for picked in (["start", "end", "id"], ["p_start", "p_end", "p_id"], pair))
-
-    def chosen(overlaps: list[tuple]) -> list[tuple]:
-        """The assigned overlaps of one pair of parents."""
-        left, right = sorted({tuple(x[k] for k in own_r) for x in overlaps}), sorted({tuple(x[k] for k in own_p) for x in overlaps})
-        row, column = {x: i for i, x in enumerate(left)}, {x: i for i, x in enumerate(right)}
-        placed = {(row[tuple(x[k] for k in own_r)], column[tuple(x[k] for k in own_p)]): x for x in overlaps}
-        table = [[0] * len(right) for _ in left]
-        for (i, j), x in placed.items():
-            table[i][j] = x[at["bp"]]
-        small = max(overlaps[0][at["total_r"]], overlaps[0][at["total_p"]]) <= EXHAUSTIVE
-        return [placed[ij][: len(cols)] for ij in best_assignment(table, small)]
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: list[tuple] = []  # of one pair of parents: rows come sorted by pair
-        kind = None
-        for batch in batches:
-            kind = pa.schema([batch.schema.field(k) for k in range(len(cols))])
-            out = []
-            for x in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if pending and any(pending[0][k] != x[k] for k in own_pair):
-                    out += chosen(pending)
-                    pending = []
-                pending.append(x)
-            yield pa.RecordBatch.from_pylist([dict(zip(cols, x, strict=True)) for x in out], kind)
-        if pending:
-            yield pa.RecordBatch.from_pylist([dict(zip(cols, x, strict=True)) for x in chosen(pending)], kind)
-
-    sorted_pairs = hard.select(*names).repartition(*pair).sortWithinPartitions(*pair)
-    matched = direct.unionByName(sorted_pairs.mapInArrow(assign, schema))
-    sn, sp = F.col("bp") / (F.col("end") - F.col("start") + 1), F.col("bp") / (F.col("p_end") - F.col("p_start") + 1)
-    plus = F.col("strand") == "+"
-    b5 = F.when(plus, F.col("p_start") - F.col("start")).otherwise(F.col("end") - F.col("p_end"))
-    b3 = F.when(plus, F.col("p_end") - F.col("end")).otherwise(F.col("start") - F.col("p_start"))
-    good = matched.select(
-        *pair, F.lit(level).alias("level"), F.lit("match").alias("classification"), F.col("id").alias("ref_id"), F.col("p_id").alias("pred_id"), "chrom", "strand", F.col("start").alias("ref_start"), F.col("end").alias("ref_end"),
-        F.col("p_start").alias("pred_start"), F.col("p_end").alias("pred_end"), F.col("bp").alias("overlap_bp"), sn.alias("sn"), sp.alias("sp"), (2 * sn * sp / (sn + sp)).alias("f1"), b5.alias("boundary_5p"), b3.alias("boundary_3p"),
-    )
-    nil = lambda c: F.lit(None).cast(good.schema[c].dataType).alias(c)
-    done_r, done_p = matched.select(*pair, "id").distinct(), matched.select(*pair, "p_id").distinct()
-    missing = r.join(done_r, [*pair, "id"], "left_anti").select(*pair, F.lit(level).alias("level"), F.lit("missing").alias("classification"), F.col("id").alias("ref_id"), nil("pred_id"), "chrom", "strand", F.col("start").alias("ref_start"), F.col("end").alias("ref_end"), *(nil(c) for c in RECORD[8:]))
-    extra = p.join(done_p, [*pair, "p_id"], "left_anti").select(*pair, F.lit(level).alias("level"), F.lit("fp").alias("classification"), nil("ref_id"), F.col("p_id").alias("pred_id"), F.col("p_chrom").alias("chrom"), F.col("p_strand").alias("strand"), nil("ref_start"), nil("ref_end"), F.col("p_start").alias("pred_start"), F.col("p_end").alias("pred_end"), *(nil(c) for c in RECORD[10:]))
-    return good.unionByName(missing).unionByName(extra)
+    return _records(level, _below(parents, ref, pred))
+
+
+def _gaps(below: DataFrame) -> DataFrame:
+    """The introns, as hierarchy.introns() makes them, between the lines of _below()."""
+    def between(prefix: str, parent: str) -> Column:
+        lines = F.arrays_zip(*(F.col(prefix + c).alias(c) for c in ("start", "id", "chrom", "strand", "end")))
+        x = F.sort_array(lines)  # by start, then id, nulls first
+        gap = lambda v, k: F.struct(F.concat_ws(":", parent, F.lit("intron"), (k + 1).cast("string")).alias("id"), v["chrom"].alias("chrom"), v["strand"].alias("strand"), (v["end"] + 1).alias("start"), (F.get(x, k + 1)["start"] - 1).alias("end"))
+        gaps = F.filter(F.transform(x, gap), lambda v: v["end"].isNotNull())
+        return F.when(F.col(prefix + "id").isNotNull(), gaps)
+
+    rows = below.select(*PAIR, "times", between("", "ref_parent").alias("r_"), between("p_", "pred_parent").alias("q_"))
+    return rows.select(*PAIR, "times", *(F.col(f"r_.{c}").alias(c) for c in LINE), *(F.col(f"q_.{c}").alias(f"p_{c}") for c in LINE))
 
 
 def compare(ref: dict[str, DataFrame], pred: dict[str, DataFrame], width: int = 2000) -> DataFrame:
@@ -182,10 +310,8 @@ def compare(ref: dict[str, DataFrame], pred: dict[str, DataFrame], width: int =
     hits = genes.where(F.col("classification").isin("exact", "inexact")).select("prediction", F.col("ref_id").alias("ref_parent"), F.col("pred_id").alias("pred_parent"))
     mrnas = cut(match_parts("mrna", hits, ref["mrnas"], pred["mrnas"]))
     inner = mrnas.where("classification = 'match'").select("prediction", F.col("ref_id").alias("ref_parent"), F.col("pred_id").alias("pred_parent")).distinct()
-    cds = match_parts("cds", inner, ref["cds"], pred["cds"])
-    labelled = pred["cds"].withColumn("_p", F.concat_ws("\x01", "prediction", "parent_id"))
-    gaps = introns(labelled, "_p").withColumn("prediction", F.substring_index("parent_id", "\x01", 1)).withColumn("parent_id", F.substring_index("parent_id", "\x01", -1)).withColumn("id", F.substring_index("id", "\x01", -1))
-    parts = match_parts("intron", inner, introns(ref["cds"]), gaps)
+    below = _below(inner, ref["cds"], pred["cds"])  # introns lie between the same lines: these are moved and stored once
+    cds, parts = _records("cds", below), _records("intron", _gaps(below))
     return genes.unionByName(mrnas.drop("ref_parent", "pred_parent")).unionByName(cds.drop("ref_parent", "pred_parent")).unionByName(parts.drop("ref_parent", "pred_parent"))
 
 
