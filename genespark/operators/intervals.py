@@ -48,8 +48,9 @@ def cut_with_levels(df: DataFrame, width: int = 2000, copies: int = 4) -> tuple[
     return out, [k for k in range(LEVELS) if seen.get(f"level_{k}")]
 
 
-def _binned(df: DataFrame, other: Sequence[int], side: str, start: str, end: str, width: int, copies: int, flat: bool) -> DataFrame:
-    """A row for each bin touched, at the row's own level and at the wider ones among `other`. Flat: all is of level 0."""
+def _binned(df: DataFrame, other: Sequence[int], keys: Sequence[str], side: str, start: str, end: str, width: int, copies: int, flat: bool) -> DataFrame:
+    """A row for each bin touched, at the row's own level and at the wider ones among `other`. Flat: all is of level 0. Rows with a null key have none."""
+    df = df.dropna(subset=list(keys)) if keys else df
     s, e, own = F.col(start), F.col(end), F.col(f"own_{side}")
     cols = [F.col(c).alias(f"{side}{c}") for c in df.columns]
     if flat:
@@ -79,8 +80,8 @@ def interval_join(left: DataFrame, right: DataFrame, *, keys: Sequence[str] = ("
     if levels is None:
         levels = levels_of(left.select(F.col(ls).alias("start"), F.col(le).alias("end")), right.select(F.col(start).alias("start"), F.col(end).alias("end")), width=width, copies=copies)
     flat = not any(x for side in levels for x in side)
-    lhs = _binned(left, levels[1], a, ls, le, width, copies, flat)
-    rhs = _binned(right, levels[0], b, start, end, width, copies, flat)
+    lhs = _binned(left, levels[1], keys, a, ls, le, width, copies, flat)
+    rhs = _binned(right, levels[0], keys, b, start, end, width, copies, flat)
     s1, e1, s2, e2 = F.col(a + ls), F.col(a + le), F.col(b + start), F.col(b + end)
     on = (F.col(f"bin_{a}") == F.col(f"bin_{b}")) & overlaps(s1, e1, s2, e2)
     if not flat:
