@@ -91,8 +91,11 @@ def release(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     # cleaned row by row and put into lines before anything is moved
     known = hierarchy(as_text(cleaned, "n_organism", "n_fragment", "n_capped", "n_kegg"))
     dropped = cut(without_cds(known))
-    kept = known.rows.join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), F.col("id").eqNullSafe(F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti")
-    # what hangs on dropped mRNAs only, or on nothing, has no place: it is neither written nor counted
-    rows = cut(placed(Hierarchy(kept, known.above)))
+    # only genes and mRNAs are dropped: the parts, which are the bulk, need not be moved for that
+    upper = F.coalesce(F.col("type").isin("gene", "mRNA"), F.lit(False))
+    kept = known.rows.where(upper).join(dropped.select(F.col("id").alias("_i"), F.col("kind").alias("_t")), (F.col("id") == F.col("_i")) & (F.col("type") == F.col("_t")), "left_anti").unionByName(known.rows.where(~upper))
+    # what hangs on dropped mRNAs only, or on nothing, has no place: it is neither written nor counted. The lines are not stored
+    # for the report, which reads the few counters beside them
+    rows = placed(Hierarchy(kept, known.above))
     head = features.sparkSession.range(1).select(F.lit("##gff-version 3").alias("value"))
     return head.unionByName(placed_text(rows)), report(rows, dropped)
