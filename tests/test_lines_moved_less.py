@@ -54,3 +54,12 @@ def test_what_is_read_back_is_packed(spark, tmp_path, monkeypatch):
     files = glob.glob(str(tmp_path / "t" / "part-*"))
     assert files and all(f.endswith(".gz") for f in files)
     assert cut(spark.range(3)).inputFiles()[0].endswith(".zstd.parquet")
+
+
+def test_two_levels_are_stored_once(spark, tmp_path, monkeypatch):
+    """Where no parent has a grandparent, pairs of parents are not moved again to look for what is above."""
+    stored = []
+    monkeypatch.setattr(graph, "cut", lambda df: stored.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df))
+    pairs = graph.reach(read(spark, tmp_path, *MODEL[:4]))
+    assert sorted((v.id, v.ancestor, v.depth) for v in pairs.collect()) == [("a", "a", 0), ("a", "g", 1), ("b", "b", 0), ("b", "g", 1), ("g", "g", 0)]
+    assert not any("min(depth" in p for p in stored)
